@@ -50,3 +50,421 @@ def s_build_release_chunks():
     q = S.Q()
     c = S.build_release_chunks(q, S.fx_snapshot_new(q), OPTS)
     return q.render(f"SELECT {CHUNK_COLS} FROM {c}")
+
+
+# ------------------------------------------------------------ chunking
+from pyspark.sql import functions as F  # noqa: E402
+
+from docweave.functions import html as H  # noqa: E402
+from docweave.functions import text as TX  # noqa: E402
+from docweave.functions.tokens import token_count, token_count_sql  # noqa: E402
+from docweave.functions.vectors import distance, distance_sql  # noqa: E402
+from docweave.operators import chunk as CH  # noqa: E402
+from docweave.operators import diff as DF  # noqa: E402
+from docweave.plans.pipelines import build_repo_chunks, drop_ignored_paths, release_markdown  # noqa: E402
+from docweave.session import table  # noqa: E402
+from docweave.sources import scan as SC  # noqa: E402
+
+
+def _pair(name, spark_fn, sql_fn=None):
+    QUERIES[name] = spark_fn
+    if sql_fn is not None:
+        SQL[name] = sql_fn
+
+
+def _t1_spark(spark, sf):
+    return CH.split_by_heading(fx.fx_markdown(spark, sf), key="doc", text="text").select(
+        "doc", "chunk_no", "header1", "header2", "content"
+    )
+
+
+def _t1_sql():
+    q = S.Q()
+    t = S.split_by_heading(q, S.fx_markdown(q), "doc", "text")
+    return q.render(f"SELECT k AS doc, chunk_no, header1, header2, content FROM {t}")
+
+
+_pair("split_by_heading", _t1_spark, _t1_sql)
+
+
+def _t2_spark(spark, sf):
+    return CH.chunk_docs(fx.fx_markdown(spark, sf), OPTS, key="doc", text="text")
+
+
+def _t2_sql():
+    q = S.Q()
+    c = S.chunk_docs(q, S.fx_markdown(q), "doc", "text", OPTS)
+    return q.render(f"SELECT {CHUNK_COLS} FROM {c}")
+
+
+_pair("chunk_docs", _t2_spark, _t2_sql)
+
+
+def _w1_spark(spark, sf):
+    lines = CH.split_lines(fx.fx_markdown(spark, sf), key="doc", text="text")
+    return CH.heading_carry(lines, key="doc").select(
+        "doc", F.col("pos").cast("bigint").alias("pos"), "header1", "header2", "is_content"
+    )
+
+
+def _w1_sql():
+    q = S.Q()
+    S.split_by_heading(q, S.fx_markdown(q), "doc", "text")
+    return q.render(
+        "SELECT k AS doc, CAST(pos AS BIGINT) AS pos, v1 AS header1, CASE WHEN p2 > coalesce(p1, -1) THEN v2 END AS header2, "
+        "(in_code OR (lvl = 0 AND s <> '')) AS is_content FROM t1_carry"
+    )
+
+
+_pair("heading_carry", _w1_spark, _w1_sql)
+
+
+def _w4_spark(spark, sf):
+    return _t2_spark(spark, sf).select("filename", "chunk_no", "header1", "header2")
+
+
+def _w4_sql():
+    q = S.Q()
+    c = S.chunk_docs(q, S.fx_markdown(q), "doc", "text", OPTS)
+    return q.render(f"SELECT filename, chunk_no, header1, header2 FROM {c}")
+
+
+_pair("chunk_numbers", _w4_spark, _w4_sql)
+
+
+def _t4_spark(spark, sf):
+    paths = SC.list_markdown_files(fx.fx_listing(spark, sf), OPTS)
+    return build_repo_chunks(paths, fx.fx_content(spark, sf), OPTS)
+
+
+def _t4_sql():
+    q = S.Q()
+    c = S.repo_chunks(q, OPTS)
+    return q.render(f"SELECT {CHUNK_COLS} FROM {c}")
+
+
+_pair("build_repo_chunks", _t4_spark, _t4_sql)
+
+
+# ------------------------------------------------------------ sources
+def _s1_spark(spark, sf):
+    snap = SC.snapshot_from_table(fx.release_pages(spark, sf).select("rel_path", "html"), "pages")
+    return snap.select("rel_path", "sha256", F.length("html").cast("bigint").alias("n_chars"))
+
+
+def _s1_sql():
+    q = S.Q()
+    rp = S.release_pages(q)
+    return q.render(f"SELECT rel_path, sha256(html) AS sha256, CAST(length(html) AS BIGINT) AS n_chars FROM {rp}")
+
+
+_pair("scan_html_snapshot", _s1_spark, _s1_sql)
+
+
+def _s2_spark(spark, sf):
+    return SC.list_markdown_files(fx.fx_listing(spark, sf), OPTS)
+
+
+def _s2_sql():
+    q = S.Q()
+    lp = S.listing_paths(q)
+    return q.render(f"SELECT path FROM {lp} WHERE {S.path_predicate_sql('path', OPTS)}")
+
+
+_pair("list_markdown_files", _s2_spark, _s2_sql)
+
+
+def _s3_spark(spark, sf):
+    c = fx.fx_content(spark, sf)
+    return c.select("filename", SC.decode_content(F.col("encoding"), F.col("content")).alias("markdown"))
+
+
+def _s3_sql():
+    q = S.Q()
+    d = S.decoded_content(q)
+    return q.render(f"SELECT filename, markdown FROM {d}")
+
+
+_pair("decode_content", _s3_spark, _s3_sql)
+
+
+def _s4_spark(spark, sf):
+    return SC.latest_ref(fx.fx_versions(spark, sf))
+
+
+def _s4_sql():
+    q = S.Q()
+    lr = S.latest_ref(q, S.fx_versions(q))
+    return q.render(f"SELECT product, ref, ts FROM {lr}")
+
+
+_pair("latest_ref", _s4_spark, _s4_sql)
+
+
+def _s5_spark(spark, sf):
+    return SC.release_assets(fx.fx_release(spark, sf))
+
+
+def _s5_sql():
+    q = S.Q()
+    r = S.fx_release_flat(q)
+    return q.render(f"SELECT tag, CAST(row_number() OVER (PARTITION BY tag ORDER BY k) - 1 AS BIGINT) AS pos, name, url FROM {r}")
+
+
+_pair("release_assets", _s5_spark, _s5_sql)
+
+
+def _s6_spark(spark, sf):
+    return SC.changed_files(fx.fx_changed_files(spark, sf))
+
+
+def _s6_sql():
+    q = S.Q()
+    c = S.changed_file_rows(q)
+    return q.render(f"SELECT filename, status FROM {c}")
+
+
+_pair("changed_files", _s6_spark, _s6_sql)
+
+
+# ------------------------------------------------------------ filters
+def _p2_spark(spark, sf):
+    f = SC.changed_files(fx.fx_changed_files(spark, sf))
+    return f.where(SC.ignore_paths_predicate(F.col("filename"), OPTS))
+
+
+def _p2_sql():
+    q = S.Q()
+    c = S.changed_file_rows(q)
+    return q.render(f"SELECT filename, status FROM {c} WHERE {S.path_predicate_sql('filename', OPTS)}")
+
+
+_pair("filter_changed_files", _p2_spark, _p2_sql)
+
+
+def _p3_spark(spark, sf):
+    return drop_ignored_paths(fx.fx_snapshot_old(spark, sf), OPTS).select("rel_path")
+
+
+def _p3_sql():
+    q = S.Q()
+    o = S.fx_snapshot_old(q)
+    ign = ", ".join(TX.sql_lit(x) for x in OPTS.ignore_rel_paths) if OPTS.ignore_rel_paths else "NULL"
+    return q.render(f"SELECT rel_path FROM {o} WHERE rel_path NOT IN ({ign})")
+
+
+_pair("filter_ignored_paths", _p3_spark, _p3_sql)
+
+
+def _p4_spark(spark, sf):
+    md = release_markdown(fx.fx_snapshot_new(spark, sf), OPTS)
+    return md.select("filename", F.length("markdown").cast("bigint").alias("n_chars"))
+
+
+def _p4_sql():
+    q = S.Q()
+    md = S.release_markdown(q, S.fx_snapshot_new(q), OPTS)
+    return q.render(f"SELECT filename, CAST(length(markdown) AS BIGINT) AS n_chars FROM {md}")
+
+
+_pair("drop_no_article", _p4_spark, _p4_sql)
+
+
+# ------------------------------------------------------------ scalar functions
+def _docs(spark, sf):
+    return table(spark, sf, "documents")
+
+
+_pair(
+    "heading_anchor",
+    lambda spark, sf: _docs(spark, sf).select("doc_id", TX.heading_anchor(F.col("text")).alias("anchor")),
+    lambda: f"SELECT doc_id, {TX.heading_anchor_sql('text')} AS anchor FROM documents",
+)
+
+
+def _f2_spark(spark, sf):
+    p = fx.listing_paths(spark, sf)
+    h2 = F.when(F.pmod("doc_id", F.lit(2)) == 0, F.concat(F.lit("Section "), F.col("doc_id").cast("string")))
+    return p.select("doc_id", TX.doc_link(F.col("path"), h2, F.lit(None).cast("string"), OPTS.web_path, OPTS.doc_path).alias("doc_link"))
+
+
+def _f2_sql():
+    q = S.Q()
+    lp = S.listing_paths(q)
+    h2 = "CASE WHEN doc_id % 2 = 0 THEN 'Section ' || CAST(doc_id AS VARCHAR) END"
+    return q.render(f"SELECT doc_id, {TX.doc_link_sql('path', h2, 'CAST(NULL AS VARCHAR)', OPTS.web_path, OPTS.doc_path)} AS doc_link FROM {lp}")
+
+
+_pair("doc_link", _f2_spark, _f2_sql)
+
+_pair(
+    "rewrite_links",
+    lambda spark, sf: _docs(spark, sf).select("doc_id", TX.rewrite_links(F.col("text"), OPTS.web_path).alias("text")),
+    lambda: f"SELECT doc_id, {TX.rewrite_links_sql('text', OPTS.web_path)} AS text FROM documents",
+)
+
+
+def _f4_spark(spark, sf):
+    c = table(spark, sf, "conversations")
+    h2 = F.when(F.pmod("turn", F.lit(2)) == 0, F.concat(F.lit("Turn "), F.col("turn").cast("string")))
+    return c.select("conv_id", "turn", TX.prefix_headings(F.col("role"), h2, F.lit(None).cast("string"), F.col("text")).alias("text"))
+
+
+_pair(
+    "prefix_headings",
+    _f4_spark,
+    lambda: "SELECT conv_id, turn, "
+    + TX.prefix_headings_sql("role", "CASE WHEN turn % 2 = 0 THEN 'Turn ' || CAST(turn AS VARCHAR) END", "CAST(NULL AS VARCHAR)", "text")
+    + " AS text FROM conversations",
+)
+
+
+def _f5_sql():
+    q = S.Q()
+    o = S.fx_snapshot_old(q)
+    return q.render(f"SELECT rel_path, {TX.format_file_path_sql('rel_path')} AS filename FROM {o}")
+
+
+_pair(
+    "format_file_path",
+    lambda spark, sf: fx.fx_snapshot_old(spark, sf).select("rel_path", TX.format_file_path(F.col("rel_path")).alias("filename")),
+    _f5_sql,
+)
+
+_pair(
+    "extract_article",
+    lambda spark, sf: table(spark, sf, "pages").select("page_id", H.extract_article(F.col("html")).alias("article")),
+    lambda: f"SELECT page_id, {H.extract_article_sql('html')} AS article FROM pages",
+)
+
+_pair(
+    "html_to_markdown",
+    lambda spark, sf: table(spark, sf, "pages").select("page_id", H.article_markdown(F.col("html")).alias("markdown")),
+    lambda: f"SELECT page_id, {H.article_markdown_sql('html')} AS markdown FROM pages",
+)
+
+_pair(
+    "content_hash",
+    lambda spark, sf: table(spark, sf, "pages").select("page_id", TX.content_hash(F.col("html")).alias("sha256")),
+    lambda: "SELECT page_id, sha256(html) AS sha256 FROM pages",
+)
+
+
+def _f9_sql():
+    q = S.Q()
+    fq = S.fx_questions(q, OPTS)
+    return q.render(f"SELECT request_id, q_no, {TX.scrub_question_sql('question', OPTS.scrub_phrase)} AS question FROM {fq}")
+
+
+_pair(
+    "scrub_question",
+    lambda spark, sf: fx.fx_questions(spark, sf, OPTS).select(
+        "request_id", "q_no", TX.scrub_question(F.col("question"), OPTS.scrub_phrase).alias("question")
+    ),
+    _f9_sql,
+)
+
+_pair(
+    "token_count",
+    lambda spark, sf: _docs(spark, sf).select("doc_id", token_count(F.col("text")).alias("n_tokens")),
+    lambda: f"SELECT doc_id, {token_count_sql('text')} AS n_tokens FROM documents",
+)
+
+
+def _f13_spark(spark, sf):
+    e = table(spark, sf, "embeddings")
+    a = e.select("vec_id", F.col("embedding").alias("a"))
+    b = e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("b"))
+    j = a.join(b, "vec_id")
+    return j.select(
+        "vec_id",
+        *[F.round(distance(F.col("a"), F.col("b"), m), 6).alias(f"d_{m.lower()}") for m in ("L2", "IP", "COSINE", "HAMMING")],
+    )
+
+
+def _f13_sql():
+    cols = ", ".join(f"round({distance_sql('a.embedding', 'b.embedding', m)}, 6) AS d_{m.lower()}" for m in ("L2", "IP", "COSINE", "HAMMING"))
+    return f"SELECT a.vec_id, {cols} FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1"
+
+
+_pair("metric_distance", _f13_spark, _f13_sql)
+
+
+# ------------------------------------------------------------ diffs
+def _snaps(spark, sf):
+    return fx.fx_snapshot_old(spark, sf), fx.fx_snapshot_new(spark, sf)
+
+
+def _j1_sql():
+    q = S.Q()
+    d = S.snapshot_diff(q, OPTS)
+    return q.render(f"SELECT rel_path, filename, status FROM {d}")
+
+
+_pair("snapshot_diff", lambda spark, sf: DF.snapshot_diff(*_snaps(spark, sf), OPTS), _j1_sql)
+
+
+def _jmd_sql(status):
+    def f():
+        q = S.Q()
+        m = S.changed_markdown(q, OPTS, status)
+        return q.render(f"SELECT filename, markdown FROM {m}")
+
+    return f
+
+
+_pair("diff_added", lambda spark, sf: DF.diff_added(*_snaps(spark, sf), OPTS), _jmd_sql("added"))
+_pair("diff_modified", lambda spark, sf: DF.diff_modified(*_snaps(spark, sf), OPTS), _jmd_sql("modified"))
+
+
+def _j4_sql():
+    q = S.Q()
+    d = S.snapshot_diff(q, OPTS)
+    return q.render(f"SELECT filename FROM {d} WHERE status = 'deleted'")
+
+
+_pair("diff_deleted", lambda spark, sf: DF.diff_deleted(*_snaps(spark, sf), OPTS), _j4_sql)
+
+
+def _j5_spark(spark, sf):
+    return DF.commit_diff(SC.changed_files(fx.fx_changed_files(spark, sf)), OPTS)
+
+
+def _j5_sql():
+    q = S.Q()
+    c = S.changed_file_rows(q)
+    return q.render(
+        "SELECT filename, CASE WHEN status IN ('added', 'modified') THEN 'upsert' ELSE 'delete' END AS action "
+        f"FROM {c} WHERE {S.path_predicate_sql('filename', OPTS)} AND status IN ('added', 'modified', 'removed')"
+    )
+
+
+_pair("commit_diff", _j5_spark, _j5_sql)
+
+
+def _a1_sql():
+    q = S.Q()
+    d = S.snapshot_diff(q, OPTS)
+    return q.render(
+        "SELECT count(*) FILTER (WHERE status = 'added') AS n_added, count(*) FILTER (WHERE status = 'modified') AS n_modified, "
+        f"count(*) FILTER (WHERE status = 'deleted') AS n_deleted FROM {d}"
+    )
+
+
+_pair("change_summary", lambda spark, sf: DF.change_summary(DF.snapshot_diff(*_snaps(spark, sf), OPTS)), _a1_sql)
+
+
+def _a2_spark(spark, sf):
+    return DF.records_per_file(build_release_chunks(fx.fx_snapshot_new(spark, sf), OPTS))
+
+
+def _a2_sql():
+    q = S.Q()
+    c = S.build_release_chunks(q, S.fx_snapshot_new(q), OPTS)
+    return q.render(
+        "SELECT filename, count(*) AS n_records, 'Successfully added ' || CAST(count(*) AS VARCHAR) || ' records from ' || filename AS message "
+        f"FROM {c} GROUP BY filename"
+    )
+
+
+_pair("records_per_file", _a2_spark, _a2_sql)

@@ -19,7 +19,7 @@ def drop_ignored_paths(snapshot: DataFrame, opts: JobOptions, col: str = "rel_pa
     return snapshot.where(~F.col(col).isin(list(opts.ignore_rel_paths)))
 
 
-def release_markdown(snapshot: DataFrame, opts: JobOptions, drop_empty: bool = True) -> DataFrame:
+def release_markdown(snapshot: DataFrame, opts: JobOptions, drop_empty: bool = True, keep: tuple = ()) -> DataFrame:
     """P3 -> F6/F7 -> P4 -> F5: snapshot (rel_path, html) -> (filename, markdown).
 
     The Markdown is produced through a one-element ``explode_outer`` so the
@@ -27,6 +27,7 @@ def release_markdown(snapshot: DataFrame, opts: JobOptions, drop_empty: bool = T
     """
     s = drop_ignored_paths(snapshot, opts)
     md = s.select(
+        *keep,
         format_file_path(F.col("rel_path")).alias("filename"),
         F.explode_outer(F.array(article_markdown(F.col("html")))).alias("markdown"),
     )

@@ -242,3 +242,54 @@ def release_markdown(q: Q, snap: str, opts: JobOptions, p: str = "rmd") -> str:
 def build_release_chunks(q: Q, snap: str, opts: JobOptions, p: str = "rel") -> str:
     md = release_markdown(q, snap, opts, p + "_md")
     return chunk_docs(q, md, "filename", "markdown", opts, p)
+
+
+# ---------------------------------------------------------------- diffs
+
+def snapshot_diff(q: Q, opts: JobOptions) -> str:
+    old, new = fx_snapshot_old(q), fx_snapshot_new(q)
+    ign = ""
+    if opts.ignore_rel_paths:
+        ign = "WHERE rel_path NOT IN (" + ", ".join(sql_lit(x) for x in opts.ignore_rel_paths) + ")"
+    q.add("old_h", f"SELECT rel_path, sha256(html) AS o_sha FROM {old} {ign}")
+    q.add("new_h", f"SELECT rel_path, sha256(html) AS n_sha FROM {new} {ign}")
+    return q.add(
+        "diff",
+        f"SELECT rel_path, {format_file_path_sql('rel_path')} AS filename, status FROM ("
+        "SELECT coalesce(o.rel_path, n.rel_path) AS rel_path, CASE WHEN o.o_sha IS NULL THEN 'added' "
+        "WHEN n.n_sha IS NULL THEN 'deleted' WHEN o.o_sha <> n.n_sha THEN 'modified' ELSE 'unchanged' END AS status "
+        "FROM old_h o FULL OUTER JOIN new_h n ON o.rel_path = n.rel_path)",
+    )
+
+
+def changed_markdown(q: Q, opts: JobOptions, status: str) -> str:
+    d = snapshot_diff(q, opts)
+    new = fx_snapshot_new(q)
+    q.add(f"pages_{status}", f"SELECT * FROM {new} WHERE rel_path IN (SELECT rel_path FROM {d} WHERE status = '{status}')")
+    return release_markdown(q, f"pages_{status}", opts, f"md_{status}")
+
+
+def path_predicate_sql(col: str, opts: JobOptions) -> str:
+    p = f"(ends_with({col}, '.md') AND contains({col}, {sql_lit(opts.main_dir)})"
+    for x in opts.ignore_files:
+        p += f" AND NOT contains({col}, {sql_lit(x)})"
+    return p + ")"
+
+
+def decoded_content(q: Q) -> str:
+    c = fx_content(q)
+    return q.add(
+        "decoded_content",
+        f"SELECT filename, CASE WHEN contains(coalesce(encoding, ''), 'base64') THEN coalesce(decode(from_base64(content)), '') "
+        f"ELSE content END AS markdown FROM {c}",
+    )
+
+
+def repo_chunks(q: Q, opts: JobOptions, p: str = "repo") -> str:
+    lp = listing_paths(q)
+    dc = decoded_content(q)
+    q.add(
+        f"{p}_files",
+        f"SELECT d.filename, d.markdown FROM {dc} d JOIN {lp} l ON d.filename = l.path WHERE {path_predicate_sql('l.path', opts)}",
+    )
+    return chunk_docs(q, f"{p}_files", "filename", "markdown", opts, p)
