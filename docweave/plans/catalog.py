@@ -468,3 +468,393 @@ def _a2_sql():
 
 
 _pair("records_per_file", _a2_spark, _a2_sql)
+
+
+# ------------------------------------------------------------ tables
+from docweave.operators import tables as TB  # noqa: E402
+from docweave.plans import refresh as RF  # noqa: E402
+from docweave.session import scratch_path  # noqa: E402
+
+
+def _kv(spark, sf):
+    d = _docs(spark, sf)
+    target = d.select(F.col("doc_id").alias("pk"), "lang", "source", "n_chars")
+    src = d.select((F.col("doc_id") * 2).alias("pk"), F.upper("lang").alias("lang"), (F.col("n_chars") + 1).alias("n_chars"), F.lit("extra").alias("note"))
+    return target, src
+
+
+def _k2_sql():
+    q = S.Q()
+    S.fx_kv(q)
+    return q.render("SELECT pk, lang, source, n_chars FROM kv_target UNION ALL SELECT pk, lang, CAST(NULL AS VARCHAR) AS source, n_chars FROM kv_src")
+
+
+_pair("insert_align", lambda spark, sf: TB.insert_align(*_kv(spark, sf)), _k2_sql)
+
+
+def _k3_sql():
+    q = S.Q()
+    S.fx_kv(q)
+    return q.render(
+        "SELECT pk, lang, source, n_chars FROM kv_target WHERE pk NOT IN (SELECT pk FROM kv_src) "
+        "UNION ALL SELECT pk, lang, CAST(NULL AS VARCHAR) AS source, n_chars FROM kv_src"
+    )
+
+
+_pair("upsert_pk", lambda spark, sf: TB.upsert_pk(*_kv(spark, sf), "pk"), _k3_sql)
+
+
+def _repo_chunks(spark, sf):
+    return _t4_spark(spark, sf)
+
+
+def _actions(spark, sf):
+    return DF.commit_diff(SC.changed_files(fx.fx_changed_files(spark, sf)), OPTS)
+
+
+def _k4_spark(spark, sf):
+    dels = _actions(spark, sf).where(F.col("action") == "delete")
+    return TB.delete_by_file(_repo_chunks(spark, sf), dels).select("filename", "chunk_no", "doc_link")
+
+
+def _k4_sql():
+    q = S.Q()
+    c = S.repo_chunks(q, OPTS)
+    a = S.commit_actions(q, OPTS)
+    return q.render(f"SELECT filename, chunk_no, doc_link FROM {c} WHERE filename NOT IN (SELECT filename FROM {a} WHERE action = 'delete')")
+
+
+_pair("delete_by_file", _k4_spark, _k4_sql)
+
+
+def _j6_spark(spark, sf):
+    dels = _actions(spark, sf).where(F.col("action") == "delete")
+    return TB.deleted_counts(_repo_chunks(spark, sf), dels)
+
+
+def _j6_sql():
+    q = S.Q()
+    c = S.repo_chunks(q, OPTS)
+    a = S.commit_actions(q, OPTS)
+    return q.render(
+        "SELECT d.filename, CAST(count(c.filename) AS BIGINT) AS n_records, "
+        "'Successfully deleted ' || CAST(count(c.filename) AS VARCHAR) || ' records of ' || d.filename AS message "
+        f"FROM (SELECT DISTINCT filename FROM {a} WHERE action = 'delete') d LEFT JOIN {c} c ON c.filename = d.filename GROUP BY d.filename"
+    )
+
+
+_pair("delete_in_keys", _j6_spark, _j6_sql)
+
+
+def _k5_spark(spark, sf):
+    d = _docs(spark, sf).select(TX.content_hash(F.col("text")).alias("pk"), "doc_id")
+    return TB.primary_key_violations(d, "pk")
+
+
+_pair("create_table", _k5_spark, lambda: "SELECT sha256(text) AS pk, count(*) AS n_rows FROM documents GROUP BY 1 HAVING count(*) > 1")
+
+
+def _k6_spark(spark, sf):
+    return TB.describe_table(spark, _docs(spark, sf))
+
+
+_pair("describe_table", _k6_spark)
+
+
+def _k7_spark(spark, sf):
+    reg = fx.fx_versions(spark, sf).select(F.col("product").alias("name"))
+    return TB.registry_has(reg, "click")
+
+
+_pair("table_exists", _k7_spark, lambda: "SELECT count(*) > 0 AS \"exists\" FROM (SELECT 1 FROM events WHERE event_type = 'click' LIMIT 1)")
+
+
+def _a4_spark(spark, sf):
+    ch = _t2_spark(spark, sf)
+    return TB.registry_has(ch, "en/conversations/c7.md", col="filename")
+
+
+def _a4_sql():
+    q = S.Q()
+    c = S.chunk_docs(q, S.fx_markdown(q), "doc", "text", OPTS)
+    return q.render(f"SELECT count(*) > 0 AS \"exists\" FROM (SELECT 1 FROM {c} WHERE filename = 'en/conversations/c7.md' LIMIT 1)")
+
+
+_pair("exists_check", _a4_spark, _a4_sql)
+
+
+def _k1_spark(spark, sf):
+    chunks = build_release_chunks(fx.fx_snapshot_new(spark, sf), OPTS)
+    return TB.full_load(chunks, scratch_path(spark, "full_load"), OPTS).drop("bucket")
+
+
+def _k1_sql():
+    q = S.Q()
+    c = S.build_release_chunks(q, S.fx_snapshot_new(q), OPTS)
+    return q.render(f"SELECT {CHUNK_COLS} FROM {c}")
+
+
+_pair("full_load", _k1_spark, _k1_sql)
+
+
+def _k8_spark(spark, sf):
+    name = "docweave_tmp_drop"
+    TB.create_table(spark, name, RF.TRACKING_FIELDS, scratch_path(spark, "drop_table"))
+    existed = TB.table_exists(spark, name)
+    TB.drop_table(spark, name)
+    return spark.createDataFrame([(existed, TB.table_exists(spark, name))], "existed boolean, exists_after boolean")
+
+
+_pair("drop_table", _k8_spark)
+
+
+def _k9_sql():
+    q = S.Q()
+    c = S.chunk_docs(q, S.fx_markdown(q), "doc", "text", OPTS)
+    return q.render(f"SELECT filename, 'chunk_' || CAST(chunk_no AS VARCHAR) || '.md' AS chunk_file, text FROM {c}")
+
+
+_pair("export_chunk_files", lambda spark, sf: TB.export_chunk_files(_t2_spark(spark, sf)), _k9_sql)
+
+
+def _k10_sql():
+    q = S.Q()
+    rp = S.release_pages(q)
+    return q.render(f"SELECT replace(rel_path, '.html', '.md') AS md_path, {H.html_to_markdown_sql('html')} AS markdown FROM {rp}")
+
+
+_pair("html_tree_to_md", lambda spark, sf: TB.html_tree_to_md(fx.release_pages(spark, sf)), _k10_sql)
+
+
+# ------------------------------------------------------------ set operations
+def _o2_spark(spark, sf):
+    rel = build_release_chunks(fx.fx_snapshot_new(spark, sf), OPTS)
+    return TB.union_chunks(rel, _repo_chunks(spark, sf)).select("filename", "chunk_no", "doc_link")
+
+
+def _o2_sql():
+    q = S.Q()
+    a = S.build_release_chunks(q, S.fx_snapshot_new(q), OPTS)
+    b = S.repo_chunks(q, OPTS)
+    return q.render(f"SELECT filename, chunk_no, doc_link FROM {a} UNION ALL SELECT filename, chunk_no, doc_link FROM {b}")
+
+
+_pair("union_chunks", _o2_spark, _o2_sql)
+
+
+def _o3_sql():
+    q = S.Q()
+    a = S.commit_actions(q, OPTS)
+    return q.render(f"SELECT filename FROM {a} WHERE action = 'upsert'")
+
+
+_pair("upsert_set", lambda spark, sf: TB.upsert_set(_actions(spark, sf)), _o3_sql)
+
+
+def _o4_spark(spark, sf):
+    old, new = _snaps(spark, sf)
+    old_chunks = build_release_chunks(old, OPTS)
+    return TB.apply_changes(old_chunks, DF.release_changes(old, new, OPTS), OPTS)
+
+
+def _o4_sql():
+    q = S.Q()
+    oc = S.build_release_chunks(q, S.fx_snapshot_old(q), OPTS, "oldc")
+    ch = S.release_changes(q, OPTS)
+    a = S.apply_changes(q, oc, ch, OPTS)
+    return q.render(f"SELECT {CHUNK_COLS} FROM {a}")
+
+
+_pair("apply_changes", _o4_spark, _o4_sql)
+
+
+def _repo_changes(spark, sf):
+    acts = _actions(spark, sf)
+    content = fx.fx_content(spark, sf).select("filename", SC.decode_content(F.col("encoding"), F.col("content")).alias("markdown"))
+    ups = acts.where(F.col("action") == "upsert").join(content, "filename").select("filename", F.col("action").alias("status"), "markdown")
+    dels = acts.where(F.col("action") == "delete").select("filename", F.col("action").alias("status"), F.lit(None).cast("string").alias("markdown"))
+    return ups.unionByName(dels)
+
+
+def _o5_spark(spark, sf):
+    return TB.apply_changes(_repo_chunks(spark, sf), _repo_changes(spark, sf), OPTS)
+
+
+def _o5_sql():
+    q = S.Q()
+    oc = S.repo_chunks(q, OPTS)
+    a = S.commit_actions(q, OPTS)
+    dc = S.decoded_content(q)
+    q.add(
+        "repo_changes",
+        f"SELECT a.filename, a.action AS status, d.markdown FROM {a} a JOIN {dc} d ON a.filename = d.filename WHERE a.action = 'upsert' "
+        f"UNION ALL SELECT filename, action AS status, CAST(NULL AS VARCHAR) AS markdown FROM {a} WHERE action = 'delete'",
+    )
+    ap = S.apply_changes(q, oc, "repo_changes", OPTS, "repo_applied")
+    return q.render(f"SELECT {CHUNK_COLS} FROM {ap}")
+
+
+_pair("apply_repo_changes", _o5_spark, _o5_sql)
+
+
+# ------------------------------------------------------------ predicates on chunks
+def _p1_sql():
+    q = S.Q()
+    c = S.chunk_docs(q, S.fx_markdown(q), "doc", "text", OPTS)
+    return q.render(f"SELECT filename, chunk_no, header2 FROM {c} WHERE chunk_no > 2")
+
+
+_pair("query_table", lambda spark, sf: TB.query_table(_t2_spark(spark, sf), "chunk_no > 2", ["filename", "chunk_no", "header2"]), _p1_sql)
+
+
+def _meta_text_of_map(m):
+    return F.array_join(F.transform(F.map_entries(m), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "; ")
+
+
+def _p5_spark(spark, sf):
+    c = _t2_spark(spark, sf)
+    return c.select("filename", "chunk_no", _meta_text_of_map(TB.chunk_metadata(c)).alias("metadata"))
+
+
+def _p5_sql():
+    q = S.Q()
+    c = S.chunk_docs(q, S.fx_markdown(q), "doc", "text", OPTS)
+    parts = ", ".join(f"'{k}=' || {v}" for k, v in (("filename", "filename"), ("doc_link", "doc_link"), ("Header3", "header3"), ("Header2", "header2"), ("Header1", "header1")))
+    return q.render(f"SELECT filename, chunk_no, concat_ws('; ', {parts}) AS metadata FROM {c}")
+
+
+_pair("chunk_metadata", _p5_spark, _p5_sql)
+
+
+def _p6_spark(spark, sf):
+    c = _t2_spark(spark, sf)
+    m = c.withColumn("metadata", TB.chunk_metadata(c))
+    return TB.metadata_lookup(m, "filename", "en/conversations/c3.md").select("filename", "chunk_no", "header2")
+
+
+def _p6_sql():
+    q = S.Q()
+    c = S.chunk_docs(q, S.fx_markdown(q), "doc", "text", OPTS)
+    return q.render(f"SELECT filename, chunk_no, header2 FROM {c} WHERE filename = 'en/conversations/c3.md'")
+
+
+_pair("metadata_lookup", _p6_spark, _p6_sql)
+
+
+def _p7_sql():
+    q = S.Q()
+    c = S.chunk_docs(q, S.fx_markdown(q), "doc", "text", OPTS)
+    return q.render(f"SELECT text AS page_content, {TX.metadata_text_sql('filename', 'doc_link', 'header1', 'header2', 'header3')} AS metadata FROM {c}")
+
+
+_pair("to_documents", lambda spark, sf: TB.to_documents(_t2_spark(spark, sf)), _p7_sql)
+
+
+def _a3_sql():
+    q = S.Q()
+    c = S.chunk_docs(q, S.fx_markdown(q), "doc", "text", OPTS)
+    return q.render(f"SELECT count(*) AS insert_count FROM {c}")
+
+
+_pair("write_counts", lambda spark, sf: TB.count_written(_t2_spark(spark, sf)), _a3_sql)
+
+
+def _w3_sql():
+    q = S.Q()
+    c = S.chunk_docs(q, S.fx_markdown(q), "doc", "text", OPTS)
+    return q.render(
+        "SELECT filename, chunk_no, CAST(rn - 1 AS BIGINT) AS row_index, CAST(floor((rn - 1) / 100) AS BIGINT) AS batch_no FROM ("
+        f"SELECT filename, chunk_no, row_number() OVER (ORDER BY filename, chunk_no) AS rn FROM {c})"
+    )
+
+
+_pair(
+    "batch_slices",
+    lambda spark, sf: TB.batch_slices(_t2_spark(spark, sf).select("filename", "chunk_no"), ["filename", "chunk_no"], 100),
+    _w3_sql,
+)
+
+
+def _w5_sql():
+    q = S.Q()
+    r = S.fx_release_flat(q)
+    p = TX.sql_lit(OPTS.asset_name)
+    return q.render(
+        f"SELECT tag, arg_min(name, k) FILTER (WHERE starts_with(name, {p})) AS name, arg_min(url, k) FILTER (WHERE starts_with(name, {p})) AS url "
+        f"FROM {r} GROUP BY tag"
+    )
+
+
+_pair("first_per_key", lambda spark, sf: TB.first_per_key(fx.fx_release(spark, sf), OPTS.asset_name), _w5_sql)
+
+
+# ------------------------------------------------------------ refresh control
+def _latest(spark, sf):
+    return SC.latest_ref(fx.fx_versions(spark, sf))
+
+
+def _r1_sql():
+    q = S.Q()
+    t = S.fx_tracking(q, OPTS)
+    return q.render(f"SELECT l.product, t.last_updated_ref, t.last_updater_version FROM latest_ref l LEFT JOIN {t} t ON l.product = t.product")
+
+
+_pair("read_tracking", lambda spark, sf: RF.read_tracking(fx.fx_tracking(spark, sf, OPTS), _latest(spark, sf)), _r1_sql)
+
+
+def _r2_spark(spark, sf):
+    upd = _latest(spark, sf).select("product", F.col("ref").alias("last_updated_ref"), F.lit(OPTS.updater_version).alias("last_updater_version"))
+    return RF.write_tracking(fx.fx_tracking(spark, sf, OPTS), upd)
+
+
+def _r2_sql():
+    q = S.Q()
+    S.fx_tracking(q, OPTS)
+    return q.render(f"SELECT product, ref AS last_updated_ref, {TX.sql_lit(OPTS.updater_version)} AS last_updater_version FROM latest_ref")
+
+
+_pair("write_tracking", _r2_spark, _r2_sql)
+
+
+def _r4_spark(spark, sf):
+    return RF.plan_refresh(_latest(spark, sf), fx.fx_tracking(spark, sf, OPTS), OPTS)
+
+
+def _r4_sql():
+    q = S.Q()
+    t = S.fx_tracking(q, OPTS)
+    v = TX.sql_lit(OPTS.updater_version)
+    return q.render(
+        "SELECT l.product, l.ref AS latest_ref, t.last_updated_ref, t.last_updater_version, "
+        "CASE WHEN t.product IS NULL THEN 'REBUILD' WHEN t.last_updated_ref = l.ref THEN 'SKIP' "
+        f"WHEN t.last_updater_version IS DISTINCT FROM {v} THEN 'REBUILD' ELSE 'INCREMENTAL' END AS release_action, "
+        "CASE WHEN t.product IS NULL THEN 'FULL_LOAD' WHEN t.last_updated_ref = l.ref THEN 'SKIP' "
+        f"WHEN t.last_updater_version IS DISTINCT FROM {v} THEN 'REBUILD' ELSE 'INCREMENTAL' END AS repo_action, "
+        "CASE WHEN t.product IS NULL THEN 'REBUILD' WHEN t.last_updated_ref = l.ref THEN 'SKIP' "
+        f"WHEN t.last_updater_version IS DISTINCT FROM {v} THEN 'REBUILD' ELSE 'INCREMENTAL' END AS action "
+        f"FROM latest_ref l LEFT JOIN {t} t ON l.product = t.product"
+    )
+
+
+_pair("plan_refresh", _r4_spark, _r4_sql)
+
+
+def _r5_spark(spark, sf):
+    t = fx.fx_tracking(spark, sf, OPTS)
+    legacy = t.drop("last_updater_version")
+    return spark.createDataFrame([(RF.has_version_column(t), RF.has_version_column(legacy))], "current_has_version boolean, legacy_has_version boolean")
+
+
+_pair("schema_drift", _r5_spark)
+
+
+def _r3_spark(spark, sf):
+    name = "docweave_tracking_probe"
+    RF.create_tracking(spark, name, scratch_path(spark, "tracking"))
+    RF.create_tracking(spark, name)
+    out = TB.describe_table(spark, name)
+    TB.drop_table(spark, name)
+    return out
+
+
+_pair("create_tracking", _r3_spark)

@@ -293,3 +293,41 @@ def repo_chunks(q: Q, opts: JobOptions, p: str = "repo") -> str:
         f"SELECT d.filename, d.markdown FROM {dc} d JOIN {lp} l ON d.filename = l.path WHERE {path_predicate_sql('l.path', opts)}",
     )
     return chunk_docs(q, f"{p}_files", "filename", "markdown", opts, p)
+
+
+# ---------------------------------------------------------------- tables / refresh
+
+def fx_kv(q: Q) -> str:
+    q.add("kv_target", "SELECT doc_id AS pk, lang, source, n_chars FROM documents")
+    return q.add("kv_src", "SELECT doc_id * 2 AS pk, upper(lang) AS lang, n_chars + 1 AS n_chars, 'extra' AS note FROM documents")
+
+
+def commit_actions(q: Q, opts: JobOptions) -> str:
+    c = changed_file_rows(q)
+    return q.add(
+        "commit_actions",
+        "SELECT filename, CASE WHEN status IN ('added', 'modified') THEN 'upsert' ELSE 'delete' END AS action "
+        f"FROM {c} WHERE {path_predicate_sql('filename', opts)} AND status IN ('added', 'modified', 'removed')",
+    )
+
+
+def release_changes(q: Q, opts: JobOptions) -> str:
+    d = snapshot_diff(q, opts)
+    new = fx_snapshot_new(q)
+    q.add("chg_pages", f"SELECT n.*, d.status FROM {new} n JOIN {d} d ON n.rel_path = d.rel_path WHERE d.status IN ('added', 'modified')")
+    md = release_markdown(q, "chg_pages", opts, "chg_md")
+    return q.add(
+        "release_changes",
+        f"SELECT filename, 'upsert' AS status, markdown FROM {md} UNION ALL "
+        f"SELECT filename, status, CAST(NULL AS VARCHAR) AS markdown FROM {d} WHERE status = 'deleted'",
+    )
+
+
+def apply_changes(q: Q, old_chunks: str, changes: str, opts: JobOptions, p: str = "applied") -> str:
+    q.add(f"{p}_ups", f"SELECT filename, markdown FROM {changes} WHERE markdown IS NOT NULL AND status NOT IN ('deleted', 'delete')")
+    fresh = chunk_docs(q, f"{p}_ups", "filename", "markdown", opts, f"{p}_fresh")
+    cols = "filename, chunk_no, header1, header2, header3, doc_link, text"
+    return q.add(
+        p,
+        f"SELECT {cols} FROM {old_chunks} WHERE filename NOT IN (SELECT filename FROM {changes}) UNION ALL SELECT {cols} FROM {fresh}",
+    )
