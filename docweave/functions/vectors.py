@@ -61,13 +61,18 @@ def distance_sql(a: str, b: str, metric: str = "L2") -> str:
 
 def hashed_embedding(text, dim: int = 64) -> Column:
     """E1 default: lower-case word runs hashed to ``dim`` buckets by the first 32
-    bits of their MD5, counted, and L2-normalised (zero vector for no words)."""
+    bits of their MD5, counted, and L2-normalised (zero vector for no words).
+
+    Lambdas only touch their own variables: a row-level expression referenced
+    inside a lambda would be re-evaluated once per array element.
+    """
     t = F.col(text) if isinstance(text, str) else text
     toks = F.regexp_extract_all(F.lower(F.coalesce(t, F.lit(""))), F.lit(EMBED_TOKEN_RE), 0)
     buckets = F.transform(toks, lambda w: F.pmod(F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint"), F.lit(dim)))
-    counts = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.size(F.filter(buckets, lambda b: b == i)).cast("double"))
+    zero = F.array_repeat(F.lit(0.0), dim)
+    counts = F.aggregate(buckets, zero, lambda acc, b: F.transform(acc, lambda x, j: F.when(j == b, x + 1.0).otherwise(x)))
     norm = F.sqrt(F.aggregate(counts, F.lit(0.0), lambda s, v: s + v * v))
-    return F.transform(counts, lambda v: F.when(norm > 0, v / norm).otherwise(F.lit(0.0)).cast("float"))
+    return F.zip_with(counts, F.array_repeat(norm, dim), lambda v, n: F.when(n > 0, v / n).otherwise(F.lit(0.0)).cast("float"))
 
 
 def hashed_embedding_sql(e: str, dim: int = 64) -> str:

@@ -858,3 +858,314 @@ def _r3_spark(spark, sf):
 
 
 _pair("create_tracking", _r3_spark)
+
+
+# ------------------------------------------------------------ retrieval
+from docweave.operators import knn as KN  # noqa: E402
+from docweave.operators import retrieve as RT  # noqa: E402
+from docweave.operators.embed import embed_chunks, embed_questions  # noqa: E402
+
+
+def fx_chunks(spark, sf):
+    a = CH.chunk_docs(fx.fx_markdown(spark, sf), OPTS, key="doc", text="text")
+    b = build_release_chunks(fx.fx_snapshot_new(spark, sf), OPTS)
+    return embed_chunks(a.unionByName(b), OPTS)
+
+
+def _e1_spark(spark, sf):
+    c = fx_chunks(spark, sf)
+    return c.select("filename", "chunk_no", F.posexplode("vector").alias("dim", "v")).select(
+        "filename", "chunk_no", F.col("dim").cast("bigint").alias("dim"), F.round(F.col("v").cast("double"), 6).alias("value")
+    )
+
+
+def _e1_sql():
+    q = S.Q()
+    c = S.fx_chunks(q, OPTS)
+    return q.render(
+        f"SELECT filename, chunk_no, CAST(unnest(range(len(vector))) AS BIGINT) AS dim, round(unnest(vector)::DOUBLE, 6) AS value FROM {c}"
+    )
+
+
+_pair("embed_chunks", _e1_spark, _e1_sql)
+
+
+def _e2_spark(spark, sf):
+    qv = embed_questions(fx.fx_questions(spark, sf, OPTS), OPTS)
+    return qv.select("request_id", "q_no", F.posexplode("qvec").alias("dim", "v")).select(
+        "request_id", "q_no", F.col("dim").cast("bigint").alias("dim"), F.round(F.col("v").cast("double"), 6).alias("value")
+    )
+
+
+def _e2_sql():
+    q = S.Q()
+    fq = S.fx_questions(q, OPTS)
+    e = S.embed_sql(q, fq, "request_id, q_no", "question", "qe", OPTS.embed_dim)
+    return q.render(f"SELECT request_id, q_no, CAST(unnest(range(len(vec))) AS BIGINT) AS dim, round(unnest(vec)::DOUBLE, 6) AS value FROM {e}")
+
+
+_pair("embed_questions", _e2_spark, _e2_sql)
+
+HIT_COLS = "request_id, q_no, filename, chunk_no, round(distance, 6) AS distance, rank"
+
+
+def _hits_out(df):
+    return df.select("request_id", "q_no", "filename", "chunk_no", F.round("distance", 6).alias("distance"), "rank")
+
+
+def _j7_spark(spark, sf):
+    qv = embed_questions(fx.fx_questions(spark, sf, OPTS), OPTS)
+    return _hits_out(KN.knn_exact(qv, fx_chunks(spark, sf), OPTS.k_neighbours, OPTS))
+
+
+def _j7_sql():
+    q = S.Q()
+    h = S.knn_sql(q, S.fx_questions(q, OPTS), "request_id, q_no", "question", S.fx_chunks(q, OPTS), OPTS.k_neighbours, OPTS)
+    return q.render(f"SELECT {HIT_COLS} FROM {h}")
+
+
+_pair("knn_join", _j7_spark, _j7_sql)
+
+
+def _query_vec(spark, sf):
+    row = table(spark, sf, "embeddings").where(F.col("vec_id") == 0).select("embedding").first()
+    return list(row["embedding"])
+
+
+def _l1_spark(spark, sf):
+    e = table(spark, sf, "embeddings")
+    r = KN.topk_search(e, _query_vec(spark, sf), 0, OPTS, ckey=("vec_id",), cvec="embedding")
+    return r.select("vec_id", F.round("distance", 6).alias("distance"))
+
+
+def _l_sql(k, extra=""):
+    from docweave.functions.vectors import distance_sql
+
+    return lambda: (
+        f"SELECT vec_id, {extra}round(d, 6) AS distance FROM (SELECT e.vec_id, e.label, {distance_sql('e.embedding', 'q.embedding', 'L2')} AS d "
+        f"FROM embeddings e, (SELECT embedding FROM embeddings WHERE vec_id = 0) q) ORDER BY round(d, 9), vec_id LIMIT {k}"
+    )
+
+
+_pair("topk_search", _l1_spark, _l_sql(20))
+
+
+def _l2_spark(spark, sf):
+    from docweave.options import LIBRARY_DEFAULT_K
+
+    e = table(spark, sf, "embeddings")
+    r = KN.topk_search(e, _query_vec(spark, sf), LIBRARY_DEFAULT_K, OPTS, ckey=("vec_id", "label"), cvec="embedding")
+    return r.select("vec_id", F.col("label").alias("doc"), F.round("distance", 6).alias("distance"))
+
+
+_pair("topk_with_scores", _l2_spark, _l_sql(4, "label AS doc, "))
+
+
+def _e4_spark(spark, sf):
+    fq = fx.fx_questions(spark, sf, OPTS)
+    ch = fx_chunks(spark, sf)
+    hits = KN.knn_exact(embed_questions(fq, OPTS), ch, OPTS.k_neighbours, OPTS)
+    s = RT.lexical_score(hits, fq, ch)
+    return s.select("request_id", "q_no", "filename", "chunk_no", F.round("score", 6).alias("score"))
+
+
+def _e4_sql():
+    q = S.Q()
+    fq = S.fx_questions(q, OPTS)
+    ch = S.fx_chunks(q, OPTS)
+    h = S.knn_sql(q, fq, "request_id, q_no", "question", ch, OPTS.k_neighbours, OPTS)
+    b = S.bm25(q, h, fq, ch)
+    return q.render(f"SELECT request_id, q_no, filename, chunk_no, round(score, 6) AS score FROM {b}")
+
+
+_pair("lexical_score", _e4_spark, _e4_sql)
+
+
+def _l3_spark(spark, sf):
+    fq = fx.fx_questions(spark, sf, OPTS)
+    ch = fx_chunks(spark, sf)
+    hits = KN.knn_exact(embed_questions(fq, OPTS), ch, OPTS.k_neighbours, OPTS)
+    return RT.rerank(hits, fq, ch, OPTS.top_docs).select("request_id", "q_no", "filename", "chunk_no", "rank")
+
+
+def _l3_sql():
+    q = S.Q()
+    fq = S.fx_questions(q, OPTS)
+    ch = S.fx_chunks(q, OPTS)
+    h = S.knn_sql(q, fq, "request_id, q_no", "question", ch, OPTS.k_neighbours, OPTS)
+    b = S.bm25(q, h, fq, ch)
+    return q.render(
+        "SELECT request_id, q_no, filename, chunk_no, rank FROM (SELECT * EXCLUDE (rank), CAST(row_number() OVER (PARTITION BY request_id, q_no "
+        f"ORDER BY round(score, 9) DESC, round(distance, 9), filename, chunk_no) AS BIGINT) AS rank FROM {b}) WHERE rank <= {OPTS.top_docs}"
+    )
+
+
+_pair("rerank_topn", _l3_spark, _l3_sql)
+
+
+def _clean_questions(spark, sf):
+    acc, _ = RT.normalise_requests(fx.fx_questions(spark, sf, OPTS))
+    return acc.withColumn("question", TX.scrub_question(F.col("question"), OPTS.scrub_phrase))
+
+
+def _e5_spark(spark, sf):
+    return _hits_out(RT.retrieve(_clean_questions(spark, sf), fx_chunks(spark, sf), OPTS))
+
+
+def _e5_sql():
+    q = S.Q()
+    cq = S.scrubbed_questions(q, OPTS)
+    h = S.knn_sql(q, cq, "request_id, q_no", "question", S.fx_chunks(q, OPTS), OPTS.k_neighbours, OPTS, "e5")
+    return q.render(f"SELECT {HIT_COLS} FROM {h}")
+
+
+_pair("retrieve", _e5_spark, _e5_sql)
+
+
+def _o1_spark(spark, sf):
+    h = RT.concat_results(RT.retrieve(_clean_questions(spark, sf), fx_chunks(spark, sf), OPTS))
+    return h.select("request_id", "pos", "q_no", "rank", "filename", "chunk_no")
+
+
+def _o1_sql():
+    q = S.Q()
+    cq = S.scrubbed_questions(q, OPTS)
+    h = S.knn_sql(q, cq, "request_id, q_no", "question", S.fx_chunks(q, OPTS), OPTS.k_neighbours, OPTS, "e5")
+    return q.render(
+        "SELECT request_id, CAST(row_number() OVER (PARTITION BY request_id ORDER BY q_no, rank) AS BIGINT) AS pos, q_no, rank, filename, chunk_no "
+        f"FROM {h}"
+    )
+
+
+_pair("concat_results", _o1_spark, _o1_sql)
+
+
+def _f10_spark(spark, sf):
+    acc, _ = RT.normalise_requests(fx.fx_questions(spark, sf, OPTS))
+    return acc
+
+
+def _f10_sql():
+    q = S.Q()
+    fq = S.fx_questions(q, OPTS)
+    return q.render(
+        "SELECT request_id, q_no, question, coalesce(nullif(context, ''), first(question ORDER BY q_no) OVER (PARTITION BY request_id)) AS context "
+        f"FROM {fq}"
+    )
+
+
+_pair("normalise_request", _f10_spark, _f10_sql)
+
+
+def _blocks_spark(spark, sf):
+    ch = fx_chunks(spark, sf)
+    hits = RT.retrieve(_clean_questions(spark, sf), ch, OPTS).where(F.col("rank").isNotNull())
+    return RT.doc_blocks(hits, ch)
+
+
+def _blocks_sql():
+    q = S.Q()
+    cq = S.scrubbed_questions(q, OPTS)
+    ch = S.fx_chunks(q, OPTS)
+    h = S.knn_sql(q, cq, "request_id, q_no", "question", ch, OPTS.k_neighbours, OPTS, "e5")
+    return q, S.blocks(q, h, ch)
+
+
+def _f12_sql():
+    q, b = _blocks_sql()
+    return q.render(f"SELECT request_id, q_no, rank, block, n_tokens FROM {b}")
+
+
+_pair("format_doc_block", lambda spark, sf: _blocks_spark(spark, sf).select("request_id", "q_no", "rank", "block", "n_tokens"), _f12_sql)
+
+
+def _w2(b):
+    def sp(spark, sf):
+        return RT.prompt_budget(_blocks_spark(spark, sf), b).select("request_id", "q_no", "rank", "n_tokens", "cum_tokens")
+
+    def sq():
+        q, blk = _blocks_sql()
+        k = S.budget(q, blk, b, "kept")
+        return q.render(f"SELECT request_id, q_no, rank, n_tokens, CAST(cum_tokens AS BIGINT) AS cum_tokens FROM {k}")
+
+    return sp, sq
+
+
+_pair("prompt_budget", *_w2(OPTS.max_prompt_tokens))
+_pair("prompt_budget_small", *_w2(1000))
+
+
+def _e6(b):
+    def sp(spark, sf):
+        return RT.build_prompts(fx.fx_questions(spark, sf, OPTS), fx_chunks(spark, sf), OPTS, budget=b)
+
+    def sq():
+        q = S.Q()
+        p = S.prompts(q, OPTS, b)
+        return q.render(f"SELECT request_id, user_prompt, n_docs, docs_tokens FROM {p}")
+
+    return sp, sq
+
+
+_pair("build_prompts", *_e6(OPTS.max_prompt_tokens))
+_pair("build_prompts_small", *_e6(1000))
+
+
+def _usage_spark(spark, sf):
+    p = RT.build_prompts(fx.fx_questions(spark, sf, OPTS), fx_chunks(spark, sf), OPTS)
+    return RT.usage_report(p, fx.fx_answers(spark, sf))
+
+
+def _usage_sql_parts():
+    from docweave.functions.tokens import token_count_sql
+
+    q = S.Q()
+    p = S.prompts(q, OPTS, OPTS.max_prompt_tokens)
+    a = S.fx_answers(q)
+    sp = TX.sql_lit(RT.DEFAULT_SYSTEM_PROMPT)
+    ans = token_count_sql("coalesce(a.answer, '')")
+    q.add(
+        "usage",
+        f"SELECT p.request_id, ({token_count_sql(sp)} + {token_count_sql('p.user_prompt')}) AS prompt_tokens, "
+        f"{ans} AS completion_tokens FROM {p} p LEFT JOIN {a} a ON p.request_id = a.request_id",
+    )
+    return q
+
+
+def _e7_sql():
+    q = _usage_sql_parts()
+    return q.render("SELECT request_id, prompt_tokens, completion_tokens, prompt_tokens + completion_tokens AS total_tokens FROM usage")
+
+
+_pair("usage_report", lambda spark, sf: _usage_spark(spark, sf).drop("usage"), _e7_sql)
+
+
+def _a5_sql():
+    q = _usage_sql_parts()
+    return q.render(
+        "SELECT count(*) AS n_requests, CAST(sum(prompt_tokens) AS BIGINT) AS prompt_tokens, CAST(sum(completion_tokens) AS BIGINT) AS completion_tokens, "
+        "CAST(sum(prompt_tokens + completion_tokens) AS BIGINT) AS total_tokens FROM usage"
+    )
+
+
+_pair("token_usage", lambda spark, sf: RT.token_usage(_usage_spark(spark, sf)), _a5_sql)
+
+
+def _e8_spark(spark, sf):
+    return RT.docs_lookup(fx.fx_lookup(spark, sf), fx_chunks(spark, sf), OPTS)
+
+
+def _e8_sql():
+    q = S.Q()
+    lk = S.fx_lookup(q)
+    q.add("lk_q", f"SELECT request_id, CAST(1 AS BIGINT) AS q_no, question, CASE WHEN count = 0 THEN 20 ELSE count END AS k FROM {lk} WHERE count >= 0")
+    ch = S.fx_chunks(q, OPTS)
+    h = S.knn_sql(q, "lk_q", "request_id, q_no", "question", ch, OPTS.k_neighbours, OPTS, "e8")
+    meta = TX.metadata_text_sql("c.filename", "c.doc_link", "c.header1", "c.header2", "c.header3")
+    return q.render(
+        f"SELECT h.request_id, h.rank, c.text AS page_content, {meta} AS metadata FROM {h} h JOIN lk_q l ON h.request_id = l.request_id "
+        f"JOIN {ch} c ON h.filename = c.filename AND h.chunk_no = c.chunk_no WHERE h.rank <= l.k"
+    )
+
+
+_pair("docs_lookup", _e8_spark, _e8_sql)

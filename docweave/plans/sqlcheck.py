@@ -331,3 +331,138 @@ def apply_changes(q: Q, old_chunks: str, changes: str, opts: JobOptions, p: str
         p,
         f"SELECT {cols} FROM {old_chunks} WHERE filename NOT IN (SELECT filename FROM {changes}) UNION ALL SELECT {cols} FROM {fresh}",
     )
+
+
+# ---------------------------------------------------------------- retrieval
+
+def embed_sql(q: Q, src: str, keys: str, text: str, name: str, dim: int) -> str:
+    """E1 in SQL: (keys, vec FLOAT[])."""
+    from docweave.functions.vectors import EMBED_TOKEN_RE_SQL
+
+    toks = f"regexp_extract_all(lower(coalesce({text}, '')), {sql_lit(EMBED_TOKEN_RE_SQL)})"
+    q.add(
+        f"{name}_c",
+        f"SELECT {keys}, list_transform(range({dim}), lambda i: len(list_filter(b, lambda x: x = i))::DOUBLE) AS c FROM "
+        f"(SELECT {keys}, list_transform({toks}, lambda w: (('0x' || substr(md5(w), 1, 8))::BIGINT % {dim})) AS b FROM {src})",
+    )
+    return q.add(
+        name,
+        f"SELECT {keys}, list_transform(c, lambda v: (CASE WHEN n > 0 THEN v / n ELSE 0.0 END)::FLOAT) AS vec FROM "
+        f"(SELECT *, sqrt(list_reduce(list_transform(c, lambda v: v * v), lambda s, t: s + t, 0.0::DOUBLE)) AS n FROM {name}_c)",
+    )
+
+
+def fx_chunks(q: Q, opts: JobOptions) -> str:
+    a = chunk_docs(q, fx_markdown(q), "doc", "text", opts, "fxc_md")
+    b = build_release_chunks(q, fx_snapshot_new(q), opts, "fxc_rel")
+    q.add("fxc_all", f"SELECT * FROM {a} UNION ALL SELECT * FROM {b}")
+    e = embed_sql(q, "fxc_all", "filename, chunk_no", "text", "fxc_emb", opts.embed_dim)
+    return q.add("fx_chunks", f"SELECT a.*, e.vec AS vector FROM fxc_all a JOIN {e} e USING (filename, chunk_no)")
+
+
+def knn_sql(q: Q, qsrc: str, qkeys: str, qtext: str, chunks: str, k: int, opts: JobOptions, name: str = "hits") -> str:
+    from docweave.functions.vectors import distance_sql
+
+    qe = embed_sql(q, qsrc, qkeys, qtext, f"{name}_qe", opts.embed_dim)
+    part = ", ".join(x.strip() for x in qkeys.split(","))
+    q.add(
+        f"{name}_pairs",
+        f"SELECT {', '.join('q.' + x.strip() for x in qkeys.split(','))}, c.filename, c.chunk_no, "
+        f"{distance_sql('q.vec', 'c.vector', opts.metric)} AS distance FROM {qe} q, {chunks} c",
+    )
+    return q.add(
+        name,
+        f"SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY {part} ORDER BY round(distance, 9), filename, chunk_no) AS BIGINT) AS rank "
+        f"FROM {name}_pairs) WHERE rank <= {k}",
+    )
+
+
+def scrubbed_questions(q: Q, opts: JobOptions) -> str:
+    from docweave.functions.text import scrub_question_sql
+
+    fq = fx_questions(q, opts)
+    return q.add(
+        "clean_q",
+        f"SELECT request_id, q_no, {scrub_question_sql('question', opts.scrub_phrase)} AS question, "
+        f"coalesce(nullif(context, ''), first(question ORDER BY q_no) OVER (PARTITION BY request_id)) AS context FROM {fq}",
+    )
+
+
+def bm25(q: Q, pairs: str, questions: str, chunks: str, name: str = "bm25") -> str:
+    from docweave.functions.vectors import EMBED_TOKEN_RE_SQL
+
+    w = lambda e: f"regexp_extract_all(lower(coalesce({e}, '')), {sql_lit(EMBED_TOKEN_RE_SQL)})"
+    q.add(f"{name}_tf", f"SELECT filename, chunk_no, term, count(*) AS tf FROM (SELECT filename, chunk_no, unnest({w('text')}) AS term FROM {chunks}) GROUP BY ALL")
+    q.add(f"{name}_df", f"SELECT term, count(*) AS df FROM {name}_tf GROUP BY term")
+    q.add(f"{name}_len", f"SELECT filename, chunk_no, len({w('text')}) AS dl FROM {chunks}")
+    q.add(f"{name}_coll", f"SELECT count(*) AS n_docs, avg(dl) AS avgdl FROM {name}_len")
+    q.add(f"{name}_qt", f"SELECT DISTINCT request_id, q_no, unnest({w('question')}) AS term FROM {questions}")
+    q.add(
+        f"{name}_s",
+        "SELECT p.request_id, p.q_no, p.filename, p.chunk_no, sum(CAST(round(ln(1.0 + (c.n_docs - d.df + 0.5) / (d.df + 0.5)) * t.tf * 2.2 / "
+        "(t.tf + 1.2 * (0.25 + 0.75 * l.dl / c.avgdl)) * 1e9) AS BIGINT)) / 1e9 AS score "
+        f"FROM {pairs} p JOIN {name}_qt qt ON p.request_id = qt.request_id AND p.q_no = qt.q_no "
+        f"JOIN {name}_tf t ON t.filename = p.filename AND t.chunk_no = p.chunk_no AND t.term = qt.term "
+        f"JOIN {name}_df d ON d.term = qt.term JOIN {name}_len l ON l.filename = p.filename AND l.chunk_no = p.chunk_no, {name}_coll c "
+        "GROUP BY ALL",
+    )
+    return q.add(
+        name,
+        f"SELECT p.*, coalesce(s.score, 0.0) AS score FROM {pairs} p LEFT JOIN {name}_s s "
+        "ON p.request_id = s.request_id AND p.q_no = s.q_no AND p.filename = s.filename AND p.chunk_no = s.chunk_no",
+    )
+
+
+def blocks(q: Q, hits: str, chunks: str, name: str = "blocks") -> str:
+    from docweave.functions.text import format_doc_block_sql, metadata_text_sql
+    from docweave.functions.tokens import token_count_sql
+
+    meta = metadata_text_sql("c.filename", "c.doc_link", "c.header1", "c.header2", "c.header3")
+    q.add(
+        f"{name}_b",
+        f"SELECT h.request_id, h.q_no, h.rank, h.filename, h.chunk_no, {format_doc_block_sql('c.text', meta)} AS block "
+        f"FROM {hits} h JOIN {chunks} c ON h.filename = c.filename AND h.chunk_no = c.chunk_no",
+    )
+    return q.add(name, f"SELECT *, {token_count_sql('block')} AS n_tokens FROM {name}_b")
+
+
+def budget(q: Q, blk: str, b: int, name: str) -> str:
+    return q.add(
+        name,
+        "SELECT * FROM (SELECT *, sum(n_tokens) OVER (PARTITION BY request_id ORDER BY q_no, rank "
+        f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_tokens FROM {blk}) WHERE cum_tokens <= {b}",
+    )
+
+
+def prompts(q: Q, opts: JobOptions, b: int, name: str = "prompts") -> str:
+    from docweave.operators.retrieve import DEFAULT_USER_TEMPLATE
+    from docweave.options import NO_DOCS_TEXT
+
+    cq = scrubbed_questions(q, opts)
+    ch = fx_chunks(q, opts)
+    hits = knn_sql(q, cq, "request_id, q_no", "question", ch, opts.k_neighbours, opts, "e5")
+    blk = blocks(q, hits, ch, "e6_blocks")
+    kept = budget(q, blk, b, f"{name}_kept")
+    q.add(
+        f"{name}_docs",
+        f"SELECT request_id, string_agg(block, '' ORDER BY q_no, rank) AS docs, count(*) AS n_docs, sum(n_tokens) AS docs_tokens FROM {kept} GROUP BY request_id",
+    )
+    q.add(
+        f"{name}_reqs",
+        "SELECT request_id, '[' || string_agg('''' || question || '''', ', ' ORDER BY q_no) || ']' AS qs, first(context ORDER BY q_no) AS ctx "
+        f"FROM {cq} GROUP BY request_id",
+    )
+    pre, rest = DEFAULT_USER_TEMPLATE.split("{questions}")
+    mid, rest2 = rest.split("{context}")
+    mid2, post = rest2.split("{docs}")
+    ws = "[ \\t\\n\\r\\f\\x0B]"
+    docs_text = (
+        f"CASE WHEN r.request_id NOT IN (SELECT request_id FROM {hits}) THEN {sql_lit(NO_DOCS_TEXT)} "
+        f"ELSE regexp_replace(coalesce(d.docs, ''), {sql_lit('^' + ws + '+|' + ws + '+$')}, '', 'g') END"
+    )
+    return q.add(
+        name,
+        f"SELECT r.request_id, {sql_lit(pre)} || r.qs || {sql_lit(mid)} || coalesce(r.ctx, 'None') || {sql_lit(mid2)} || {docs_text} || {sql_lit(post)} AS user_prompt, "
+        "CAST(coalesce(d.n_docs, 0) AS BIGINT) AS n_docs, CAST(coalesce(d.docs_tokens, 0) AS BIGINT) AS docs_tokens "
+        f"FROM {name}_reqs r LEFT JOIN {name}_docs d ON r.request_id = d.request_id",
+    )
