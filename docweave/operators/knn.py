@@ -215,8 +215,10 @@ def kmeans_centroids(chunks: DataFrame, lists: int, cvec: str = "vector", seed:
 
 
 def _centroid_dists(vec: Column, centroids, metric: str) -> Column:
+    # the row vector enters through array_repeat (evaluated once per row), never
+    # as a reference inside the lambda, which Spark would re-evaluate per element
     cs = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centroids])
-    return F.transform(cs, lambda c: distance(vec, c, metric))
+    return F.zip_with(F.array_repeat(vec, len(centroids)), cs, lambda v, c: distance(v, c, metric))
 
 
 def assign_lists(df: DataFrame, centroids, vec: str, metric: str = "L2", out: str = "list_id") -> DataFrame:
@@ -229,7 +231,7 @@ def probe_lists(df: DataFrame, centroids, vec: str, nprobe: int, metric: str = "
     """The ``nprobe`` nearest lists of each question (ties to the lower id)."""
     d = _centroid_dists(F.col(vec), centroids, metric)
     ranked = F.array_sort(F.transform(d, lambda x, i: F.struct(F.round(x, RANK_DIGITS).alias("d"), i.alias("i"))))
-    return df.withColumn("list_id", F.explode(F.slice(F.transform(ranked, lambda s: s["i"]), 1, nprobe)).cast("int"))
+    return df.withColumn("list_id", F.explode(F.slice(F.transform(ranked, lambda s: s["i"].cast("int")), 1, nprobe)))
 
 
 def _salted_groups(q: DataFrame, c: DataFrame, gcol: str, opts: JobOptions):
@@ -257,7 +259,9 @@ def knn_ivf(
     qkey, ckey = list(qkey), list(ckey)
     m = normalise_metric(opts.metric)
     cents = centroids if centroids is not None else sample_centroids(chunks, opts.ivf_lists, ckey, cvec)
-    c = assign_lists(chunks.select(*ckey, F.col(cvec).alias("_cv")), cents, "_cv", m)
+    # the list assignment is the index: materialise it once (it feeds both the
+    # list sizes and the candidate groups)
+    c = assign_lists(chunks.select(*ckey, F.col(cvec).alias("_cv")), cents, "_cv", m).checkpoint(eager=True)
     q = probe_lists(questions.select(*qkey, F.col(qvec).alias("_qv")), cents, "_qv", opts.ivf_nprobe, m)
     qs, cs = _salted_groups(q, c, "list_id", opts)
     schema = _out_schema(qkey, ckey, q, c)
@@ -288,7 +292,7 @@ def band_keys(df: DataFrame, vec: str, planes, out: str = "bucket") -> DataFrame
             bit = F.when(dot >= 0, F.lit(1 << j)).otherwise(F.lit(0))
             sig = bit if sig is None else sig + bit
         keys.append(F.lit(b * (1 << len(band))) + sig)
-    return df.withColumn(out, F.explode(F.array(*keys)).cast("int"))
+    return df.withColumn(out, F.explode(F.array(*[x.cast("int") for x in keys])))
 
 
 def knn_lsh(
@@ -306,7 +310,7 @@ def knn_lsh(
     m = normalise_metric(opts.metric)
     dim = opts.embed_dim
     planes = hyperplanes(opts.lsh_bands, opts.lsh_bits, dim)
-    c = band_keys(chunks.select(*ckey, F.col(cvec).alias("_cv")), "_cv", planes)
+    c = band_keys(chunks.select(*ckey, F.col(cvec).alias("_cv")), "_cv", planes).checkpoint(eager=True)
     q = band_keys(questions.select(*qkey, F.col(qvec).alias("_qv")), "_qv", planes)
     qs, cs = _salted_groups(q, c, "bucket", opts)
     schema = _out_schema(qkey, ckey, q, c)

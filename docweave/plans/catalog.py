@@ -869,7 +869,10 @@ from docweave.operators.embed import embed_chunks, embed_questions  # noqa: E402
 def fx_chunks(spark, sf):
     a = CH.chunk_docs(fx.fx_markdown(spark, sf), OPTS, key="doc", text="text")
     b = build_release_chunks(fx.fx_snapshot_new(spark, sf), OPTS)
-    return embed_chunks(a.unionByName(b), OPTS)
+    # the chunk table is a stored table in real use; materialise the fixture
+    # once (reliable checkpoint in the shared folder) instead of re-chunking
+    # and re-embedding it for every use inside one query
+    return embed_chunks(a.unionByName(b), OPTS).checkpoint(eager=True)
 
 
 def _e1_spark(spark, sf):
@@ -1169,3 +1172,198 @@ def _e8_sql():
 
 
 _pair("docs_lookup", _e8_spark, _e8_sql)
+
+
+# ------------------------------------------------------------ ANN, hits, streams
+def _ann_inputs(spark, sf):
+    return embed_questions(fx.fx_questions(spark, sf, OPTS), OPTS), fx_chunks(spark, sf)
+
+
+def _l4_spark(spark, sf):
+    qv, ch = _ann_inputs(spark, sf)
+    return _hits_out(KN.knn_ivf(qv, ch, OPTS.k_neighbours, OPTS))
+
+
+def _l4_sql():
+    from docweave.functions.vectors import distance_sql
+
+    q = S.Q()
+    fq = S.fx_questions(q, OPTS)
+    ch = S.fx_chunks(q, OPTS)
+    qe = S.embed_sql(q, fq, "request_id, q_no", "question", "ivf_qe", OPTS.embed_dim)
+    q.add(
+        "cents",
+        f"SELECT CAST(row_number() OVER (ORDER BY h) - 1 AS INTEGER) AS cid, vector AS cv FROM "
+        f"(SELECT md5(concat_ws('#', filename, CAST(chunk_no AS VARCHAR))) AS h, vector FROM {ch} ORDER BY h LIMIT {OPTS.ivf_lists})",
+    )
+    q.add(
+        "c_assign",
+        f"SELECT filename, chunk_no, vector, arg_min(cid, (d, cid)) AS list_id FROM (SELECT c.filename, c.chunk_no, c.vector, k.cid, "
+        f"{distance_sql('c.vector', 'k.cv', OPTS.metric)} AS d FROM {ch} c, cents k) GROUP BY filename, chunk_no, vector",
+    )
+    q.add(
+        "q_probe",
+        f"SELECT request_id, q_no, vec, cid AS list_id FROM (SELECT q.request_id, q.q_no, q.vec, k.cid, row_number() OVER "
+        f"(PARTITION BY q.request_id, q.q_no ORDER BY round({distance_sql('q.vec', 'k.cv', OPTS.metric)}, 9), k.cid) AS r FROM {qe} q, cents k) "
+        f"WHERE r <= {OPTS.ivf_nprobe}",
+    )
+    q.add(
+        "ivf_pairs",
+        f"SELECT p.request_id, p.q_no, c.filename, c.chunk_no, {distance_sql('p.vec', 'c.vector', OPTS.metric)} AS distance "
+        "FROM q_probe p JOIN c_assign c ON p.list_id = c.list_id",
+    )
+    return q.render(
+        f"SELECT {HIT_COLS} FROM (SELECT *, CAST(row_number() OVER (PARTITION BY request_id, q_no ORDER BY round(distance, 9), filename, chunk_no) AS BIGINT) AS rank "
+        f"FROM ivf_pairs) WHERE rank <= {OPTS.k_neighbours}"
+    )
+
+
+_pair("ann_ivf", _l4_spark, _l4_sql)
+
+
+def _l5_spark(spark, sf):
+    qv, ch = _ann_inputs(spark, sf)
+    return _hits_out(KN.knn_lsh(qv, ch, OPTS.k_neighbours, OPTS))
+
+
+_pair("ann_lsh", _l5_spark)
+
+
+def fx_hits_json(spark, sf):
+    """Search responses: the hits of each request's first question as
+    [[{entity, distance}]]; odd chunk numbers carry no 'text' field."""
+    qv = embed_questions(fx.fx_questions(spark, sf, OPTS).where(F.col("q_no") == 1), OPTS)
+    ch = fx_chunks(spark, sf)
+    hits = KN.knn_exact(qv, ch, OPTS.k_neighbours, OPTS).join(ch.select("filename", "chunk_no", "text"), ["filename", "chunk_no"])
+    item = F.struct(
+        F.col("rank"),
+        F.concat_ws("#", "filename", F.col("chunk_no").cast("string")).alias("pk"),
+        F.col("filename"),
+        F.when(F.pmod("chunk_no", F.lit(2)) == 0, F.col("text")).alias("text"),
+        F.round("distance", 6).alias("distance"),
+    )
+    g = hits.groupBy("request_id").agg(F.array_sort(F.collect_list(item)).alias("_h"))
+
+    def hit(x):
+        ent = F.map_filter(
+            F.create_map(F.lit("pk"), x["pk"], F.lit("filename"), x["filename"], F.lit("text"), x["text"]),
+            lambda k, v: v.isNotNull(),
+        )
+        return F.struct(ent.alias("entity"), x["distance"].alias("distance"))
+
+    return g.select("request_id", F.to_json(F.array(F.transform("_h", hit))).alias("body"))
+
+
+def _s8_spark(spark, sf):
+    return SC.flatten_hits(fx_hits_json(spark, sf))
+
+
+def _s8_sql():
+    q = S.Q()
+    fq = S.fx_questions(q, OPTS)
+    q.add("fq1", f"SELECT * FROM {fq} WHERE q_no = 1")
+    ch = S.fx_chunks(q, OPTS)
+    h = S.knn_sql(q, "fq1", "request_id, q_no", "question", ch, OPTS.k_neighbours, OPTS, "s8")
+    return q.render(
+        "SELECT h.request_id, h.rank, concat_ws('#', h.filename, CAST(h.chunk_no AS VARCHAR)) AS pk, CASE WHEN h.chunk_no % 2 = 0 THEN c.text END AS text, "
+        f"h.filename, round(h.distance, 6) AS distance FROM {h} h JOIN {ch} c ON h.filename = c.filename AND h.chunk_no = c.chunk_no"
+    )
+
+
+_pair("flatten_hits", _s8_spark, _s8_sql)
+
+
+def _s9_spark(spark, sf):
+    path = scratch_path(spark, "collection")
+    TB.full_load(_t2_spark(spark, sf), path, OPTS)
+    return SC.read_collection(spark, "docs_collection", fmt="parquet", path=path).select("filename", "chunk_no", "doc_link")
+
+
+def _s9_sql():
+    q = S.Q()
+    c = S.chunk_docs(q, S.fx_markdown(q), "doc", "text", OPTS)
+    return q.render(f"SELECT filename, chunk_no, doc_link FROM {c}")
+
+
+_pair("read_collection", _s9_spark, _s9_sql)
+
+
+def _s7_spark(spark, sf):
+    """Zip archives written from `documents` (one archive per source) and read back."""
+    import io
+    import zipfile
+
+    from docweave.sources.scan import unpack_archives
+
+    root = scratch_path(spark, "archives")
+    docs = fx.listing_paths(spark, sf).select(F.col("doc_id"), "path", "text").withColumn(
+        "src", F.concat(F.lit("a"), F.pmod("doc_id", F.lit(8)).cast("string"))
+    )
+
+    def write_zips(it):
+        import os
+
+        import pandas as pd
+
+        for pdf in it:
+            for src, g in pdf.groupby("src"):
+                buf = io.BytesIO()
+                with zipfile.ZipFile(buf, "w") as z:
+                    for p, t in zip(g["path"], g["text"]):
+                        z.writestr(p, t or "")
+                os.makedirs(root, exist_ok=True)
+                fn = f"{root}/{src}-{abs(hash(tuple(g['path'])))}.zip"
+                with open(fn, "wb") as f:
+                    f.write(buf.getvalue())
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    docs.repartition(8, "src").mapInPandas(write_zips, "n long").collect()
+    out = unpack_archives(spark, root)
+    return out.select("member", F.sha2("content", 256).alias("sha256"))
+
+
+_pair("unpack_archives", _s7_spark)
+
+
+def _x1_spark(spark, sf):
+    """The release change set arrives as a file; a streaming run applies it."""
+    from docweave.streaming.refresh_stream import ChunkTableState, stream_refresh
+
+    old, new = _snaps(spark, sf)
+    base = scratch_path(spark, "x1-base")
+    TB.full_load(build_release_chunks(old, OPTS), base, OPTS)
+    changes_dir = scratch_path(spark, "x1-changes")
+    DF.release_changes(old, new, OPTS).write.parquet(changes_dir)
+    st = stream_refresh(spark, changes_dir, ChunkTableState(spark, base), OPTS)
+    return st.read().select("filename", "chunk_no", "doc_link", "text")
+
+
+def _x1_sql():
+    q = S.Q()
+    oc = S.build_release_chunks(q, S.fx_snapshot_old(q), OPTS, "oldc")
+    ch = S.release_changes(q, OPTS)
+    a = S.apply_changes(q, oc, ch, OPTS)
+    return q.render(f"SELECT filename, chunk_no, doc_link, text FROM {a}")
+
+
+_pair("stream_refresh", _x1_spark, _x1_sql)
+
+
+def _x2_spark(spark, sf):
+    from docweave.streaming.refresh_stream import stream_chunks
+
+    src = scratch_path(spark, "x2-in")
+    md = fx.fx_markdown(spark, sf)
+    md.write.parquet(src)
+    return stream_chunks(spark, src, scratch_path(spark, "x2-out"), OPTS, md.schema, key="doc", text="text").select(
+        "filename", "chunk_no", "header1", "header2", "doc_link", "text"
+    )
+
+
+def _x2_sql():
+    q = S.Q()
+    c = S.chunk_docs(q, S.fx_markdown(q), "doc", "text", OPTS)
+    return q.render(f"SELECT filename, chunk_no, header1, header2, doc_link, text FROM {c}")
+
+
+_pair("stream_chunks", _x2_spark, _x2_sql)
