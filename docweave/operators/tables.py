@@ -274,3 +274,11 @@ def first_per_key(releases: DataFrame, prefix: str) -> DataFrame:
     no shuffle); no match -> NULL name / url."""
     hit = F.get(F.filter("assets", lambda a: F.startswith(a["name"], F.lit(prefix))), 0)
     return releases.select("tag", hit["name"].alias("name"), hit["url"].alias("url"))
+
+
+def add_records(changes: DataFrame, target_schema: T.StructType, opts: JobOptions, embed) -> DataFrame:
+    """Chunk, embed and align the rows of every added / modified file of a
+    change set in one job (the rows an append writes)."""
+    ups = changes.where(F.col("markdown").isNotNull() & ~F.col("status").isin("deleted", "delete"))
+    fresh = embed(chunk_docs(ups.select("filename", "markdown"), opts, key="filename", text="markdown"))
+    return align_to(target_schema, fresh)

@@ -1367,3 +1367,51 @@ def _x2_sql():
 
 
 _pair("stream_chunks", _x2_spark, _x2_sql)
+
+
+# ------------------------------------------------------------ E3 / R6
+CHUNK_TABLE_SCHEMA = "filename string, chunk_no bigint, header1 string, header2 string, header3 string, doc_link string, text string, vector array<float>"
+
+
+def _e3_spark(spark, sf):
+    from pyspark.sql import types as T
+
+    old, new = _snaps(spark, sf)
+    schema = T._parse_datatype_string(CHUNK_TABLE_SCHEMA)
+    rows_ = TB.add_records(DF.release_changes(old, new, OPTS), schema, OPTS, lambda d: embed_chunks(d, OPTS))
+    return DF.records_per_file(rows_)
+
+
+def _e3_sql():
+    q = S.Q()
+    ch = S.release_changes(q, OPTS)
+    q.add("e3_ups", f"SELECT filename, markdown FROM {ch} WHERE markdown IS NOT NULL AND status NOT IN ('deleted', 'delete')")
+    c = S.chunk_docs(q, "e3_ups", "filename", "markdown", OPTS, "e3")
+    return q.render(
+        "SELECT filename, count(*) AS n_records, 'Successfully added ' || CAST(count(*) AS VARCHAR) || ' records from ' || filename AS message "
+        f"FROM {c} GROUP BY filename"
+    )
+
+
+_pair("add_records", _e3_spark, _e3_sql)
+
+
+def _r6_spark(spark, sf):
+    """One refresh run: tracking says v1 with the current updater version,
+    the latest ref is v2 -> INCREMENTAL from the old snapshot to the new one."""
+    old, new = _snaps(spark, sf)
+    tracking = spark.createDataFrame([("docs", "v1", OPTS.updater_version)], ",".join(f"{c} string" for c in RF.TRACKING_COLS))
+    res = RF.run_refresh(
+        spark,
+        "docs",
+        "v2",
+        tracking,
+        build_release_chunks(old, OPTS),
+        full_chunks=lambda: build_release_chunks(new, OPTS),
+        change_chunks=lambda last, table: TB.apply_changes(table, DF.release_changes(old, new, OPTS), OPTS),
+        opts=OPTS,
+    )
+    return res.table.select(*CHUNK_COLS.split(", "))
+
+
+_pair("run_refresh", _r6_spark, _o4_sql)
