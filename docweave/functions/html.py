@@ -60,7 +60,7 @@ MD_RULES = (
     Rule("(?is)<t[dh](\\s[^>]*)?>", " "),
     Rule("(?is)</?(p|div|section|table|thead|tbody)(\\s[^>]*)?>", "\n\n"),
     Rule("<[^>]*>", ""),
-    *(Rule(a, b) for a, b in ENTITIES),
+    *(Rule(a, b, literal=True) for a, b in ENTITIES),
     Rule("\\n{3,}", "\n\n"),
     Rule("^[ \\t\\r\\n]+|[ \\t\\r\\n]+$", ""),
 )

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 class Rule:
     pattern: str
     replacement: str = ""
+    literal: bool = False  # plain string replacement, no regex scan
 
     def spark_replacement(self) -> str:
         r = self.replacement.replace("\\", "\\\\").replace("$", "\\$")
@@ -27,9 +28,13 @@ class Rule:
         return re.sub(r"\{(\d)\}", r"\\\1", self.replacement)
 
     def col(self, c: Column) -> Column:
+        if self.literal:
+            return F.replace(c, F.lit(self.pattern), F.lit(self.replacement))
         return F.regexp_replace(c, F.lit(self.pattern), F.lit(self.spark_replacement()))
 
     def sql(self, expr: str) -> str:
+        if self.literal:
+            return f"replace({expr}, {sql_lit(self.pattern)}, {sql_lit(self.replacement)})"
         return f"regexp_replace({expr}, {sql_lit(self.pattern)}, {sql_lit(self.sql_replacement())}, 'g')"
 
 

@@ -68,9 +68,9 @@ def hashed_embedding(text, dim: int = 64) -> Column:
     """
     t = F.col(text) if isinstance(text, str) else text
     toks = F.regexp_extract_all(F.lower(F.coalesce(t, F.lit(""))), F.lit(EMBED_TOKEN_RE), 0)
-    buckets = F.transform(toks, lambda w: F.pmod(F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint"), F.lit(dim)))
-    zero = F.array_repeat(F.lit(0.0), dim)
-    counts = F.aggregate(buckets, zero, lambda acc, b: F.transform(acc, lambda x, j: F.when(j == b, x + 1.0).otherwise(x)))
+    buckets = F.transform(toks, lambda w: F.pmod(F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint"), F.lit(dim)).cast("int"))
+    # the bucket list enters each count lambda as an element of array_repeat
+    counts = F.transform(F.array_repeat(buckets, dim), lambda bs, i: F.size(F.filter(bs, lambda b: b == i)).cast("double"))
     norm = F.sqrt(F.aggregate(counts, F.lit(0.0), lambda s, v: s + v * v))
     return F.zip_with(counts, F.array_repeat(norm, dim), lambda v, n: F.when(n > 0, v / n).otherwise(F.lit(0.0)).cast("float"))
 
