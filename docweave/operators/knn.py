@@ -125,7 +125,9 @@ def knn_exact(
         partial = _broadcast_plan(q, c, k, m, qkey, ckey, schema)
     else:
         partial = _blocked_plan(q, c, k, m, qkey, ckey, schema, n_q, opts)
-    return _final_topk(partial, qkey, ckey, k)
+    # hits are questions x k rows and usually feed several branches (scores,
+    # blocks, has-hits); a reliable checkpoint runs the kernel once
+    return _final_topk(partial, qkey, ckey, k).checkpoint(eager=True)
 
 
 def _broadcast_plan(q, c, k, m, qkey, ckey, schema):

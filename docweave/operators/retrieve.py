@@ -50,21 +50,20 @@ def normalise_requests(questions: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 # ------------------------------------------------------------------ E4 / L3
 
-def term_stats(chunks: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(chunk, term, tf), (term, df), and one row (n_docs, avgdl)."""
+def term_stats(chunks: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(chunk, term, tf), (term, df), (chunk, dl) and one row (n_docs, avgdl)."""
     toks = chunks.select(*CKEY, F.explode_outer(words(F.col("text"))).alias("term"))
     tf = toks.where(F.col("term").isNotNull()).groupBy(*CKEY, "term").agg(F.count(F.lit(1)).alias("tf"))
     df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     lens = chunks.select(*CKEY, F.size(words(F.col("text"))).alias("dl"))
     coll = lens.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avgdl"))
-    return tf, df, coll
+    return tf, df, lens, coll
 
 
 def lexical_score(pairs: DataFrame, questions: DataFrame, chunks: DataFrame) -> DataFrame:
     """BM25 score of each (question, chunk) candidate pair, computed with
     joins on (chunk, term) and term; 0 when no term is shared."""
-    tf, dfreq, coll = term_stats(chunks)
-    lens = chunks.select(*CKEY, F.size(words(F.col("text"))).alias("dl"))
+    tf, dfreq, lens, coll = term_stats(chunks)
     qterms = questions.select(*QKEY, F.explode_outer(F.array_distinct(words(F.col("question")))).alias("term")).where(
         F.col("term").isNotNull()
     )
