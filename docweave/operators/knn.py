@@ -216,24 +216,41 @@ def kmeans_centroids(chunks: DataFrame, lists: int, cvec: str = "vector", seed:
     return [list(map(float, c)) for c in model.clusterCenters()]
 
 
-def _centroid_dists(vec: Column, centroids, metric: str) -> Column:
-    # the row vector enters through array_repeat (evaluated once per row), never
-    # as a reference inside the lambda, which Spark would re-evaluate per element
-    cs = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centroids])
-    return F.zip_with(F.array_repeat(vec, len(centroids)), cs, lambda v, c: distance(v, c, metric))
+def _nearest_lists(df: DataFrame, centroids, vec: str, n: int, metric: str) -> DataFrame:
+    """Per row, the ``n`` nearest centroids (ties to the lower id) as ``list_id``
+    rows, by a numpy kernel over Arrow batches; the centroid matrix (``lists``
+    x dim, a parameter-sized array) is broadcast."""
+    spark = df.sparkSession
+    bc = spark.sparkContext.broadcast(np.asarray(centroids, dtype=np.float64))
+    out_schema = T.StructType(list(df.schema.fields) + [T.StructField("list_id", T.IntegerType(), True)])
+    cols = df.columns
+
+    def kernel(batches):
+        K = bc.value
+        for b in batches:
+            if len(b) == 0:
+                continue
+            V = _matrix(b[vec])
+            D = np.stack([_exact(V, np.repeat(K[j:j + 1], len(V), axis=0), metric) for j in range(len(K))], axis=1)
+            D = np.round(D, RANK_DIGITS)
+            order = np.argsort(D, axis=1, kind="stable")[:, :n]
+            rows = np.repeat(np.arange(len(b)), order.shape[1])
+            o = b.iloc[rows].reset_index(drop=True)
+            o["list_id"] = order.reshape(-1).astype("int32")
+            yield o[cols + ["list_id"]]
+
+    return df.mapInPandas(kernel, out_schema)
 
 
 def assign_lists(df: DataFrame, centroids, vec: str, metric: str = "L2", out: str = "list_id") -> DataFrame:
-    """List id = nearest centroid (0-based, ties to the lower id), in-row."""
-    d = _centroid_dists(F.col(vec), centroids, metric)
-    return df.withColumn(out, (F.array_position(d, F.array_min(d)) - 1).cast("int"))
+    """List id = nearest centroid (0-based, ties to the lower id)."""
+    r = _nearest_lists(df, centroids, vec, 1, metric)
+    return r if out == "list_id" else r.withColumnRenamed("list_id", out)
 
 
 def probe_lists(df: DataFrame, centroids, vec: str, nprobe: int, metric: str = "L2") -> DataFrame:
     """The ``nprobe`` nearest lists of each question (ties to the lower id)."""
-    d = _centroid_dists(F.col(vec), centroids, metric)
-    ranked = F.array_sort(F.transform(d, lambda x, i: F.struct(F.round(x, RANK_DIGITS).alias("d"), i.alias("i"))))
-    return df.withColumn("list_id", F.explode(F.slice(F.transform(ranked, lambda s: s["i"].cast("int")), 1, nprobe)))
+    return _nearest_lists(df, centroids, vec, nprobe, metric)
 
 
 def _salted_groups(q: DataFrame, c: DataFrame, gcol: str, opts: JobOptions):
@@ -284,17 +301,31 @@ def hyperplanes(bands: int, bits: int, dim: int, seed: str = "lsh") -> list[list
 
 
 def band_keys(df: DataFrame, vec: str, planes, out: str = "bucket") -> DataFrame:
-    """One row per band: bucket = (band, signature bits of the band)."""
-    v = F.col(vec)
-    keys = []
-    for b, band in enumerate(planes):
-        sig = None
-        for j, h in enumerate(band):
-            dot = F.aggregate(F.zip_with(v, F.array(*[F.lit(x) for x in h]), lambda a, w: a.cast("double") * w), F.lit(0.0), lambda s, t: s + t)
-            bit = F.when(dot >= 0, F.lit(1 << j)).otherwise(F.lit(0))
-            sig = bit if sig is None else sig + bit
-        keys.append(F.lit(b * (1 << len(band))) + sig)
-    return df.withColumn(out, F.explode(F.array(*[x.cast("int") for x in keys])))
+    """One row per band: bucket = band * 2^bits + signature bits of the band
+    (sign of the dot product with each hyperplane), by a numpy kernel; the
+    hyperplanes (bands x bits x dim, parameter-sized) are broadcast."""
+    spark = df.sparkSession
+    H = np.asarray(planes, dtype=np.float64)
+    bands, bits = H.shape[0], H.shape[1]
+    bc = spark.sparkContext.broadcast(H.reshape(bands * bits, -1))
+    out_schema = T.StructType(list(df.schema.fields) + [T.StructField(out, T.IntegerType(), True)])
+    cols = df.columns
+    weights = (1 << np.arange(bits)).astype(np.int64)
+
+    def kernel(batches):
+        P = bc.value
+        for b in batches:
+            if len(b) == 0:
+                continue
+            V = _matrix(b[vec])
+            S = (V @ P.T >= 0).reshape(len(V), bands, bits).astype(np.int64)
+            keys = (S * weights).sum(axis=2) + (np.arange(bands) << bits)[None, :]
+            rows = np.repeat(np.arange(len(b)), bands)
+            o = b.iloc[rows].reset_index(drop=True)
+            o[out] = keys.reshape(-1).astype("int32")
+            yield o[cols + [out]]
+
+    return df.mapInPandas(kernel, out_schema)
 
 
 def knn_lsh(

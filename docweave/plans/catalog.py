@@ -67,7 +67,16 @@ from docweave.sources import scan as SC  # noqa: E402
 
 
 def _pair(name, spark_fn, sql_fn=None):
-    QUERIES[name] = spark_fn
+    from functools import wraps
+
+    from docweave.session import ensure_checkpoint_dir
+
+    @wraps(spark_fn)
+    def run(spark, sf):
+        ensure_checkpoint_dir(spark)
+        return spark_fn(spark, sf)
+
+    QUERIES[name] = run
     if sql_fn is not None:
         SQL[name] = sql_fn
 
