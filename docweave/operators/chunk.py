@@ -83,7 +83,10 @@ def split_lines(docs: DataFrame, key: str = "filename", text: str = "text") -> D
     # evaluate the expression twice
     raw = F.when(F.col(text).isNull(), F.array().cast("array<string>")).otherwise(F.split(F.col(text), "\n", -1))
     cleaned = F.transform(raw, clean_line)
-    staged = docs.select(F.col(key).alias("_k"), cleaned.alias("_lines")).select(
+    # the one exchange by document happens here, on whole documents; the
+    # windows below find their distribution satisfied, and line cleaning runs
+    # spread over all shuffle partitions
+    staged = docs.select(F.col(key).alias("_k"), F.col(text)).repartition("_k").select(F.col("_k"), cleaned.alias("_lines")).select(
         "_k", "_lines", _fence_roles(F.col("_lines")).alias("_roles")
     )
     # the _outer generator keeps Spark from inferring a size(lines) > 0 filter
