@@ -96,8 +96,10 @@ def full_load(df: DataFrame, path: str, opts: JobOptions, observation: Observati
     out = df.withColumn("bucket", bucket_of(F.col("filename"), opts.chunk_buckets))
     if observation is not None:
         out = out.observe(observation, F.count(F.lit(1)).alias("insert_count"))
+    # rebalance, not repartition: AQE splits a large bucket over several write
+    # tasks (and merges small ones), so no task writes a whole bucket
     (
-        out.repartition("bucket")
+        out.hint("rebalance", "bucket")
         .write.mode("overwrite")
         .option("maxRecordsPerFile", opts.batch_size)
         .partitionBy("bucket")

@@ -1298,40 +1298,35 @@ _pair("read_collection", _s9_spark, _s9_sql)
 
 
 def _s7_spark(spark, sf):
-    """Zip archives written from `documents` (one archive per source) and read back."""
-    import io
-    import zipfile
+    """Zip archives of at most 64 documents each, built as rows by Spark, then unpacked."""
+    from docweave.sources.scan import unpack_archive_rows
 
-    from docweave.sources.scan import unpack_archives
+    docs = fx.listing_paths(spark, sf).withColumn("blk", F.floor(F.col("doc_id") / 64))
 
-    root = scratch_path(spark, "archives")
-    docs = fx.listing_paths(spark, sf).select(F.col("doc_id"), "path", "text").withColumn(
-        "src", F.concat(F.lit("a"), F.pmod("doc_id", F.lit(8)).cast("string"))
-    )
-
-    def write_zips(it):
-        import os
+    def zip_group(pdf):
+        import io
+        import zipfile
 
         import pandas as pd
 
-        for pdf in it:
-            for src, g in pdf.groupby("src"):
-                buf = io.BytesIO()
-                with zipfile.ZipFile(buf, "w") as z:
-                    for p, t in zip(g["path"], g["text"]):
-                        z.writestr(p, t or "")
-                os.makedirs(root, exist_ok=True)
-                fn = f"{root}/{src}-{abs(hash(tuple(g['path'])))}.zip"
-                with open(fn, "wb") as f:
-                    f.write(buf.getvalue())
-            yield pd.DataFrame({"n": [len(pdf)]})
-
-    docs.repartition(8, "src").mapInPandas(write_zips, "n long").collect()
-    out = unpack_archives(spark, root)
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w") as z:
+            for p, t in sorted(zip(pdf["path"], pdf["text"])):
+                z.writestr(p, t or "")
+        return pd.DataFrame({"path": [f"archive-{int(pdf['blk'].iloc[0])}.zip"], "content": [buf.getvalue()]})
+
+    archives = docs.groupBy("blk").applyInPandas(zip_group, "path string, content binary")
+    out = unpack_archive_rows(archives)
     return out.select("member", F.sha2("content", 256).alias("sha256"))
 
 
-_pair("unpack_archives", _s7_spark)
+def _s7_sql():
+    q = S.Q()
+    lp = S.listing_paths(q)
+    return q.render(f"SELECT path AS member, sha256(coalesce(text, '')) AS sha256 FROM {lp}")
+
+
+_pair("unpack_archives", _s7_spark, _s7_sql)
 
 
 def _x1_spark(spark, sf):

@@ -95,30 +95,35 @@ def changed_files(payloads: DataFrame, body: str = "body") -> DataFrame:
     return f.select("f.filename", "f.status")
 
 
+def _explode_zip(batches):
+    import io
+    import zipfile
+
+    import pandas as pd
+
+    for pdf in batches:
+        out = {"archive": [], "member": [], "content": []}
+        for path, blob in zip(pdf["path"], pdf["content"]):
+            with zipfile.ZipFile(io.BytesIO(blob)) as z:
+                for info in z.infolist():
+                    if info.is_dir():
+                        continue
+                    out["archive"].append(path)
+                    out["member"].append(info.filename)
+                    out["content"].append(z.read(info))
+        yield pd.DataFrame(out, columns=["archive", "member", "content"])
+
+
+def unpack_archive_rows(archives: DataFrame) -> DataFrame:
+    """S7 over rows (path, content binary): one output row per archive member."""
+    return archives.select("path", "content").mapInPandas(_explode_zip, "archive string, member string, content binary")
+
+
 def unpack_archives(spark: SparkSession, root: str, glob: str = "*.zip") -> DataFrame:
-    """Zip archives -> (archive, member, content) with one Python task per
-    archive batch; members are streamed out, never the whole archive list."""
+    """Zip archives below ``root`` -> (archive, member, content); each task
+    opens the archives of its batch, one archive in memory at a time."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(root)
-
-    def explode_zip(batches):
-        import io
-        import zipfile
-
-        import pandas as pd
-
-        for pdf in batches:
-            out = {"archive": [], "member": [], "content": []}
-            for path, blob in zip(pdf["path"], pdf["content"]):
-                with zipfile.ZipFile(io.BytesIO(blob)) as z:
-                    for info in z.infolist():
-                        if info.is_dir():
-                            continue
-                        out["archive"].append(path)
-                        out["member"].append(info.filename)
-                        out["content"].append(z.read(info))
-            yield pd.DataFrame(out)
-
-    return files.select("path", "content").mapInPandas(explode_zip, "archive string, member string, content binary")
+    return unpack_archive_rows(files)
 
 
 HIT_SCHEMA = T.ArrayType(
