@@ -108,12 +108,17 @@ def concat_results(hits: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ W2 / F12 / E6
 
-def doc_blocks(hits: DataFrame, chunks: DataFrame) -> DataFrame:
-    """F12 + F11: one prompt block per hit with its token count."""
+def chunk_blocks(chunks: DataFrame) -> DataFrame:
+    """F12 + F11 per chunk: the prompt block of a chunk and its token count
+    (a block depends on the chunk only, so it is built once per chunk, not per hit)."""
     meta = metadata_text(F.col("filename"), F.col("doc_link"), F.col("header1"), F.col("header2"), F.col("header3"))
     c = chunks.select(*CKEY, format_doc_block(F.col("text"), meta).alias("block"))
-    b = hits.join(c, CKEY)
-    return b.withColumn("n_tokens", token_count(F.col("block")))
+    return c.withColumn("n_tokens", token_count(F.col("block")))
+
+
+def doc_blocks(hits: DataFrame, chunks: DataFrame) -> DataFrame:
+    """F12 + F11: one prompt block per hit with its token count."""
+    return hits.join(chunk_blocks(chunks.join(hits.select(*CKEY).distinct(), CKEY, "left_semi")), CKEY)
 
 
 def prompt_budget(blocks: DataFrame, budget: int) -> DataFrame:
