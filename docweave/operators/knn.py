@@ -120,19 +120,20 @@ def knn_exact(
     q = questions.select(*qkey, F.col(qvec).alias("_qv"))
     c = chunks.select(*ckey, F.col(cvec).alias("_cv"))
     schema = _out_schema(qkey, ckey, q, c)
-    n_q = q.count()
-    if n_q <= opts.knn_broadcast_max_rows:
-        partial = _broadcast_plan(q, c, k, m, qkey, ckey, schema)
+    # one job both sizes and (when small enough) collects the question side:
+    # at most bound + 1 rows ever reach the driver
+    head = q.limit(opts.knn_broadcast_max_rows + 1).toPandas()
+    if len(head) <= opts.knn_broadcast_max_rows:
+        partial = _broadcast_plan(q, c, k, m, qkey, ckey, schema, head)
     else:
-        partial = _blocked_plan(q, c, k, m, qkey, ckey, schema, n_q, opts)
+        partial = _blocked_plan(q, c, k, m, qkey, ckey, schema, q.count(), opts)
     # hits are questions x k rows and usually feed several branches (scores,
     # blocks, has-hits); a reliable checkpoint runs the kernel once
     return _final_topk(partial, qkey, ckey, k).checkpoint(eager=True)
 
 
-def _broadcast_plan(q, c, k, m, qkey, ckey, schema):
+def _broadcast_plan(q, c, k, m, qkey, ckey, schema, pdf):
     spark = q.sparkSession
-    pdf = q.toPandas()  # bounded by the row-count check of the caller
     keys = {col: pdf[col].to_numpy() for col in qkey}
     bq = spark.sparkContext.broadcast((keys, _matrix(pdf["_qv"])))
 

@@ -875,7 +875,20 @@ from docweave.operators import retrieve as RT  # noqa: E402
 from docweave.operators.embed import embed_chunks, embed_questions  # noqa: E402
 
 
+_CHUNK_TABLES: dict = {}
+
+
 def fx_chunks(spark, sf):
+    """The chunk table with vectors (T2 over the conversation corpus + T3 over the
+    new snapshot + E1), written once per session and then read, as the
+    retriever reads the table the updater wrote."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _CHUNK_TABLES:
+        _CHUNK_TABLES[key] = _build_fx_chunks(spark, sf)
+    return _CHUNK_TABLES[key]
+
+
+def _build_fx_chunks(spark, sf):
     a = CH.chunk_docs(fx.fx_markdown(spark, sf), OPTS, key="doc", text="text")
     b = build_release_chunks(fx.fx_snapshot_new(spark, sf), OPTS)
     # the chunk table is a stored table in real use; materialise the fixture
@@ -1419,3 +1432,42 @@ def _r6_spark(spark, sf):
 
 
 _pair("run_refresh", _r6_spark, _o4_sql)
+
+
+def _l5_sql():
+    from docweave.functions.vectors import distance_sql
+
+    q = S.Q()
+    fq = S.fx_questions(q, OPTS)
+    ch = S.fx_chunks(q, OPTS)
+    qe = S.embed_sql(q, fq, "request_id, q_no", "question", "lsh_qe", OPTS.embed_dim)
+    planes = KN.hyperplanes(OPTS.lsh_bands, OPTS.lsh_bits, OPTS.embed_dim)
+    vals = ", ".join(
+        f"({b}, {j}, [{', '.join(repr(float(x)) for x in h)}]::DOUBLE[])" for b, band in enumerate(planes) for j, h in enumerate(band)
+    )
+    q.add("planes", f"SELECT * FROM (VALUES {vals}) t(b, j, h)")
+    dot = "list_reduce(list_transform(list_zip({v}, p.h), lambda z: z[1]::DOUBLE * z[2]::DOUBLE), lambda s, t: s + t, 0.0::DOUBLE)"
+    bits = OPTS.lsh_bits
+    q.add(
+        "ck",
+        f"SELECT c.filename, c.chunk_no, p.b * {1 << bits} + sum(CASE WHEN {dot.format(v='c.vector')} >= 0 THEN (1 << p.j) ELSE 0 END) AS bucket "
+        f"FROM {ch} c, planes p GROUP BY c.filename, c.chunk_no, p.b",
+    )
+    q.add(
+        "qk",
+        f"SELECT e.request_id, e.q_no, p.b * {1 << bits} + sum(CASE WHEN {dot.format(v='e.vec')} >= 0 THEN (1 << p.j) ELSE 0 END) AS bucket "
+        f"FROM {qe} e, planes p GROUP BY e.request_id, e.q_no, p.b",
+    )
+    q.add("cand", "SELECT DISTINCT qk.request_id, qk.q_no, ck.filename, ck.chunk_no FROM qk JOIN ck ON qk.bucket = ck.bucket")
+    q.add(
+        "lsh_pairs",
+        f"SELECT a.request_id, a.q_no, a.filename, a.chunk_no, {distance_sql('e.vec', 'c.vector', OPTS.metric)} AS distance FROM cand a "
+        f"JOIN {qe} e ON a.request_id = e.request_id AND a.q_no = e.q_no JOIN {ch} c ON a.filename = c.filename AND a.chunk_no = c.chunk_no",
+    )
+    return q.render(
+        f"SELECT {HIT_COLS} FROM (SELECT *, CAST(row_number() OVER (PARTITION BY request_id, q_no ORDER BY round(distance, 9), filename, chunk_no) AS BIGINT) AS rank "
+        f"FROM lsh_pairs) WHERE rank <= {OPTS.k_neighbours}"
+    )
+
+
+SQL["ann_lsh"] = _l5_sql
