@@ -170,7 +170,12 @@ def apply_changes(old_chunks: DataFrame, changes: DataFrame, opts: JobOptions, e
     """New table = old minus chunks of every touched file (added
     included, so a replay is idempotent) plus fresh chunks of added and
     modified files. ``changes``: (filename, status, markdown); status
-    'deleted' / 'delete' removes, any other with Markdown upserts."""
+    'deleted' / 'delete' removes, any other with Markdown upserts.
+
+    The change set feeds two branches (touched files, fresh chunks); it is
+    materialised once with a reliable checkpoint so the snapshot diff and the
+    Markdown conversion behind it run once."""
+    changes = changes.checkpoint(eager=True)
     touched = changes.select("filename").distinct()
     kept = old_chunks.join(touched, "filename", "left_anti")
     ups = changes.where(F.col("markdown").isNotNull() & ~F.col("status").isin("deleted", "delete"))
