@@ -173,3 +173,28 @@ def test_entry_smoke(spark):
 
     df = E.entry(spark)
     assert df.count() > 0 and "doc_link" in df.columns
+
+
+def test_salted_groups_equal_unsalted(spark, sf):
+    qv = embed_questions(fx.fx_questions(spark, sf, OPTS), OPTS)
+    ch = catalog.fx_chunks(spark, sf)
+    cols = ["request_id", "q_no", "filename", "chunk_no", "rank"]
+    small = OPTS.with_(ivf_lists=4, ivf_nprobe=2)
+    a = KN.knn_ivf(qv, ch, 5, small)
+    b = KN.knn_ivf(qv, ch, 5, small.with_(knn_block_rows=7))  # every list split over many salts
+    assert rows(a, cols) == rows(b, cols)
+    c = KN.knn_lsh(qv, ch, 5, OPTS)
+    d = KN.knn_lsh(qv, ch, 5, OPTS.with_(knn_block_rows=3))
+    assert rows(c, cols) == rows(d, cols)
+
+
+def test_unpack_archive_files(spark, tmp_path):
+    import zipfile
+
+    from docweave.sources.scan import unpack_archives
+
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("docs/x/index.html", "<article>x</article>")
+        z.writestr("docs/y.md", "# y")
+    got = sorted((r["member"], bytes(r["content"])) for r in unpack_archives(spark, str(tmp_path)).collect())
+    assert got == [("docs/x/index.html", b"<article>x</article>"), ("docs/y.md", b"# y")]
