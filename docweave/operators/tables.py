@@ -289,3 +289,36 @@ def add_records(changes: DataFrame, target_schema: T.StructType, opts: JobOption
     ups = changes.where(F.col("markdown").isNotNull() & ~F.col("status").isin("deleted", "delete"))
     fresh = embed(chunk_docs(ups.select("filename", "markdown"), opts, key="filename", text="markdown"))
     return align_to(target_schema, fresh)
+
+
+def apply_changes_in_place(spark: SparkSession, path: str, changes: DataFrame, opts: JobOptions, embed=None) -> list[int]:
+    """O4 on a stored chunk table, rewriting only the buckets the change set
+    touches: the touched buckets (at most ``chunk_buckets`` ids) are read with
+    partition pruning, the new rows are staged with a reliable checkpoint
+    (never read and overwrite one path in a job), then written back with
+    dynamic partition overwrite. A bucket left without rows is removed.
+    Returns the rewritten bucket ids."""
+    changes = changes.checkpoint(eager=True)
+    buckets = sorted(
+        r[0] for r in changes.select(bucket_of(F.col("filename"), opts.chunk_buckets).alias("b")).distinct().collect()
+    )
+    if not buckets:
+        return []
+    old = spark.read.parquet(path).where(F.col("bucket").isin(buckets)).drop("bucket")
+    new = apply_changes(old, changes, opts, embed).withColumn("bucket", bucket_of(F.col("filename"), opts.chunk_buckets))
+    staged = new.checkpoint(eager=True)
+    (
+        staged.hint("rebalance", "bucket")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", opts.batch_size)
+        .partitionBy("bucket")
+        .parquet(path)
+    )
+    kept = {r[0] for r in staged.select("bucket").distinct().collect()}
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for b in set(buckets) - kept:
+        p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/bucket={b}")
+        p.getFileSystem(conf).delete(p, True)
+    return buckets

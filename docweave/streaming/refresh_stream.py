@@ -1,9 +1,9 @@
 """The poll-with-stored-cursor refresh re-aimed as Structured Streaming.
 
 Change files (filename, status, markdown) arrive as Parquet files in a
-folder; each micro-batch applies them to the chunk table with the batch
-operator O5 inside ``foreachBatch`` and writes the new table version to a
-fresh path (the cursor is the stream checkpoint). Row windows are not
+folder; each micro-batch applies them to the stored chunk table with the
+batch operator O4/O5 inside ``foreachBatch``, rewriting only the buckets the
+batch touches (the cursor is the stream checkpoint). Row windows are not
 allowed on streaming plans, so chunking runs inside ``foreachBatch`` too.
 """
 
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from docweave.operators.chunk import chunk_docs
-from docweave.operators.tables import apply_changes, full_load
+from docweave.operators.tables import apply_changes_in_place
 from docweave.options import JobOptions
 from docweave.session import scratch_path
 
@@ -23,7 +23,7 @@ CHANGE_SCHEMA = T.StructType(
 
 
 class ChunkTableState:
-    """Current version path of a chunk table; each batch writes a new version."""
+    """Path of a stored chunk table (bucket-partitioned, as K1 writes it)."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
@@ -45,10 +45,8 @@ def stream_refresh(
     src = spark.readStream.schema(CHANGE_SCHEMA).parquet(changes_dir)
 
     def apply_batch(batch: DataFrame, epoch: int) -> None:
-        new = apply_changes(state.read(), batch, opts, embed)
-        path = scratch_path(spark, f"chunks-v{epoch}")
-        full_load(new, path, opts)
-        state.path = path
+        # only the buckets touched by this micro-batch are rewritten in place
+        apply_changes_in_place(spark, state.path, batch, opts, embed)
 
     q = (
         src.writeStream.foreachBatch(apply_batch)

@@ -198,3 +198,23 @@ def test_unpack_archive_files(spark, tmp_path):
         z.writestr("docs/y.md", "# y")
     got = sorted((r["member"], bytes(r["content"])) for r in unpack_archives(spark, str(tmp_path)).collect())
     assert got == [("docs/x/index.html", b"<article>x</article>"), ("docs/y.md", b"# y")]
+
+
+def test_in_place_bucket_rewrite(spark, sf, tmp_path):
+    import os
+
+    opts = OPTS.with_(chunk_buckets=4)
+    old, new = fx.fx_snapshot_old(spark, sf), fx.fx_snapshot_new(spark, sf)
+    base = build_release_chunks(old, opts)
+    path = str(tmp_path / "chunks")
+    TB.full_load(base, path, opts)
+    changes = DF.release_changes(old, new, opts)
+    TB.apply_changes_in_place(spark, path, changes, opts)
+    want = TB.apply_changes(base, changes, opts)
+    assert rows(spark.read.parquet(path)) == rows(want)
+    # delete every file of bucket 0: its partition folder goes away
+    b0 = spark.read.parquet(path).where("bucket = 0").select("filename").distinct()
+    dels = b0.select("filename", F.lit("deleted").alias("status"), F.lit(None).cast("string").alias("markdown"))
+    TB.apply_changes_in_place(spark, path, dels, opts)
+    assert spark.read.parquet(path).where("bucket = 0").count() == 0
+    assert not os.path.exists(os.path.join(path, "bucket=0"))
