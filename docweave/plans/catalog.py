@@ -42,6 +42,10 @@ CHUNK_COLS = "filename, chunk_no, header1, header2, header3, doc_link, text"
 # ------------------------------------------------------------ T3 (flagship)
 @query("build_release_chunks")
 def q_build_release_chunks(spark, sf):
+    from docweave.session import ensure_checkpoint_dir, ship_package
+
+    ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return build_release_chunks(fx.fx_snapshot_new(spark, sf), OPTS)
 
 
@@ -69,11 +73,12 @@ from docweave.sources import scan as SC  # noqa: E402
 def _pair(name, spark_fn, sql_fn=None):
     from functools import wraps
 
-    from docweave.session import ensure_checkpoint_dir
+    from docweave.session import ensure_checkpoint_dir, ship_package
 
     @wraps(spark_fn)
     def run(spark, sf):
         ensure_checkpoint_dir(spark)
+        ship_package(spark)
         return spark_fn(spark, sf)
 
     QUERIES[name] = run
