@@ -108,3 +108,28 @@ def test_one_shuffle(spark, sf):
     df = chunk_docs(docs, JobOptions(), key="doc", text="text")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1, plan
+
+
+LINE_KINDS = [
+    "# H{n}", "## S{n}", "### T{n}", "#", "##", "#x{n}", "  ## padded {n}  ", "```", "```py", "``` x ```", "~~~",
+    "````", "", "   ", "\t", "text {n}", "more text {n} with ../link.md", "\x07bell {n}", "a\xa0b {n}", "  lead {n}",
+    "# in {n}   ", "~~~~", "* item {n}",
+]
+
+
+def test_split_random_documents(spark):
+    import random
+
+    rnd = random.Random(42)
+    docs = []
+    for d in range(300):
+        n = rnd.randint(0, 25)
+        lines = [rnd.choice(LINE_KINDS).format(n=rnd.randint(0, 3)) for _ in range(n)]
+        docs.append((f"d{d}", "\n".join(lines)))
+    df = spark.createDataFrame(docs, "doc string, text string")
+    got = {}
+    for r in split_by_heading(df, key="doc", text="text").collect():
+        got.setdefault(r["doc"], []).append((r["chunk_no"], (r["header1"], r["header2"], r["header3"], r["content"])))
+    for k, v in docs:
+        have = [x for _, x in sorted(got.get(k, []))]
+        assert have == py_split(v), (k, v)
