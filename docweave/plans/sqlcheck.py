@@ -170,19 +170,35 @@ def clean_line_sql(e: str) -> str:
 
 
 def split_by_heading(q: Q, src: str, key: str, text: str, p: str = "t1") -> str:
-    """T1 as window SQL. Code fences: one fence type, by fence-line parity."""
+    """T1 as window SQL; the code-fence state machine is a list_reduce fold."""
     W = f"PARTITION BY k ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    kind = (
+        "CASE WHEN starts_with(x, '```') THEN CASE WHEN (length(x) - length(replace(x, '```', ''))) // 3 = 1 THEN 1 ELSE 2 END "
+        "WHEN starts_with(x, '~~~') THEN 3 ELSE 0 END"
+    )
+    opens = "(acc.open = 0 AND (f.kind = 1 OR f.kind = 3))"
+    closes = "((acc.open = 1 AND (f.kind = 1 OR f.kind = 2)) OR (acc.open = 3 AND f.kind = 3))"
+    step = (
+        f"lambda acc, f: {{'open': CASE WHEN {opens} THEN f.kind WHEN {closes} THEN 0 ELSE acc.open END, "
+        f"'opens': CASE WHEN {opens} THEN list_append(acc.opens, f.pos) ELSE acc.opens END, "
+        f"'closes': CASE WHEN {closes} THEN list_append(acc.closes, f.pos) ELSE acc.closes END}}"
+    )
+    init = "{'open': 0, 'opens': []::BIGINT[], 'closes': []::BIGINT[]}"
+    fences = f"list_filter(list_transform(arr, lambda x, i: {{'pos': (i - 1)::BIGINT, 'kind': {kind}}}), lambda f: f.kind > 0)"
     q.add(
         f"{p}_arr",
+        f"SELECT k, arr, list_reduce({fences}, {step}, {init}) AS st FROM ("
         f"SELECT {key} AS k, list_transform(string_split({text}, {NL}), lambda x: {clean_line_sql('x')}) AS arr "
-        f"FROM {src} WHERE {text} IS NOT NULL",
+        f"FROM {src} WHERE {text} IS NOT NULL)",
     )
-    q.add(f"{p}_lines", f"SELECT k, unnest(arr) AS s, unnest(range(len(arr))) AS pos FROM {p}_arr")
+    q.add(f"{p}_lines", f"SELECT k, unnest(arr) AS s, unnest(range(len(arr))) AS pos, st FROM {p}_arr")
     q.add(
         f"{p}_code",
-        "SELECT *, is_fence OR (coalesce(sum(CASE WHEN is_fence THEN 1 ELSE 0 END) OVER "
-        "(PARTITION BY k ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) % 2 = 1) AS in_code "
-        f"FROM (SELECT *, (starts_with(s, '```') OR starts_with(s, '~~~')) AS is_fence FROM {p}_lines)",
+        "SELECT k, s, pos, (o_last IS NOT NULL AND (c_prev IS NULL OR o_last > c_prev)) AS in_code FROM ("
+        "SELECT *, max(CASE WHEN role = 1 THEN pos END) OVER (PARTITION BY k ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS o_last, "
+        "max(CASE WHEN role = 2 THEN pos END) OVER (PARTITION BY k ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS c_prev FROM ("
+        "SELECT k, s, pos, CASE WHEN list_contains(st.opens, pos) THEN 1 WHEN list_contains(st.closes, pos) THEN 2 END AS role "
+        f"FROM {p}_lines))",
     )
     q.add(
         f"{p}_lvl",

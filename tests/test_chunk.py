@@ -133,3 +133,27 @@ def test_split_random_documents(spark):
     for k, v in docs:
         have = [x for _, x in sorted(got.get(k, []))]
         assert have == py_split(v), (k, v)
+
+
+def test_sql_twin_matches_rules():
+    """The DuckDB twin of T1 on the edge and random documents equals the rules."""
+    import random
+
+    import duckdb
+    import pandas as pd
+
+    from docweave.plans import sqlcheck as S
+
+    rnd = random.Random(7)
+    docs = dict(EDGE_DOCS)
+    for d in range(200):
+        docs[f"r{d}"] = "\n".join(rnd.choice(LINE_KINDS).format(n=rnd.randint(0, 3)) for _ in range(rnd.randint(0, 25)))
+    con = duckdb.connect()
+    con.register("src_docs", pd.DataFrame({"doc": list(docs), "text": list(docs.values())}))
+    q = S.Q()
+    t = S.split_by_heading(q, "src_docs", "doc", "text")
+    got = {}
+    for k, n, h1, h2, h3, c in con.execute(q.render(f"SELECT k, chunk_no, header1, header2, header3, content FROM {t}")).fetchall():
+        got.setdefault(k, []).append((n, (h1, h2, h3, c)))
+    for k, v in docs.items():
+        assert [x for _, x in sorted(got.get(k, []))] == py_split(v), (k, v)
