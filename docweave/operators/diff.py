@@ -64,13 +64,16 @@ def diff_deleted(old: DataFrame, new: DataFrame, opts: JobOptions, diff: DataFra
 
 def release_changes(old: DataFrame, new: DataFrame, opts: JobOptions) -> DataFrame:
     """The release change set as one table (filename, status, markdown):
-    added / modified with their Markdown, deleted without."""
-    d = snapshot_diff(old, new, opts)
-    changed = d.where(F.col("status").isin(ADDED, MODIFIED)).select("rel_path", "status")
-    pages = new.join(changed, "rel_path")
-    upserts = release_markdown(pages, opts, keep=("status",)).select("filename", "status", "markdown")
-    deletes = d.where(F.col("status") == DELETED).select("filename", "status", F.lit(None).cast("string").alias("markdown"))
-    return upserts.unionByName(deletes)
+    added / modified with their Markdown (pages without an article are
+    skipped, D8), deleted without. The diff is used once: changed paths meet
+    the new pages in one right join (deleted paths find no page)."""
+    d = snapshot_diff(old, new, opts).where(F.col("status") != UNCHANGED)
+    j = new.select("rel_path", "html").join(d, "rel_path", "right")
+    md = release_markdown(j, opts, drop_empty=False, keep=("status",))
+    upsert = F.col("status").isin(ADDED, MODIFIED) & F.col("markdown").isNotNull() & (F.col("markdown") != "")
+    return md.where(upsert | (F.col("status") == DELETED)).select(
+        "filename", "status", F.when(F.col("status") == DELETED, F.lit(None).cast("string")).otherwise(F.col("markdown")).alias("markdown")
+    )
 
 
 def commit_diff(files: DataFrame, opts: JobOptions) -> DataFrame:

@@ -770,7 +770,16 @@ def _a3_sql():
     return q.render(f"SELECT count(*) AS insert_count FROM {c}")
 
 
-_pair("write_counts", lambda spark, sf: TB.count_written(_t2_spark(spark, sf)), _a3_sql)
+def _a3_spark(spark, sf):
+    """A3: the insert count observed during the write itself (no second pass)."""
+    from pyspark.sql import Observation
+
+    obs = Observation("insert_count")
+    TB.full_load(_t2_spark(spark, sf), scratch_path(spark, "write_counts"), OPTS, observation=obs)
+    return spark.createDataFrame([(int(obs.get["insert_count"]),)], "insert_count bigint")
+
+
+_pair("write_counts", _a3_spark, _a3_sql)
 
 
 def _w3_sql():
