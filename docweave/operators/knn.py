@@ -232,12 +232,12 @@ def _nearest_lists(df: DataFrame, centroids, vec: str, n: int, metric: str) -> D
             if len(b) == 0:
                 continue
             V = _matrix(b[vec])
-            D = np.stack([_exact(V, np.repeat(K[j:j + 1], len(V), axis=0), metric) for j in range(len(K))], axis=1)
-            D = np.round(D, RANK_DIGITS)
-            order = np.argsort(D, axis=1, kind="stable")[:, :n]
-            rows = np.repeat(np.arange(len(b)), order.shape[1])
-            o = b.iloc[rows].reset_index(drop=True)
-            o["list_id"] = order.reshape(-1).astype("int32")
+            # matrix-product distances pick the candidates, exact ones rank them
+            qi, ci, d = topk_block(V, K, n, metric)
+            cand = pd.DataFrame({"r": qi, "c": ci, "d": np.round(d, RANK_DIGITS)})
+            best = cand.sort_values(["r", "d", "c"], kind="stable").groupby("r", sort=False).head(n)
+            o = b.iloc[best["r"].to_numpy()].reset_index(drop=True)
+            o["list_id"] = best["c"].to_numpy().astype("int32")
             yield o[cols + ["list_id"]]
 
     return df.mapInPandas(kernel, out_schema)
@@ -264,6 +264,13 @@ def _salted_groups(q: DataFrame, c: DataFrame, gcol: str, opts: JobOptions):
     return qs, cs
 
 
+def build_ivf_index(chunks: DataFrame, centroids, opts: JobOptions, ckey=("filename", "chunk_no"), cvec: str = "vector") -> DataFrame:
+    """The list index: chunk key, vector (``_cv``) and nearest-centroid ``list_id``;
+    write it once next to the chunk table and pass (index, centroids) to knn_ivf."""
+    m = normalise_metric(opts.metric)
+    return assign_lists(chunks.select(*ckey, F.col(cvec).alias("_cv")), centroids, "_cv", m)
+
+
 def knn_ivf(
     questions: DataFrame,
     chunks: DataFrame,
@@ -274,14 +281,20 @@ def knn_ivf(
     ckey=("filename", "chunk_no"),
     qvec: str = "qvec",
     cvec: str = "vector",
+    index=None,
 ) -> DataFrame:
-    """L4: probe the ``nprobe`` nearest lists, re-score exactly, keep k."""
+    """L4: probe the ``nprobe`` nearest lists, re-score exactly, keep k.
+
+    ``index``: a stored ``build_ivf_index`` result (with its centroids); without
+    it the assignment is built here and materialised once (it feeds both the
+    list sizes and the candidate groups)."""
     qkey, ckey = list(qkey), list(ckey)
     m = normalise_metric(opts.metric)
-    cents = centroids if centroids is not None else sample_centroids(chunks, opts.ivf_lists, ckey, cvec)
-    # the list assignment is the index: materialise it once (it feeds both the
-    # list sizes and the candidate groups)
-    c = assign_lists(chunks.select(*ckey, F.col(cvec).alias("_cv")), cents, "_cv", m).checkpoint(eager=True)
+    if index is not None:
+        c, cents = index
+    else:
+        cents = centroids if centroids is not None else sample_centroids(chunks, opts.ivf_lists, ckey, cvec)
+        c = build_ivf_index(chunks, cents, opts, ckey, cvec).checkpoint(eager=True)
     q = probe_lists(questions.select(*qkey, F.col(qvec).alias("_qv")), cents, "_qv", opts.ivf_nprobe, m)
     qs, cs = _salted_groups(q, c, "list_id", opts)
     schema = _out_schema(qkey, ckey, q, c)

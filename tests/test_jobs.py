@@ -218,3 +218,16 @@ def test_in_place_bucket_rewrite(spark, sf, tmp_path):
     TB.apply_changes_in_place(spark, path, dels, opts)
     assert spark.read.parquet(path).where("bucket = 0").count() == 0
     assert not os.path.exists(os.path.join(path, "bucket=0"))
+
+
+def test_ivf_with_stored_index(spark, sf, tmp_path):
+    qv = embed_questions(fx.fx_questions(spark, sf, OPTS), OPTS)
+    ch = catalog.fx_chunks(spark, sf)
+    small = OPTS.with_(ivf_lists=6, ivf_nprobe=3)
+    cents = KN.sample_centroids(ch, small.ivf_lists)
+    path = str(tmp_path / "ivf")
+    KN.build_ivf_index(ch, cents, small).write.parquet(path)
+    cols = ["request_id", "q_no", "filename", "chunk_no", "rank"]
+    a = KN.knn_ivf(qv, ch, 5, small, centroids=cents)
+    b = KN.knn_ivf(qv, ch, 5, small, index=(spark.read.parquet(path), cents))
+    assert rows(a, cols) == rows(b, cols)
