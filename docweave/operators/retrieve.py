@@ -60,10 +60,18 @@ def term_stats(chunks: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, Data
     return tf, df, lens, coll
 
 
-def lexical_score(pairs: DataFrame, questions: DataFrame, chunks: DataFrame) -> DataFrame:
+def build_term_index(chunks: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The BM25 index of a chunk table, materialised (reliable checkpoint) so a
+    query batch reads it instead of re-tokenising the corpus; store it next to
+    the chunk table when it is reused across jobs."""
+    return tuple(x.checkpoint(eager=True) for x in term_stats(chunks))
+
+
+def lexical_score(pairs: DataFrame, questions: DataFrame, chunks: DataFrame, index=None) -> DataFrame:
     """BM25 score of each (question, chunk) candidate pair, computed with
-    joins on (chunk, term) and term; 0 when no term is shared."""
-    tf, dfreq, lens, coll = term_stats(chunks)
+    joins on (chunk, term) and term; 0 when no term is shared. ``index``: a
+    ``build_term_index`` result (else the statistics are derived here)."""
+    tf, dfreq, lens, coll = index if index is not None else term_stats(chunks)
     qterms = questions.select(*QKEY, F.explode_outer(F.array_distinct(words(F.col("question")))).alias("term")).where(
         F.col("term").isNotNull()
     )
@@ -78,9 +86,9 @@ def lexical_score(pairs: DataFrame, questions: DataFrame, chunks: DataFrame) ->
     return pairs.join(s, QKEY + CKEY, "left").withColumn("score", F.coalesce(F.col("score"), F.lit(0.0)))
 
 
-def rerank(hits: DataFrame, questions: DataFrame, chunks: DataFrame, top_n: int) -> DataFrame:
+def rerank(hits: DataFrame, questions: DataFrame, chunks: DataFrame, top_n: int, index=None) -> DataFrame:
     """L3: second stage over the candidates: score desc (ties: distance, key), keep top_n."""
-    scored = lexical_score(hits, questions, chunks)
+    scored = lexical_score(hits, questions, chunks, index)
     w = Window.partitionBy(*QKEY).orderBy(F.desc(F.round("score", 9)), F.round("distance", 9), *CKEY)
     return scored.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= top_n)
 

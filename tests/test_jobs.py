@@ -231,3 +231,13 @@ def test_ivf_with_stored_index(spark, sf, tmp_path):
     a = KN.knn_ivf(qv, ch, 5, small, centroids=cents)
     b = KN.knn_ivf(qv, ch, 5, small, index=(spark.read.parquet(path), cents))
     assert rows(a, cols) == rows(b, cols)
+
+
+def test_bm25_with_stored_index(spark, sf):
+    fq = fx.fx_questions(spark, sf, OPTS)
+    ch = catalog.fx_chunks(spark, sf)
+    hits = KN.knn_exact(embed_questions(fq, OPTS), ch, 10, OPTS)
+    cols = ["request_id", "q_no", "filename", "chunk_no", "rank"]
+    a = RT.rerank(hits, fq, ch, 5)
+    b = RT.rerank(hits, fq, ch, 5, index=RT.build_term_index(ch))
+    assert rows(a, cols) == rows(b, cols)
