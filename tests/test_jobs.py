@@ -241,3 +241,27 @@ def test_bm25_with_stored_index(spark, sf):
     a = RT.rerank(hits, fq, ch, 5)
     b = RT.rerank(hits, fq, ch, 5, index=RT.build_term_index(ch))
     assert rows(a, cols) == rows(b, cols)
+
+
+def test_normalise_requests(spark):
+    qs = spark.createDataFrame(
+        [(1, 1, "first?", ""), (1, 2, "second?", ""), (2, 1, "q", "ctx"), (3, 1, "", None)],
+        "request_id long, q_no long, question string, context string",
+    )
+    acc, rej = RT.normalise_requests(qs)
+    got = {(r["request_id"], r["q_no"]): r["context"] for r in acc.collect()}
+    assert got == {(1, 1): "first?", (1, 2): "first?", (2, 1): "ctx"}
+    assert [r["request_id"] for r in rej.collect()] == [3]
+
+
+def test_docs_lookup_counts(spark, sf):
+    ch = catalog.fx_chunks(spark, sf)
+    lk = spark.createDataFrame([(1, "alpha beta", 0), (2, "alpha beta", 3), (3, "alpha beta", -1)], "request_id long, question string, count long")
+    n = {r["request_id"]: r["n"] for r in RT.docs_lookup(lk, ch, OPTS).groupBy("request_id").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert n == {1: 20, 2: 3}
+
+
+def test_chunk_metadata_only_present_keys(spark):
+    df = spark.createDataFrame([("f.md", "https://x/f/", "H", None, None)], "filename string, doc_link string, header1 string, header2 string, header3 string")
+    m = df.select(TB.chunk_metadata(df).alias("m")).first()["m"]
+    assert m == {"filename": "f.md", "doc_link": "https://x/f/", "Header1": "H"}
