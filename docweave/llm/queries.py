@@ -83,3 +83,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_licenses, op7_simhash, op8_decontamination, op9_language, op10_quality,
     )
 }
+
+#: SQL twins for DuckDB
+SQL: dict[str, str] = {}
