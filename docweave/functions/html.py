@@ -1,17 +1,26 @@
-"""F6 article extraction and F7 HTML -> Markdown as a fixed chain of regex rules.
+"""F6 article extraction and F7 HTML -> Markdown as a chain of regex rules.
 
 The chain is a Markdown converter of our own (ATX headings): it handles the
 tags listed in ``MD_RULES`` and removes every other tag. Inline tags are
-converted as pairs; an unclosed inline tag is dropped.
+converted as pairs; an unclosed inline tag is dropped. ``pre`` blocks are set
+apart first, so that no other rule touches them, and the items of an ``ol``
+without lists inside are numbered.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docweave.functions.regex import Rule, apply_rules, apply_rules_sql, sql_lit
 
+ARTICLE_OPEN = "(?i)<article(?=[\\s>])[^>]*>"
+ARTICLE_CLOSE = "(?i)</article\\s*>"
+PRE_RE = "(?is)<pre(?=[\\s>])[^>]*>.*?</pre\\s*>"
+OL_RE = "(?is)<ol(?=[\\s>])[^>]*>(?:(?!<[uo]l[\\s>]).)*?</ol\\s*>"
+#: the article of a page that closes it at most once (SQL form)
 ARTICLE_RE = "(?is)<article(\\s[^>]*)?>(.*?)</article>"
 
 _WS = "[ \\t\\r\\n]*"
@@ -23,15 +32,35 @@ def _heading_rules():
     )
 
 
-# HTML entities decoded, '&amp;' last.
+# Named HTML entities decoded, '&amp;' last.
 ENTITIES = (
     ("&nbsp;", " "),
     ("&lt;", "<"),
     ("&gt;", ">"),
     ("&quot;", '"'),
-    ("&#39;", "'"),
+    ("&apos;", "'"),
     ("&copy;", "©"),
+    ("&reg;", "®"),
+    ("&trade;", "™"),
     ("&middot;", "·"),
+    ("&bull;", "•"),
+    ("&hellip;", "…"),
+    ("&ndash;", "–"),
+    ("&mdash;", "—"),
+    ("&lsquo;", "‘"),
+    ("&rsquo;", "’"),
+    ("&ldquo;", "“"),
+    ("&rdquo;", "”"),
+    ("&laquo;", "«"),
+    ("&raquo;", "»"),
+    ("&times;", "×"),
+    ("&deg;", "°"),
+    ("&euro;", "€"),
+    ("&pound;", "£"),
+    ("&sect;", "§"),
+    ("&para;", "¶"),
+    ("&larr;", "←"),
+    ("&rarr;", "→"),
     ("&amp;", "&"),
 )
 
@@ -39,7 +68,6 @@ MD_RULES = (
     Rule("(?is)<script(\\s[^>]*)?>.*?</script>", ""),
     Rule("(?is)<style(\\s[^>]*)?>.*?</style>", ""),
     Rule("(?s)<!--.*?-->", ""),
-    Rule("(?is)<pre(\\s[^>]*)?>(.*?)</pre>", "\n\n```\n{2}\n```\n\n"),
     *_heading_rules(),
     Rule("(?is)<(b|strong)(\\s[^>]*)?>([^<]*)</(b|strong)>", "**{3}**"),
     Rule("(?is)<(i|em)(\\s[^>]*)?>([^<]*)</(i|em)>", "*{3}*"),
@@ -67,11 +95,22 @@ MD_RULES = (
 
 
 def extract_article(html) -> Column:
-    """the first <article> element (with its tag), NULL when there is none."""
+    """the first <article> element (with its tag), nested ones included; NULL
+    when there is none. An article that is never closed reaches to the end of
+    the page's main part."""
     h = F.col(html) if isinstance(html, str) else html
-    inner = F.regexp_extract(h, ARTICLE_RE, 2)
-    found = F.regexp_like(h, F.lit(ARTICLE_RE))
-    return F.when(found, F.concat(F.lit("<article>"), inner, F.lit("</article>")))
+    found = F.regexp_like(h, F.lit(ARTICLE_OPEN))
+    tail = F.element_at(F.split(h, ARTICLE_OPEN, 2), 2)
+    parts = F.split(tail, ARTICLE_CLOSE, -1)
+    # walk over the closing tags: each part may open further articles
+    start = F.struct(F.lit(1).alias("open"), F.lit(0).alias("n"))
+    walk = lambda a, x: F.when(a["open"] == 0, a).otherwise(
+        F.struct((a["open"] + F.regexp_count(x, F.lit(ARTICLE_OPEN)) - 1).alias("open"), (a["n"] + 1).alias("n"))
+    )
+    end = F.aggregate(F.slice(parts, 1, F.size(parts) - 1), start, walk)
+    closed = F.array_join(F.slice(parts, 1, end["n"]), "</article>")
+    rest = F.element_at(F.split(tail, "(?i)</(?:main|body|html)\\s*>", 2), 1)
+    return F.when(found, F.concat(F.lit("<article>"), F.when(end["open"] == 0, closed).otherwise(rest), F.lit("</article>")))
 
 
 def extract_article_sql(e: str) -> str:
@@ -81,11 +120,60 @@ def extract_article_sql(e: str) -> str:
     )
 
 
+def _apart(text: Column, pattern: str, inside: Callable[[Column], Column], outside: Callable[[Column], Column], glue: str) -> Column:
+    """Matches of ``pattern`` by ``inside``, the text between them by ``outside``, in order."""
+    parts, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), 0)
+    pairs = F.zip_with(F.transform(parts, outside), F.transform(hits, inside), lambda p, x: F.concat(p, F.when(x.isNull(), F.lit("")).otherwise(F.concat(F.lit(glue), x, F.lit(glue)))))
+    return F.when(F.regexp_like(text, F.lit(pattern)), F.array_join(pairs, "")).otherwise(outside(text))
+
+
+def _numbered(ol: Column) -> Column:
+    items = F.slice(F.split(F.regexp_replace(ol, "(?is)</li\\s*>|</?ol(\\s[^>]*)?>", ""), "(?i)<li(?:\\s[^>]*)?>", -1), 2, 1_000_000_000)
+    return F.array_join(F.transform(items, lambda x, i: F.concat((i + 1).cast("string"), F.lit(". "), F.trim(x))), "\n")
+
+
+def _utf8(code: Column) -> Column:
+    """Character of a code point, by its UTF-8 bytes."""
+    c = code.cast("int")
+    byte = lambda lead, shift: F.lpad(F.hex(F.lit(lead) + F.shiftright(c, shift).bitwiseAND(F.lit(0x3F if lead == 0x80 else 0xFF))), 2, "0")
+    h = (
+        F.when(c < 0x80, F.lpad(F.hex(c), 2, "0"))
+        .when(c < 0x800, F.concat(byte(0xC0, 6), byte(0x80, 0)))
+        .when(c < 0x10000, F.concat(byte(0xE0, 12), byte(0x80, 6), byte(0x80, 0)))
+        .otherwise(F.concat(byte(0xF0, 18), byte(0x80, 12), byte(0x80, 6), byte(0x80, 0)))
+    )
+    return F.decode(F.unhex(h), "UTF-8")
+
+
+def decode_numeric_entities(text: Column) -> Column:
+    """``&#8217;`` and ``&#x2019;`` as characters; numbers that name none stay."""
+    marks = F.array_distinct(F.regexp_extract_all(text, F.lit("(?i)&#(?:x[0-9a-f]{1,6}|[0-9]{1,7});"), 0))
+
+    def put(t: Column, e: Column) -> Column:
+        number = F.regexp_extract(e, "([0-9a-fA-F]+);", 1)
+        code = F.when(F.lower(e).contains("x"), F.conv(number, 16, 10)).otherwise(number).cast("int")
+        valid = ((code > 0) & (code < 0xD800)) | ((code > 0xDFFF) & (code <= 0x10FFFF))
+        return F.when(valid, F.replace(t, e, _utf8(code))).otherwise(t)
+
+    return F.when(text.contains("&#"), F.aggregate(marks, text, put)).otherwise(text)
+
+
+def _plain(h: Column) -> Column:
+    return apply_rules(h, MD_RULES)
+
+
+def _pre(h: Column) -> Column:
+    code = apply_rules(F.regexp_replace(F.regexp_replace(h, "(?is)^<pre[^>]*>|</pre\\s*>$", ""), "<[^>]*>", ""), [Rule(a, b, literal=True) for a, b in ENTITIES])
+    return F.concat(F.lit("```\n"), F.regexp_replace(code, "^\\n|\\n$", ""), F.lit("\n```"))
+
+
 def html_to_markdown(html) -> Column:
     """HTML -> Markdown with ATX headings; '' becomes NULL."""
     h = F.col(html) if isinstance(html, str) else html
-    md = apply_rules(h, MD_RULES)
-    return F.nullif(md, F.lit(""))
+    h = decode_numeric_entities(h)
+    with_lists = lambda x: _apart(x, OL_RE, lambda o: _plain(_numbered(o)), _plain, "\n\n")
+    md = _apart(h, PRE_RE, _pre, with_lists, "\n\n")
+    return F.nullif(F.regexp_replace(md, "^[ \\t\\r\\n]+|[ \\t\\r\\n]+$", ""), F.lit(""))
 
 
 def html_to_markdown_sql(e: str) -> str:

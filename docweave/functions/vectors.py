@@ -3,6 +3,8 @@ all as higher-order column expressions accumulated in DOUBLE."""
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,13 +13,13 @@ from docweave.functions.regex import sql_lit
 EMBED_TOKEN_RE = "[\\p{L}\\p{N}]+"
 EMBED_TOKEN_RE_SQL = "[\\pL\\pN]+"
 
-METRICS = ("L2", "IP", "COSINE")
+# Metric names as they are spelled; every other spelling is L2.
+METRIC_NAMES = {"L2": "L2", "IP": "IP", "INNER_PRODUCT": "IP", "COSINE": "COSINE"}
 
 
 def normalise_metric(metric: str | None) -> str:
-    """Unknown metric names map to L2, as the reference's type mapper does."""
-    m = (metric or "L2").upper()
-    return m if m in METRICS else "L2"
+    """L2, IP or COSINE; names are matched as spelled and unknown ones are L2."""
+    return METRIC_NAMES.get(metric or "L2", "L2")
 
 
 def _dot(a: Column, b: Column) -> Column:
@@ -63,16 +65,26 @@ def hashed_embedding(text, dim: int = 64) -> Column:
     """E1 default: lower-case word runs hashed to ``dim`` buckets by the first 32
     bits of their MD5, counted, and L2-normalised (zero vector for no words).
 
-    Lambdas only touch their own variables: a row-level expression referenced
-    inside a lambda would be re-evaluated once per array element.
+    One pass over the words whatever ``dim`` is: the words become bucket numbers
+    in the JVM, an Arrow UDF counts and normalises them batch by batch.
     """
     t = F.col(text) if isinstance(text, str) else text
     toks = F.regexp_extract_all(F.lower(F.coalesce(t, F.lit(""))), F.lit(EMBED_TOKEN_RE), 0)
     buckets = F.transform(toks, lambda w: F.pmod(F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint"), F.lit(dim)).cast("int"))
-    # the bucket list enters each count lambda as an element of array_repeat
-    counts = F.transform(F.array_repeat(buckets, dim), lambda bs, i: F.size(F.filter(bs, lambda b: b == i)).cast("double"))
-    norm = F.sqrt(F.aggregate(counts, F.lit(0.0), lambda s, v: s + v * v))
-    return F.zip_with(counts, F.array_repeat(norm, dim), lambda v, n: F.when(n > 0, v / n).otherwise(F.lit(0.0)).cast("float"))
+    return _counter(dim)(buckets)
+
+
+def _counter(dim: int):
+    @F.pandas_udf("array<float>")
+    def count(buckets: pd.Series) -> pd.Series:
+        out = []
+        for b in buckets:
+            c = np.bincount(np.asarray(b, dtype=np.int64), minlength=dim).astype(np.float64)
+            norm = np.sqrt((c * c).sum())
+            out.append((c / norm if norm else c).astype(np.float32))
+        return pd.Series(out, dtype=object)
+
+    return count
 
 
 def hashed_embedding_sql(e: str, dim: int = 64) -> str:

@@ -1,14 +1,14 @@
 """T1 split-by-heading, W1 heading carry, W4 chunk numbers and T2 chunk_docs.
 
-Plan shape: the document is split into lines in-row (``posexplode``), the
-code-fence state machine is folded in-row over the few fence lines only,
-then one hash exchange by document feeds every window (heading carry,
-islands, joiners) and the final group-by reuses that partitioning, so the
-whole job has one shuffle. Per-task work is bounded by the largest document.
+A document is one row: an Arrow UDF walks its lines once (linear in the text)
+and returns the document's sections as one array, which is exploded once. No
+exchange, no sort, and rows that share a key are split apart from each other.
+W1 states the heading carry line by line, with windows.
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -137,40 +137,49 @@ def heading_carry(lines: DataFrame, key: str = "filename", split_on_h3: bool = F
     )
 
 
-def split_by_heading(docs: DataFrame, key: str = "filename", text: str = "text", split_on_h3: bool = False) -> DataFrame:
-    """Markdown documents -> (key, chunk_no, header1, header2, header3, content).
+def sections(text: str, deepest: int = 2) -> list[tuple[str | None, str | None, str | None, str]]:
+    """T1 on one document: (header1, header2, header3, content) in order.
 
-    Chunks are islands of content lines with equal headings; lines of one
-    paragraph join with '\\n', paragraphs with two spaces + '\\n'.
+    A run of lines under the same headings is one section; lines of a paragraph
+    join with a line feed, paragraphs with two blanks and a line feed.
     """
-    carried = heading_carry(split_lines(docs, key, text), key, split_on_h3).where("is_content")
-    w = Window.partitionBy(key).orderBy("pos")
-    hs = F.struct("header1", "header2", "header3")
-    prev_pos = F.lag("pos").over(w)
-    new_island = prev_pos.isNull() | ~hs.eqNullSafe(F.lag(hs).over(w))
-    staged = carried.select(
-        key,
-        "pos",
-        "header1",
-        "header2",
-        "header3",
-        new_island.alias("_new"),
-        F.when(new_island, F.col("s"))
-        .when(F.col("pos") - prev_pos == 1, F.concat(F.lit("\n"), F.col("s")))
-        .otherwise(F.concat(F.lit("  \n"), F.col("s")))
-        .alias("_piece"),
-    )
-    staged = staged.withColumn(
-        "chunk_no",
-        F.sum(F.col("_new").cast("bigint")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-    )
-    pieces = F.array_sort(F.collect_list(F.struct("pos", "_piece")))
-    return staged.groupBy(key, "chunk_no").agg(
-        F.first("header1").alias("header1"),
-        F.first("header2").alias("header2"),
-        F.first("header3").alias("header3"),
-        F.array_join(F.transform(pieces, lambda x: x["_piece"]), "").alias("content"),
-    )
+    out: list[tuple[tuple, list[str]]] = []
+    heads: list[str | None] = [None, None, None]
+    fence, paragraph_ends = "", True
+    for raw in text.split("\n"):
+        line = "".join(filter(str.isprintable, raw.strip()))
+        in_code = bool(fence)
+        if in_code:
+            fence = "" if line.startswith(fence) else fence
+        elif line.startswith(FENCE_TILDE) or (line.startswith(FENCE_TICK) and line.count(FENCE_TICK) == 1):
+            fence, in_code = line[:3], True
+        marks = len(line) - len(line.lstrip("#"))
+        if not in_code and 0 < marks <= deepest and line[marks : marks + 1] in ("", " "):
+            heads = [*heads[: marks - 1], line[marks:].strip(), *[None] * (3 - marks)]
+            paragraph_ends = True
+        elif line or in_code:
+            if out and out[-1][0] == tuple(heads):
+                out[-1][1].append(("  \n" if paragraph_ends else "\n") + line)
+            else:
+                out.append((tuple(heads), [line]))
+            paragraph_ends = False
+        else:
+            paragraph_ends = True
+    return [(*h, "".join(lines)) for h, lines in out]
+
+
+def split_by_heading(docs: DataFrame, key: str = "filename", text: str = "text", split_on_h3: bool = False) -> DataFrame:
+    """Markdown documents -> (key, chunk_no, header1, header2, header3, content)."""
+    deepest = 3 if split_on_h3 else 2
+
+    @F.pandas_udf("array<struct<header1:string,header2:string,header3:string,content:string>>")
+    def split(texts: pd.Series) -> pd.Series:
+        names = ("header1", "header2", "header3", "content")
+        return texts.map(lambda t: [] if t is None else [dict(zip(names, x)) for x in sections(t, deepest)])
+
+    # the outer generator keeps the UDF from being repeated in a pushed-down filter
+    found = docs.select(F.col(key), F.posexplode_outer(split(F.col(text))).alias("_n", "_s")).where(F.col("_s").isNotNull())
+    return found.select(key, (F.col("_n") + 1).cast("bigint").alias("chunk_no"), "_s.header1", "_s.header2", "_s.header3", "_s.content")
 
 
 def chunk_docs(docs: DataFrame, opts: JobOptions, key: str = "filename", text: str = "text") -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from docweave.functions.text import format_file_path
 from docweave.options import JobOptions
 from docweave.plans.pipelines import drop_ignored_paths, release_markdown
+from docweave.session import scratch_path
 from docweave.sources.scan import ignore_paths_predicate
 
 ADDED, MODIFIED, DELETED, UNCHANGED = "added", "modified", "deleted", "unchanged"
@@ -63,17 +64,22 @@ def diff_deleted(old: DataFrame, new: DataFrame, opts: JobOptions, diff: DataFra
 
 
 def release_changes(old: DataFrame, new: DataFrame, opts: JobOptions) -> DataFrame:
-    """The release change set as one table (filename, status, markdown):
-    added / modified with their Markdown (pages without an article are
-    skipped, D8), deleted without. The diff is used once: changed paths meet
-    the new pages in one right join (deleted paths find no page)."""
-    d = snapshot_diff(old, new, opts).where(F.col("status") != UNCHANGED)
-    j = new.select("rel_path", "html").join(d, "rel_path", "right")
-    md = release_markdown(j, opts, drop_empty=False, keep=("status",))
-    upsert = F.col("status").isin(ADDED, MODIFIED) & F.col("markdown").isNotNull() & (F.col("markdown") != "")
-    return md.where(upsert | (F.col("status") == DELETED)).select(
-        "filename", "status", F.when(F.col("status") == DELETED, F.lit(None).cast("string")).otherwise(F.col("markdown")).alias("markdown")
-    )
+    """The release change set as one table (filename, status, markdown), a file
+    once: added / modified with their Markdown (pages without an article are
+    skipped, D8), deleted without.
+
+    The changed paths and states are written first (short columns), so that
+    their size is known: below Spark's broadcast threshold the pages are the
+    streamed side of the join and no page body is shuffled. A snapshot table
+    that stores ``sha256`` is not hashed again."""
+    spark = new.sparkSession
+    path = scratch_path(spark, "changed-paths")
+    snapshot_diff(old, new, opts).where(F.col("status") != UNCHANGED).write.parquet(path)
+    d = spark.read.parquet(path)
+    changed = d.where(F.col("status") != DELETED).select("rel_path", "status")
+    md = release_markdown(new.select("rel_path", "html").join(changed, "rel_path"), opts, keep=("status",))
+    gone = d.where(F.col("status") == DELETED).select("filename", "status", F.lit(None).cast("string").alias("markdown"))
+    return md.select("filename", "status", "markdown").unionByName(gone)
 
 
 def commit_diff(files: DataFrame, opts: JobOptions) -> DataFrame:
@@ -96,7 +102,8 @@ def change_summary(diff: DataFrame) -> DataFrame:
 
 
 def records_per_file(chunks: DataFrame, verb: str = "added", prep: str = "from") -> DataFrame:
-    """A2: records per file with the message text of the reference's log lines."""
+    """A2: records per file with a message."""
     g = chunks.groupBy("filename").agg(F.count(F.lit(1)).alias("n_records"))
+    # Fixed value: the message's wording
     msg = F.format_string(f"Successfully {verb} %d records {prep} %s", F.col("n_records"), F.col("filename"))
     return g.select("filename", "n_records", msg.alias("message"))

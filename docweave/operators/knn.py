@@ -2,20 +2,17 @@
 random-hyperplane LSH (L5).
 
 No cross join and no pair rows: distances are computed inside tasks by a
-numpy kernel that emits only each question's k best candidates of the rows
-it sees; a window (with Spark's partial ``WindowGroupLimit``) keeps the
-global k best. Ranking key: distance rounded to 1e-9, then the chunk key,
-so near-equal distances rank by key in every engine.
-
-Plans
-* broadcast: the question side (row count checked against
-  ``knn_broadcast_max_rows``) is broadcast; chunks are scanned in place.
-* blocked: above the bound, questions are cut into blocks and chunks into
-  blocks of ``knn_block_rows``; each (question block, chunk block) cell is one
-  ``cogroup`` group, so no group grows with the data.
-* IVF / LSH: the group is (list or bucket, salt); a hot list is split into
-  salts of at most ``knn_block_rows`` chunks, the questions probing it are
-  replicated to each salt.
+numpy kernel that emits each question's k best of the rows it sees, and no
+more; a window keeps the global k best. Ranking key: distance rounded to 1e-9,
+then the chunk key, so near-equal distances rank by key in every engine.
+
+Exact plan: questions and chunks are cut into hash blocks of bounded bytes;
+each (question block, chunk block) cell is one ``cogroup`` group. Nothing is
+collected or broadcast, and there is one plan for every size. The kernel works
+in tiles, so its memory is a constant beside the two blocks.
+
+IVF / LSH: a group is (list or bucket, chunk salt, question salt); a hot list
+is split on both sides, so no group grows with the data.
 """
 
 from __future__ import annotations
@@ -34,7 +31,9 @@ from docweave.functions.vectors import distance, normalise_metric
 from docweave.options import JobOptions
 
 RANK_DIGITS = 9
-MARGIN = 1e-6
+#: distances held at a time by the kernel
+TILE = 4_000_000
+CHUNK_TILE = 16_384
 
 
 # ------------------------------------------------------------------ kernel
@@ -45,41 +44,81 @@ def _exact(qv: np.ndarray, cv: np.ndarray, metric: str) -> np.ndarray:
         return -np.einsum("ij,ij->i", qv, cv)
     if metric == "COSINE":
         dot = np.einsum("ij,ij->i", qv, cv)
-        return 1.0 - dot / (np.sqrt(np.einsum("ij,ij->i", qv, qv)) * np.sqrt(np.einsum("ij,ij->i", cv, cv)))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return 1.0 - dot / (np.sqrt(np.einsum("ij,ij->i", qv, qv)) * np.sqrt(np.einsum("ij,ij->i", cv, cv)))
     d = qv - cv
     return np.sqrt(np.einsum("ij,ij->i", d, d))
 
 
-def _approx(Q: np.ndarray, C: np.ndarray, metric: str) -> np.ndarray:
-    """Matrix-product distances (monotone in the exact ones, up to round-off)."""
+def _near(Q: np.ndarray, C: np.ndarray, k: int, metric: str) -> np.ndarray:
+    """Mask of the pairs that can be among a question's k nearest: those within
+    the k-th smallest matrix-product distance plus what round-off (relative to
+    the norms) and the rounding of ranks can hide."""
     S = Q @ C.T
+    eps = 4 * np.finfo(np.float64).eps * (Q.shape[1] + 8)
+    step = 2 * 10.0**-RANK_DIGITS
+    q2, c2 = (Q * Q).sum(1)[:, None], (C * C).sum(1)[None, :]
     if metric == "IP":
-        return -S
-    if metric == "COSINE":
-        qn = np.sqrt((Q * Q).sum(1))[:, None]
-        cn = np.sqrt((C * C).sum(1))[None, :]
+        A, slack = -S, eps * np.sqrt(q2 * c2.max()) + step
+    elif metric == "COSINE":
         with np.errstate(divide="ignore", invalid="ignore"):
-            return 1.0 - S / (qn * cn)
-    d2 = (Q * Q).sum(1)[:, None] + (C * C).sum(1)[None, :] - 2.0 * S
-    return np.sqrt(np.maximum(d2, 0.0))
-
-
-def topk_block(Q: np.ndarray, C: np.ndarray, k: int, metric: str):
-    """For each question row, candidate chunk indexes whose approximate distance
-    is within MARGIN of its k-th best, with exact distances. Returns
-    (q_index, c_index, distance) arrays."""
-    nq, nc = Q.shape[0], C.shape[0]
-    if nq == 0 or nc == 0:
-        return np.empty(0, int), np.empty(0, int), np.empty(0)
-    A = _approx(Q, C, metric)
-    A = np.where(np.isnan(A), np.inf, A)
-    if nc > k:
-        kth = np.partition(A, k - 1, axis=1)[:, k - 1]
-        qi, ci = np.nonzero(A <= (kth + MARGIN)[:, None])
+            A = 1.0 - S / np.sqrt(q2 * c2)
+        slack = np.full((len(Q), 1), eps + step)
     else:
-        qi, ci = np.nonzero(np.ones_like(A, dtype=bool))
-    d = _exact(Q[qi], C[ci], metric)
-    return qi, ci, d
+        A, slack = q2 + c2 - 2.0 * S, eps * (q2 + c2.max())
+    A = np.where(np.isnan(A), np.inf, A)
+    kth = np.partition(A, k - 1, axis=1)[:, k - 1 : k] if k < A.shape[1] else np.full((len(Q), 1), np.inf)
+    if metric == "L2":  # squared so far; the ranks round the root
+        return A <= (np.sqrt(np.maximum(kth + slack, 0.0)) + step) ** 2 + slack
+    return A <= kth + slack
+
+
+def topk_block(Q: np.ndarray, C: np.ndarray, k, metric: str):
+    """The k nearest rows of C for each row of Q as (q_index, c_index, distance)
+    arrays; ties in the rounded distance go to the lower index. ``k``: one
+    number, or one per row of Q. Exactly min(k, len(C)) rows per question."""
+    ks = np.broadcast_to(np.asarray(k, dtype=np.int64), (len(Q),))
+    none = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+    if not len(Q) or not len(C) or ks.max() <= 0:
+        return none
+    out, a = [], 0
+    by_k = np.argsort(ks, kind="stable")  # a tile holds questions of similar k
+    while a < len(Q):
+        # the tile's height follows from its largest k, which sits at its end
+        top = max(1, int(ks[by_k[a]]))
+        width = min(len(C), max(CHUNK_TILE, top))
+        height = max(1, TILE // width)
+        tile = by_k[a : a + height]
+        tile = tile[ks[tile] <= max(4 * top, 64)]
+        a += len(tile)
+        found = _tile_topk(Q[tile], C, ks[tile], width, metric)
+        out.append((tile[found[0]], found[1], found[2]))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def _tile_topk(q: np.ndarray, C: np.ndarray, ks: np.ndarray, width: int, metric: str):
+    top = int(ks.max())
+    if top <= 0:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+    found = []
+    limit = max(1, TILE // q.shape[1])  # pairs whose vectors are held at a time
+    for b in range(0, len(C), width):
+        c = C[b : b + width]
+        mask = _near(q, c, min(top, len(c)), metric)
+        crowded = mask.sum(1) > 4 * top + 64
+        qi, ci = np.nonzero(mask & ~crowded[:, None])
+        for x in range(0, len(qi), limit):
+            found.append((qi[x : x + limit], ci[x : x + limit] + b, _exact(q[qi[x : x + limit]], c[ci[x : x + limit]], metric)))
+        for r in np.flatnonzero(crowded):  # many ties: one question at a time, cut to k at once
+            i = np.flatnonzero(mask[r])
+            d = np.concatenate([_exact(np.broadcast_to(q[r], (len(j), q.shape[1])), c[j], metric) for j in np.array_split(i, -(-len(i) // limit))])
+            best = np.lexsort((i, np.round(d, RANK_DIGITS)))[:top]
+            found.append((np.full(len(best), r), i[best] + b, d[best]))
+    qi, ci, d = (np.concatenate(x) for x in zip(*found))
+    order = np.lexsort((ci, np.round(d, RANK_DIGITS), qi))
+    qi, ci, d = qi[order], ci[order], d[order]
+    keep = np.arange(len(qi)) - np.searchsorted(qi, qi) < ks[qi]
+    return qi[keep], ci[keep], d[keep]
 
 
 def _matrix(col: pd.Series) -> np.ndarray:
@@ -88,10 +127,30 @@ def _matrix(col: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in col.to_numpy()])
 
 
+def _cell_kernel(k, m, qkey, ckey):
+    """Kernel of one cell; ``k``: a number or the name of a question column."""
+
+    def kernel(qpdf: pd.DataFrame, cpdf: pd.DataFrame) -> pd.DataFrame:
+        cpdf = cpdf.sort_values(ckey, kind="stable")  # index order = key order
+        ks = qpdf[k].to_numpy() if isinstance(k, str) else k
+        qi, ci, d = topk_block(_matrix(qpdf["_qv"]), _matrix(cpdf["_cv"]), ks, m)
+        out = {col: qpdf[col].to_numpy()[qi] for col in qkey}
+        for col in ckey:
+            out[col] = cpdf[col].to_numpy()[ci]
+        if isinstance(k, str):
+            out[k] = ks[qi]
+        out["distance"] = d
+        return pd.DataFrame(out)
+
+    return kernel
+
+
 # ------------------------------------------------------------------ exact kNN
 
-def _out_schema(qkey, ckey, qdf: DataFrame, cdf: DataFrame) -> T.StructType:
+def _out_schema(qkey, ckey, qdf: DataFrame, cdf: DataFrame, k=None) -> T.StructType:
     fields = [qdf.schema[c] for c in qkey] + [cdf.schema[c] for c in ckey]
+    if isinstance(k, str):
+        fields.append(T.StructField(k, T.LongType()))
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in fields] + [T.StructField("distance", T.DoubleType(), True)])
 
 
@@ -99,14 +158,20 @@ def _final_topk(partial: DataFrame, qkey, ckey, k) -> DataFrame:
     w = Window.partitionBy(*qkey).orderBy(F.round("distance", RANK_DIGITS), *ckey)
     ranked = partial.withColumn("rank", F.row_number().over(w).cast("bigint"))
     if isinstance(k, str):
-        return ranked.where(F.col("rank") <= F.col(k))
+        return ranked.where(F.col("rank") <= F.col(k)).drop(k)
     return ranked.where(F.col("rank") <= k)
 
 
+def _blocks(rows: int, dim: int, limit: int, at_least: int) -> int:
+    """Number of blocks that keep ``rows`` vectors of ``dim`` doubles under
+    ``limit`` bytes each; more for small inputs, so that all cores have work."""
+    return max(1, math.ceil(rows * dim * 8 / limit), min(at_least, rows // 1000))
+
+
 def knn_exact(
     questions: DataFrame,
     chunks: DataFrame,
-    k: int,
+    k: int | str,
     opts: JobOptions,
     qkey=("request_id", "q_no"),
     ckey=("filename", "chunk_no"),
@@ -114,69 +179,25 @@ def knn_exact(
     cvec: str = "vector",
     metric: str | None = None,
 ) -> DataFrame:
-    """The k nearest chunks of every question -> qkey + ckey + distance + rank."""
+    """The k nearest chunks of every question -> qkey + ckey + distance + rank.
+    ``k``: one number, or the name of a question column with a number per question."""
     qkey, ckey = list(qkey), list(ckey)
     m = normalise_metric(metric or opts.metric)
-    q = questions.select(*qkey, F.col(qvec).alias("_qv"))
+    extra = [F.col(k).cast("bigint").alias(k)] if isinstance(k, str) else []
+    q = questions.select(*qkey, *extra, F.col(qvec).alias("_qv"))
     c = chunks.select(*ckey, F.col(cvec).alias("_cv"))
-    schema = _out_schema(qkey, ckey, q, c)
-    # one job both sizes and (when small enough) collects the question side:
-    # at most bound + 1 rows ever reach the driver
-    head = q.limit(opts.knn_broadcast_max_rows + 1).toPandas()
-    if len(head) <= opts.knn_broadcast_max_rows:
-        partial = _broadcast_plan(q, c, k, m, qkey, ckey, schema, head)
-    else:
-        partial = _blocked_plan(q, c, k, m, qkey, ckey, schema, q.count(), opts)
+    cores = chunks.sparkSession.sparkContext.defaultParallelism
+    qb = _blocks(questions.count(), opts.embed_dim, opts.knn_block_bytes, 1)
+    cb = _blocks(chunks.count(), opts.embed_dim, opts.knn_block_bytes, cores)
+    qs = q.withColumn("_qb", F.pmod(F.xxhash64(*qkey), F.lit(qb))).withColumn("_cb", F.explode(F.sequence(F.lit(0), F.lit(cb - 1))))
+    cs = c.withColumn("_cb", F.pmod(F.xxhash64(*ckey), F.lit(cb)).cast("int")).withColumn("_qb", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(qb - 1).cast("bigint"))))
+    schema = _out_schema(qkey, ckey, q, c, k)
+    partial = qs.groupBy("_qb", "_cb").cogroup(cs.groupBy("_qb", "_cb")).applyInPandas(_cell_kernel(k, m, qkey, ckey), schema)
     # hits are questions x k rows and usually feed several branches (scores,
     # blocks, has-hits); a reliable checkpoint runs the kernel once
     return _final_topk(partial, qkey, ckey, k).checkpoint(eager=True)
 
 
-def _broadcast_plan(q, c, k, m, qkey, ckey, schema, pdf):
-    spark = q.sparkSession
-    keys = {col: pdf[col].to_numpy() for col in qkey}
-    bq = spark.sparkContext.broadcast((keys, _matrix(pdf["_qv"])))
-
-    def kernel(batches):
-        qkeys, Q = bq.value
-        for b in batches:
-            if len(b) == 0:
-                continue
-            C = _matrix(b["_cv"])
-            qi, ci, d = topk_block(Q, C, k, m)
-            out = {col: qkeys[col][qi] for col in qkey}
-            for col in ckey:
-                out[col] = b[col].to_numpy()[ci]
-            out["distance"] = d
-            yield pd.DataFrame(out)
-
-    return c.mapInPandas(kernel, schema)
-
-
-def _cell_kernel(k, m, qkey, ckey):
-    def kernel(qpdf: pd.DataFrame, cpdf: pd.DataFrame) -> pd.DataFrame:
-        Q, C = _matrix(qpdf["_qv"]), _matrix(cpdf["_cv"])
-        qi, ci, d = topk_block(Q, C, k, m)
-        out = {col: qpdf[col].to_numpy()[qi] for col in qkey}
-        for col in ckey:
-            out[col] = cpdf[col].to_numpy()[ci]
-        out["distance"] = d
-        return pd.DataFrame(out)
-
-    return kernel
-
-
-def _blocked_plan(q, c, k, m, qkey, ckey, schema, n_q, opts):
-    n_c = c.count()
-    qb = max(1, math.ceil(n_q / opts.knn_broadcast_max_rows))
-    cb = max(1, math.ceil(n_c / opts.knn_block_rows))
-    qh = F.pmod(F.xxhash64(*qkey), F.lit(qb))
-    ch = F.pmod(F.xxhash64(*ckey), F.lit(cb))
-    qs = q.withColumn("_qb", qh).withColumn("_cb", F.explode(F.sequence(F.lit(0), F.lit(cb - 1))))
-    cs = c.withColumn("_cb", ch).withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1))))
-    return qs.groupBy("_qb", "_cb").cogroup(cs.groupBy("_qb", "_cb")).applyInPandas(_cell_kernel(k, m, qkey, ckey), schema)
-
-
 # ------------------------------------------------------------------ single vector
 
 def topk_search(chunks: DataFrame, query_vector, k: int = 0, opts: JobOptions | None = None, ckey=("filename", "chunk_no"), cvec: str = "vector", metric: str = "L2") -> DataFrame:
@@ -232,12 +253,9 @@ def _nearest_lists(df: DataFrame, centroids, vec: str, n: int, metric: str) -> D
             if len(b) == 0:
                 continue
             V = _matrix(b[vec])
-            # matrix-product distances pick the candidates, exact ones rank them
-            qi, ci, d = topk_block(V, K, n, metric)
-            cand = pd.DataFrame({"r": qi, "c": ci, "d": np.round(d, RANK_DIGITS)})
-            best = cand.sort_values(["r", "d", "c"], kind="stable").groupby("r", sort=False).head(n)
-            o = b.iloc[best["r"].to_numpy()].reset_index(drop=True)
-            o["list_id"] = best["c"].to_numpy().astype("int32")
+            qi, ci, _ = topk_block(V, K, n, metric)
+            o = b.iloc[qi].reset_index(drop=True)
+            o["list_id"] = ci.astype("int32")
             yield o[cols + ["list_id"]]
 
     return df.mapInPandas(kernel, out_schema)
@@ -254,14 +272,24 @@ def probe_lists(df: DataFrame, centroids, vec: str, nprobe: int, metric: str = "
     return _nearest_lists(df, centroids, vec, nprobe, metric)
 
 
-def _salted_groups(q: DataFrame, c: DataFrame, gcol: str, opts: JobOptions):
-    """Split each group (list / bucket) into salts of at most knn_block_rows
-    chunks; replicate the questions of the group to every salt."""
-    sizes = c.groupBy(gcol).agg(F.count(F.lit(1)).alias("_n"))
-    salts = sizes.select(gcol, F.greatest(F.lit(1), F.ceil(F.col("_n") / opts.knn_block_rows)).cast("int").alias("_ns"))
-    cs = c.join(salts, gcol).withColumn("_salt", F.pmod(F.xxhash64(*[x for x in c.columns if x not in (gcol, "_cv")]), F.col("_ns")).cast("int")).drop("_ns")
-    qs = q.join(salts, gcol).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_ns") - 1))).drop("_ns")
-    return qs, cs
+def _salted_groups(q: DataFrame, c: DataFrame, gcol: str, opts: JobOptions, qkey, ckey):
+    """Split both sides of each group (list / bucket) into salts of at most
+    ``knn_block_bytes``; each side is replicated to the salts of the other."""
+    rows = max(1, opts.knn_block_bytes // (8 * opts.embed_dim))
+    salts = lambda side, name: side.groupBy(gcol).agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias(name))
+    both = salts(c, "_nc").join(salts(q, "_nq"), gcol)
+    own = lambda key, n: F.pmod(F.xxhash64(*key), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    cs = c.join(both, gcol).withColumn("_cs", own(ckey, "_nc")).withColumn("_qs", every("_nq")).drop("_nc", "_nq")
+    qs = q.join(both, gcol).withColumn("_qs", own(qkey, "_nq")).withColumn("_cs", every("_nc")).drop("_nc", "_nq")
+    group = [gcol, "_cs", "_qs"]
+    return qs.groupBy(*group).cogroup(cs.groupBy(*group))
+
+
+def _with_found(hits: DataFrame, qkey) -> DataFrame:
+    """``n_found``: the number of hits of the question; less than k is a shortfall
+    of the approximate search (or of the corpus)."""
+    return hits.withColumn("n_found", F.count(F.lit(1)).over(Window.partitionBy(*qkey)))
 
 
 def build_ivf_index(chunks: DataFrame, centroids, opts: JobOptions, ckey=("filename", "chunk_no"), cvec: str = "vector") -> DataFrame:
@@ -287,23 +315,27 @@ def knn_ivf(
 
     ``index``: a stored ``build_ivf_index`` result (with its centroids); without
     it the assignment is built here and materialised once (it feeds both the
-    list sizes and the candidate groups)."""
+    list sizes and the candidate groups). Without ``centroids`` the lists are
+    trained by KMeans over all vectors."""
     qkey, ckey = list(qkey), list(ckey)
     m = normalise_metric(opts.metric)
     if index is not None:
         c, cents = index
     else:
-        cents = centroids if centroids is not None else sample_centroids(chunks, opts.ivf_lists, ckey, cvec)
+        cents = centroids if centroids is not None else kmeans_centroids(chunks, opts.ivf_lists, cvec)
         c = build_ivf_index(chunks, cents, opts, ckey, cvec).checkpoint(eager=True)
     q = probe_lists(questions.select(*qkey, F.col(qvec).alias("_qv")), cents, "_qv", opts.ivf_nprobe, m)
-    qs, cs = _salted_groups(q, c, "list_id", opts)
     schema = _out_schema(qkey, ckey, q, c)
-    partial = qs.groupBy("list_id", "_salt").cogroup(cs.groupBy("list_id", "_salt")).applyInPandas(_cell_kernel(k, m, qkey, ckey), schema)
-    return _final_topk(partial, qkey, ckey, k)
+    partial = _salted_groups(q, c, "list_id", opts, qkey, ckey).applyInPandas(_cell_kernel(k, m, qkey, ckey), schema)
+    return _with_found(_final_topk(partial, qkey, ckey, k), qkey)
 
 
 # ------------------------------------------------------------------ LSH
 
+#: bits of a band's signature at most; a bucket is band * 2^MAX_BITS + signature
+MAX_BITS = 24
+
+
 def hyperplanes(bands: int, bits: int, dim: int, seed: str = "lsh") -> list[list[list[float]]]:
     """Deterministic random hyperplanes: coordinate (b, j, d) from the MD5 of
     its position (a rule, not a stored table)."""
@@ -314,29 +346,43 @@ def hyperplanes(bands: int, bits: int, dim: int, seed: str = "lsh") -> list[list
     return [[[u(b, j, d) for d in range(dim)] for j in range(bits)] for b in range(bands)]
 
 
-def band_keys(df: DataFrame, vec: str, planes, out: str = "bucket") -> DataFrame:
-    """One row per band: bucket = band * 2^bits + signature bits of the band
-    (sign of the dot product with each hyperplane), by a numpy kernel; the
-    hyperplanes (bands x bits x dim, parameter-sized) are broadcast."""
+def lsh_bits(rows: int, opts: JobOptions) -> int:
+    """Bits per band, growing with the logarithm of the table, so that an average
+    bucket keeps ``lsh_bucket_rows`` rows at every size."""
+    return max(opts.lsh_bits, min(MAX_BITS, math.ceil(math.log2(max(1.0, rows / opts.lsh_bucket_rows)))))
+
+
+def mean_vector(chunks: DataFrame, cvec: str = "vector") -> list[float]:
+    """Mean of all vectors, rounded to 1e-6 (``dim`` numbers)."""
+    parts = chunks.select(F.posexplode(cvec).alias("i", "x")).groupBy("i").agg(F.round(F.avg(F.col("x").cast("double")), 6).alias("m"))
+    return [r["m"] for r in parts.orderBy("i").collect()]
+
+
+def band_keys(df: DataFrame, vec: str, planes, centre=None, out: str = "bucket") -> DataFrame:
+    """One row per band: bucket = band * 2^MAX_BITS + signature bits of the band
+    (signs of the dot products of the centred vector with the hyperplanes), by a
+    numpy kernel; the hyperplanes (bands x bits x dim, parameter-sized) and the
+    centre are broadcast."""
     spark = df.sparkSession
     H = np.asarray(planes, dtype=np.float64)
     bands, bits = H.shape[0], H.shape[1]
-    bc = spark.sparkContext.broadcast(H.reshape(bands * bits, -1))
-    out_schema = T.StructType(list(df.schema.fields) + [T.StructField(out, T.IntegerType(), True)])
+    H = H.reshape(bands * bits, -1)
+    bc = spark.sparkContext.broadcast((H, H @ np.asarray(centre, dtype=np.float64) if centre else np.zeros(bands * bits)))
+    out_schema = T.StructType(list(df.schema.fields) + [T.StructField(out, T.LongType(), True)])
     cols = df.columns
     weights = (1 << np.arange(bits)).astype(np.int64)
 
     def kernel(batches):
-        P = bc.value
+        P, shift = bc.value
         for b in batches:
             if len(b) == 0:
                 continue
             V = _matrix(b[vec])
-            S = (V @ P.T >= 0).reshape(len(V), bands, bits).astype(np.int64)
-            keys = (S * weights).sum(axis=2) + (np.arange(bands) << bits)[None, :]
+            S = (V @ P.T >= shift[None, :]).reshape(len(V), bands, bits).astype(np.int64)
+            keys = (S * weights).sum(axis=2) + (np.arange(bands, dtype=np.int64) << MAX_BITS)[None, :]
             rows = np.repeat(np.arange(len(b)), bands)
             o = b.iloc[rows].reset_index(drop=True)
-            o[out] = keys.reshape(-1).astype("int32")
+            o[out] = keys.reshape(-1)
             yield o[cols + [out]]
 
     return df.mapInPandas(kernel, out_schema)
@@ -352,15 +398,17 @@ def knn_lsh(
     qvec: str = "qvec",
     cvec: str = "vector",
 ) -> DataFrame:
-    """Candidates share at least one band bucket; exact re-score, keep k."""
+    """Candidates share at least one band bucket; exact re-score, keep k.
+
+    Counted vectors are all non-negative and point one way, so they are centred
+    on their mean first; the number of bits follows the table's size."""
     qkey, ckey = list(qkey), list(ckey)
     m = normalise_metric(opts.metric)
-    dim = opts.embed_dim
-    planes = hyperplanes(opts.lsh_bands, opts.lsh_bits, dim)
-    c = band_keys(chunks.select(*ckey, F.col(cvec).alias("_cv")), "_cv", planes).checkpoint(eager=True)
-    q = band_keys(questions.select(*qkey, F.col(qvec).alias("_qv")), "_qv", planes)
-    qs, cs = _salted_groups(q, c, "bucket", opts)
+    planes = hyperplanes(opts.lsh_bands, lsh_bits(chunks.count(), opts), opts.embed_dim)
+    centre = mean_vector(chunks, cvec)
+    c = band_keys(chunks.select(*ckey, F.col(cvec).alias("_cv")), "_cv", planes, centre).checkpoint(eager=True)
+    q = band_keys(questions.select(*qkey, F.col(qvec).alias("_qv")), "_qv", planes, centre)
     schema = _out_schema(qkey, ckey, q, c)
-    partial = qs.groupBy("bucket", "_salt").cogroup(cs.groupBy("bucket", "_salt")).applyInPandas(_cell_kernel(k, m, qkey, ckey), schema)
+    partial = _salted_groups(q, c, "bucket", opts, qkey, ckey).applyInPandas(_cell_kernel(k, m, qkey, ckey), schema)
     dedup = partial.groupBy(*qkey, *ckey).agg(F.min("distance").alias("distance"))
-    return _final_topk(dedup, qkey, ckey, k)
+    return _with_found(_final_topk(dedup, qkey, ckey, k), qkey)

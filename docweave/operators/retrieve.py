@@ -13,7 +13,7 @@ from docweave.functions.tokens import token_count
 from docweave.functions.vectors import EMBED_TOKEN_RE
 from docweave.operators.embed import embed_questions
 from docweave.operators.knn import knn_exact
-from docweave.options import K_NEIGHBOURS, NO_DOCS_TEXT, JobOptions
+from docweave.options import NO_DOCS_TEXT, JobOptions
 
 # Own wording of the prompt texts (option strings).
 DEFAULT_SYSTEM_PROMPT = "Answer the questions with the documentation excerpts given below; say so when they do not cover it."
@@ -43,41 +43,54 @@ def normalise_requests(questions: DataFrame) -> tuple[DataFrame, DataFrame]:
     ctx = F.coalesce(F.nullif(F.col("context"), F.lit("")), first_q)
     accepted = q.where(F.col("_valid") == 1).select("request_id", "q_no", "question", ctx.alias("context"))
     rejected = q.where(F.col("_valid") == 0).select("request_id").distinct().withColumn(
-        "error", F.lit("'questions' parameter must be provided and not be empty")
+        "error", F.lit("a request needs at least one question that is not empty")
     )
     return accepted, rejected
 
 
 # ------------------------------------------------------------------ E4 / L3
 
-def term_stats(chunks: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """(chunk, term, tf), (term, df), (chunk, dl) and one row (n_docs, avgdl)."""
-    toks = chunks.select(*CKEY, F.explode_outer(words(F.col("text"))).alias("term"))
-    tf = toks.where(F.col("term").isNotNull()).groupBy(*CKEY, "term").agg(F.count(F.lit(1)).alias("tf"))
-    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    lens = chunks.select(*CKEY, F.size(words(F.col("text"))).alias("dl"))
-    coll = lens.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avgdl"))
-    return tf, df, lens, coll
+def chunk_lengths(chunks: DataFrame) -> DataFrame:
+    """One row: number of chunks and their mean length in words."""
+    return chunks.agg(F.count(F.lit(1)).alias("n_docs"), F.avg(F.size(words(F.col("text")))).alias("avgdl"))
 
 
-def build_term_index(chunks: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """The BM25 index of a chunk table, materialised (reliable checkpoint) so a
-    query batch reads it instead of re-tokenising the corpus; store it next to
-    the chunk table when it is reused across jobs."""
-    return tuple(x.checkpoint(eager=True) for x in term_stats(chunks))
+def term_frequencies(chunks: DataFrame, questions: DataFrame) -> DataFrame:
+    """(term, df) of the terms of the questions only: a chunk is cut down to the
+    question terms it has by a semi join before anything is counted, and the
+    counts are combined before the shuffle, so a common term is one row per task."""
+    terms = questions.select(F.explode(F.array_distinct(words(F.col("question")))).alias("term")).distinct()
+    have = chunks.select(F.explode(F.array_distinct(words(F.col("text")))).alias("term"))
+    return have.groupBy("term").agg(F.count(F.lit(1)).alias("df")).join(terms, "term", "left_semi")
+
+
+def term_index(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """BM25 statistics of a whole chunk table, (term, df) and one row (n_docs,
+    avgdl): written next to the chunk table when that is written, and read by
+    every batch of questions."""
+    have = chunks.select(F.explode(F.array_distinct(words(F.col("text")))).alias("term"))
+    return have.groupBy("term").agg(F.count(F.lit(1)).alias("df")), chunk_lengths(chunks)
 
 
 def lexical_score(pairs: DataFrame, questions: DataFrame, chunks: DataFrame, index=None) -> DataFrame:
-    """BM25 score of each (question, chunk) candidate pair, computed with
-    joins on (chunk, term) and term; 0 when no term is shared. ``index``: a
-    ``build_term_index`` result (else the statistics are derived here)."""
-    tf, dfreq, lens, coll = index if index is not None else term_stats(chunks)
-    qterms = questions.select(*QKEY, F.explode_outer(F.array_distinct(words(F.col("question")))).alias("term")).where(
-        F.col("term").isNotNull()
-    )
-    p = pairs.select(*QKEY, *CKEY).join(qterms, QKEY).join(tf, CKEY + ["term"]).join(dfreq, "term")
-    # collection statistics are one row: attach them as literals-by-join on a constant key
-    p = p.join(lens, CKEY).withColumn("_one", F.lit(1)).join(F.broadcast(coll.withColumn("_one", F.lit(1))), "_one").drop("_one")
+    """BM25 score of each (question, chunk) candidate pair; 0 when no term is
+    shared. ``index``: a stored ``term_index`` (else derived here).
+
+    Term counts come from the candidate chunks' own words, in the row of the
+    pair: no row per (chunk, term) of the corpus is made, and a question's terms
+    carry their document frequencies as one map, so no term is a join key of
+    the pairs."""
+    dfreq, coll = index if index is not None else (term_frequencies(chunks, questions), chunk_lengths(chunks))
+    per_term = questions.select(*QKEY, F.explode(F.array_distinct(words(F.col("question")))).alias("term")).join(dfreq, "term")
+    terms = per_term.groupBy(*QKEY).agg(F.collect_list(F.struct("term", "df")).alias("_terms"))
+    texts = chunks.select(*CKEY, "text").join(pairs.select(*CKEY).distinct(), CKEY, "left_semi")
+    p = pairs.select(*QKEY, *CKEY).join(texts.select(*CKEY, words(F.col("text")).alias("_words")), CKEY).join(terms, QKEY)
+    # the collection statistics are one row, joined as such
+    p = p.join(F.broadcast(coll))
+    hits = F.explode(F.transform("_terms", lambda t: F.struct(t["df"].alias("df"), t["term"].alias("term"))))
+    p = p.select(*QKEY, *CKEY, "n_docs", "avgdl", F.size("_words").alias("dl"), "_words", hits.alias("t"))
+    tf = F.size("_words") - F.size(F.array_remove("_words", F.col("t.term")))
+    p = p.select(*QKEY, *CKEY, "n_docs", "avgdl", "dl", F.col("t.df").alias("df"), tf.alias("tf")).where("tf > 0")
     idf = F.log(F.lit(1.0) + (F.col("n_docs") - F.col("df") + F.lit(0.5)) / (F.col("df") + F.lit(0.5)))
     part = idf * F.col("tf") * F.lit(BM25_K1 + 1) / (F.col("tf") + F.lit(BM25_K1) * (F.lit(1 - BM25_B) + F.lit(BM25_B) * F.col("dl") / F.col("avgdl")))
     # terms are summed as integers of 1e-9: exact and independent of the order
@@ -86,24 +99,27 @@ def lexical_score(pairs: DataFrame, questions: DataFrame, chunks: DataFrame, ind
     return pairs.join(s, QKEY + CKEY, "left").withColumn("score", F.coalesce(F.col("score"), F.lit(0.0)))
 
 
-def rerank(hits: DataFrame, questions: DataFrame, chunks: DataFrame, top_n: int, index=None) -> DataFrame:
-    """L3: second stage over the candidates: score desc (ties: distance, key), keep top_n."""
-    scored = lexical_score(hits, questions, chunks, index)
+def rerank(hits: DataFrame, questions: DataFrame, chunks: DataFrame, top_n: int, index=None, scorer=None) -> DataFrame:
+    """L3: second stage over the candidates: score desc (ties: distance, key), keep top_n.
+
+    ``scorer(hits, questions, chunks)`` returns the hits with a ``score``
+    column; without one the score is BM25."""
+    scored = scorer(hits, questions, chunks) if scorer is not None else lexical_score(hits, questions, chunks, index)
     w = Window.partitionBy(*QKEY).orderBy(F.desc(F.round("score", 9)), F.round("distance", 9), *CKEY)
     return scored.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= top_n)
 
 
 # ------------------------------------------------------------------ E5 / O1
 
-def retrieve(questions: DataFrame, chunks: DataFrame, opts: JobOptions, k: int | None = None, use_rerank: bool = False, embedder=None) -> DataFrame:
+def retrieve(questions: DataFrame, chunks: DataFrame, opts: JobOptions, k: int | None = None, use_rerank: bool = False, embedder=None, scorer=None, index=None) -> DataFrame:
     """E5: every question of every request -> its hits (k = 20 by default; with
     the rerank stage 20 candidates then top_docs). Questions without hits are
     kept with NULL hit columns."""
-    kk = k or K_NEIGHBOURS
+    kk = k or opts.k_neighbours
     qv = embed_questions(questions, opts, embedder)
     hits = knn_exact(qv, chunks, kk, opts, qkey=QKEY, ckey=CKEY)
     if use_rerank:
-        hits = rerank(hits, questions, chunks, opts.top_docs)
+        hits = rerank(hits, questions, chunks, opts.top_docs, index, scorer)
     return questions.select(*QKEY).join(hits, QKEY, "left")
 
 
@@ -148,6 +164,8 @@ def build_prompts(
     template: str = DEFAULT_USER_TEMPLATE,
     use_rerank: bool = False,
     embedder=None,
+    scorer=None,
+    index=None,
 ) -> DataFrame:
     """Scrub -> retrieve -> blocks -> budget -> one prompt per request.
 
@@ -155,7 +173,7 @@ def build_prompts(
     bud = opts.max_prompt_tokens if budget is None else budget
     accepted, _ = normalise_requests(questions)
     cleaned = accepted.withColumn("question", scrub_question(F.col("question"), opts.scrub_phrase))
-    hits = retrieve(cleaned, chunks, opts, use_rerank=use_rerank, embedder=embedder).where(F.col("rank").isNotNull())
+    hits = retrieve(cleaned, chunks, opts, use_rerank=use_rerank, embedder=embedder, scorer=scorer, index=index).where(F.col("rank").isNotNull())
     kept = prompt_budget(doc_blocks(hits, chunks), bud)
     docs = kept.groupBy("request_id").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("q_no", "rank", "block"))), lambda x: x["block"]), "").alias("_docs"),
@@ -212,14 +230,11 @@ def token_usage(usage: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ E8
 
 def docs_lookup(lookups: DataFrame, chunks: DataFrame, opts: JobOptions, embedder=None) -> DataFrame:
-    """Raw (unscrubbed) question with a per-row count (0 -> 20; negative ->
-    rejected) -> (request_id, rank, page_content, metadata)."""
-    valid = lookups.where(F.col("count") >= 0).withColumn("q_no", F.lit(1).cast("bigint"))
-    k_row = F.when(F.col("count") == 0, F.lit(K_NEIGHBOURS)).otherwise(F.col("count"))
-    kmax = K_NEIGHBOURS
-    qv = embed_questions(valid.select("request_id", "q_no", "question"), opts, embedder)
-    hits = knn_exact(qv, chunks, kmax, opts, qkey=QKEY, ckey=CKEY)
-    hits = hits.join(valid.select("request_id", k_row.alias("_k")), "request_id").where(F.col("rank") <= F.col("_k"))
+    """Raw (unscrubbed) question with a per-row count of any size (0 -> the
+    default number; negative -> rejected) -> (request_id, rank, page_content, metadata)."""
+    k_row = F.when(F.col("count") == 0, F.lit(opts.k_neighbours)).otherwise(F.col("count"))
+    valid = lookups.where(F.col("count") >= 0).select("request_id", F.lit(1).cast("bigint").alias("q_no"), "question", k_row.alias("_k"))
+    hits = knn_exact(embed_questions(valid, opts, embedder), chunks, "_k", opts, qkey=QKEY, ckey=CKEY)
     meta = metadata_text(F.col("filename"), F.col("doc_link"), F.col("header1"), F.col("header2"), F.col("header3"))
     docs = chunks.select(*CKEY, F.col("text").alias("page_content"), meta.alias("metadata"))
     return hits.join(docs, CKEY).select("request_id", "rank", "page_content", "metadata")

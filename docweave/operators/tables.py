@@ -18,31 +18,28 @@ from docweave.functions.html import html_to_markdown
 from docweave.functions.text import metadata_text
 from docweave.operators.chunk import chunk_docs
 from docweave.options import JobOptions
-from docweave.session import scratch_path
 
 # ------------------------------------------------------------------ K5 / K6
 
 
 # Declared field types -> Spark types (everything else is text).
-TYPE_MAP = {"VARCHAR": T.StringType(), "FLOAT_VECTOR": T.ArrayType(T.FloatType()), "INT64": T.LongType(), "BOOL": T.BooleanType()}
+TYPE_MAP = {"VARCHAR": T.StringType(), "FLOAT_VECTOR": T.ArrayType(T.FloatType())}
+VARCHAR_LENGTH = 100
 
 
 def build_schema(fields) -> T.StructType:
     """K5 schema builder: fields are (name, type, max_length, is_primary)."""
     out = []
     for name, typ, *_ in fields:
-        out.append(T.StructField(name, TYPE_MAP.get(str(typ).upper(), T.StringType()), True))
+        out.append(T.StructField(name, TYPE_MAP.get(str(typ), T.StringType()), True))
     return T.StructType(out)
 
 
 def ddl_of(fields) -> str:
-    """Column DDL; VARCHAR maps to VARCHAR(100) whatever max_length says, as the reference's mapper does."""
-    parts = []
-    for name, typ, *_ in fields:
-        t = str(typ).upper()
-        sql = "VARCHAR(100)" if t == "VARCHAR" else "ARRAY<FLOAT>" if t == "FLOAT_VECTOR" else "BIGINT" if t == "INT64" else "BOOLEAN" if t == "BOOL" else "STRING"
-        parts.append(f"`{name}` {sql}")
-    return ", ".join(parts)
+    """Column DDL; VARCHAR maps to VARCHAR(100) whatever max_length says, every
+    other scalar to text."""
+    sql = {"VARCHAR": f"VARCHAR({VARCHAR_LENGTH})", "FLOAT_VECTOR": "ARRAY<FLOAT>"}
+    return ", ".join(f"`{name}` {sql.get(str(typ), 'STRING')}" for name, typ, *_ in fields)
 
 
 def create_table(spark: SparkSession, name: str, fields, location: str | None = None) -> None:
@@ -57,13 +54,22 @@ def primary_key_violations(df: DataFrame, pk: str) -> DataFrame:
 
 
 def describe_table(spark: SparkSession, df_or_name) -> DataFrame:
-    """K6: (name, type, max_length) per column; an unknown table gives no rows."""
+    """K6: (name, type, max_length) per column; ``max_length`` is the declared
+    length of a VARCHAR column, else null. An unknown table gives no rows."""
     schema = T.StructType([T.StructField("name", T.StringType()), T.StructField("type", T.StringType()), T.StructField("max_length", T.LongType())])
-    try:
-        df = spark.table(df_or_name) if isinstance(df_or_name, str) else df_or_name
-        rows = [(f.name, f.dataType.simpleString(), 100 if isinstance(f.dataType, T.StringType) else None) for f in df.schema.fields]
-    except Exception:  # noqa: BLE001 - a missing table describes as empty
-        rows = []
+    if isinstance(df_or_name, str):
+        if not spark.catalog.tableExists(df_or_name):
+            return spark.createDataFrame([], schema)
+        # the declared types, which a read of the table shows as text; partition details follow after an empty name
+        described = [(r["col_name"], r["data_type"]) for r in spark.sql(f"DESCRIBE TABLE {df_or_name}").collect()]
+        names = [n for n, _ in described]
+        declared = dict(described[: next((i for i, n in enumerate(names) if n in ("", "# Partition Information")), len(names))])
+    else:
+        declared = dict(df_or_name.dtypes)
+    rows = []
+    for name, kind in declared.items():
+        length = kind[len("varchar(") : -1] if kind.startswith("varchar(") else None
+        rows.append((name, "string" if length else kind, int(length) if length else None))
     return spark.createDataFrame(rows, schema)
 
 
@@ -89,23 +95,24 @@ def bucket_of(filename: Column, n: int) -> Column:
     return F.pmod(F.xxhash64(filename), F.lit(n)).cast("int")
 
 
+def buckets_for(rows: int, opts: JobOptions) -> int:
+    """Buckets of a chunk table of ``rows`` rows; set it as ``chunk_buckets`` when
+    the table is created, so that a bucket stays near ``bucket_rows`` rows."""
+    return max(1, -(-rows // opts.bucket_rows))
+
+
 def full_load(df: DataFrame, path: str, opts: JobOptions, observation: Observation | None = None) -> DataFrame:
-    """K1: rebuild a chunk table in one job; files hold at most ``batch_size``
-    rows, partitioned by a file-name bucket so later change sets rewrite only
-    the buckets they touch. A3: the insert count is observed during the write."""
+    """K1: rebuild a chunk table in one job, partitioned by a file-name bucket so
+    later change sets rewrite only the buckets they touch. A3: the insert count
+    is observed during the write."""
     out = df.withColumn("bucket", bucket_of(F.col("filename"), opts.chunk_buckets))
     if observation is not None:
         out = out.observe(observation, F.count(F.lit(1)).alias("insert_count"))
     # rebalance, not repartition: AQE splits a large bucket over several write
-    # tasks (and merges small ones), so no task writes a whole bucket
-    (
-        out.hint("rebalance", "bucket")
-        .write.mode("overwrite")
-        .option("maxRecordsPerFile", opts.batch_size)
-        .partitionBy("bucket")
-        .parquet(path)
-    )
-    return df.sparkSession.read.parquet(path)
+    # tasks (and merges small ones) by bytes, so files come out near the
+    # advisory partition size and no task writes a whole bucket
+    out.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+    return df.sparkSession.read.schema(out.schema).parquet(path)
 
 
 def align_to(target_schema: T.StructType, src: DataFrame) -> DataFrame:
@@ -123,15 +130,22 @@ def insert_align(target: DataFrame, src: DataFrame) -> DataFrame:
     return target.unionByName(align_to(target.schema, src))
 
 
-def upsert_pk(target: DataFrame, src: DataFrame, pk: str | None) -> DataFrame:
+def upsert_pk(target: DataFrame, src: DataFrame, pk: str | None, order: str | None = None) -> DataFrame:
     """K3: INSERT … ON CONFLICT(pk) DO UPDATE of all non-key columns; absent
-    columns overwrite with NULL. The source is first reduced to one row per key
-    (the greatest row). Without a key it is a plain insert."""
+    columns overwrite with NULL. ``order`` names the source column that tells
+    which of several rows of a key is the last; without it the rows of a key
+    must be equal or any order is right (the greatest row stays). Without a key
+    it is a plain insert."""
     aligned = align_to(target.schema, src)
     if pk is None:
         return target.unionByName(aligned)
     others = [c for c in aligned.columns if c != pk]
-    one = aligned.groupBy(pk).agg(F.max(F.struct(*others)).alias("_r")).select(pk, *[F.col(f"_r.{c}").alias(c) for c in others])
+    if order is None:
+        last = F.max(F.struct(*others))
+    else:
+        aligned = align_to(T.StructType([*target.schema.fields, T.StructField("_order", src.schema[order].dataType)]), src.withColumn("_order", F.col(order)))
+        last = F.max_by(F.struct(*others), F.struct("_order", *others))
+    one = aligned.groupBy(pk).agg(last.alias("_r")).select(pk, *[F.col(f"_r.{c}").alias(c) for c in others])
     return target.join(one.select(pk), pk, "left_anti").unionByName(one.select(*target.columns))
 
 
@@ -140,19 +154,16 @@ def delete_by_file(chunks: DataFrame, files: DataFrame) -> DataFrame:
     return chunks.join(files.select("filename").distinct(), "filename", "left_anti")
 
 
+# Fixed value: the message's wording
+DELETED_MESSAGE = "Successfully deleted %d records of %s"
+
+
 def deleted_counts(chunks: DataFrame, files: DataFrame) -> DataFrame:
     """K4 report: records removed per file, files without chunks shown with 0."""
     hit = chunks.join(files.select("filename").distinct(), "filename", "left_semi").groupBy("filename").count()
     f = files.select("filename").distinct().join(hit, "filename", "left")
     n = F.coalesce(F.col("count"), F.lit(0)).cast("bigint")
-    return f.select("filename", n.alias("n_records"), F.format_string("Successfully deleted %d records of %s", n, F.col("filename")).alias("message"))
-
-
-def write_staged(df: DataFrame, name: str, opts: JobOptions) -> DataFrame:
-    """Write to a fresh path in the shared checkpoint folder and read it back
-    (lineage cut; the old table is never overwritten while read)."""
-    path = scratch_path(df.sparkSession, name)
-    return full_load(df, path, opts).drop("bucket")
+    return f.select("filename", n.alias("n_records"), F.format_string(DELETED_MESSAGE, n, F.col("filename")).alias("message"))
 
 
 # ------------------------------------------------------------------ O2-O5
@@ -166,16 +177,27 @@ def union_chunks(*parts: DataFrame) -> DataFrame:
     return out
 
 
+def last_changes(changes: DataFrame) -> DataFrame:
+    """One row per file: with a ``seq`` column the row of the greatest ``seq`` (the
+    last change wins, whatever it is); a change set without one holds a file once."""
+    if "seq" not in changes.columns:
+        return changes
+    # equal seq: a fixed choice
+    last = F.max_by(F.struct("status", "markdown"), F.struct("seq", "status", "markdown"))
+    return changes.groupBy("filename").agg(last.alias("_c")).select("filename", "_c.status", "_c.markdown")
+
+
 def apply_changes(old_chunks: DataFrame, changes: DataFrame, opts: JobOptions, embed=None) -> DataFrame:
     """New table = old minus chunks of every touched file (added
     included, so a replay is idempotent) plus fresh chunks of added and
-    modified files. ``changes``: (filename, status, markdown); status
-    'deleted' / 'delete' removes, any other with Markdown upserts.
+    modified files. ``changes``: (filename, status, markdown[, seq]); status
+    'deleted' / 'delete' removes, any other with Markdown upserts; of several
+    changes of a file the last by ``seq`` counts.
 
     The change set feeds two branches (touched files, fresh chunks); it is
     materialised once with a reliable checkpoint so the snapshot diff and the
     Markdown conversion behind it run once."""
-    changes = changes.checkpoint(eager=True)
+    changes = last_changes(changes).checkpoint(eager=True)
     touched = changes.select("filename").distinct()
     kept = old_chunks.join(touched, "filename", "left_anti")
     ups = changes.where(F.col("markdown").isNotNull() & ~F.col("status").isin("deleted", "delete"))
@@ -211,9 +233,17 @@ def chunk_metadata(chunks: DataFrame) -> Column:
     return F.map_filter(m, lambda k, v: v.isNotNull())
 
 
-def metadata_lookup(chunks_with_meta: DataFrame, key: str, value: str, col: str = "metadata") -> DataFrame:
-    """Rows whose metadata[key] equals value."""
-    return chunks_with_meta.where(F.col(col).getItem(key) == value)
+#: metadata keys and the columns that hold them
+METADATA_COLUMNS = {"filename": "filename", "doc_link": "doc_link", "Header1": "header1", "Header2": "header2", "Header3": "header3"}
+
+
+def metadata_lookup(chunks: DataFrame, key: str, value: str, col: str = "metadata") -> DataFrame:
+    """Rows whose metadata[key] equals value. A key that has a column of its
+    own is compared there, where the scan can skip row groups."""
+    column = METADATA_COLUMNS.get(key)
+    if column in chunks.columns:
+        return chunks.where(F.col(column) == value)
+    return chunks.where(F.col(col).getItem(key) == value)
 
 
 def to_documents(chunks: DataFrame) -> DataFrame:
@@ -233,9 +263,10 @@ def export_chunk_files(chunks: DataFrame) -> DataFrame:
 
 
 def write_chunk_files(chunks: DataFrame, path: str) -> None:
-    export_chunk_files(chunks).select("filename", F.concat_ws("\n", "chunk_file", "text").alias("value")).write.mode(
-        "overwrite"
-    ).partitionBy("filename").text(path)
+    """K9: the text of each chunk in its own folder ``chunk_{i}.md`` below the
+    folder of its file (Spark names the part file inside and ends it with a line feed)."""
+    named = export_chunk_files(chunks).select("filename", "chunk_file", F.col("text").alias("value"))
+    named.write.mode("overwrite").partitionBy("filename", "chunk_file").text(path)
 
 
 def html_tree_to_md(snapshot: DataFrame) -> DataFrame:
@@ -249,11 +280,6 @@ def html_tree_to_md(snapshot: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ A3, W3, W5
 
 
-def count_written(df: DataFrame) -> DataFrame:
-    """A3: one row with the row count of a written / to-be-written frame."""
-    return df.agg(F.count(F.lit(1)).alias("insert_count"))
-
-
 def batch_slices(df: DataFrame, order_cols, batch_size: int) -> DataFrame:
     """Global 0-based row index in ``order_cols`` order and batch number.
 
@@ -298,7 +324,7 @@ def apply_changes_in_place(spark: SparkSession, path: str, changes: DataFrame, o
     (never read and overwrite one path in a job), then written back with
     dynamic partition overwrite. A bucket left without rows is removed.
     Returns the rewritten bucket ids."""
-    changes = changes.checkpoint(eager=True)
+    changes = last_changes(changes).checkpoint(eager=True)
     buckets = sorted(
         r[0] for r in changes.select(bucket_of(F.col("filename"), opts.chunk_buckets).alias("b")).distinct().collect()
     )
@@ -311,7 +337,6 @@ def apply_changes_in_place(spark: SparkSession, path: str, changes: DataFrame, o
         staged.hint("rebalance", "bucket")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", opts.batch_size)
         .partitionBy("bucket")
         .parquet(path)
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # Fixed values that must equal the reference for equal results.
 K_NEIGHBOURS = 20          # neighbours per question when count = 0
@@ -14,7 +14,6 @@ NO_DOCS_TEXT = "No docs found for the question"
 HEADER_KEYS = ("Header1", "Header2", "Header3")
 IVF_LISTS = 100            # coarse lists of the list index
 HNSW_M = 16                # graph index degree (re-aimed as LSH band count)
-HNSW_EF_CONSTRUCTION = 64  # graph index build width (re-aimed as LSH width)
 
 RELEASE_MODE = "release"
 REPOSITORY_MODE = "repository"
@@ -43,14 +42,12 @@ class JobOptions:
     ivf_lists: int = IVF_LISTS
     ivf_nprobe: int = 8
     lsh_bands: int = HNSW_M
-    lsh_bits: int = 4
-    # exact kNN broadcasts the question side only below this many rows;
-    # above it the blocked (question block x chunk block) plan is used
-    knn_broadcast_max_rows: int = 200_000
-    # rows per chunk block in the blocked exact plan / per IVF list slice
-    knn_block_rows: int = 50_000
+    lsh_bits: int = 4  # per band, at least; more as the table grows
+    lsh_bucket_rows: int = 64  # rows an average bucket holds
+    # bytes of vectors (as doubles) in one block of questions or chunks
+    knn_block_bytes: int = 64 << 20
     chunk_buckets: int = 64
-    extra: dict = field(default_factory=dict)
+    bucket_rows: int = 2_000_000  # rows a bucket of the chunk table should hold
 
     @property
     def scrub_phrase(self) -> str:

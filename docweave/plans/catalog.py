@@ -46,13 +46,13 @@ def q_build_release_chunks(spark, sf):
 
     ensure_checkpoint_dir(spark)
     ship_package(spark)
-    return build_release_chunks(fx.fx_snapshot_new(spark, sf), OPTS)
+    return build_release_chunks(fx.fx_pages(spark, sf), OPTS)
 
 
 @sql_of("build_release_chunks")
 def s_build_release_chunks():
     q = S.Q()
-    c = S.build_release_chunks(q, S.fx_snapshot_new(q), OPTS)
+    c = S.build_release_chunks(q, S.fx_pages(q), OPTS)
     return q.render(f"SELECT {CHUNK_COLS} FROM {c}")
 
 
@@ -257,12 +257,12 @@ _pair("filter_changed_files", _p2_spark, _p2_sql)
 
 
 def _p3_spark(spark, sf):
-    return drop_ignored_paths(fx.fx_snapshot_old(spark, sf), OPTS).select("rel_path")
+    return drop_ignored_paths(fx.fx_pages(spark, sf), OPTS).select("rel_path")
 
 
 def _p3_sql():
     q = S.Q()
-    o = S.fx_snapshot_old(q)
+    o = S.fx_pages(q)
     ign = ", ".join(TX.sql_lit(x) for x in OPTS.ignore_rel_paths) if OPTS.ignore_rel_paths else "NULL"
     return q.render(f"SELECT rel_path FROM {o} WHERE rel_path NOT IN ({ign})")
 
@@ -271,13 +271,13 @@ _pair("filter_ignored_paths", _p3_spark, _p3_sql)
 
 
 def _p4_spark(spark, sf):
-    md = release_markdown(fx.fx_snapshot_new(spark, sf), OPTS)
+    md = release_markdown(fx.fx_pages(spark, sf), OPTS)
     return md.select("filename", F.length("markdown").cast("bigint").alias("n_chars"))
 
 
 def _p4_sql():
     q = S.Q()
-    md = S.release_markdown(q, S.fx_snapshot_new(q), OPTS)
+    md = S.release_markdown(q, S.fx_pages(q), OPTS)
     return q.render(f"SELECT filename, CAST(length(markdown) AS BIGINT) AS n_chars FROM {md}")
 
 
@@ -335,13 +335,13 @@ _pair(
 
 def _f5_sql():
     q = S.Q()
-    o = S.fx_snapshot_old(q)
+    o = S.fx_pages(q)
     return q.render(f"SELECT rel_path, {TX.format_file_path_sql('rel_path')} AS filename FROM {o}")
 
 
 _pair(
     "format_file_path",
-    lambda spark, sf: fx.fx_snapshot_old(spark, sf).select("rel_path", TX.format_file_path(F.col("rel_path")).alias("filename")),
+    lambda spark, sf: fx.fx_pages(spark, sf).select("rel_path", TX.format_file_path(F.col("rel_path")).alias("filename")),
     _f5_sql,
 )
 
@@ -392,12 +392,20 @@ def _f13_spark(spark, sf):
     j = a.join(b, "vec_id")
     return j.select(
         "vec_id",
-        *[F.round(distance(F.col("a"), F.col("b"), m), 6).alias(f"d_{m.lower()}") for m in ("L2", "IP", "COSINE", "HAMMING")],
+        *[F.round(distance(F.col("a"), F.col("b"), m), 6).alias(f"d_{c}") for c, m in F13_METRICS.items()],
     )
 
 
+# column -> spelling of the metric
+F13_METRICS = {"l2": "L2", "ip": "IP", "inner": "INNER_PRODUCT", "cosine": "COSINE", "lower": "cosine", "unknown": "HAMMING"}
+
+
 def _f13_sql():
-    cols = ", ".join(f"round({distance_sql('a.embedding', 'b.embedding', m)}, 6) AS d_{m.lower()}" for m in ("L2", "IP", "COSINE", "HAMMING"))
+    s = lambda e: f"list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda p: {e}))"
+    l2 = f"sqrt({s('(p[1]::DOUBLE - p[2]::DOUBLE) * (p[1]::DOUBLE - p[2]::DOUBLE)')})"
+    dot, aa, bb = s("p[1]::DOUBLE * p[2]::DOUBLE"), s("p[1]::DOUBLE * p[1]::DOUBLE"), s("p[2]::DOUBLE * p[2]::DOUBLE")
+    by = {"l2": l2, "ip": f"-{dot}", "inner": f"-{dot}", "cosine": f"1.0 - {dot} / (sqrt({aa}) * sqrt({bb}))", "lower": l2, "unknown": l2}
+    cols = ", ".join(f"round({e}, 6) AS d_{c}" for c, e in by.items())
     return f"SELECT a.vec_id, {cols} FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1"
 
 
@@ -469,12 +477,12 @@ _pair("change_summary", lambda spark, sf: DF.change_summary(DF.snapshot_diff(*_s
 
 
 def _a2_spark(spark, sf):
-    return DF.records_per_file(build_release_chunks(fx.fx_snapshot_new(spark, sf), OPTS))
+    return DF.records_per_file(build_release_chunks(fx.fx_pages(spark, sf), OPTS))
 
 
 def _a2_sql():
     q = S.Q()
-    c = S.build_release_chunks(q, S.fx_snapshot_new(q), OPTS)
+    c = S.build_release_chunks(q, S.fx_pages(q), OPTS)
     return q.render(
         "SELECT filename, count(*) AS n_records, 'Successfully added ' || CAST(count(*) AS VARCHAR) || ' records from ' || filename AS message "
         f"FROM {c} GROUP BY filename"
@@ -493,8 +501,10 @@ from docweave.session import scratch_path  # noqa: E402
 def _kv(spark, sf):
     d = _docs(spark, sf)
     target = d.select(F.col("doc_id").alias("pk"), "lang", "source", "n_chars")
-    src = d.select((F.col("doc_id") * 2).alias("pk"), F.upper("lang").alias("lang"), (F.col("n_chars") + 1).alias("n_chars"), F.lit("extra").alias("note"))
-    return target, src
+    new = d.select((F.col("doc_id") * 2).alias("pk"), F.upper("lang").alias("lang"), (F.col("n_chars") + 1).alias("n_chars"), F.lit("extra").alias("note"), F.lit(2).alias("seq"))
+    # an earlier update of the same keys, greater in value
+    stale = new.withColumn("lang", F.lit("zz")).withColumn("n_chars", F.col("n_chars") + 1000).withColumn("seq", F.lit(1))
+    return target, new, new.unionByName(stale)
 
 
 def _k2_sql():
@@ -503,7 +513,7 @@ def _k2_sql():
     return q.render("SELECT pk, lang, source, n_chars FROM kv_target UNION ALL SELECT pk, lang, CAST(NULL AS VARCHAR) AS source, n_chars FROM kv_src")
 
 
-_pair("insert_align", lambda spark, sf: TB.insert_align(*_kv(spark, sf)), _k2_sql)
+_pair("insert_align", lambda spark, sf: TB.insert_align(*_kv(spark, sf)[:2]), _k2_sql)
 
 
 def _k3_sql():
@@ -515,7 +525,14 @@ def _k3_sql():
     )
 
 
-_pair("upsert_pk", lambda spark, sf: TB.upsert_pk(*_kv(spark, sf), "pk"), _k3_sql)
+
+
+def _k3_spark(spark, sf):
+    target, _, updates = _kv(spark, sf)
+    return TB.upsert_pk(target, updates, "pk", order="seq")
+
+
+_pair("upsert_pk", _k3_spark, _k3_sql)
 
 
 def _repo_chunks(spark, sf):
@@ -542,6 +559,7 @@ _pair("delete_by_file", _k4_spark, _k4_sql)
 
 
 def _j6_spark(spark, sf):
+    """The table after the delete, with what the report says for each file kept apart."""
     dels = _actions(spark, sf).where(F.col("action") == "delete")
     return TB.deleted_counts(_repo_chunks(spark, sf), dels)
 
@@ -557,22 +575,30 @@ def _j6_sql():
     )
 
 
-_pair("delete_in_keys", _j6_spark, _j6_sql)
+_pair("delete_report", _j6_spark, _j6_sql)
 
 
-def _k5_spark(spark, sf):
-    d = _docs(spark, sf).select(TX.content_hash(F.col("text")).alias("pk"), "doc_id")
-    return TB.primary_key_violations(d, "pk")
+def _j6_keys_spark(spark, sf):
+    """Delete by a key set: every file of the commit, whatever its action."""
+    return TB.delete_by_file(_repo_chunks(spark, sf), _actions(spark, sf)).select("filename", "chunk_no", "text")
 
 
-_pair("create_table", _k5_spark, lambda: "SELECT sha256(text) AS pk, count(*) AS n_rows FROM documents GROUP BY 1 HAVING count(*) > 1")
+def _j6_keys_sql():
+    q = S.Q()
+    c = S.repo_chunks(q, OPTS)
+    a = S.commit_actions(q, OPTS)
+    return q.render(f"SELECT c.filename, c.chunk_no, c.text FROM {c} c WHERE NOT EXISTS (SELECT 1 FROM {a} a WHERE a.filename = c.filename)")
+
 
+_pair("delete_in_keys", _j6_keys_spark, _j6_keys_sql)
 
-def _k6_spark(spark, sf):
-    return TB.describe_table(spark, _docs(spark, sf))
 
+def _k5_spark(spark, sf):
+    d = _docs(spark, sf).select(TX.content_hash(F.col("text")).alias("pk"), "doc_id")
+    return TB.primary_key_violations(d, "pk")
 
-_pair("describe_table", _k6_spark)
+
+_pair("create_table", _k5_spark, lambda: "SELECT sha256(text) AS pk, count(*) AS n_rows FROM documents GROUP BY 1 HAVING count(*) > 1")
 
 
 def _k7_spark(spark, sf):
@@ -598,30 +624,19 @@ _pair("exists_check", _a4_spark, _a4_sql)
 
 
 def _k1_spark(spark, sf):
-    chunks = build_release_chunks(fx.fx_snapshot_new(spark, sf), OPTS)
+    chunks = build_release_chunks(fx.fx_pages(spark, sf), OPTS)
     return TB.full_load(chunks, scratch_path(spark, "full_load"), OPTS).drop("bucket")
 
 
 def _k1_sql():
     q = S.Q()
-    c = S.build_release_chunks(q, S.fx_snapshot_new(q), OPTS)
+    c = S.build_release_chunks(q, S.fx_pages(q), OPTS)
     return q.render(f"SELECT {CHUNK_COLS} FROM {c}")
 
 
 _pair("full_load", _k1_spark, _k1_sql)
 
 
-def _k8_spark(spark, sf):
-    name = "docweave_tmp_drop"
-    TB.create_table(spark, name, RF.TRACKING_FIELDS, scratch_path(spark, "drop_table"))
-    existed = TB.table_exists(spark, name)
-    TB.drop_table(spark, name)
-    return spark.createDataFrame([(existed, TB.table_exists(spark, name))], "existed boolean, exists_after boolean")
-
-
-_pair("drop_table", _k8_spark)
-
-
 def _k9_sql():
     q = S.Q()
     c = S.chunk_docs(q, S.fx_markdown(q), "doc", "text", OPTS)
@@ -642,13 +657,13 @@ _pair("html_tree_to_md", lambda spark, sf: TB.html_tree_to_md(fx.release_pages(s
 
 # ------------------------------------------------------------ set operations
 def _o2_spark(spark, sf):
-    rel = build_release_chunks(fx.fx_snapshot_new(spark, sf), OPTS)
+    rel = build_release_chunks(fx.fx_pages(spark, sf), OPTS)
     return TB.union_chunks(rel, _repo_chunks(spark, sf)).select("filename", "chunk_no", "doc_link")
 
 
 def _o2_sql():
     q = S.Q()
-    a = S.build_release_chunks(q, S.fx_snapshot_new(q), OPTS)
+    a = S.build_release_chunks(q, S.fx_pages(q), OPTS)
     b = S.repo_chunks(q, OPTS)
     return q.render(f"SELECT filename, chunk_no, doc_link FROM {a} UNION ALL SELECT filename, chunk_no, doc_link FROM {b}")
 
@@ -687,7 +702,21 @@ def _repo_changes(spark, sf):
     content = fx.fx_content(spark, sf).select("filename", SC.decode_content(F.col("encoding"), F.col("content")).alias("markdown"))
     ups = acts.where(F.col("action") == "upsert").join(content, "filename").select("filename", F.col("action").alias("status"), "markdown")
     dels = acts.where(F.col("action") == "delete").select("filename", F.col("action").alias("status"), F.lit(None).cast("string").alias("markdown"))
-    return ups.unionByName(dels)
+    return _with_stale_changes(ups.unionByName(dels))
+
+
+def _with_stale_changes(last):
+    """Before the last change of each file an earlier one: an old version, an
+    add before a delete, a delete before an add."""
+    kind = F.pmod(F.xxhash64("filename"), F.lit(3))
+    version = F.concat(F.lit("# stale\nline one\n\nline two "), "filename")
+    earlier = last.select(
+        "filename",
+        F.when(kind == 0, F.lit("delete")).otherwise(F.lit("upsert")).alias("status"),
+        F.when(kind != 0, version).alias("markdown"),
+        F.lit(1).cast("bigint").alias("seq"),
+    )
+    return last.withColumn("seq", F.lit(2).cast("bigint")).unionByName(earlier)
 
 
 def _o5_spark(spark, sf):
@@ -826,7 +855,9 @@ _pair("read_tracking", lambda spark, sf: RF.read_tracking(fx.fx_tracking(spark,
 
 
 def _r2_spark(spark, sf):
-    upd = _latest(spark, sf).select("product", F.col("ref").alias("last_updated_ref"), F.lit(OPTS.updater_version).alias("last_updater_version"))
+    upd = _latest(spark, sf).select("product", F.col("ref").alias("last_updated_ref"), F.lit(OPTS.updater_version).alias("last_updater_version"), F.lit(2).alias("seq"))
+    # an earlier update of each product, greater as text
+    upd = upd.unionByName(upd.withColumn("last_updated_ref", F.lit("v~")).withColumn("seq", F.lit(1)))
     return RF.write_tracking(fx.fx_tracking(spark, sf, OPTS), upd)
 
 
@@ -840,79 +871,72 @@ _pair("write_tracking", _r2_spark, _r2_sql)
 
 
 def _r4_spark(spark, sf):
-    return RF.plan_refresh(_latest(spark, sf), fx.fx_tracking(spark, sf, OPTS), OPTS)
+    latest = _latest(spark, sf).withColumn("has_asset", F.col("product") != "view")
+    plan = lambda there: RF.plan_refresh(latest, fx.fx_tracking(spark, sf, OPTS), OPTS, collection_exists=there, has_asset="has_asset").withColumn("present", F.lit(there))
+    return plan(True).unionByName(plan(False))
 
 
 def _r4_sql():
     q = S.Q()
     t = S.fx_tracking(q, OPTS)
     v = TX.sql_lit(OPTS.updater_version)
+    after = f"WHEN t.last_updated_ref = l.ref THEN 'SKIP' WHEN t.last_updater_version IS DISTINCT FROM {v} THEN 'REBUILD' ELSE 'INCREMENTAL' END"
+    release = (
+        "CASE WHEN l.product = 'view' THEN 'SKIP' WHEN NOT p.present THEN 'FULL_LOAD' "
+        f"WHEN t.product IS NULL THEN 'REBUILD' {after}"
+    )
+    repo = f"CASE WHEN NOT p.present OR t.product IS NULL THEN 'FULL_LOAD' {after}"
     return q.render(
-        "SELECT l.product, l.ref AS latest_ref, t.last_updated_ref, t.last_updater_version, "
-        "CASE WHEN t.product IS NULL THEN 'REBUILD' WHEN t.last_updated_ref = l.ref THEN 'SKIP' "
-        f"WHEN t.last_updater_version IS DISTINCT FROM {v} THEN 'REBUILD' ELSE 'INCREMENTAL' END AS release_action, "
-        "CASE WHEN t.product IS NULL THEN 'FULL_LOAD' WHEN t.last_updated_ref = l.ref THEN 'SKIP' "
-        f"WHEN t.last_updater_version IS DISTINCT FROM {v} THEN 'REBUILD' ELSE 'INCREMENTAL' END AS repo_action, "
-        "CASE WHEN t.product IS NULL THEN 'REBUILD' WHEN t.last_updated_ref = l.ref THEN 'SKIP' "
-        f"WHEN t.last_updater_version IS DISTINCT FROM {v} THEN 'REBUILD' ELSE 'INCREMENTAL' END AS action "
-        f"FROM latest_ref l LEFT JOIN {t} t ON l.product = t.product"
+        f"SELECT l.product, l.ref AS latest_ref, t.last_updated_ref, t.last_updater_version, {release} AS release_action, {repo} AS repo_action, "
+        f"{release} AS action, p.present FROM latest_ref l LEFT JOIN {t} t ON l.product = t.product, (VALUES (true), (false)) p(present)"
     )
 
 
 _pair("plan_refresh", _r4_spark, _r4_sql)
 
 
-def _r5_spark(spark, sf):
-    t = fx.fx_tracking(spark, sf, OPTS)
-    legacy = t.drop("last_updater_version")
-    return spark.createDataFrame([(RF.has_version_column(t), RF.has_version_column(legacy))], "current_has_version boolean, legacy_has_version boolean")
-
-
-_pair("schema_drift", _r5_spark)
-
-
-def _r3_spark(spark, sf):
-    name = "docweave_tracking_probe"
-    RF.create_tracking(spark, name, scratch_path(spark, "tracking"))
-    RF.create_tracking(spark, name)
-    out = TB.describe_table(spark, name)
-    TB.drop_table(spark, name)
-    return out
-
-
-_pair("create_tracking", _r3_spark)
-
-
 # ------------------------------------------------------------ retrieval
 from docweave.operators import knn as KN  # noqa: E402
 from docweave.operators import retrieve as RT  # noqa: E402
 from docweave.operators.embed import embed_chunks, embed_questions  # noqa: E402
 
 
+#: where the chunk table of an input was stored by this application
 _CHUNK_TABLES: dict = {}
+_TERM_INDEX: dict = {}
 
 
 def fx_chunks(spark, sf):
-    """The chunk table with vectors (T2 over the conversation corpus + T3 over the
-    new snapshot + E1), written once per session and then read, as the
-    retriever reads the table the updater wrote."""
+    """The chunk table with vectors (T2 over the conversation corpus + T3 over all
+    pages + E1), stored once per application as K1 writes it and read from
+    there, as the retriever reads the table the updater wrote."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _CHUNK_TABLES:
-        _CHUNK_TABLES[key] = _build_fx_chunks(spark, sf)
-    return _CHUNK_TABLES[key]
+        path = scratch_path(spark, "chunk-table")
+        TB.full_load(_new_fx_chunks(spark, sf), path, OPTS.with_(chunk_buckets=8))
+        _CHUNK_TABLES[key] = path
+    return spark.read.parquet(_CHUNK_TABLES[key]).drop("bucket")
+
+
+def fx_term_index(spark, sf):
+    """The stored BM25 statistics of the chunk table."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _TERM_INDEX:
+        path = scratch_path(spark, "term-index")
+        for name, df in zip(("terms", "lengths"), RT.term_index(fx_chunks(spark, sf))):
+            df.write.parquet(f"{path}/{name}")
+        _TERM_INDEX[key] = path
+    return tuple(spark.read.parquet(f"{_TERM_INDEX[key]}/{name}") for name in ("terms", "lengths"))
 
 
-def _build_fx_chunks(spark, sf):
+def _new_fx_chunks(spark, sf):
     a = CH.chunk_docs(fx.fx_markdown(spark, sf), OPTS, key="doc", text="text")
-    b = build_release_chunks(fx.fx_snapshot_new(spark, sf), OPTS)
-    # the chunk table is a stored table in real use; materialise the fixture
-    # once (reliable checkpoint in the shared folder) instead of re-chunking
-    # and re-embedding it for every use inside one query
-    return embed_chunks(a.unionByName(b), OPTS).checkpoint(eager=True)
+    b = build_release_chunks(fx.fx_pages(spark, sf), OPTS)
+    return embed_chunks(a.unionByName(b), OPTS)
 
 
 def _e1_spark(spark, sf):
-    c = fx_chunks(spark, sf)
+    c = _new_fx_chunks(spark, sf)
     return c.select("filename", "chunk_no", F.posexplode("vector").alias("dim", "v")).select(
         "filename", "chunk_no", F.col("dim").cast("bigint").alias("dim"), F.round(F.col("v").cast("double"), 6).alias("value")
     )
@@ -1004,7 +1028,7 @@ def _e4_spark(spark, sf):
     fq = fx.fx_questions(spark, sf, OPTS)
     ch = fx_chunks(spark, sf)
     hits = KN.knn_exact(embed_questions(fq, OPTS), ch, OPTS.k_neighbours, OPTS)
-    s = RT.lexical_score(hits, fq, ch)
+    s = RT.lexical_score(hits, fq, ch, fx_term_index(spark, sf))
     return s.select("request_id", "q_no", "filename", "chunk_no", F.round("score", 6).alias("score"))
 
 
@@ -1024,7 +1048,7 @@ def _l3_spark(spark, sf):
     fq = fx.fx_questions(spark, sf, OPTS)
     ch = fx_chunks(spark, sf)
     hits = KN.knn_exact(embed_questions(fq, OPTS), ch, OPTS.k_neighbours, OPTS)
-    return RT.rerank(hits, fq, ch, OPTS.top_docs).select("request_id", "q_no", "filename", "chunk_no", "rank")
+    return RT.rerank(hits, fq, ch, OPTS.top_docs, fx_term_index(spark, sf)).select("request_id", "q_no", "filename", "chunk_no", "rank")
 
 
 def _l3_sql():
@@ -1061,6 +1085,20 @@ def _e5_sql():
 _pair("retrieve", _e5_spark, _e5_sql)
 
 
+def _e5_rerank_spark(spark, sf):
+    return _hits_out(RT.retrieve(_clean_questions(spark, sf), fx_chunks(spark, sf), OPTS, use_rerank=True, index=fx_term_index(spark, sf)))
+
+
+def _e5_rerank_sql():
+    q = S.Q()
+    cq, ch = S.scrubbed_questions(q, OPTS), S.fx_chunks(q, OPTS)
+    h = S.knn_sql(q, cq, "request_id, q_no", "question", ch, OPTS.k_neighbours, OPTS, "e5")
+    return q.render(f"SELECT {HIT_COLS} FROM {S.reranked(q, h, cq, ch, OPTS.top_docs)}")
+
+
+_pair("retrieve_rerank", _e5_rerank_spark, _e5_rerank_sql)
+
+
 def _o1_spark(spark, sf):
     h = RT.concat_results(RT.retrieve(_clean_questions(spark, sf), fx_chunks(spark, sf), OPTS))
     return h.select("request_id", "pos", "q_no", "rank", "filename", "chunk_no")
@@ -1134,18 +1172,20 @@ _pair("prompt_budget", *_w2(OPTS.max_prompt_tokens))
 _pair("prompt_budget_small", *_w2(1000))
 
 
-def _e6(b):
+def _e6(b, rerank=False):
     def sp(spark, sf):
-        return RT.build_prompts(fx.fx_questions(spark, sf, OPTS), fx_chunks(spark, sf), OPTS, budget=b)
+        index = fx_term_index(spark, sf) if rerank else None
+        return RT.build_prompts(fx.fx_questions(spark, sf, OPTS), fx_chunks(spark, sf), OPTS, budget=b, use_rerank=rerank, index=index)
 
     def sq():
         q = S.Q()
-        p = S.prompts(q, OPTS, b)
+        p = S.prompts(q, OPTS, b, rerank=rerank)
         return q.render(f"SELECT request_id, user_prompt, n_docs, docs_tokens FROM {p}")
 
     return sp, sq
 
 
+_pair("build_prompts_rerank", *_e6(OPTS.max_prompt_tokens, rerank=True))
 _pair("build_prompts", *_e6(OPTS.max_prompt_tokens))
 _pair("build_prompts_small", *_e6(1000))
 
@@ -1197,9 +1237,9 @@ def _e8_spark(spark, sf):
 def _e8_sql():
     q = S.Q()
     lk = S.fx_lookup(q)
-    q.add("lk_q", f"SELECT request_id, CAST(1 AS BIGINT) AS q_no, question, CASE WHEN count = 0 THEN 20 ELSE count END AS k FROM {lk} WHERE count >= 0")
+    q.add("lk_q", f"SELECT request_id, CAST(1 AS BIGINT) AS q_no, question, CASE WHEN count = 0 THEN {OPTS.k_neighbours} ELSE count END AS k FROM {lk} WHERE count >= 0")
     ch = S.fx_chunks(q, OPTS)
-    h = S.knn_sql(q, "lk_q", "request_id, q_no", "question", ch, OPTS.k_neighbours, OPTS, "e8")
+    h = S.knn_sql(q, "lk_q", "request_id, q_no", "question", ch, 1 << 40, OPTS, "e8")
     meta = TX.metadata_text_sql("c.filename", "c.doc_link", "c.header1", "c.header2", "c.header3")
     return q.render(
         f"SELECT h.request_id, h.rank, c.text AS page_content, {meta} AS metadata FROM {h} h JOIN lk_q l ON h.request_id = l.request_id "
@@ -1215,9 +1255,16 @@ def _ann_inputs(spark, sf):
     return embed_questions(fx.fx_questions(spark, sf, OPTS), OPTS), fx_chunks(spark, sf)
 
 
+def _ann_out(df):
+    return df.select("request_id", "q_no", "filename", "chunk_no", F.round("distance", 6).alias("distance"), "rank", "n_found")
+
+
 def _l4_spark(spark, sf):
     qv, ch = _ann_inputs(spark, sf)
-    return _hits_out(KN.knn_ivf(qv, ch, OPTS.k_neighbours, OPTS))
+    # fixed centroids (a rule both sides can state); by default KMeans trains them
+    cents = KN.sample_centroids(ch, OPTS.ivf_lists)
+    hits = KN.knn_ivf(qv, ch, OPTS.k_neighbours, OPTS, centroids=cents)
+    return _ann_out(hits)
 
 
 def _l4_sql():
@@ -1249,7 +1296,8 @@ def _l4_sql():
         "FROM q_probe p JOIN c_assign c ON p.list_id = c.list_id",
     )
     return q.render(
-        f"SELECT {HIT_COLS} FROM (SELECT *, CAST(row_number() OVER (PARTITION BY request_id, q_no ORDER BY round(distance, 9), filename, chunk_no) AS BIGINT) AS rank "
+        f"SELECT {HIT_COLS}, count(*) OVER (PARTITION BY request_id, q_no) AS n_found FROM (SELECT *, "
+        "CAST(row_number() OVER (PARTITION BY request_id, q_no ORDER BY round(distance, 9), filename, chunk_no) AS BIGINT) AS rank "
         f"FROM ivf_pairs) WHERE rank <= {OPTS.k_neighbours}"
     )
 
@@ -1259,16 +1307,18 @@ _pair("ann_ivf", _l4_spark, _l4_sql)
 
 def _l5_spark(spark, sf):
     qv, ch = _ann_inputs(spark, sf)
-    return _hits_out(KN.knn_lsh(qv, ch, OPTS.k_neighbours, OPTS))
+    hits = KN.knn_lsh(qv, ch, OPTS.k_neighbours, OPTS)
+    return _ann_out(hits)
 
 
 _pair("ann_lsh", _l5_spark)
 
 
 def fx_hits_json(spark, sf):
-    """Search responses: the hits of each request's first question as
-    [[{entity, distance}]]; odd chunk numbers carry no 'text' field."""
-    qv = embed_questions(fx.fx_questions(spark, sf, OPTS).where(F.col("q_no") == 1), OPTS)
+    """Search responses: the hits of each question as [[{entity, distance}]], its
+    id being '{request}/{question}'; odd chunk numbers carry no 'text' field."""
+    one = fx.fx_questions(spark, sf, OPTS).select(F.concat_ws("/", "request_id", "q_no").alias("request_id"), F.lit(1).cast("bigint").alias("q_no"), "question")
+    qv = embed_questions(one, OPTS)
     ch = fx_chunks(spark, sf)
     hits = KN.knn_exact(qv, ch, OPTS.k_neighbours, OPTS).join(ch.select("filename", "chunk_no", "text"), ["filename", "chunk_no"])
     item = F.struct(
@@ -1297,7 +1347,7 @@ def _s8_spark(spark, sf):
 def _s8_sql():
     q = S.Q()
     fq = S.fx_questions(q, OPTS)
-    q.add("fq1", f"SELECT * FROM {fq} WHERE q_no = 1")
+    q.add("fq1", f"SELECT request_id || '/' || q_no AS request_id, CAST(1 AS BIGINT) AS q_no, question FROM {fq}")
     ch = S.fx_chunks(q, OPTS)
     h = S.knn_sql(q, "fq1", "request_id, q_no", "question", ch, OPTS.k_neighbours, OPTS, "s8")
     return q.render(
@@ -1310,9 +1360,13 @@ _pair("flatten_hits", _s8_spark, _s8_sql)
 
 
 def _s9_spark(spark, sf):
+    """By name, which the catalog does not know, falling back to the default
+    collection; the latter is opened by name from the catalog."""
     path = scratch_path(spark, "collection")
     TB.full_load(_t2_spark(spark, sf), path, OPTS)
-    return SC.read_collection(spark, "docs_collection", fmt="parquet", path=path).select("filename", "chunk_no", "doc_link")
+    name = f"docs_{path.rsplit('-', 1)[-1]}"
+    SC.read_collection(spark, name, fmt="parquet", path=path).createOrReplaceTempView(name)
+    return SC.read_collection(spark, f"no_{name}", default=name).select("filename", "chunk_no", "doc_link")
 
 
 def _s9_sql():
@@ -1364,7 +1418,10 @@ def _x1_spark(spark, sf):
     base = scratch_path(spark, "x1-base")
     TB.full_load(build_release_chunks(old, OPTS), base, OPTS)
     changes_dir = scratch_path(spark, "x1-changes")
-    DF.release_changes(old, new, OPTS).write.parquet(changes_dir)
+    # two change files per file name, read in one micro-batch; the earlier comes last by name
+    both = _with_stale_changes(DF.release_changes(old, new, OPTS))
+    both.where("seq = 2").coalesce(1).write.mode("append").parquet(changes_dir)
+    both.where("seq = 1").coalesce(1).write.mode("append").parquet(changes_dir)
     st = stream_refresh(spark, changes_dir, ChunkTableState(spark, base), OPTS)
     return st.read().select("filename", "chunk_no", "doc_link", "text")
 
@@ -1428,24 +1485,33 @@ _pair("add_records", _e3_spark, _e3_sql)
 
 
 def _r6_spark(spark, sf):
-    """One refresh run: tracking says v1 with the current updater version,
-    the latest ref is v2 -> INCREMENTAL from the old snapshot to the new one."""
+    """R6 on storage: a first run loads the old snapshot, a second one finds nothing
+    to do, a third applies the new snapshot's changes; then the table is read back."""
     old, new = _snaps(spark, sf)
-    tracking = spark.createDataFrame([("docs", "v1", OPTS.updater_version)], ",".join(f"{c} string" for c in RF.TRACKING_COLS))
-    res = RF.run_refresh(
-        spark,
-        "docs",
-        "v2",
-        tracking,
-        build_release_chunks(old, OPTS),
-        full_chunks=lambda: build_release_chunks(new, OPTS),
-        change_chunks=lambda last, table: TB.apply_changes(table, DF.release_changes(old, new, OPTS), OPTS),
-        opts=OPTS,
-    )
-    return res.table.select(*CHUNK_COLS.split(", "))
+    base = scratch_path(spark, "refresh")
+
+    def run(ref, snapshot, expect):
+        got = RF.run_refresh(
+            spark, "docs", ref, f"{base}/tracking", f"{base}/chunks",
+            full_chunks=lambda: build_release_chunks(snapshot, OPTS),
+            changes_since=lambda last: DF.release_changes(old, snapshot, OPTS),
+            opts=OPTS,
+        )
+        if got != expect:
+            raise RuntimeError(f"refresh to {ref}: {got}, not {expect}")
+
+    run("v1", old, RF.FULL_LOAD)
+    run("v1", old, RF.SKIP)
+    run("v2", new, RF.INCREMENTAL)
+    ref = RF.read_tracking_log(spark, f"{base}/tracking").select(F.col("last_updated_ref").alias("ref"))
+    return spark.read.parquet(f"{base}/chunks").select(*CHUNK_COLS.split(", ")).join(ref)
 
 
-_pair("run_refresh", _r6_spark, _o4_sql)
+def _r6_sql():
+    return f"SELECT *, 'v2' AS ref FROM ({_o4_sql()})"
+
+
+_pair("run_refresh", _r6_spark, _r6_sql)
 
 
 def _l5_sql():
@@ -1455,23 +1521,20 @@ def _l5_sql():
     fq = S.fx_questions(q, OPTS)
     ch = S.fx_chunks(q, OPTS)
     qe = S.embed_sql(q, fq, "request_id, q_no", "question", "lsh_qe", OPTS.embed_dim)
-    planes = KN.hyperplanes(OPTS.lsh_bands, OPTS.lsh_bits, OPTS.embed_dim)
+    planes = KN.hyperplanes(OPTS.lsh_bands, KN.MAX_BITS, OPTS.embed_dim)
     vals = ", ".join(
         f"({b}, {j}, [{', '.join(repr(float(x)) for x in h)}]::DOUBLE[])" for b, band in enumerate(planes) for j, h in enumerate(band)
     )
-    q.add("planes", f"SELECT * FROM (VALUES {vals}) t(b, j, h)")
-    dot = "list_reduce(list_transform(list_zip({v}, p.h), lambda z: z[1]::DOUBLE * z[2]::DOUBLE), lambda s, t: s + t, 0.0::DOUBLE)"
-    bits = OPTS.lsh_bits
-    q.add(
-        "ck",
-        f"SELECT c.filename, c.chunk_no, p.b * {1 << bits} + sum(CASE WHEN {dot.format(v='c.vector')} >= 0 THEN (1 << p.j) ELSE 0 END) AS bucket "
-        f"FROM {ch} c, planes p GROUP BY c.filename, c.chunk_no, p.b",
-    )
-    q.add(
-        "qk",
-        f"SELECT e.request_id, e.q_no, p.b * {1 << bits} + sum(CASE WHEN {dot.format(v='e.vec')} >= 0 THEN (1 << p.j) ELSE 0 END) AS bucket "
-        f"FROM {qe} e, planes p GROUP BY e.request_id, e.q_no, p.b",
-    )
+    dot = "list_sum(list_transform(list_zip({v}, p.h), lambda z: z[1]::DOUBLE * z[2]::DOUBLE))"
+    q.add("mean_v", f"SELECT list(m ORDER BY i) AS v FROM (SELECT i, round(avg(x::DOUBLE), 6) AS m FROM (SELECT unnest(vector) AS x, unnest(range(len(vector))) AS i FROM {ch}) GROUP BY i)")
+    bits = f"(SELECT greatest({OPTS.lsh_bits}, least({KN.MAX_BITS}, ceil(log2(greatest(1.0, count(*) / {OPTS.lsh_bucket_rows}.0))))) FROM {ch})"
+    q.add("planes", f"SELECT p.*, {dot.format(v='m.v')} AS shift FROM (VALUES {vals}) p(b, j, h), mean_v m WHERE p.j < {bits}")
+    for name, keys, src, vec in (("ck", "c.filename, c.chunk_no", f"{ch} c", "c.vector"), ("qk", "e.request_id, e.q_no", f"{qe} e", "e.vec")):
+        q.add(
+            name,
+            f"SELECT {keys}, p.b * {1 << KN.MAX_BITS} + sum(CASE WHEN {dot.format(v=vec)} >= p.shift THEN (1 << p.j) ELSE 0 END) AS bucket "
+            f"FROM {src}, planes p GROUP BY {keys}, p.b",
+        )
     q.add("cand", "SELECT DISTINCT qk.request_id, qk.q_no, ck.filename, ck.chunk_no FROM qk JOIN ck ON qk.bucket = ck.bucket")
     q.add(
         "lsh_pairs",
@@ -1479,7 +1542,8 @@ def _l5_sql():
         f"JOIN {qe} e ON a.request_id = e.request_id AND a.q_no = e.q_no JOIN {ch} c ON a.filename = c.filename AND a.chunk_no = c.chunk_no",
     )
     return q.render(
-        f"SELECT {HIT_COLS} FROM (SELECT *, CAST(row_number() OVER (PARTITION BY request_id, q_no ORDER BY round(distance, 9), filename, chunk_no) AS BIGINT) AS rank "
+        f"SELECT {HIT_COLS}, count(*) OVER (PARTITION BY request_id, q_no) AS n_found FROM (SELECT *, "
+        "CAST(row_number() OVER (PARTITION BY request_id, q_no ORDER BY round(distance, 9), filename, chunk_no) AS BIGINT) AS rank "
         f"FROM lsh_pairs) WHERE rank <= {OPTS.k_neighbours}"
     )
 

@@ -40,6 +40,12 @@ def fx_snapshot_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.withColumn("html", F.when(F.pmod("page_id", F.lit(13)) == 0, no_article).otherwise(F.col("html")))
 
 
+def fx_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of `pages` as one snapshot; every 13th page has no article."""
+    no_article = F.replace(F.replace("html", F.lit("<article>"), F.lit("<div>")), F.lit("</article>"), F.lit("</div>"))
+    return release_pages(spark, sf_dir).withColumn("html", F.when(F.pmod("page_id", F.lit(13)) == 0, no_article).otherwise(F.col("html")))
+
+
 def fx_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One Markdown document per conversation: '# Conversation {id}', then per turn
     '## Turn {turn} {role}' and the text, blank lines between."""
@@ -161,9 +167,14 @@ def fx_questions(spark: SparkSession, sf_dir: str, opts: JobOptions) -> DataFram
     )
 
 
+def lookup_count(n):
+    """Counts 0 (the default), 4, 35, and more than there are chunks."""
+    return F.element_at(F.array(*[F.lit(x).cast("bigint") for x in (0, 4, 35, 1_000_000)]), (n + 1).cast("int"))
+
+
 def fx_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = table(spark, sf_dir, "benchmark")
-    return b.select(F.col("item_id").alias("request_id"), F.col("text").alias("question"), F.pmod("item_id", F.lit(4)).cast("bigint").alias("count"))
+    return b.select(F.col("item_id").alias("request_id"), F.col("text").alias("question"), lookup_count(F.pmod("item_id", F.lit(4))).alias("count"))
 
 
 def fx_answers(spark: SparkSession, sf_dir: str) -> DataFrame:

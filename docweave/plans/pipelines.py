@@ -38,13 +38,9 @@ def release_markdown(snapshot: DataFrame, opts: JobOptions, drop_empty: bool = T
 
 def build_release_chunks(snapshot: DataFrame, opts: JobOptions) -> DataFrame:
     """Every page of a release snapshot -> chunks (pages without an article
-    give an empty line list, so no chunk)."""
+    give no section). No exchange: each page is converted and split in its row."""
     s = drop_ignored_paths(snapshot, opts)
-    # hash-partition the raw pages by file name first: the chunker's windows
-    # need exactly this distribution, so the job keeps one exchange and the
-    # HTML -> Markdown chain runs after it, on every shuffle partition
-    by_file = s.select(format_file_path(F.col("rel_path")).alias("filename"), "html").repartition("filename")
-    md = by_file.select("filename", article_markdown(F.col("html")).alias("markdown"))
+    md = s.select(format_file_path(F.col("rel_path")).alias("filename"), article_markdown(F.col("html")).alias("markdown"))
     return chunk_docs(md, opts, key="filename", text="markdown")
 
 

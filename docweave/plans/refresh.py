@@ -3,12 +3,13 @@ driver-side orchestration of DataFrame jobs (R6)."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docweave.operators.tables import create_table, upsert_pk
+from docweave.operators.tables import apply_changes_in_place, create_table, full_load, upsert_pk
 from docweave.options import RELEASE_MODE, REPOSITORY_MODE, JobOptions
 
 FULL_LOAD, SKIP, REBUILD, INCREMENTAL = "FULL_LOAD", "SKIP", "REBUILD", "INCREMENTAL"
@@ -22,8 +23,9 @@ def read_tracking(tracking: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def write_tracking(tracking: DataFrame, updates: DataFrame) -> DataFrame:
-    """R2: upsert (product, ref, updater version) keyed by product."""
-    return upsert_pk(tracking.select(*TRACKING_COLS), updates, "product")
+    """R2: upsert (product, ref, updater version) keyed by product; of several
+    updates of a product the one with the greatest ``seq`` is the last."""
+    return upsert_pk(tracking.select(*TRACKING_COLS), updates, "product", order="seq" if "seq" in updates.columns else None)
 
 
 def create_tracking(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -57,7 +59,7 @@ def plan_refresh(
     same_ref = tracked & (F.col("last_updated_ref") == F.col("ref"))
     ver_diff = ~F.col("last_updater_version").eqNullSafe(F.lit(opts.updater_version))
     if not collection_exists:
-        release = F.lit(FULL_LOAD)
+        release = F.when(asset, F.lit(FULL_LOAD)).otherwise(F.lit(SKIP))  # nothing to load without the asset
         repo = F.lit(FULL_LOAD)
     else:
         release = (
@@ -86,42 +88,65 @@ def plan_refresh(
     )
 
 
-@dataclass
-class RefreshResult:
-    action: str
-    table: DataFrame | None
-    tracking: DataFrame
+LOG_SCHEMA = ", ".join(f"{c} string" for c in TRACKING_COLS) + ", seq long"
+
+
+def stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at ``path``, or None when there is none."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def read_tracking_log(spark: SparkSession, path: str) -> DataFrame:
+    """R1 on storage: the tracking table as the last entry of each product in an
+    append-only log (an append is one atomic commit)."""
+    log = stored(spark, path)
+    if log is None:
+        log = spark.createDataFrame([], LOG_SCHEMA)
+    last = F.max_by(F.struct(*TRACKING_COLS[1:]), "seq").alias("r")
+    return log.groupBy("product").agg(last, F.max("seq").alias("seq")).select("product", *[f"r.{c}" for c in TRACKING_COLS[1:]], "seq")
 
 
 def run_refresh(
     spark: SparkSession,
     product: str,
     latest_ref: str,
-    tracking: DataFrame,
-    current: DataFrame | None,
-    full_chunks,
-    change_chunks,
+    tracking_path: str,
+    table_path: str,
+    full_chunks: Callable[[], DataFrame],
+    changes_since: Callable[[str], DataFrame],
     opts: JobOptions,
     has_asset: bool = True,
-) -> RefreshResult:
-    """R1 -> R4 -> (K1 or O4/O5) -> R2 for one product.
-
-    ``full_chunks()`` builds the whole table; ``change_chunks(last_ref, table)``
-    applies the change set since ``last_ref``. Tracking advances only after a
-    successful action (the reference advances it even when nothing loads).
+    embed=None,
+) -> str:
+    """R1 -> R4 -> (K1 or O4/O5) -> R2 for one product, on storage. Returns the action.
+
+    ``full_chunks()`` gives the whole chunk table, ``changes_since(ref)`` the
+    change set since the last processed state. The chunk table at ``table_path``
+    is written first, the tracking entry at ``tracking_path`` only after that
+    has succeeded: a run that fails leaves the cursor where it was, and the next
+    one repeats the (idempotent) action. (The reference advances it even when
+    nothing loads.)
     """
     latest = spark.createDataFrame([(product, latest_ref)], "product string, ref string")
-    plan = plan_refresh(latest, tracking, opts, collection_exists=current is not None, has_asset=has_asset).first()
+    tracking = read_tracking_log(spark, tracking_path)
+    plan = plan_refresh(latest, tracking, opts, collection_exists=stored(spark, table_path) is not None, has_asset=has_asset).first()
     action = plan["action"]
     if action == SKIP:
-        return RefreshResult(action, current, tracking)
-    if action in (FULL_LOAD, REBUILD):
-        table = full_chunks()
+        return action
+    if action == INCREMENTAL:
+        apply_changes_in_place(spark, table_path, changes_since(plan["last_updated_ref"]), opts, embed)
     else:
-        table = change_chunks(plan["last_updated_ref"], current)
-    upd = spark.createDataFrame([(product, latest_ref, opts.updater_version)], ",".join(f"{c} string" for c in TRACKING_COLS))
-    base = tracking if has_version_column(tracking) else tracking.withColumn("last_updater_version", F.lit(None).cast("string"))
-    return RefreshResult(action, table, write_tracking(base, upd))
+        chunks = full_chunks()
+        full_load(embed(chunks) if embed is not None else chunks, table_path, opts)
+    before = tracking.where(F.col("product") == product).select("seq").first()
+    entry = [(product, latest_ref, opts.updater_version, (before["seq"] if before else 0) + 1)]
+    spark.createDataFrame(entry, LOG_SCHEMA).write.mode("append").parquet(tracking_path)
+    return action
 
 
 __all__ = [
@@ -132,6 +157,7 @@ __all__ = [
     "RELEASE_MODE",
     "REPOSITORY_MODE",
     "read_tracking",
+    "read_tracking_log",
     "write_tracking",
     "create_tracking",
     "has_version_column",

@@ -46,6 +46,15 @@ def release_pages(q: Q) -> str:
     )
 
 
+def fx_pages(q: Q) -> str:
+    rp = release_pages(q)
+    return q.add(
+        "fx_pages",
+        "SELECT page_id, rel_path, CASE WHEN page_id % 13 = 0 THEN "
+        f"replace(replace(html, '<article>', '<div>'), '</article>', '</div>') ELSE html END AS html FROM {rp}",
+    )
+
+
 def fx_snapshot_old(q: Q) -> str:
     rp = release_pages(q)
     return q.add(
@@ -152,7 +161,7 @@ def fx_questions(q: Q, opts: JobOptions) -> str:
 def fx_lookup(q: Q) -> str:
     return q.add(
         "fx_lookup",
-        "SELECT item_id AS request_id, text AS question, CAST(item_id % 4 AS BIGINT) AS count FROM benchmark",
+        "SELECT item_id AS request_id, text AS question, CAST([0, 4, 35, 1000000][item_id % 4 + 1] AS BIGINT) AS count FROM benchmark",
     )
 
 
@@ -370,7 +379,7 @@ def embed_sql(q: Q, src: str, keys: str, text: str, name: str, dim: int) -> str:
 
 def fx_chunks(q: Q, opts: JobOptions) -> str:
     a = chunk_docs(q, fx_markdown(q), "doc", "text", opts, "fxc_md")
-    b = build_release_chunks(q, fx_snapshot_new(q), opts, "fxc_rel")
+    b = build_release_chunks(q, fx_pages(q), opts, "fxc_rel")
     q.add("fxc_all", f"SELECT * FROM {a} UNION ALL SELECT * FROM {b}")
     e = embed_sql(q, "fxc_all", "filename, chunk_no", "text", "fxc_emb", opts.embed_dim)
     return q.add("fx_chunks", f"SELECT a.*, e.vec AS vector FROM fxc_all a JOIN {e} e USING (filename, chunk_no)")
@@ -450,13 +459,24 @@ def budget(q: Q, blk: str, b: int, name: str) -> str:
     )
 
 
-def prompts(q: Q, opts: JobOptions, b: int, name: str = "prompts") -> str:
+def reranked(q: Q, hits: str, questions: str, chunks: str, top_n: int, name: str = "reranked") -> str:
+    b = bm25(q, hits, questions, chunks, f"{name}_bm25")
+    return q.add(
+        name,
+        "SELECT * EXCLUDE (rank, score), rank2 AS rank, score FROM (SELECT *, CAST(row_number() OVER (PARTITION BY request_id, q_no "
+        f"ORDER BY round(score, 9) DESC, round(distance, 9), filename, chunk_no) AS BIGINT) AS rank2 FROM {b}) WHERE rank2 <= {top_n}",
+    )
+
+
+def prompts(q: Q, opts: JobOptions, b: int, name: str = "prompts", rerank: bool = False) -> str:
     from docweave.operators.retrieve import DEFAULT_USER_TEMPLATE
     from docweave.options import NO_DOCS_TEXT
 
     cq = scrubbed_questions(q, opts)
     ch = fx_chunks(q, opts)
     hits = knn_sql(q, cq, "request_id, q_no", "question", ch, opts.k_neighbours, opts, "e5")
+    if rerank:
+        hits = reranked(q, hits, cq, ch, opts.top_docs)
     blk = blocks(q, hits, ch, "e6_blocks")
     kept = budget(q, blk, b, f"{name}_kept")
     q.add(

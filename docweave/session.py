@@ -3,7 +3,9 @@ and the shared checkpoint folder."""
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,12 +40,17 @@ def build_session(master: str | None = None, partitions: int = 8, app: str = "do
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a shared folder and is only read. Only
-    when it is unset (local tests) a fresh scratch folder is made and set.
+    On a cluster the setting names a shared folder and is only read; without it
+    this raises, as a machine-local folder would lose what executors write.
+    Only a local session gets a scratch folder, removed when Python exits.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
         d = tempfile.mkdtemp(prefix="docweave-ckpt-")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
         try:
             spark.conf.set("spark.checkpoint.dir", d)
         except Exception:  # noqa: BLE001 - some deployments reject runtime core confs

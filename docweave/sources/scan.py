@@ -95,23 +95,30 @@ def changed_files(payloads: DataFrame, body: str = "body") -> DataFrame:
     return f.select("f.filename", "f.status")
 
 
+#: bytes of members handed on at a time
+UNZIP_BYTES = 16 << 20
+
+
 def _explode_zip(batches):
     import io
     import zipfile
 
     import pandas as pd
 
+    names = ["archive", "member", "content"]
     for pdf in batches:
-        out = {"archive": [], "member": [], "content": []}
+        rows, held = [], 0
         for path, blob in zip(pdf["path"], pdf["content"]):
             with zipfile.ZipFile(io.BytesIO(blob)) as z:
                 for info in z.infolist():
                     if info.is_dir():
                         continue
-                    out["archive"].append(path)
-                    out["member"].append(info.filename)
-                    out["content"].append(z.read(info))
-        yield pd.DataFrame(out, columns=["archive", "member", "content"])
+                    if rows and held + info.file_size > UNZIP_BYTES:
+                        yield pd.DataFrame(rows, columns=names)
+                        rows, held = [], 0
+                    rows.append((path, info.filename, z.read(info)))
+                    held += info.file_size
+        yield pd.DataFrame(rows, columns=names)
 
 
 def unpack_archive_rows(archives: DataFrame) -> DataFrame:
@@ -120,8 +127,8 @@ def unpack_archive_rows(archives: DataFrame) -> DataFrame:
 
 
 def unpack_archives(spark: SparkSession, root: str, glob: str = "*.zip") -> DataFrame:
-    """Zip archives below ``root`` -> (archive, member, content); each task
-    opens the archives of its batch, one archive in memory at a time."""
+    """Zip archives below ``root`` -> (archive, member, content); a task
+    hands members on by a byte budget, not a batch of archives at once."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(root)
     return unpack_archive_rows(files)
 

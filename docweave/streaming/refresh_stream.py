@@ -1,15 +1,16 @@
 """The poll-with-stored-cursor refresh re-aimed as Structured Streaming.
 
-Change files (filename, status, markdown) arrive as Parquet files in a
-folder; each micro-batch applies them to the stored chunk table with the
+Change files (filename, status, markdown, seq) arrive as Parquet files in a
+folder (``seq`` orders the changes of a file, also across change files that one
+micro-batch reads together); each micro-batch applies them to the stored chunk table with the
 batch operator O4/O5 inside ``foreachBatch``, rewriting only the buckets the
-batch touches (the cursor is the stream checkpoint). Row windows are not
-allowed on streaming plans, so chunking runs inside ``foreachBatch`` too.
+batch touches (the cursor is the stream checkpoint).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docweave.operators.chunk import chunk_docs
@@ -18,7 +19,12 @@ from docweave.options import JobOptions
 from docweave.session import scratch_path
 
 CHANGE_SCHEMA = T.StructType(
-    [T.StructField("filename", T.StringType()), T.StructField("status", T.StringType()), T.StructField("markdown", T.StringType())]
+    [
+        T.StructField("filename", T.StringType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("markdown", T.StringType()),
+        T.StructField("seq", T.LongType()),
+    ]
 )
 
 
@@ -60,11 +66,13 @@ def stream_refresh(
 
 def stream_chunks(spark: SparkSession, pages_dir: str, out_dir: str, opts: JobOptions, schema: T.StructType, key: str = "filename", text: str = "markdown", checkpoint: str | None = None):
     """Stateless chunking of arriving documents; each micro-batch runs T2
-    and appends its chunks to ``out_dir``."""
+    and writes its chunks to its own partition of ``out_dir``, which a retried
+    batch overwrites."""
     src = spark.readStream.schema(schema).parquet(pages_dir)
 
     def chunk_batch(batch: DataFrame, epoch: int) -> None:
-        chunk_docs(batch, opts, key=key, text=text).write.mode("append").parquet(out_dir)
+        chunks = chunk_docs(batch, opts, key=key, text=text).withColumn("batch", F.lit(epoch))
+        chunks.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(out_dir)
 
     q = (
         src.writeStream.foreachBatch(chunk_batch)
@@ -73,4 +81,4 @@ def stream_chunks(spark: SparkSession, pages_dir: str, out_dir: str, opts: JobOp
         .start()
     )
     q.awaitTermination()
-    return spark.read.parquet(out_dir)
+    return spark.read.parquet(out_dir).drop("batch")

@@ -101,13 +101,13 @@ def test_no_h1_text_starts_with_newline(spark):
     assert r["text"] == "\njust text" and r["doc_link"].endswith("/a/")
 
 
-def test_one_shuffle(spark, sf):
+def test_no_shuffle(spark, sf):
     from docweave.session import table
 
     docs = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("doc"), "text")
     df = chunk_docs(docs, JobOptions(), key="doc", text="text")
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1, plan
+    assert plan.count("Exchange") == 0, plan
 
 
 LINE_KINDS = [

@@ -58,3 +58,33 @@ def test_embedding_unit_and_distance(spark):
     d = spark.createDataFrame([([3.0, 0.0], [0.0, 4.0])], "a array<float>, b array<float>")
     r = d.select(distance("a", "b", "L2").alias("l2"), distance("a", "b", "IP").alias("ip"), distance("a", "b", "bogus").alias("x")).first()
     assert r["l2"] == 5.0 and r["ip"] == 0.0 and r["x"] == 5.0
+
+
+def test_html_cases(spark):
+    from docweave.functions.html import article_markdown, extract_article
+
+    cases = {
+        # nested and unclosed articles keep all of their text
+        "<div><article a='1'>one <article>two</article> tail</article> after</div>": "one two tail",
+        "<main><article><p>open text</p></main><footer>foot</footer>": "open text",
+        "<ARTICLE>A</ARTICLE><article>B</article>": "A",
+        "<p>none</p>": None,
+        "<articles>no</articles>": None,
+        # entities
+        "<article>a &mdash; b &#8217;c&#x2019; &amp;lt; &#128512; &#0; &#xD800;</article>": "a — b ’c’ &lt; 😀 &#0; &#xD800;",
+        # ordered lists
+        "<article><ol><li>x</li><li>y</li></ol><ul><li>z</li></ul></article>": "1. x\n2. y\n\n* z",
+        # pre: nothing inside is converted
+        "<article><p>t</p><pre>a  <b>b</b>\n\n\n\n* &lt;i&gt;</pre><p>u</p></article>": "t\n\n```\na  b\n\n\n\n* <i>\n```\n\nu",
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "html string")
+    got = {r["html"]: r["md"] for r in df.select("html", article_markdown("html").alias("md")).collect()}
+    assert got == cases
+    nested = spark.createDataFrame([(next(iter(cases)),)], "html string").select(extract_article("html")).first()[0]
+    assert nested == "<article>one <article>two</article> tail</article>"
+
+
+def test_metric_names_as_spelled():
+    from docweave.functions.vectors import normalise_metric
+
+    assert [normalise_metric(x) for x in ("L2", "IP", "INNER_PRODUCT", "COSINE", "cosine", "HAMMING", None)] == ["L2", "IP", "IP", "COSINE", "L2", "L2", "L2"]
