@@ -84,5 +84,54 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-#: SQL twins for DuckDB
-SQL: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+#: lines as sets, classes of equal sets, prefixes by document frequency, verified pairs
+_LINES_SQL = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS no
+  FROM documents WHERE text IS NOT NULL),
+s AS (
+  SELECT doc_id, no, list_sort(list_distinct(list_filter(regexp_split_to_array(lower(line), '\s+'), lambda x: x <> ''))) AS ws FROM l),
+c AS (SELECT ws, len(ws) AS n, min(doc_id * 1000000 + no) AS pos FROM s WHERE len(ws) > 0 GROUP BY ws),
+w AS (SELECT pos, n, unnest(ws) AS w FROM c),
+f AS (SELECT w, count(*) AS df FROM w GROUP BY w),
+p AS (
+  SELECT pos, n, w FROM (
+    SELECT w.pos, w.n, w.w, row_number() OVER (PARTITION BY w.pos ORDER BY f.df, w.w) AS r FROM w JOIN f ON w.w = f.w)
+  WHERE r <= n - ceil(0.8 * n - 1e-9) + 1),
+cand AS (SELECT DISTINCT a.pos AS first_pos, b.pos FROM p a JOIN p b ON a.w = b.w AND a.pos < b.pos AND least(a.n, b.n) >= 0.8 * greatest(a.n, b.n) - 1e-9),
+gone AS (
+  SELECT DISTINCT k.pos FROM cand k JOIN c a ON a.pos = k.first_pos JOIN c b ON b.pos = k.pos
+  WHERE len(list_intersect(a.ws, b.ws)) >= 0.8 * (a.n + b.n - len(list_intersect(a.ws, b.ws))) - 1e-9),
+r AS (
+  SELECT s.doc_id, s.no FROM s JOIN c ON s.ws = c.ws
+  WHERE s.doc_id * 1000000 + s.no <> c.pos OR c.pos IN (SELECT pos FROM gone)),
+g AS (SELECT doc_id, count(*) AS n_removed, string_agg(CAST(no AS VARCHAR), ',' ORDER BY no) AS removed FROM r GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(len(string_split(d.text, chr(10))), 0) AS BIGINT) AS n_lines,
+  coalesce(g.n_removed, 0) AS n_removed, coalesce(g.removed, '') AS removed
+FROM documents d LEFT JOIN g ON d.doc_id = g.doc_id
+"""
+
+#: every window of every item against every window of every document
+_WINDOWS_SQL = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+b AS (SELECT item_id, ws, least(10, len(ws)) AS m FROM (SELECT item_id, {_WORDS} AS ws FROM benchmark)),
+win AS (
+  SELECT DISTINCT item_id, m, array_to_string(ws[k + 1 : k + m], ' ') AS s
+  FROM (SELECT item_id, ws, m, unnest(range(len(ws) - m + 1)) AS k FROM b WHERE m > 0)),
+dwin AS (
+  SELECT doc_id, m, k, array_to_string(ws[k + 1 : k + m], ' ') AS s
+  FROM (SELECT doc_id, ws, m, unnest(range(len(ws) - m + 1)) AS k FROM d, (SELECT DISTINCT m FROM win) WHERE len(ws) >= m)),
+hit AS (SELECT DISTINCT dwin.doc_id, dwin.k, dwin.m, win.item_id FROM dwin JOIN win ON dwin.m = win.m AND dwin.s = win.s),
+h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + m)) AS p FROM hit) GROUP BY doc_id),
+i AS (SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(i.n_items, 0) AS n_items,
+  sha256(coalesce(i.names, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h ON d.doc_id = h.doc_id LEFT JOIN i ON d.doc_id = i.doc_id
+"""
+
+#: SQL twins for DuckDB; what the other operators compute (greedy packing,
+#: learned models, hash forests, XXH64) is tested against brute-force versions
+SQL: dict[str, str] = {"op2_line_dedup": _LINES_SQL, "op8_decontamination": _WINDOWS_SQL}
