@@ -13,42 +13,62 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BUCKETS = 1 << 16
+BUCKETS = 1 << 18
 #: labelled rows the classifier is fitted on at most (those with the smallest hash of doc_id)
 MAX_TRAIN = 12_000
+#: a word feature must occur in so many of them, and so many standard
+#: deviations more or less often with the label than by chance
+MIN_DOCS, MIN_DEVIATION = 5, 5.0
+#: besides whole words, beginnings of so many letters are features
+STEMS = (5, 6, 7)
 _WORD = re.compile(r"[^\W\d_]+")
-SHAPES = 9
+_UPPER = re.compile(r"[A-ZÀ-ÖØ-Þ]")
+SHAPES = 10
 
 
-def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed distinct words, and shape values in 0..1."""
+def _number(word: str) -> int:
+    return zlib.crc32(word.encode("utf-8", "replace")) & (BUCKETS - 1)
+
+
+def features(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashed words and word beginnings, the logarithms of their counts, and shape values in 0..1."""
     text = text or ""
     words = _WORD.findall(text.lower())
-    distinct = {zlib.crc32(w.encode("utf-8", "replace")) & (BUCKETS - 1) for w in set(words)}
+    counts = Counter(words)
+    hashed: dict[int, int] = {}
+    for w, c in counts.items():
+        for part in {w, *(w[:k] + "*" for k in STEMS if len(w) >= k)}:
+            h = _number(part)
+            hashed[h] = hashed.get(h, 0) + c
     n, chars = len(words), len(text)
+    letters = sum(map(len, words))
     lines = text.split("\n")
     bytes_ = text.encode("utf-8", "replace")
     punct = len(bytes_) - len(bytes_.translate(None, b"#$%&*|=<>{}[]~^@!\\/"))
     shape = [
         min(1.0, np.log1p(n) / 10),
-        len(set(words)) / n if n else 0.0,
+        len(counts) / n if n else 0.0,
         min(1.0, punct / (n + 1)),
-        sum(map(len, words)) / chars if chars else 0.0,
-        min(1.0, sum(map(len, words)) / n / 20) if n else 0.0,
+        letters / chars if chars else 0.0,
+        min(1.0, letters / n / 20) if n else 0.0,
         1 - len(set(lines)) / len(lines),
-        min(1.0, sum(c in ".!?" for c in text[-1:]) * 1.0),
+        float(text[-1:] in (".", "!", "?")),
         min(1.0, len(lines) / (n + 1) * 10),
-        sum(map(str.isupper, text)) / chars if chars else 0.0,
+        len(_UPPER.findall(text)) / chars if chars else 0.0,
+        sum(map(eq, words, words[1:])) / n if n else 0.0,
     ]
-    return np.fromiter(distinct, np.int64, len(distinct)), np.array(shape)
+    values = np.fromiter(hashed.values(), float, len(hashed))
+    return np.fromiter(hashed, np.int64, len(hashed)), np.log1p(values), np.array(shape)
 
 
 @dataclass(frozen=True)
@@ -57,33 +77,41 @@ class Logistic:
     shapes: np.ndarray
     bias: float
 
-    def probability(self, distinct: np.ndarray, shape: np.ndarray) -> float:
-        z = self.bias + self.words[distinct].sum() + float(shape @ self.shapes)
+    def probability(self, words: np.ndarray, counts: np.ndarray, shape: np.ndarray) -> float:
+        z = self.bias + float(self.words[words] @ counts) + float(shape @ self.shapes)
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def fit_logistic(rows: list[np.ndarray], shapes: np.ndarray, y: np.ndarray, rounds: int = 150, ridge: float = 3e-4) -> Logistic:
-    """Full-batch Adagrad on the logistic loss, with a penalty on word weights."""
+def fit_logistic(rows: list[np.ndarray], counts: list[np.ndarray], shapes: np.ndarray, y: np.ndarray, rounds: int = 500, ridge: float = 1e-4) -> Logistic:
+    """Full-batch Adagrad on the logistic loss, with a penalty on the weights, over
+    the shape values and the words that go with the label beyond chance."""
     n = len(y)
     rate = float(y.mean()) if n else 0.5
     bias0 = float(np.log((rate + 1e-3) / (1 - rate + 1e-3)))
     w, s, b = np.zeros(BUCKETS), np.zeros(SHAPES), bias0
     if n == 0 or rate in (0.0, 1.0):
         return Logistic(w, s, b)
-    flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+    flat, value = np.concatenate(rows), np.concatenate(counts)
     doc = np.repeat(np.arange(n), [len(r) for r in rows])
-    gw, gs, gb = np.full(BUCKETS, 1e-8), np.full(SHAPES, 1e-8), 1e-8
+    held, positive = np.bincount(flat, minlength=BUCKETS), np.bincount(flat, y[doc], BUCKETS)
+    deviation = np.abs(positive - held * rate) / np.sqrt(held * rate * (1 - rate) + 1)
+    telling = ((held >= MIN_DOCS) & (deviation >= MIN_DEVIATION))[flat]
+    flat, value, doc = flat[telling], value[telling], doc[telling]
+    used, flat = np.unique(flat, return_inverse=True)
+    v = np.zeros(len(used))
+    gw, gs, gb = np.full(len(used), 1e-8), np.full(SHAPES, 1e-8), 1e-8
     for _ in range(rounds):
-        z = b + np.bincount(doc, w[flat], n) + shapes @ s
+        z = b + np.bincount(doc, v[flat] * value, n) + shapes @ s
         error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / n
-        dw = np.bincount(flat, error[doc], BUCKETS) + ridge * w / 10
+        dw = np.bincount(flat, error[doc] * value, len(used)) + ridge * v
         ds, db = shapes.T @ error, error.sum()
         gw += dw * dw
         gs += ds * ds
         gb += db * db
-        w -= 0.15 * dw / np.sqrt(gw)
-        s -= 0.3 * ds / np.sqrt(gs)
+        v -= 0.1 * dw / np.sqrt(gw)
+        s -= 0.5 * ds / np.sqrt(gs)
         b -= 0.1 * db / np.sqrt(gb)
+    w[used] = v
     return Logistic(w, s, float(b))
 
 
@@ -102,18 +130,18 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> dict[
     def extract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             got = [features(t) for t in f["text"]]
-            yield pd.DataFrame(
-                {"doc_id": f["doc_id"], "words": [g[0].astype(np.int32) for g in got], "shapes": [g[1] for g in got], "quality": f["quality"], "toxic": f["toxic"]}
-            )
+            columns = {"words": [g[0].astype(np.int32) for g in got], "counts": [g[1].astype(np.float32) for g in got], "shapes": [g[2] for g in got]}
+            yield pd.DataFrame({"doc_id": f["doc_id"], **columns, "quality": f["quality"], "toxic": f["toxic"]})
 
     # at most max_train rows of three numbers: a bounded broadcast
     sample = narrow.join(F.broadcast(chosen), "doc_id").mapInPandas(
-        extract, "doc_id long, words array<int>, shapes array<double>, quality int, toxic int"
+        extract, "doc_id long, words array<int>, counts array<float>, shapes array<double>, quality int, toxic int"
     )
     got = sample.toPandas().sort_values("doc_id", kind="stable")
-    rows = [np.asarray(w, np.int64) for w in got["words"]]
+    rows = [np.asarray(w, np.int32) for w in got["words"]]
+    counts = [np.asarray(c, np.float32) for c in got["counts"]]
     shapes = np.stack(got["shapes"].to_list()) if len(got) else np.zeros((0, SHAPES))
-    return {k: fit_logistic(rows, shapes, (got[k].to_numpy() > 0).astype(float)) for k in ("quality", "toxic")}
+    return {k: fit_logistic(rows, counts, shapes, (got[k].to_numpy() > 0).astype(float)) for k in ("quality", "toxic")}
 
 
 def host_of(source: Column) -> Column:
