@@ -76,16 +76,16 @@ class LanguageFilter:
                     hits[63 * w + b] += np.count_nonzero(mask & (np.uint64(1) << np.uint64(b)))
         return hits, n
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        """(language, corrected share of the text's n-grams that it contains)."""
+    def predict(self, text: str | None) -> tuple[str, float, int]:
+        """(language, corrected share of the text's n-grams that it contains, n-grams)."""
         if not self.languages or text is None or not LETTER.search(text):
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, 0
         hits, n = self.counts(_normal(text))
         if not n:
-            return self.languages[0], 0.0
+            return self.languages[0], 0.0, 0
         share = (hits / n - self.false_rate) / (1 - self.false_rate)
         best = int(share.argmax())  # ties: the more frequent language
-        return self.languages[best], float(min(1.0, max(0.0, share[best])))
+        return self.languages[best], float(min(1.0, max(0.0, share[best]))), n
 
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
@@ -175,10 +175,10 @@ def train(docs: DataFrame, min_share: float = 1e-5, bits: int = 21) -> LanguageF
 def _predictor(spark, model: LanguageFilter):
     shared = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, n_grams long")
     def predict(texts: pd.Series) -> pd.DataFrame:
         m = shared.value
-        return pd.DataFrame([m.predict(t) for t in texts], columns=["lang_pred", "score"])
+        return pd.DataFrame([m.predict(t) for t in texts], columns=["lang_pred", "score", "n_grams"])
 
     return predict.asNondeterministic()  # evaluated once, also below a filter
 
@@ -197,8 +197,10 @@ def predict(docs: DataFrame, model: LanguageFilter) -> DataFrame:
     )
 
 
-def accepted(docs: DataFrame, model: LanguageFilter, min_score: float = 0.3) -> DataFrame:
+def accepted(docs: DataFrame, model: LanguageFilter, min_score: float = 0.2, min_grams: int = 20) -> DataFrame:
     """``docs`` (all columns) without texts in no known language: ``und``, or less
-    than ``min_score`` of the n-grams in the language found."""
+    than ``min_score`` of at least ``min_grams`` n-grams in the language found. A
+    text with fewer n-grams tells too little to go."""
     found = _predictor(docs.sparkSession, model)(F.col("text").cast("string"))
-    return docs.withColumn("__found", found).where(f"__found.lang_pred <> '{UNKNOWN}' and __found.score >= {min_score}").drop("__found")
+    known = f"__found.lang_pred <> '{UNKNOWN}' and (__found.score >= {min_score} or __found.n_grams < {min_grams})"
+    return docs.withColumn("__found", found).where(known).drop("__found")

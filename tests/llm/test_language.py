@@ -44,11 +44,13 @@ def test_odd_rows(spark):
     assert len(got) == 11 and set(got[0]) == set(df.columns)
     assert all(r["lang_pred"] == "und" and r["score"] == 0 for r in got if not (r["text"] or "").strip())
     assert all(r["lang_pred"] in m.languages for r in got if (r["text"] or "").strip())
-    # the words of document 10 are single letters: no n-gram, score 0
-    assert {r["doc_id"] for r in collect(L.accepted(df, m))} == {1, None, -3}
+    # the words of document 10 are single letters: no n-gram to tell, so it stays
+    assert {r["doc_id"] for r in collect(L.accepted(df, m))} == {1, None, 10, -3}
+    foreign = spark.createDataFrame([(99, "zqxj vkwq jjxz qqvk zxqj vwkz", None, None, 1)], odd_docs(spark).schema)
+    assert collect(L.accepted(foreign, m)) == []
     nothing = L.train(empty_docs(spark))
     assert nothing.languages == ()
     assert {r["lang_pred"] for r in collect(L.predict(df, nothing))} == {"und"}
     assert collect(L.predict(empty_docs(spark), m)) == []
-    assert m.predict("12 34 !?") == ("und", 0.0)
+    assert m.predict("12 34 !?") == ("und", 0.0, 0)
     assert m.predict("a")[0] in m.languages
