@@ -36,6 +36,16 @@ def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+#: a join side is broadcast only while its measured size is below so many bytes
+BROADCAST_BYTES = 64 << 20
+
+
+def small(df: DataFrame, size: int) -> DataFrame:
+    """Mark a side of measured ``size`` for broadcast if it is small enough; else
+    Spark joins by shuffling."""
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+
+
 def popcount(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x.astype(np.uint64)).astype(np.int64)
 

@@ -1,29 +1,42 @@
 """Line dedup by an exact set-similarity join, in DataFrame functions only.
 
-A line is the set of its lower-cased words. Words become numbers whose high
-bits rank their rarity (rarest first), the low bits being a hash; a line is the
+A line is the set of its lower-cased words. A word is a number: its high bits
+rank its rarity (rarest first), its low 58 bits are a hash; a line is the
 sorted array of its numbers. Two lines with Jaccard similarity t or more share
 a word among the first n - ceil(t n) + 1 of each (prefix filter); their lengths
 differ by a factor of t at most (length filter), and what can still follow the
-shared word bounds the overlap (positional filter). What passes is verified on
-the whole sets. Of two matching lines the later one goes.
+shared word bounds the overlap (positional filter). A 64-bit sketch of each set
+(the parity of its words per bit) differs in no more bits than the sets differ in
+words, which drops nearly all other pairs inside the join, before they are rows.
+What passes is verified on the whole sets. Of two matching lines the later one goes.
 
 Lines with equal sets are one class, kept once in the join. Within a group that
 shares a word, every class first meets only the group's earliest class (one
 pair each); classes that are settled by this leave, and only the rest meet all
 others. Copies of any number are so removed without listing pairs of copies.
+Groups of very common words are salted.
+
+The words of lines are written out only for lines in a candidate pair; they are
+computed again from the texts, which meet the list of such lines (broadcast
+while its measured size is below ``common.BROADCAST_BYTES``, shuffled beyond it).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from docweave.session import scratch_path
 
+from .common import small
+
 THRESHOLD = 0.8
 RANK_SLOTS = 1 << 16
-_LOW = (1 << 58) - 1
+#: words of this rank (2 ** 20 occurrences) or a higher one have salted groups
+HOT_RANK = 20
+#: bits a word keeps below its rank in the index of prefixes; fewer bits only add candidates
+INDEX_BITS = 35
 
 
 def _stage(df: DataFrame, name: str) -> DataFrame:
@@ -34,53 +47,116 @@ def _stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def words_of(line: Column) -> Column:
-    """Distinct lower-cased words (runs without white space) of a line."""
-    return F.array_distinct(F.array_remove(F.split(F.lower(line), r"\s+"), ""))
+def _bucketed(df: DataFrame, key: str) -> DataFrame:
+    """Write as a table bucketed by ``key`` below the shared checkpoint folder: it
+    joins itself on the key without another shuffle."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "lines-buckets")
+    name = "docweave_" + path.rsplit("-", 1)[-1]
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(n, key).write.bucketBy(n, key).sortBy(key).format("parquet").option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
+def _word_hashes(line: Column) -> Column:
+    """Hashes of the lower-cased words (runs without white space), repeats included."""
+    other = "\t\r\f\x0b"
+    odd = F.lit(False)
+    for c in other:
+        odd = odd | line.contains(c)
+    blanks = F.when(odd, F.translate(line, other, " " * len(other))).otherwise(line)
+    # a single blank splits without a regex; empty words are taken out by their hash
+    hashes = F.transform(F.split(F.lower(blanks), " "), lambda w: F.xxhash64(w))
+    return F.array_remove(hashes, F.xxhash64(F.lit("")))
 
 
 def rarity(docs: DataFrame) -> list[int]:
     """Rank 0..31 per hash slot of words, by the number of their occurrences in
     all texts: 0 for the rarest. At most RANK_SLOTS numbers come to the driver."""
-    words = docs.select(F.explode(F.split(F.lower(F.col("text").cast("string")), r"\s+")).alias("w"))
-    slots = words.groupBy(F.pmod(F.xxhash64("w"), F.lit(RANK_SLOTS)).cast("int").alias("slot")).agg(F.count(F.lit(1)).alias("n"))
+    text = F.translate(F.col("text").cast("string"), "\n", " ")
+    slot = F.col("h").bitwiseAND(F.lit(RANK_SLOTS - 1)).cast("int").alias("slot")
+    slots = docs.select(F.explode(_word_hashes(text)).alias("h")).groupBy(slot).agg(F.count(F.lit(1)).alias("n"))
     ranks = [0] * RANK_SLOTS
     for r in slots.select("slot", F.least(F.lit(31), F.floor(F.log2("n"))).cast("int").alias("rank")).collect():
         ranks[r["slot"]] = r["rank"]
     return ranks
 
 
-def lines_of(docs: DataFrame, ranks: list[int]) -> DataFrame:
-    """``(doc_id, text_key, line_no, words)`` for every line with a word; words
-    are numbers in order of rarity."""
+def numbered_words(line: Column, ranks: list[int]) -> Column:
+    """The set of a line's words as sorted numbers, rarest first."""
     table = F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<long>")  # folded to one constant
-    number = lambda w: F.shiftleft(F.get(table, F.pmod(F.xxhash64(w), F.lit(RANK_SLOTS)).cast("int")), 58).bitwiseOR(
-        F.xxhash64(F.lit(1), w).bitwiseAND(F.lit(_LOW))
-    )
+    number = lambda h: F.shiftleft(F.get(table, h.bitwiseAND(F.lit(RANK_SLOTS - 1)).cast("int")), 58).bitwiseOR(F.shiftrightunsigned(h, 6))
+    return F.sort_array(F.transform(F.array_distinct(_word_hashes(line)), number))
+
+
+def raw_lines(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text_key, line_no, line)`` of every line."""
     text = F.col("text").cast("string")
-    lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), F.posexplode(F.split(text, "\n", -1)).alias("line_no", "line"))
-    sets = lines.select("doc_id", "text_key", "line_no", F.sort_array(F.transform(words_of(F.col("line")), number)).alias("words"))
+    lines = F.posexplode(F.split(text, "\n", -1)).alias("line_no", "line")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), lines)
+
+
+def lines_of(docs: DataFrame, ranks: list[int]) -> DataFrame:
+    """``(doc_id, text_key, line_no, words)`` for every line with a word."""
+    sets = raw_lines(docs).select("doc_id", "text_key", "line_no", numbered_words(F.col("line"), ranks).alias("words"))
     return sets.where(F.size("words") > 0)
 
 
-def _position(prefix: str = "") -> Column:
-    """Order of lines: by doc_id (null last), text under one doc_id, line number."""
-    c = lambda x: F.col(prefix + x)
-    return F.struct(c("doc_id").isNull().alias("no_id"), c("doc_id").alias("doc_id"), c("text_key").alias("text_key"), c("line_no").alias("line_no"))
+def _place() -> Column:
+    """Order of lines: by doc_id (null last), line number, text under one doc_id."""
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "line_no", "text_key")
+
+
+def _prefix(t: float) -> Column:
+    """The first words of a set, as index tokens. Sets so small that only equal
+    sets reach t (these are one class) have none."""
+    n = F.size("words")
+    first = F.slice("words", F.lit(1), _prefix_size(t, n).cast("int"))
+    token = lambda w: F.shiftright(w, 58 - INDEX_BITS)
+    return F.when(n * (1 - t) + 1e-9 >= t, F.transform(first, token)).otherwise(F.array().cast("array<long>"))
 
 
-def _needed(t: float) -> Column:
+def _needed(t: float, n: Column, m: Column) -> Column:
     """Overlap that sets of n and m words need for Jaccard t."""
-    return F.ceil(F.lit(t / (1 + t)) * (F.col("n") + F.col("m")) - 1e-9)
+    return F.ceil(F.lit(t / (1 + t)) * (n + m) - 1e-9)
+
+
+def _prefix_size(t: float, n: Column) -> Column:
+    return n - F.ceil(F.lit(t) * n - 1e-9) + 1
+
+
+def _fits(t: float, a: str, b: str) -> Column:
+    """Length, positional and sketch filter for two token rows (n words, position p
+    of the shared word, sketch), given as prefixes of their columns."""
+    n, m = F.col(a + "n"), F.col(b + "n")
+    needed = _needed(t, n, m)
+    bits = F.bit_count(F.col(a + "sketch").bitwiseXOR(F.col(b + "sketch")))
+    return (
+        (F.least(n, m) >= F.lit(t) * F.greatest(n, m) - 1e-9)
+        & (F.least(n - F.col(a + "p"), m - F.col(b + "p")) >= needed)
+        & (bits <= n + m - 2 * needed)
+    )
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, t: float) -> DataFrame:
-    """Pairs ``(later, earlier)`` of class numbers whose sets reach t."""
+def _sets(docs: DataFrame, ranks: list[int], classes: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+    """``(cls, words)`` of some classes, from the texts of their first lines."""
+    firsts = classes.join(ids, "cls").select(F.col("at.doc_id").alias("__id"), F.col("at.text_key").alias("__key"), F.col("at.line_no").alias("__no"), "cls").checkpoint()
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_key") == F.col("__key")) & (F.col("line_no") == F.col("__no"))
+    chosen = raw_lines(docs).join(small(firsts, 48 * firsts.count()), same).select("cls", "line")
+    # rows that repeat a whole document repeat its lines
+    return _stage(chosen.dropDuplicates(["cls"]).select("cls", numbered_words(F.col("line"), ranks).alias("words")), name)
+
+
+def _matches(pairs: DataFrame, docs: DataFrame, ranks: list[int], classes: DataFrame, t: float, name: str) -> DataFrame:
+    """The ``later`` classes of those candidate pairs whose whole sets reach t."""
+    pairs = pairs.distinct().checkpoint()
+    ids = pairs.select(F.explode(F.array("later", "earlier")).alias("cls")).distinct()
+    sets = _sets(docs, ranks, classes, ids, name)
     a = sets.select(F.col("cls").alias("later"), F.col("words").alias("a"))
     b = sets.select(F.col("cls").alias("earlier"), F.col("words").alias("b"))
     both = F.size(F.array_intersect("a", "b"))
     alike = both >= F.lit(t) * (F.size("a") + F.size("b") - both) - 1e-9
-    return pairs.join(a, "later").join(b, "earlier").where(alike).select("later", "earlier")
+    return pairs.join(a, "later").join(b, "earlier").where(alike).select("later").distinct().checkpoint()
 
 
 def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -88,48 +164,41 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     of any document (or its own) with a Jaccard similarity of ``threshold`` or more."""
     t = threshold
     ranks = rarity(docs)
-    lines = lines_of(docs, ranks)
-    # a class is all lines of one set, known by 128 hash bits
+    # the one pass that numbers all words: a line keeps its class (128 hash bits of its set), size and prefix
     h = [F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(7), "words").alias("h2")]
-    n = F.size("words")
-    # the first words of a set; sets of up to 3 words match only their equals (class), not other sets
-    prefix = F.when(n * (1 - t) + 1e-9 >= t, F.slice("words", 1, (n - F.ceil(F.lit(t) * n - 1e-9) + 1).cast("int"))).otherwise(F.array().cast("array<long>"))
-    first = F.min(F.struct(_position().alias("at"), n.alias("n"), prefix.alias("prefix"))).alias("f")
-    classes = lines.select(*h, "doc_id", "text_key", "line_no", "words").groupBy("h1", "h2").agg(first)
-    # numbered in order of their first lines: a smaller number is an earlier class
-    classes = classes.select("h1", "h2", "f.at", "f.n", "f.prefix").orderBy("at", "h1", "h2")
-    classes = _stage(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
-    tokens = classes.select("cls", "n", F.posexplode("prefix").alias("p", "token"))
-    groups = tokens.groupBy("token").agg(F.min("cls").alias("pivot"), F.count(F.lit(1)).alias("held")).where("held > 1")
-    shared = _stage(tokens.join(groups.select("token", "pivot"), "token"), "tokens")
-    left = shared.select("token", F.col("cls").alias("later"), "n", "p", "pivot")
-    right = shared.select("token", F.col("cls").alias("earlier"), F.col("n").alias("m"), F.col("p").alias("q"))
-    fits = (
-        (F.least("n", "m") >= F.lit(t) * F.greatest("n", "m") - 1e-9)
-        & (1 + F.least(F.col("n") - F.col("p"), F.col("m") - F.col("q")) - 1 >= _needed(t))
-        & (F.col("later") > F.col("earlier"))
-    )
-    pivots = right.join(shared.where("cls = pivot").select(F.col("token").alias("tk"), F.col("cls").alias("c")), (F.col("token") == F.col("tk")) & (F.col("earlier") == F.col("c"))).drop("tk", "c")
-    easy = left.where("later <> pivot").join(pivots, "token").where(fits).select("later", "earlier").distinct()
-    sets = lines.join(
-        classes.select(*[F.col(f"at.{c}").alias(f"__{c}") for c in ("doc_id", "text_key", "line_no")], "cls"),
-        F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("text_key") == F.col("__text_key")) & (F.col("line_no") == F.col("__line_no")),
-    ).select("cls", "words")
-    sets = sets.join(shared.select("cls").distinct(), "cls", "left_semi").dropDuplicates(["cls"])
-    sets = _stage(sets, "sets")
-    settled = _verified(easy, sets, t).select("later").distinct().checkpoint()
-    rest = left.join(settled, "later", "left_anti").where("later <> pivot")
-    hard = rest.join(right, "token").where(fits & (F.col("earlier") != F.col("pivot"))).select("later", "earlier").distinct()
-    gone = settled.unionByName(_verified(hard, sets, t).select("later").distinct())
+    sketch = F.expr("aggregate(words, 0L, (s, w) -> s ^ shiftleft(1L, cast(w & 63 as int)))").alias("sketch")
+    lines = lines_of(docs, ranks).select("doc_id", "text_key", "line_no", *h, F.size("words").alias("n"), sketch, _prefix(t).alias("prefix"))
+    lines = _stage(lines, "lines")
+    first = F.min(F.struct(_place().alias("at"), "n", "sketch", "prefix")).alias("f")
+    classes = lines.groupBy("h1", "h2").agg(first, F.count(F.lit(1)).alias("held"))
+    classes = classes.select("h1", "h2", "held", "f.at", "f.n", "f.sketch", "f.prefix", F.monotonically_increasing_id().alias("cls"))
+    classes = _stage(classes, "classes")
+
+    # order of classes by their first lines, as columns: a null doc_id is last, the class number breaks ties
+    order = F.struct(F.col("at.no_id").alias("no_id"), F.col("at.doc_id").alias("doc_id"), F.col("at.line_no").alias("line_no"), "cls")
+    tokens = classes.select("cls", order.alias("place"), "n", "sketch", F.posexplode("prefix").alias("p", "token"))
+    rank = F.shiftright("token", INDEX_BITS)
+    salts = F.pow(F.lit(2), F.greatest(rank - (HOT_RANK - 1), F.lit(0))).cast("long")
+    tokens = tokens.withColumn("salt", F.when(rank >= HOT_RANK, F.pmod(F.xxhash64("cls"), salts)).otherwise(F.lit(0)))
+    group = Window.partitionBy("token", "salt")
+    tokens = tokens.withColumn("held", F.count(F.lit(1)).over(group)).withColumn("first", F.min(F.struct("place", "n", "p", "sketch")).over(group))
+    easy = _fits(t, "", "first.") & (F.col("cls") != F.col("first.place.cls"))
+    tokens = tokens.where((F.col("held") > 1) | (rank >= HOT_RANK)).select("token", "cls", "place", "n", "p", "sketch", F.when(easy, F.col("first.place.cls")).alias("pivot"))
+    tokens = _bucketed(tokens, "token")
+    easy = tokens.where("pivot is not null").select(F.col("cls").alias("later"), F.col("pivot").alias("earlier"))
+    settled = _matches(easy, docs, ranks, classes, t, "easy")
+    left = tokens.withColumnRenamed("cls", "later").join(small(settled, 16 * settled.count()), "later", "left_anti").alias("l")
+    hard = left.join(tokens.alias("r"), F.col("l.token") == F.col("r.token")).where((F.col("l.place") > F.col("r.place")) & _fits(t, "l.", "r."))
+    tried = F.coalesce(F.col("l.pivot") == F.col("r.cls"), F.lit(False))
+    hard = hard.where(~tried).select("later", F.col("r.cls").alias("earlier"))
+    more = _matches(hard, docs, ranks, classes, t, "hard")
+
     # every line of a class but its first goes, and the first of a class that matched an earlier one
-    firsts = classes.join(gone, F.col("cls") == F.col("later"), "left").select("h1", "h2", "at", F.col("later").isNotNull().alias("gone"))
-    places = lines.select(*h, _position().alias("here"))
-    return (
-        places.join(firsts, ["h1", "h2"])
-        .where((F.col("here") != F.col("at")) | F.col("gone"))
-        .select("here.doc_id", "here.text_key", "here.line_no")
-        .distinct()
-    )
+    gone = settled.unionByName(more).select(F.col("later").alias("cls"), F.lit(True).alias("gone"))
+    touched = classes.join(gone, "cls", "left").where("held > 1 or gone").select("h1", "h2", "at", F.coalesce("gone", F.lit(False)).alias("gone"))
+    places = lines.select("h1", "h2", _place().alias("here"))
+    out = places.join(touched, ["h1", "h2"]).where((F.col("here") != F.col("at")) | F.col("gone"))
+    return out.select("here.doc_id", "here.text_key", "here.line_no").distinct()
 
 
 def report(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -162,7 +231,9 @@ def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     removed = removed_lines(docs, threshold).groupBy("doc_id", "text_key").agg(F.collect_list("line_no").alias("__removed"))
     removed = removed.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "__removed")
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__key"))
-    joined = docs.join(removed, same, "left")
+    removed = removed.checkpoint()
+    n = removed.agg(F.count(F.lit(1)), F.sum(F.size("__removed"))).first()
+    joined = docs.join(small(removed, 48 * n[0] + 4 * (n[1] or 0)), same, "left")
     kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda line, i: ~F.array_contains("__removed", i)), "\n")
     new = F.when(F.col("__removed").isNull(), text).otherwise(kept)
     out = joined.withColumn("__text", new).where(F.col("__removed").isNull() | (F.trim(F.regexp_replace("__text", r"\s+", " ")) != ""))

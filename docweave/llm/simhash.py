@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import TOKEN, components, local_components, lower_ascii, popcount
+from .common import TOKEN, components, local_components, lower_ascii, popcount, small
 
 SEED = 42
 _EVERY = [np.uint64(1) << np.uint64(i) for i in range(64)]
@@ -194,8 +194,10 @@ def keep_one(docs: DataFrame, shingle: int = 3) -> DataFrame:
 
     def chosen(which: DataFrame) -> DataFrame:
         same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__key"))
-        return docs.join(which, same, "left_semi")
+        # texts are shuffled only when the list of kept documents is too long to broadcast
+        return docs.join(small(which, 40 * kept), same, "left_semi")
 
+    kept = keep.count()
     one = chosen(keep.where("__copies = 1"))
     repeated = keep.where("__copies > 1")
     if not repeated.take(1):
