@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 BUCKETS = 1 << 18
 #: labelled rows the classifier is fitted on at most (those with the smallest hash of doc_id)
-MAX_TRAIN = 12_000
+MAX_TRAIN = 8_000
 #: a word feature must occur in so many of them, and so many standard
 #: deviations more or less often with the label than by chance
 MIN_DOCS, MIN_DEVIATION = 5, 5.0
@@ -92,7 +92,7 @@ def fit_logistic(rows: list[np.ndarray], counts: list[np.ndarray], shapes: np.nd
     if n == 0 or rate in (0.0, 1.0):
         return Logistic(w, s, b)
     flat, value = np.concatenate(rows), np.concatenate(counts)
-    doc = np.repeat(np.arange(n), [len(r) for r in rows])
+    doc = np.repeat(np.arange(n, dtype=np.int32), [len(r) for r in rows])
     held, positive = np.bincount(flat, minlength=BUCKETS), np.bincount(flat, y[doc], BUCKETS)
     deviation = np.abs(positive - held * rate) / np.sqrt(held * rate * (1 - rate) + 1)
     telling = ((held >= MIN_DOCS) & (deviation >= MIN_DEVIATION))[flat]
