@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 BUCKETS = 1 << 18
 #: labelled rows the classifier is fitted on at most (those with the smallest hash of doc_id)
-MAX_TRAIN = 8_000
+MAX_TRAIN = 3_000
 #: a word feature must occur in so many of them, and so many standard
 #: deviations more or less often with the label than by chance
 MIN_DOCS, MIN_DEVIATION = 5, 5.0
@@ -141,7 +141,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> dict[
     rows = [np.asarray(w, np.int32) for w in got["words"]]
     counts = [np.asarray(c, np.float32) for c in got["counts"]]
     shapes = np.stack(got["shapes"].to_list()) if len(got) else np.zeros((0, SHAPES))
-    return {k: fit_logistic(rows, counts, shapes, (got[k].to_numpy() > 0).astype(float)) for k in ("quality", "toxic")}
+    targets = {k: (got[k].to_numpy() > 0).astype(float) for k in ("quality", "toxic")}
+    del got
+    return {k: fit_logistic(rows, counts, shapes, y) for k, y in targets.items()}
 
 
 def host_of(source: Column) -> Column:
