@@ -7,7 +7,8 @@ a word among the first n - ceil(t n) + 1 of each (prefix filter); their lengths
 differ by a factor of t at most (length filter), and what can still follow the
 shared word bounds the overlap (positional filter). A 64-bit sketch of each set
 (the parity of its words per bit) differs in no more bits than the sets differ in
-words, which drops nearly all other pairs inside the join, before they are rows.
+words, which drops nearly all other pairs inside the join, before they are rows;
+a 256-bit one then does so for pairs of long lines.
 What passes is verified on the whole sets. Of two matching lines the later one goes.
 
 Lines with equal sets are one class, kept once in the join. Within a group that
@@ -48,13 +49,13 @@ def _stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def _bucketed(df: DataFrame, key: str) -> DataFrame:
-    """Write as a table bucketed by ``key`` below the shared checkpoint folder: it
-    joins itself on the key without another shuffle."""
+    """Write a frame that is partitioned by ``key`` as a table bucketed by it, below the
+    shared checkpoint folder: it joins itself on the key without another shuffle."""
     spark = df.sparkSession
     path = scratch_path(spark, "lines-buckets")
     name = "docweave_" + path.rsplit("-", 1)[-1]
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.repartition(n, key).write.bucketBy(n, key).sortBy(key).format("parquet").option("path", path).saveAsTable(name)
+    df.write.bucketBy(n, key).sortBy(key).format("parquet").option("path", path).saveAsTable(name)
     return spark.table(name)
 
 
@@ -73,7 +74,7 @@ def _word_hashes(line: Column) -> Column:
 def rarity(docs: DataFrame) -> list[int]:
     """Rank 0..31 per hash slot of words, by the number of their occurrences in
     all texts: 0 for the rarest. At most RANK_SLOTS numbers come to the driver."""
-    text = F.translate(F.col("text").cast("string"), "\n", " ")
+    text = F.replace(F.col("text").cast("string"), F.lit("\n"), F.lit(" "))
     slot = F.col("h").bitwiseAND(F.lit(RANK_SLOTS - 1)).cast("int").alias("slot")
     slots = docs.select(F.explode(_word_hashes(text)).alias("h")).groupBy(slot).agg(F.count(F.lit(1)).alias("n"))
     ranks = [0] * RANK_SLOTS
@@ -138,18 +139,37 @@ def _fits(t: float, a: str, b: str) -> Column:
     )
 
 
+#: 64-bit words of the wide sketch of a set
+WIDE = 4
+
+
+def _sketches() -> list[Column]:
+    """Parity sketches of ``words``: one of 64 bits, and the parts of a wide one."""
+    bit = "shiftleft(1L, cast(w & 63 as int))"
+    narrow = F.expr(f"aggregate(words, 0L, (s, w) -> s ^ {bit})").alias("sketch")
+    bit = "shiftleft(1L, cast((w >> 8) & 63 as int))"
+    return [narrow] + [F.expr(f"aggregate(words, 0L, (s, w) -> if(((w >> 6) & {WIDE - 1}) = {k}, s ^ {bit}, s))").alias(f"wide{k}") for k in range(WIDE)]
+
+
 def _sets(docs: DataFrame, ranks: list[int], classes: DataFrame, ids: DataFrame, name: str) -> DataFrame:
     """``(cls, words)`` of some classes, from the texts of their first lines."""
     firsts = classes.join(ids, "cls").select(F.col("at.doc_id").alias("__id"), F.col("at.text_key").alias("__key"), F.col("at.line_no").alias("__no"), "cls").checkpoint()
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_key") == F.col("__key")) & (F.col("line_no") == F.col("__no"))
     chosen = raw_lines(docs).join(small(firsts, 48 * firsts.count()), same).select("cls", "line")
+    sets = _stage(chosen.select("cls", numbered_words(F.col("line"), ranks).alias("words")), name)
     # rows that repeat a whole document repeat its lines
-    return _stage(chosen.dropDuplicates(["cls"]).select("cls", numbered_words(F.col("line"), ranks).alias("words")), name)
+    return sets.dropDuplicates(["cls"]) if sets.count() > firsts.count() else sets
 
 
 def _matches(pairs: DataFrame, docs: DataFrame, ranks: list[int], classes: DataFrame, t: float, name: str) -> DataFrame:
     """The ``later`` classes of those candidate pairs whose whole sets reach t."""
-    pairs = pairs.distinct().checkpoint()
+    wide = [f"wide{k}" for k in range(WIDE)]
+    side = lambda name: classes.select(F.col("cls").alias(name), F.struct("n", *wide).alias(f"{name}_s"))
+    of = lambda c: (F.col(f"later_s.{c}"), F.col(f"earlier_s.{c}"))
+    n, m = of("n")
+    bits = sum((F.bit_count(x.bitwiseXOR(y)) for x, y in map(of, wide)), F.lit(0))
+    pairs = pairs.distinct().join(side("later"), "later").join(side("earlier"), "earlier").where(bits <= n + m - 2 * _needed(t, n, m))
+    pairs = pairs.select("later", "earlier").checkpoint()
     ids = pairs.select(F.explode(F.array("later", "earlier")).alias("cls")).distinct()
     sets = _sets(docs, ranks, classes, ids, name)
     a = sets.select(F.col("cls").alias("later"), F.col("words").alias("a"))
@@ -166,20 +186,23 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     ranks = rarity(docs)
     # the one pass that numbers all words: a line keeps its class (128 hash bits of its set), size and prefix
     h = [F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(7), "words").alias("h2")]
-    sketch = F.expr("aggregate(words, 0L, (s, w) -> s ^ shiftleft(1L, cast(w & 63 as int)))").alias("sketch")
-    lines = lines_of(docs, ranks).select("doc_id", "text_key", "line_no", *h, F.size("words").alias("n"), sketch, _prefix(t).alias("prefix"))
+    wide = [f"wide{k}" for k in range(WIDE)]
+    lines = lines_of(docs, ranks).select("doc_id", "text_key", "line_no", *h, F.size("words").alias("n"), *_sketches(), _prefix(t).alias("prefix"))
     lines = _stage(lines, "lines")
-    first = F.min(F.struct(_place().alias("at"), "n", "sketch", "prefix")).alias("f")
+    first = F.min(F.struct(_place().alias("at"), "n", "sketch", *wide, "prefix")).alias("f")
     classes = lines.groupBy("h1", "h2").agg(first, F.count(F.lit(1)).alias("held"))
-    classes = classes.select("h1", "h2", "held", "f.at", "f.n", "f.sketch", "f.prefix", F.monotonically_increasing_id().alias("cls"))
+    classes = classes.select("h1", "h2", "held", "f.at", "f.n", "f.sketch", *[f"f.{c}" for c in wide], "f.prefix", F.monotonically_increasing_id().alias("cls"))
     classes = _stage(classes, "classes")
 
     # order of classes by their first lines, as columns: a null doc_id is last, the class number breaks ties
-    order = F.struct(F.col("at.no_id").alias("no_id"), F.col("at.doc_id").alias("doc_id"), F.col("at.line_no").alias("line_no"), "cls")
+    last = F.lit((1 << 63) - 1)
+    order = F.struct(F.coalesce(F.col("at.doc_id"), last).alias("doc_id"), F.col("at.line_no").alias("line_no"), "cls")
     tokens = classes.select("cls", order.alias("place"), "n", "sketch", F.posexplode("prefix").alias("p", "token"))
     rank = F.shiftright("token", INDEX_BITS)
     salts = F.pow(F.lit(2), F.greatest(rank - (HOT_RANK - 1), F.lit(0))).cast("long")
     tokens = tokens.withColumn("salt", F.when(rank >= HOT_RANK, F.pmod(F.xxhash64("cls"), salts)).otherwise(F.lit(0)))
+    # one shuffle by token serves the window and the buckets
+    tokens = tokens.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "token")
     group = Window.partitionBy("token", "salt")
     tokens = tokens.withColumn("held", F.count(F.lit(1)).over(group)).withColumn("first", F.min(F.struct("place", "n", "p", "sketch")).over(group))
     easy = _fits(t, "", "first.") & (F.col("cls") != F.col("first.place.cls"))
