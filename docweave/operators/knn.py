@@ -12,7 +12,9 @@ collected or broadcast, and there is one plan for every size. The kernel works
 in tiles, so its memory is a constant beside the two blocks.
 
 IVF / LSH: a group is (list or bucket, chunk salt, question salt); a hot list
-is split on both sides, so no group grows with the data.
+is split on both sides, so no group grows with the data. LSH probes as many
+near buckets as a close neighbour needs; questions whose k nearest are not all
+that close are answered by the exact plan.
 """
 
 from __future__ import annotations
@@ -388,6 +390,73 @@ def band_keys(df: DataFrame, vec: str, planes, centre=None, out: str = "bucket")
     return df.mapInPandas(kernel, out_schema)
 
 
+def _flip_chances(z: np.ndarray) -> np.ndarray:
+    """Upper tail of the normal distribution at z >= 0 (half of erfc)."""
+    return np.clip(0.5 * np.vectorize(math.erfc, otypes=[float])(z / math.sqrt(2)), 1e-12, 0.5)
+
+
+def _likely_masks(p: np.ndarray, width: int):
+    """The ``width`` most likely sets of flipped bits of each band as masks, with
+    their chances, most likely first. ``p``: (rows, bands, bits) chances of each
+    bit; dropping a set's prefixes that are not among the best loses none of them."""
+    w = np.log((1 - p) / p)
+    cost, mask = np.zeros((*p.shape[:2], 1)), np.zeros((*p.shape[:2], 1), dtype=np.int64)
+    for j in range(p.shape[2]):
+        cost = np.concatenate([cost, cost + w[:, :, j : j + 1]], axis=2)
+        mask = np.concatenate([mask, mask | (1 << j)], axis=2)
+        if cost.shape[2] > width:
+            best = np.argpartition(cost, width - 1, axis=2)[:, :, :width]
+            cost, mask = np.take_along_axis(cost, best, 2), np.take_along_axis(mask, best, 2)
+    order = np.argsort(cost, axis=2, kind="stable")
+    base = np.log1p(-p).sum(axis=2)[:, :, None]
+    return np.take_along_axis(mask, order, 2), np.exp(base - np.take_along_axis(cost, order, 2))
+
+
+def probe_keys(df: DataFrame, vec: str, planes, centre, opts: JobOptions, out: str = "bucket") -> DataFrame:
+    """The buckets of each question that a neighbour of centred cosine
+    ``lsh_cosine`` shares with a chance of ``lsh_hit_rate``, most likely first:
+    its own ones, and those across the hyperplanes that are nearest to it
+    (multi-probe). Questions that need more than ``lsh_probes`` in a band get
+    none. ``_far``: distance up to which all neighbours have that cosine."""
+    spark = df.sparkSession
+    H = np.asarray(planes, dtype=np.float64)
+    bands, bits, dim = H.shape
+    H = H.reshape(bands * bits, dim)
+    H = H / np.sqrt((H * H).sum(axis=1, keepdims=True))
+    bc = spark.sparkContext.broadcast((H, np.asarray(centre, dtype=np.float64)))
+    out_schema = T.StructType(list(df.schema.fields) + [T.StructField(out, T.LongType(), True), T.StructField("_far", T.DoubleType(), True)])
+    cols = df.columns
+    weights = (1 << np.arange(bits)).astype(np.int64)
+    cosine, goal, width = opts.lsh_cosine, math.log(1 - opts.lsh_hit_rate), min(opts.lsh_probes, 1 << bits)
+    sine = math.sqrt(1 - cosine * cosine)
+
+    def kernel(batches):
+        P, mid = bc.value
+        for batch in batches:
+            for at in range(0, len(batch), 32):
+                b = batch.iloc[at : at + 32]
+                V = _matrix(b[vec]) - mid[None, :]
+                norms = np.sqrt((V * V).sum(axis=1))
+                S = V @ P.T
+                # a neighbour's projection: cosine x the question's, and noise of sine / sqrt(dim)
+                z = np.abs(S) / np.maximum(norms, 1e-300)[:, None] * (cosine / sine * math.sqrt(dim))
+                masks, chance = _likely_masks(_flip_chances(z).reshape(len(b), bands, bits), width)
+                own = ((S >= 0).reshape(len(b), bands, bits) * weights).sum(axis=2)
+                keys = (own[:, :, None] ^ masks) + (np.arange(bands, dtype=np.int64) << MAX_BITS)[None, :, None]
+                missed = np.log1p(-np.minimum(np.cumsum(chance, axis=2), 1 - 1e-12))
+                gain = np.diff(missed, axis=2, prepend=0.0).reshape(len(b), -1)
+                order = np.argsort(-chance.reshape(len(b), -1), axis=1, kind="stable")
+                left = np.cumsum(np.take_along_axis(gain, order, 1), axis=1)
+                n = np.where(left[:, -1] <= goal, (left > goal).sum(axis=1) + 1, 0)
+                pick = np.arange(order.shape[1])[None, :] < n[:, None]
+                o = b.iloc[np.repeat(np.arange(len(b)), n)].reset_index(drop=True)
+                o[out] = np.take_along_axis(keys.reshape(len(b), -1), order, 1)[pick]
+                o["_far"] = np.repeat(norms * sine, n)
+                yield o[cols + [out, "_far"]]
+
+    return df.mapInPandas(kernel, out_schema)
+
+
 def knn_lsh(
     questions: DataFrame,
     chunks: DataFrame,
@@ -397,18 +466,41 @@ def knn_lsh(
     ckey=("filename", "chunk_no"),
     qvec: str = "qvec",
     cvec: str = "vector",
+    bits: int | None = None,
 ) -> DataFrame:
     """Candidates share at least one band bucket; exact re-score, keep k.
 
     Counted vectors are all non-negative and point one way, so they are centred
-    on their mean first; the number of bits follows the table's size."""
+    on their mean first; the number of bits follows the table's size (``bits``
+    sets it). Each bit above the least number would lower the hit rate: from
+    there on a question probes near buckets too (``probe_keys``), and if its k
+    nearest candidates are not all so close that the hit rate holds for them,
+    it is answered by ``knn_exact``. The bound on distances is one of L2; with
+    other metrics all questions take the exact way."""
     qkey, ckey = list(qkey), list(ckey)
     m = normalise_metric(opts.metric)
-    planes = hyperplanes(opts.lsh_bands, lsh_bits(chunks.count(), opts), opts.embed_dim)
+    bits = lsh_bits(chunks.count(), opts) if bits is None else bits
+    wide = bits > opts.lsh_bits
+    if wide and m != "L2":
+        return _with_found(knn_exact(questions, chunks, k, opts, qkey, ckey, qvec, cvec), qkey)
+    planes = hyperplanes(opts.lsh_bands, bits, opts.embed_dim)
     centre = mean_vector(chunks, cvec)
+    q = questions.select(*qkey, F.col(qvec).alias("_qv"))
     c = band_keys(chunks.select(*ckey, F.col(cvec).alias("_cv")), "_cv", planes, centre).checkpoint(eager=True)
-    q = band_keys(questions.select(*qkey, F.col(qvec).alias("_qv")), "_qv", planes, centre)
+    if wide:
+        q = probe_keys(q, "_qv", planes, centre, opts).checkpoint(eager=True)
+        far = q.groupBy(*qkey).agg(F.first("_far").alias("_far"))
+        q = q.drop("_far")
+    else:
+        q = band_keys(q, "_qv", planes, centre)
     schema = _out_schema(qkey, ckey, q, c)
     partial = _salted_groups(q, c, "bucket", opts, qkey, ckey).applyInPandas(_cell_kernel(k, m, qkey, ckey), schema)
     dedup = partial.groupBy(*qkey, *ckey).agg(F.min("distance").alias("distance"))
-    return _with_found(_final_topk(dedup, qkey, ckey, k), qkey)
+    hits = _final_topk(dedup, qkey, ckey, k)
+    if wide:
+        hits = hits.checkpoint(eager=True)
+        ends = hits.groupBy(*qkey).agg(F.count(F.lit(1)).alias("_n"), F.max("distance").alias("_d"))
+        near = ends.join(far, qkey).where((F.col("_n") >= k) & (F.col("_d") <= F.col("_far"))).select(*qkey)
+        rest = knn_exact(questions.join(near, qkey, "left_anti"), chunks, k, opts, qkey, ckey, qvec, cvec)
+        hits = hits.join(near, qkey, "left_semi").unionByName(rest.select(hits.columns))
+    return _with_found(hits, qkey)

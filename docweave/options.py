@@ -44,6 +44,11 @@ class JobOptions:
     lsh_bands: int = HNSW_M
     lsh_bits: int = 4  # per band, at least; more as the table grows
     lsh_bucket_rows: int = 64  # rows an average bucket holds
+    # with more than lsh_bits bits: chance that a neighbour of this centred cosine is
+    # among the candidates, and near buckets searched per band for it at most
+    lsh_cosine: float = 0.8
+    lsh_hit_rate: float = 0.97
+    lsh_probes: int = 1024
     # bytes of vectors (as doubles) in one block of questions or chunks
     knn_block_bytes: int = 64 << 20
     chunk_buckets: int = 64
