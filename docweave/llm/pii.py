@@ -1,12 +1,14 @@
 """Personal data by bootstrapped contextual extraction, in DataFrame functions only.
 
 Four patterns find the base entities: e-mail and IP addresses, card and phone
-numbers. They are the seeds. The words around a seed are lexical patterns; all
-identifier-like tokens that occur in the same contexts are instances. Spark
-scores the graph of patterns and instances in rounds: a pattern by the share of
-its instances that are believed to be of a kind, an instance by the patterns it
-occurs in. Patterns that end with a high score, on several distinct seeds, mark
-further identifiers that no base pattern knows.
+numbers. Their whole spans are the seeds. The words around a seed are lexical
+patterns; all identifier-like tokens, and numbers written in groups of digits,
+that occur in the same contexts are instances. Spark scores the graph of
+patterns and instances in rounds: a pattern by the share of its instances that
+are believed to be of a kind, an instance by the patterns it occurs in. From the
+second round on, believed instances count as seeds. Patterns that end with a
+high score, on several distinct seeds, mark further identifiers that no base
+pattern knows.
 """
 
 from __future__ import annotations
@@ -31,6 +33,10 @@ PATTERNS = {
 OCTET = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 #: an identifier-like token: a run of 6 or more of these characters with a digit in it
 TOKEN = r"(?<![A-Za-z0-9@._%+-])(?=[A-Za-z@._%+-]*+[0-9])[A-Za-z0-9@._%+-]{6,}+"
+#: a number in groups: digits with blanks or brackets (and other separators) between them
+GROUP = r"(?<![A-Za-z0-9@._%+-])[+(]{0,2}+[0-9]++(?:(?:[ .-]|\)[ .-]?+|[ .-]?+\()[0-9]++)++(?![A-Za-z0-9@_%])"
+#: other candidates than base matches
+CANDIDATES = {"token": TOKEN, "group": GROUP}
 #: what a text must contain to be searched for a kind
 GATE = {"email": "@", "phone": "+"}
 
@@ -40,26 +46,21 @@ def _found(kind: str, pattern: str, text: Column) -> Column:
     gate = text.contains(GATE[kind]) if kind in GATE else F.regexp_like(text, F.lit(pattern))
     parts, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), 0)
     empty = F.array().cast("array<struct<kind:string,gap:int,hit:string,left:string,right:string>>")
-    if kind == "token":
-        zipped = F.arrays_zip(parts.alias("gap"), hits.alias("hit"), F.slice(parts, 2, 1_000_000_000).alias("next"))
-        item = lambda x: F.struct(
-            F.lit(kind).alias("kind"), F.length(x["gap"]).alias("gap"), x["hit"].alias("hit"),
-            F.right(x["gap"], F.lit(60)).alias("left"), F.left(x["next"], F.lit(40)).alias("right"),
-        )
-    else:
-        zipped = F.arrays_zip(parts.alias("gap"), hits.alias("hit"))
-        none = F.lit(None).cast("string")
-        item = lambda x: F.struct(F.lit(kind).alias("kind"), F.length(x["gap"]).alias("gap"), x["hit"].alias("hit"), none.alias("left"), none.alias("right"))
+    zipped = F.arrays_zip(parts.alias("gap"), hits.alias("hit"), F.slice(parts, 2, 1_000_000_000).alias("next"))
+    item = lambda x: F.struct(
+        F.lit(kind).alias("kind"), F.length(x["gap"]).alias("gap"), x["hit"].alias("hit"),
+        F.right(x["gap"], F.lit(60)).alias("left"), F.left(x["next"], F.lit(40)).alias("right"),
+    )
     return F.when(gate, F.filter(F.transform(zipped, item), lambda x: x["hit"].isNotNull())).otherwise(empty)
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
     """``(doc_id, text_key, kind, start, stop, hit, left, right)`` of all base
-    matches that pass their checks, and of all tokens (kind ``token``). Rows
-    that repeat both doc_id and text count once."""
+    matches that pass their checks, and of all candidates (kinds ``token`` and
+    ``group``). Rows that repeat both doc_id and text count once."""
     text = text_or_empty()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).where(F.regexp_like("text", F.lit("[0-9@]")))
-    found = F.concat(*[_found(k, p, F.col("text")) for k, p in (PATTERNS | {"token": TOKEN}).items()])
+    found = F.concat(*[_found(k, p, F.col("text")) for k, p in (PATTERNS | CANDIDATES).items()])
     rows = rows.select("doc_id", F.xxhash64("text").alias("text_key"), F.posexplode(found).alias("at", "x")).select("doc_id", "text_key", "at", "x.*")
     rows = rows.repartition("doc_id", "text_key").dropDuplicates(["doc_id", "text_key", "at"])
     run = Window.partitionBy("doc_id", "text_key", "kind").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
@@ -74,6 +75,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
         F.when(F.col("kind") == "ip", F.regexp_like("hit", F.lit(rf"^{OCTET}(?:\.{OCTET}){{3}}$")))
         .when(F.col("kind") == "card", n.between(16, 19) & luhn)
         .when(F.col("kind") == "phone", n.between(8, 15))
+        .when(F.col("kind") == "group", n.between(6, 19) & F.regexp_like("hit", F.lit("[ ()]")))
         .otherwise(True)
     )
     return spans.where(right).select("doc_id", "text_key", "kind", "start", "stop", "hit", "left", "right")
@@ -91,60 +93,56 @@ def _contexts(tokens: DataFrame) -> DataFrame:
     return low.withColumn("pattern", F.explode(F.array_compact(patterns))).drop("l", "r", "left", "right")
 
 
-def bootstrap(tokens: DataFrame, rounds: int = 3, min_seeds: int = 3, doubt: float = 2.0) -> DataFrame:
+def bootstrap(tokens: DataFrame, rounds: int = 3, min_seeds: int = 3, doubt: float = 2.0, min_belief: float = 0.5) -> DataFrame:
     """``(pattern, kind, score, seeds)`` of the lexical patterns next to seeds.
 
     ``tokens(hit, seed, pattern)``: instances, the base kind of each (null if
     unknown) and a pattern it occurs in. Edges are made distinct before they are
     scored, so a context that occurs everywhere is one row per different token.
+    A pattern is scored in the rounds in which it has ``min_seeds`` instances that
+    are seeds or believed with ``min_belief``.
     """
     edges = tokens.groupBy("pattern", "hit").agg(F.max("seed").alias("seed"))
-    seeded = edges.where("seed is not null").groupBy("pattern").agg(F.count(F.lit(1)).alias("seeds")).where(F.col("seeds") >= min_seeds)
-    edges = edges.join(seeded, "pattern").checkpoint()
-    kinds = F.explode(F.array(*map(F.lit, KINDS)))
-    belief = edges.where("seed is not null").groupBy("hit", F.col("seed").alias("kind")).agg(F.lit(1.0).alias("belief"))
-    sizes = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), F.max("seeds").alias("seeds"))
-    scores = None
+    # patterns with fewer instances never have enough seeds
+    sizes = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_seeds)
+    edges = edges.join(sizes, "pattern").checkpoint()
+    known = edges.where("seed is not null").groupBy("hit", F.col("seed").alias("kind")).agg(F.lit(1.0).alias("belief"))
+    belief, scores = known, None
     for k in range(rounds):
-        per = edges.select("pattern", "hit").join(belief, "hit").groupBy("pattern", "kind").agg(F.sum("belief").alias("sum"))
-        scores = per.join(sizes, "pattern").select("pattern", "kind", (F.col("sum") / (F.col("n") + doubt)).alias("score"), "seeds").checkpoint()
+        believed = belief.groupBy("hit").agg(F.collect_list(F.struct("kind", "belief")).alias("b"), F.max("belief").alias("most"))
+        per = edges.select("pattern", "hit", "n").join(believed, "hit")
+        seeds = per.groupBy("pattern").agg(F.count(F.when(F.col("most") >= min_belief, 1)).alias("seeds")).where(F.col("seeds") >= min_seeds)
+        sums = per.select("pattern", "n", F.inline("b")).groupBy("pattern", "kind").agg(F.sum("belief").alias("sum"), F.max("n").alias("n"))
+        scores = sums.join(seeds, "pattern").select("pattern", "kind", (F.col("sum") / (F.col("n") + doubt)).alias("score"), "seeds").checkpoint()
         if k + 1 < rounds:
             # an unknown instance: noisy-or over its patterns; seeds stay certain
             unknown = edges.where("seed is null").select("pattern", "hit").join(scores, "pattern")
             guess = unknown.groupBy("hit", "kind").agg((0.9 * (1 - F.exp(F.sum(F.log(1 - F.least("score", F.lit(0.999))))))).alias("belief"))
-            known = edges.where("seed is not null").groupBy("hit", F.col("seed").alias("kind")).agg(F.lit(1.0).alias("belief"))
-            belief = known.unionByName(guess)
+            belief = known.unionByName(guess).groupBy("hit", "kind").agg(F.max("belief").alias("belief"))
     return scores
 
 
 def extract(docs: DataFrame, rounds: int = 3, min_seeds: int = 3, min_score: float = 0.5) -> DataFrame:
     """Spans ``(doc_id, text_key, kind, start, stop)``: base kinds, and ``ctx_<kind>``
-    for tokens outside base spans that a pattern of that kind with ``min_score`` marks."""
+    for candidates outside base spans that a pattern of that kind with ``min_score``
+    marks; of candidates inside one another, the outer one."""
     all_ = occurrences(docs).checkpoint()  # the texts are read once
-    base = all_.where("kind <> 'token'").select("doc_id", "text_key", "kind", "start", "stop")
-    tokens = all_.where("kind = 'token'")
-    # the base kind of a token that overlaps a base span: sweep each document's spans in order
-    marked = base.select("*", F.lit(None).cast("string").alias("hit"), F.lit(None).cast("string").alias("left"), F.lit(None).cast("string").alias("right"))
-    both = marked.unionByName(tokens.select(marked.columns))
-    back = Window.partitionBy("doc_id", "text_key").orderBy("start", F.col("hit").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
-    ahead = Window.partitionBy("doc_id", "text_key").orderBy(F.desc("start"), F.col("hit").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
-    span = F.when(F.col("hit").isNull(), F.struct(F.col("stop").alias("to"), "kind"))
-    onward = F.when(F.col("hit").isNull(), F.struct(F.col("start").alias("to"), "kind"))
-    swept = both.withColumn("last", F.max(span).over(back)).withColumn("next", F.min(onward).over(ahead)).where("hit is not null")
-    tokens = swept.withColumn(
-        "seed", F.when(F.col("last.to") > F.col("start"), F.col("last.kind")).when(F.col("next.to") < F.col("stop"), F.col("next.kind"))
-    ).drop("last", "next", "kind")
-    placed = _contexts(tokens.select("doc_id", "text_key", "start", "stop", F.lower("hit").alias("hit"), "left", "right", "seed")).checkpoint()
+    is_base = F.col("kind").isin(*KINDS)
+    base = all_.where(is_base).select("doc_id", "text_key", "kind", "start", "stop")
+    # what overlaps a base span is part of that instance, as is a base span inside another
+    back = Window.partitionBy("doc_id", "text_key").orderBy("start", F.desc("stop"), F.when(is_base, 0).otherwise(1), "kind").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = Window.partitionBy("doc_id", "text_key").orderBy(F.desc("start"), F.when(is_base, 0).otherwise(1)).rowsBetween(Window.unboundedPreceding, 0)
+    swept = all_.withColumn("last", F.max(F.when(is_base, F.col("stop"))).over(back)).withColumn("next", F.min(F.when(is_base, F.col("start"))).over(ahead))
+    apart = F.coalesce(F.col("last") <= F.col("start"), F.lit(True)) & F.coalesce(F.col("next") >= F.col("stop"), F.lit(True))
+    within = F.coalesce(F.col("last") >= F.col("stop"), F.lit(False))
+    instances = swept.where(F.when(is_base, ~within).otherwise(apart)).withColumn("seed", F.when(is_base, F.col("kind")))
+    placed = _contexts(instances.select("doc_id", "text_key", "start", "stop", F.lower("hit").alias("hit"), "left", "right", "seed")).checkpoint()
     good = bootstrap(placed, rounds, min_seeds).where(F.col("score") >= min_score)
     best = good.groupBy("pattern").agg(F.max(F.struct("score", "kind")).alias("b"))
-    new = (
-        placed.where("seed is null")
-        .join(best, "pattern")
-        .groupBy("doc_id", "text_key", "start", "stop")
-        .agg(F.max("b").alias("b"))
-        .select("doc_id", "text_key", F.concat(F.lit("ctx_"), F.col("b.kind")).alias("kind"), "start", "stop")
-    )
-    return base.unionByName(new)
+    new = placed.where("seed is null").join(best, "pattern").groupBy("doc_id", "text_key", "start", "stop").agg(F.max("b").alias("b"))
+    outer = Window.partitionBy("doc_id", "text_key").orderBy("start", F.desc("stop")).rowsBetween(Window.unboundedPreceding, -1)
+    new = new.withColumn("reach", F.max("stop").over(outer)).where("reach is null or reach < stop")
+    return base.unionByName(new.select("doc_id", "text_key", F.concat(F.lit("ctx_"), F.col("b.kind")).alias("kind"), "start", "stop"))
 
 
 def find(docs: DataFrame) -> DataFrame:
