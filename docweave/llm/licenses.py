@@ -1,14 +1,17 @@
 """License scans with ordered signature rules, in DataFrame functions only.
 
 A rule has a keyword, a pattern, a label, a priority and a weight. A text is
-tested only against the rules whose keyword it contains. Detections that lie
+tested only against the rules whose keyword it contains. A blank in a keyword or
+pattern stands for any separator: white space, also broken over lines with
+comment signs. Detections that lie
 inside a detection of the same or a higher priority are suppressed. Besides the
 rules, three base phrases are located by word, and always kept.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import re
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,13 +30,25 @@ BASE = {
     "all rights reserved": "reserved",
 }
 
+#: white space; with comment signs where it breaks over lines, at the end of a line and at the start of the next
+BLANK, BREAK, SIGNS = r" \t\x0B\f\xA0", r"\r\n", r"*#/;%!|>-"
+SEP = rf"(?>(?=[{BLANK}{BREAK}])(?:[{BLANK}]*+(?:[{SIGNS}]++[{BLANK}]*+)?+[{BREAK}][{BLANK}{BREAK}{SIGNS}]*+|[{BLANK}]++))"
+#: a separator that is not one plain blank between words
+FOLD = rf"(?! [^{BLANK}{BREAK}{SIGNS}]){SEP}"
+
 EXACT, FAMILY, GENERIC = 3, 2, 1  # priorities
 
 
+def separated(pattern: str) -> str:
+    """The pattern with each blank, also one in a character class, as ``SEP``."""
+    classes = re.sub(r"(?<!\\)\[(\^?[^\]]*)\]", lambda m: rf"(?:[{m[1].replace(' ', '')}]| )" if " " in m[1] else m[0], pattern)
+    return classes.replace(" ", SEP)
+
+
 @dataclass(frozen=True)
 class Rule:
     label: str
-    keyword: str  # lower case; the text must contain it
+    keyword: str  # lower case; the text must contain it, with any separators
     pattern: str  # Java regex, matched without regard to ASCII case
     priority: int
     weight: float
@@ -59,7 +74,7 @@ VERSIONED = (
     ("CAL", "cryptographic autonomy", r"cryptographic autonomy licen[cs]e", "1.0"),
     ("CATOSL", "computer associates", r"computer associates trusted open source licen[cs]e", "1.1"),
     ("CDDL", "common development", r"common development and distribution licen[cs]e", "1.0 1.1"),
-    ("CDLA-Permissive", "community data", r"community data licen[cs]e agreement.{1,3}permissive", "1.0 2.0"),
+    ("CDLA-Permissive", "community data", r"community data licen[cs]e agreement(?:.{1,3}| ?.? )permissive", "1.0 2.0"),
     ("CECILL", "cecill", r"cecill(?: free software)? licen[cs]e", "1.0 1.1 2.0 2.1"),
     ("CERN-OHL", "cern", r"cern open hardware licen[cs]e", "1.1 1.2 2.0"),
     ("CPAL", "common public attribution", r"common public attribution licen[cs]e", "1.0"),
@@ -197,7 +212,7 @@ def rules() -> list[Rule]:
     out += [Rule(a, k, p, GENERIC, 0.5) for a, k, p in NOTICES]
     spdx = sorted({r.label for r in out if r.priority == EXACT})
     out += [Rule(x, "spdx-license-identifier", rf"spdx-license-identifier: ?{x.replace('.', '[.]').replace('+', '[+]')}(?![\w.+-])", EXACT, 1.0) for x in spdx]
-    return out
+    return [replace(r, pattern=separated(r.pattern)) for r in out]
 
 
 def base_pattern() -> str:
@@ -235,7 +250,7 @@ def detections(docs: DataFrame) -> DataFrame:
     rules_of = _rule_table(spark)
     keywords = sorted({r.keyword for r in rules()})
     text = text_or_empty()
-    low = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.lower(text).alias("low"))
+    low = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.regexp_replace(F.lower(text), FOLD, " ").alias("low"))
     gated = low.select("doc_id", "text", F.explode(F.filter(F.array(*map(F.lit, keywords)), lambda k: F.contains(F.col("low"), k))).alias("keyword"))
     # the rule table has a few hundred rows, whatever the input
     tried = gated.join(F.broadcast(rules_of), "keyword").where(F.regexp_like("text", F.col("pattern")))
