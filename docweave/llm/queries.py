@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, licenses, lines, neighbours, packing, pii, quality, sharding, simhash
+from . import centroids, decontaminate, filter_audit, language, licenses, lines, neighbours, packing, pii, quality, sharding, simhash, warc
+from docweave.session import scratch_path
+
 from .common import read
 
 SHARDS = 40
@@ -76,11 +78,30 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, quality.fit(docs, read(spark, sf_dir, "labels")))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight clusters of all vectors after 10 rounds."""
+    found = centroids.cluster(read(spark, sf_dir, "embeddings"))
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256)
+    return found.withColumn("centroid_sha256", digest).drop("centroid")
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages archived, and the catalogue read back from the archive."""
+    path = warc.write(read(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    return warc.catalogue(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders of the five filters over all documents."""
+    return filter_audit.audit(spark, f"{sf_dir.rstrip('/')}/documents.parquet", read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_nearest, op2_line_dedup, op3_sharding, op4_best_fit, op5_pii,
         op6_licenses, op7_simhash, op8_decontamination, op9_language, op10_quality,
+        op11_centroids, op12_warc, op13_filter_audit,
     )
 }
 
@@ -132,6 +153,92 @@ SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n
 FROM d LEFT JOIN h ON d.doc_id = h.doc_id LEFT JOIN i ON d.doc_id = i.doc_id
 """
 
+#: the same rounds one after the other, each as two tables of its own
+_CLUSTERS_SQL = (
+    r"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h NULLS LAST, x) - 1 AS c, x FROM (SELECT sha256('3:' || CAST(vec_id AS VARCHAR)) AS h, x FROM v)
+  ORDER BY c LIMIT 8),
+"""
+    + "".join(
+        f"""a{k} AS MATERIALIZED (
+  SELECT r, any_value(vec_id) AS vec_id, min(struct_pack(d := d, c := c)) AS best FROM (
+    SELECT v.r, v.vec_id, c{k}.c, CAST(list_sum(list_transform(list_zip(v.x, c{k}.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d FROM v, c{k})
+  GROUP BY r),
+"""
+        + (
+            f"""c{k + 1} AS MATERIALIZED (
+  SELECT c{k}.c, coalesce(m.x, c{k}.x) AS x FROM c{k} LEFT JOIN (
+    SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS x FROM (
+      SELECT c, i, sum(y) AS s, count(*) AS n FROM (SELECT a{k}.best.c AS c, unnest(v.x) AS y, unnest(range(64)) AS i FROM v JOIN a{k} ON v.r = a{k}.r) GROUP BY c, i)
+    GROUP BY c) m ON m.c = c{k}.c),
+"""
+            if k < 10
+            else ""
+        )
+        for k in range(11)
+    )
+    + r"""
+t AS (SELECT best.c AS c, CAST(sum(best.d) AS BIGINT) AS inertia FROM a10 GROUP BY 1)
+SELECT a10.vec_id, CAST(a10.best.c AS INTEGER) AS cluster, a10.best.d AS distance, t.inertia AS cluster_inertia,
+  (SELECT CAST(sum(inertia) AS BIGINT) FROM t) AS inertia, sha256(array_to_string(c10.x, ',')) AS centroid_sha256
+FROM a10 JOIN t ON t.c = a10.best.c JOIN c10 ON c10.c = a10.best.c
+"""
+)
+
+#: digest of the whole payload, 20 bits (5 hex digits) at a time
+_WARC_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (
+  SELECT page_id, html, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+    array_to_string(list_transform(range(8), lambda i: array_to_string(list_transform([15, 10, 5, 0], lambda s:
+      substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((CAST('0x' || substr(sha1(html), CAST(5 * i + 1 AS INTEGER), 5) AS INTEGER) >> s) & 31), 1)), '')), '') AS payload_digest,
+    min(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM d
+"""
+
+_UPPERCASE = "[^A-Z]"
+#: every document against every step of every order, one by one
+_AUDIT_SQL = rf"""
+WITH f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM f a, f b, f c, f d, f e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT filter_order, CAST(step AS INTEGER) AS step, substr(filter_order, step, 1) AS own, substr(filter_order, 1, step - 1) AS earlier FROM o, (SELECT unnest(range(1, 6)) AS step)),
+t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS ws FROM documents),
+m AS (
+  SELECT doc_id, part, (CASE WHEN len(ws) < 200 THEN 'A' ELSE '' END) || (CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 'B' ELSE '' END)
+    || (CASE WHEN 100 * length(regexp_replace(text, '{_UPPERCASE}', '', 'g')) > 3 * length(text) THEN 'C' ELSE '' END)
+    || (CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END) || (CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END) AS fails FROM t),
+l AS (SELECT doc_id, max(CAST(quality = 1 AS INTEGER)) AS good, max(CAST(toxic = 1 AS INTEGER)) AS toxic FROM labels GROUP BY doc_id),
+g AS (
+  SELECT part, fails, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic FROM m LEFT JOIN l ON l.doc_id = m.doc_id GROUP BY part, fails),
+e AS (
+  SELECT part, filter_order, step, own, n, good, toxic, fails, contains(fails, own) AS is_own,
+    len(list_filter(string_split(fails, ''), lambda x: x <> '' AND contains(earlier, x))) > 0 AS is_gone FROM g, s),
+r AS (
+  SELECT part, filter_order, step, own,
+    coalesce(sum(n) FILTER (WHERE NOT is_own AND NOT is_gone), 0) AS kept, coalesce(sum(n) FILTER (WHERE is_own AND NOT is_gone), 0) AS removed,
+    coalesce(sum(n) FILTER (WHERE is_own AND is_gone), 0) AS redundant, coalesce(sum(n) FILTER (WHERE fails = own), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (WHERE is_own AND NOT is_gone), 0) AS good_lost, coalesce(sum(toxic) FILTER (WHERE is_own AND NOT is_gone), 0) AS toxic_lost
+  FROM e GROUP BY ALL),
+h AS (SELECT part, own, sum(removed) AS shapley FROM r GROUP BY part, own)
+SELECT r.part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(shapley AS BIGINT) AS shapley
+FROM r JOIN h ON h.part = r.part AND h.own = r.own
+"""
+
 #: SQL twins for DuckDB; what the other operators compute (greedy packing,
 #: learned models, hash forests, XXH64) is tested against brute-force versions
-SQL: dict[str, str] = {"op2_line_dedup": _LINES_SQL, "op8_decontamination": _WINDOWS_SQL}
+SQL: dict[str, str] = {
+    "op2_line_dedup": _LINES_SQL,
+    "op8_decontamination": _WINDOWS_SQL,
+    "op11_centroids": _CLUSTERS_SQL,
+    "op12_warc": _WARC_SQL,
+    "op13_filter_audit": _AUDIT_SQL,
+}
