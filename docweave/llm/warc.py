@@ -43,14 +43,16 @@ PAYLOADS = "payload_key string, payload binary"
 
 def base32_sha1(data: Column) -> Column:
     """Bare upper-case base32 of the SHA-1: 20 bits (5 hex digits) give 4 letters."""
-    hexed = F.sha1(data)
-    letters = F.lit(BASE32)
 
-    def four(i: Column) -> Column:
-        v = F.conv(F.substring(hexed, i * 5 + 1, F.lit(5)), 16, 10).cast("int")
-        return F.concat(*[F.substring(letters, F.shiftright(v, s).bitwiseAND(F.lit(31)) + 1, F.lit(1)) for s in (15, 10, 5, 0)])
+    def four(bits: Column) -> Column:
+        return F.concat(*[F.substring(F.lit(BASE32), F.shiftright(bits, s).bitwiseAND(F.lit(31)) + 1, F.lit(1)) for s in (15, 10, 5, 0)])
 
-    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), four), "")
+    def letters(hexed: Column) -> Column:
+        bits = F.array(*[F.conv(F.substring(hexed, i, 5), 16, 10).cast("int") for i in range(1, 40, 5)])
+        return F.array_join(F.transform(bits, four), "")
+
+    # the array binds the digest, which is so taken once
+    return F.get(F.transform(F.array(F.sha1(data)), letters), F.lit(0))
 
 
 def _pages(pages: DataFrame, payload: str) -> DataFrame:
