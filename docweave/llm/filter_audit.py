@@ -18,7 +18,8 @@ rows share is a few rows per task. State keys are hash buckets of some
 hundred texts each, as calls into Python cost more than the texts; a bucket's
 state is one packed table. The log goes to a Parquet sink, which writes every
 micro-batch exactly once; state and log live in the shared checkpoint folder, so
-a lost executor or a restarted query goes on from the last committed batch.
+a lost executor or a restarted query goes on from the last committed batch. The session
+chooses the state store; beyond some hundred million texts it should be Spark's RocksDB provider.
 """
 
 from __future__ import annotations
@@ -49,8 +50,8 @@ GOOD, TOXIC = 1, 2
 KIND = ["part", "mask", "flags"]
 LOG = "part string, mask int, n long, good long, toxic long"
 HELD = "digest binary, doc_id long, part string, mask int, flags int, n long"
-STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: bytes that a labelled doc_id takes in a broadcast
+LABEL_BYTES = 130
 
 
 def text_mask(text: str | None) -> int:
@@ -186,18 +187,13 @@ def counters(spark: SparkSession, path: str, labels: DataFrame, batches: int = 8
     flags = scratch_path(spark, "audit-labels")
     label_flags(labels).withColumn("zero", F.lit(0)).write.parquet(flags)
     known = spark.read.schema("id long, flags int, zero int").parquet(flags)
-    known = small(known, 24 * known.count())
+    known = small(known, LABEL_BYTES * known.count())
     # the name with a pattern, as a stream takes a plain path for a folder, and the table may be one file
     stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", max(1, -(-files // batches))).parquet(f"{path[:-1]}[{path[-1]}]")
     log = retractions(stream, known, max(1, -(-rows // PER_BUCKET)))
     to, at = scratch_path(spark, "audit-log"), scratch_path(spark, "audit-stream")
-    chosen = spark.conf.get(STATE_PROVIDER)
-    spark.conf.set(STATE_PROVIDER, ROCKS)  # the state of all texts stays out of the JVM's heap
-    try:
-        query = log.writeStream.format("parquet").option("path", to).option("checkpointLocation", at).outputMode("append").trigger(availableNow=True).start()
-        query.awaitTermination()
-    finally:
-        spark.conf.set(STATE_PROVIDER, chosen)
+    query = log.writeStream.format("parquet").option("path", to).option("checkpointLocation", at).outputMode("append").trigger(availableNow=True).start()
+    query.awaitTermination()
     changes = spark.read.schema(LOG).parquet(to)
     sums = changes.groupBy("part", "mask").agg(*[F.sum(c).alias(c) for c in ("n", "good", "toxic")])
     return sums.where("n <> 0")
