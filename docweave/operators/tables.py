@@ -18,6 +18,7 @@ from docweave.functions.html import html_to_markdown
 from docweave.functions.text import metadata_text
 from docweave.operators.chunk import chunk_docs
 from docweave.options import JobOptions
+from docweave.session import stored
 
 # ------------------------------------------------------------------ K5 / K6
 
@@ -183,8 +184,8 @@ def last_changes(changes: DataFrame) -> DataFrame:
     if "seq" not in changes.columns:
         return changes
     # equal seq: a fixed choice
-    last = F.max_by(F.struct("status", "markdown"), F.struct("seq", "status", "markdown"))
-    return changes.groupBy("filename").agg(last.alias("_c")).select("filename", "_c.status", "_c.markdown")
+    last = F.max(F.struct("seq", "status", "markdown"))
+    return changes.groupBy("filename").agg(last.alias("_c")).select("filename", "_c.status", "_c.markdown", "_c.seq")
 
 
 def apply_changes(old_chunks: DataFrame, changes: DataFrame, opts: JobOptions, embed=None) -> DataFrame:
@@ -197,7 +198,10 @@ def apply_changes(old_chunks: DataFrame, changes: DataFrame, opts: JobOptions, e
     The change set feeds two branches (touched files, fresh chunks); it is
     materialised once with a reliable checkpoint so the snapshot diff and the
     Markdown conversion behind it run once."""
-    changes = last_changes(changes).checkpoint(eager=True)
+    return _with_last(old_chunks, last_changes(changes).checkpoint(eager=True), opts, embed)
+
+
+def _with_last(old_chunks: DataFrame, changes: DataFrame, opts: JobOptions, embed) -> DataFrame:
     touched = changes.select("filename").distinct()
     kept = old_chunks.join(touched, "filename", "left_anti")
     ups = changes.where(F.col("markdown").isNotNull() & ~F.col("status").isin("deleted", "delete"))
@@ -317,33 +321,71 @@ def add_records(changes: DataFrame, target_schema: T.StructType, opts: JobOption
     return align_to(target_schema, fresh)
 
 
-def apply_changes_in_place(spark: SparkSession, path: str, changes: DataFrame, opts: JobOptions, embed=None) -> list[int]:
+VERSIONS_SCHEMA = "filename string, seq long, deleted boolean, bucket int"
+
+
+def file_versions(spark: SparkSession, path: str) -> DataFrame:
+    """The version table of a chunk table: per file the ``seq`` of its last applied
+    change; a deleted file keeps its row as a tombstone."""
+    found = stored(spark, path)
+    return spark.createDataFrame([], VERSIONS_SCHEMA) if found is None else spark.read.schema(VERSIONS_SCHEMA).parquet(path)
+
+
+def newer_changes(changes: DataFrame, versions: DataFrame) -> DataFrame:
+    """Changes that are not older than what has been applied to their file. An
+    equal ``seq`` is a repeat of that change and passes, as does a change without one."""
+    have = versions.select("filename", F.col("seq").alias("_have"))
+    fresh = F.col("seq").isNull() | F.col("_have").isNull() | (F.col("seq") >= F.col("_have"))
+    return changes.join(have, "filename", "left").where(fresh).drop("_have")
+
+
+def merge_versions(versions: DataFrame, changes: DataFrame) -> DataFrame:
+    """The version rows after ``changes`` (a file once): their files' rows replaced.
+    A change without a ``seq`` keeps the stored one."""
+    gone = F.col("status").isin("deleted", "delete")
+    new = changes.select("filename", "seq", gone.alias("_gone"), F.lit(True).alias("_new"))
+    both = versions.select("filename", F.col("seq").alias("_have"), "deleted").join(new, "filename", "full_outer")
+    return both.select("filename", F.coalesce("seq", "_have").alias("seq"), F.when(F.col("_new"), F.col("_gone")).otherwise(F.col("deleted")).alias("deleted"))
+
+
+def _overwrite_buckets(rows: DataFrame, path: str) -> None:
+    rows.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+
+
+def apply_changes_in_place(spark: SparkSession, path: str, changes: DataFrame, opts: JobOptions, embed=None, versions_path: str | None = None) -> list[int]:
     """O4 on a stored chunk table, rewriting only the buckets the change set
     touches: the touched buckets (at most ``chunk_buckets`` ids) are read with
     partition pruning, the new rows are staged with a reliable checkpoint
     (never read and overwrite one path in a job), then written back with
     dynamic partition overwrite. A bucket left without rows is removed.
+
+    ``versions_path`` names the table of applied versions (bucketed as the chunk table):
+    a change that is older than its file's version is left out, also after a
+    delete, whose tombstone stays. It is written after the chunks, so
+    a run that breaks off in between is repeated and gives the same table.
     Returns the rewritten bucket ids."""
-    changes = last_changes(changes).checkpoint(eager=True)
-    buckets = sorted(
-        r[0] for r in changes.select(bucket_of(F.col("filename"), opts.chunk_buckets).alias("b")).distinct().collect()
-    )
+    changes = last_changes(changes)
+    bucket = bucket_of(F.col("filename"), opts.chunk_buckets)
+    ordered = versions_path is not None and "seq" in changes.columns
+    changes = changes.withColumn("bucket", bucket).checkpoint(eager=True)
+    if ordered:
+        touched = [r[0] for r in changes.select("bucket").distinct().collect()]
+        known = file_versions(spark, versions_path).where(F.col("bucket").isin(touched))
+        changes = newer_changes(changes, known.drop("bucket")).checkpoint(eager=True)
+    buckets = sorted(r[0] for r in changes.select("bucket").distinct().collect())
     if not buckets:
         return []
+    changes = changes.drop("bucket")
     old = spark.read.parquet(path).where(F.col("bucket").isin(buckets)).drop("bucket")
-    new = apply_changes(old, changes, opts, embed).withColumn("bucket", bucket_of(F.col("filename"), opts.chunk_buckets))
-    staged = new.checkpoint(eager=True)
-    (
-        staged.hint("rebalance", "bucket")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("bucket")
-        .parquet(path)
-    )
+    staged = _with_last(old, changes, opts, embed).withColumn("bucket", bucket).checkpoint(eager=True)
+    _overwrite_buckets(staged, path)
     kept = {r[0] for r in staged.select("bucket").distinct().collect()}
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for b in set(buckets) - kept:
         p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/bucket={b}")
         p.getFileSystem(conf).delete(p, True)
+    if ordered:
+        merged = merge_versions(known.where(F.col("bucket").isin(buckets)), changes).withColumn("bucket", bucket)
+        _overwrite_buckets(merged.checkpoint(eager=True), versions_path)
     return buckets

@@ -1418,11 +1418,11 @@ def _x1_spark(spark, sf):
     base = scratch_path(spark, "x1-base")
     TB.full_load(build_release_chunks(old, OPTS), base, OPTS)
     changes_dir = scratch_path(spark, "x1-changes")
-    # two change files per file name, read in one micro-batch; the earlier comes last by name
+    # two change files per file name, each a micro-batch of its own; the earlier change comes in the later batch
     both = _with_stale_changes(DF.release_changes(old, new, OPTS))
     both.where("seq = 2").coalesce(1).write.mode("append").parquet(changes_dir)
     both.where("seq = 1").coalesce(1).write.mode("append").parquet(changes_dir)
-    st = stream_refresh(spark, changes_dir, ChunkTableState(spark, base), OPTS)
+    st = stream_refresh(spark, changes_dir, ChunkTableState(spark, base), OPTS, files_per_batch=1)
     return st.read().select("filename", "chunk_no", "doc_link", "text")
 
 

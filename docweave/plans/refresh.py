@@ -5,12 +5,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docweave.operators.tables import apply_changes_in_place, create_table, full_load, upsert_pk
 from docweave.options import RELEASE_MODE, REPOSITORY_MODE, JobOptions
+from docweave.session import stored
 
 FULL_LOAD, SKIP, REBUILD, INCREMENTAL = "FULL_LOAD", "SKIP", "REBUILD", "INCREMENTAL"
 TRACKING_FIELDS = (("product", "VARCHAR", 100, True), ("last_updated_ref", "VARCHAR", 100, False), ("last_updater_version", "VARCHAR", 100, False))
@@ -91,16 +91,6 @@ def plan_refresh(
 LOG_SCHEMA = ", ".join(f"{c} string" for c in TRACKING_COLS) + ", seq long"
 
 
-def stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """The Parquet table at ``path``, or None when there is none."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
 def read_tracking_log(spark: SparkSession, path: str) -> DataFrame:
     """R1 on storage: the tracking table as the last entry of each product in an
     append-only log (an append is one atomic commit)."""

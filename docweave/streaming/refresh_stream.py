@@ -1,10 +1,13 @@
 """The poll-with-stored-cursor refresh re-aimed as Structured Streaming.
 
 Change files (filename, status, markdown, seq) arrive as Parquet files in a
-folder (``seq`` orders the changes of a file, also across change files that one
-micro-batch reads together); each micro-batch applies them to the stored chunk table with the
+folder. ``seq`` orders the changes of a file, in whatever files and micro-batches
+they arrive: next to the chunk table stands a version table with the last applied
+``seq`` of every file, tombstones of deleted files included, and a change older than that
+is left out. Each micro-batch applies its changes to the stored chunk table with the
 batch operator O4/O5 inside ``foreachBatch``, rewriting only the buckets the
-batch touches (the cursor is the stream checkpoint).
+batch touches in either table (the cursor is the stream checkpoint; a repeated
+micro-batch gives the same tables).
 """
 
 from __future__ import annotations
@@ -14,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docweave.operators.chunk import chunk_docs
-from docweave.operators.tables import apply_changes_in_place
+from docweave.operators.tables import apply_changes_in_place, file_versions
 from docweave.options import JobOptions
 from docweave.session import scratch_path
 
@@ -33,11 +36,16 @@ class ChunkTableState:
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
-        self.path = path
+        self.path = path.rstrip("/")
+        self.versions_path = self.path + "-versions"
 
     def read(self) -> DataFrame:
         return self.spark.read.parquet(self.path).drop("bucket")
 
+    def versions(self) -> DataFrame:
+        """(filename, seq, deleted) of every file a change has been applied to."""
+        return file_versions(self.spark, self.versions_path).drop("bucket")
+
 
 def stream_refresh(
     spark: SparkSession,
@@ -46,13 +54,18 @@ def stream_refresh(
     opts: JobOptions,
     checkpoint: str | None = None,
     embed=None,
+    files_per_batch: int | None = None,
 ):
-    """Apply every arriving change file to the chunk table (availableNow)."""
-    src = spark.readStream.schema(CHANGE_SCHEMA).parquet(changes_dir)
+    """Apply every arriving change file to the chunk table (availableNow), at
+    most ``files_per_batch`` of them in a micro-batch."""
+    src = spark.readStream.schema(CHANGE_SCHEMA)
+    if files_per_batch:
+        src = src.option("maxFilesPerTrigger", files_per_batch)
+    src = src.parquet(changes_dir)
 
     def apply_batch(batch: DataFrame, epoch: int) -> None:
         # only the buckets touched by this micro-batch are rewritten in place
-        apply_changes_in_place(spark, state.path, batch, opts, embed)
+        apply_changes_in_place(spark, state.path, batch, opts, embed, state.versions_path)
 
     q = (
         src.writeStream.foreachBatch(apply_batch)
