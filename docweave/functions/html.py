@@ -1,189 +1,361 @@
-"""F6 article extraction and F7 HTML -> Markdown as a chain of regex rules.
-
-The chain is a Markdown converter of our own (ATX headings): it handles the
-tags listed in ``MD_RULES`` and removes every other tag. Inline tags are
-converted as pairs; an unclosed inline tag is dropped. ``pre`` blocks are set
-apart first, so that no other rule touches them, and the items of an ``ol``
-without lists inside are numbered.
+"""F6 article extraction and F7 HTML -> Markdown (ATX headings) in one walk a page.
+
+The walk reads a page tag by tag. Comments, declarations, scripts and styles are
+tokens of their own, so nothing inside them counts as a tag, and a ``<`` that opens
+no tag is text. Entities are decoded in text tokens, once. What is open stands in two
+stacks: inline elements with their places in the output, and line prefixes (list
+markers and indents, quotes, heading marks). A block boundary is only noted; the
+next text writes it, with the marks of its line, so empty blocks leave nothing. An inline
+element is marked when it is closed, in every block it spans; one that is
+never closed leaves its text unmarked. Table cells are walked into an output of their own.
+
+The functions are Arrow UDFs; ``article_markdown`` does both steps in one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import html as entities
+import re
+from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-
-from docweave.functions.regex import Rule, apply_rules, apply_rules_sql, sql_lit
-
-ARTICLE_OPEN = "(?i)<article(?=[\\s>])[^>]*>"
-ARTICLE_CLOSE = "(?i)</article\\s*>"
-PRE_RE = "(?is)<pre(?=[\\s>])[^>]*>.*?</pre\\s*>"
-OL_RE = "(?is)<ol(?=[\\s>])[^>]*>(?:(?!<[uo]l[\\s>]).)*?</ol\\s*>"
-#: the article of a page that closes it at most once (SQL form)
-ARTICLE_RE = "(?is)<article(\\s[^>]*)?>(.*?)</article>"
-
-_WS = "[ \\t\\r\\n]*"
-
-
-def _heading_rules():
-    return tuple(
-        Rule(f"(?is)<h{n}(\\s[^>]*)?>{_WS}(.*?){_WS}</h{n}>", "\n\n" + "#" * n + " {2}\n\n") for n in range(1, 7)
-    )
-
-
-# Named HTML entities decoded, '&amp;' last.
-ENTITIES = (
-    ("&nbsp;", " "),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&apos;", "'"),
-    ("&copy;", "©"),
-    ("&reg;", "®"),
-    ("&trade;", "™"),
-    ("&middot;", "·"),
-    ("&bull;", "•"),
-    ("&hellip;", "…"),
-    ("&ndash;", "–"),
-    ("&mdash;", "—"),
-    ("&lsquo;", "‘"),
-    ("&rsquo;", "’"),
-    ("&ldquo;", "“"),
-    ("&rdquo;", "”"),
-    ("&laquo;", "«"),
-    ("&raquo;", "»"),
-    ("&times;", "×"),
-    ("&deg;", "°"),
-    ("&euro;", "€"),
-    ("&pound;", "£"),
-    ("&sect;", "§"),
-    ("&para;", "¶"),
-    ("&larr;", "←"),
-    ("&rarr;", "→"),
-    ("&amp;", "&"),
-)
-
-MD_RULES = (
-    Rule("(?is)<script(\\s[^>]*)?>.*?</script>", ""),
-    Rule("(?is)<style(\\s[^>]*)?>.*?</style>", ""),
-    Rule("(?s)<!--.*?-->", ""),
-    *_heading_rules(),
-    Rule("(?is)<(b|strong)(\\s[^>]*)?>([^<]*)</(b|strong)>", "**{3}**"),
-    Rule("(?is)<(i|em)(\\s[^>]*)?>([^<]*)</(i|em)>", "*{3}*"),
-    Rule("(?is)<code(\\s[^>]*)?>([^<]*)</code>", "`{2}`"),
-    Rule('(?is)<a\\s[^>]*href="([^"]*)"[^>]*>([^<]*)</a>', "[{2}]({1})"),
-    Rule('(?is)<img\\s[^>]*src="([^"]*)"[^>]*alt="([^"]*)"[^>]*>', "![{2}]({1})"),
-    Rule('(?is)<img\\s[^>]*alt="([^"]*)"[^>]*src="([^"]*)"[^>]*>', "![{1}]({2})"),
-    Rule('(?is)<img\\s[^>]*src="([^"]*)"[^>]*>', "![]({1})"),
-    Rule("(?is)<br\\s*/?>", "  \n"),
-    Rule("(?is)<hr(\\s[^>]*)?/?>", "\n\n---\n\n"),
-    Rule("(?is)<li(\\s[^>]*)?>", "\n* "),
-    Rule("(?is)</li>", ""),
-    Rule("(?is)</?(ul|ol)(\\s[^>]*)?>", "\n\n"),
-    Rule("(?is)<blockquote(\\s[^>]*)?>", "\n\n> "),
-    Rule("(?is)</blockquote>", "\n\n"),
-    Rule("(?is)<tr(\\s[^>]*)?>", "\n|"),
-    Rule("(?is)</t[dh]>", " |"),
-    Rule("(?is)<t[dh](\\s[^>]*)?>", " "),
-    Rule("(?is)</?(p|div|section|table|thead|tbody)(\\s[^>]*)?>", "\n\n"),
-    Rule("<[^>]*>", ""),
-    *(Rule(a, b, literal=True) for a, b in ENTITIES),
-    Rule("\\n{3,}", "\n\n"),
-    Rule("^[ \\t\\r\\n]+|[ \\t\\r\\n]+$", ""),
+from pyspark.sql import types as T
+
+#: elements whose content is no text of the page
+_SILENT = "script|style|template"
+#: tokens that are passed over whole
+_SKIPPED = rf"<!--.*?(?:-->|\Z)|<(?P<silent>{_SILENT})(?=[\s/>])[^<>]*+>.*?(?:</(?P=silent)\s*+>|\Z)|<[!?][^<>]*+>"
+_PRE = r"<pre(?=[\s>])[^<>]*+>(?P<pre>.*?)(?:</pre\s*+>|\Z)"
+# a tag may hold "<" and ">" only between quotes, so what opens none is read no further than the next "<"
+_TAG = r"<(?P<end>/?)(?P<tag>[a-z][^\s/<>]*+)(?P<rest>(?:[^'\"<>]++|\"[^\"]*+\"|'[^']*+')*+>|[^<>]*+>)"
+_TOKEN = re.compile(f"{_SKIPPED}|{_PRE}|{_TAG}", re.IGNORECASE | re.DOTALL)
+_ARTICLE = re.compile(rf"{_SKIPPED}|<(?P<end>/?)(?P<tag>article|main|body|html)(?=[\s/>])[^<>]*+>", re.IGNORECASE | re.DOTALL)
+_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+_ENTITY = re.compile(r"&(?:#[xX][0-9a-fA-F]{1,6};|#[0-9]{1,7};|[a-zA-Z][a-zA-Z0-9]*;?)")
+_BLANKS = re.compile(r"[ \t\r\n\f]+")
+_HEADINGS = {f"h{n}": "#" * n + " " for n in range(1, 7)}
+_MARKS = {"b": "**", "strong": "**", "i": "*", "em": "*", "del": "~~", "s": "~~"}
+_BLOCKS = frozenset(
+    "address aside body caption dd details dialog div dl dt fieldset figcaption figure footer form head header "
+    "html main nav p section summary title".split()
 )
 
 
-def extract_article(html) -> Column:
-    """the first <article> element (with its tag), nested ones included; NULL
-    when there is none. An article that is never closed reaches to the end of
-    the page's main part."""
-    h = F.col(html) if isinstance(html, str) else html
-    found = F.regexp_like(h, F.lit(ARTICLE_OPEN))
-    tail = F.element_at(F.split(h, ARTICLE_OPEN, 2), 2)
-    parts = F.split(tail, ARTICLE_CLOSE, -1)
-    # walk over the closing tags: each part may open further articles
-    start = F.struct(F.lit(1).alias("open"), F.lit(0).alias("n"))
-    walk = lambda a, x: F.when(a["open"] == 0, a).otherwise(
-        F.struct((a["open"] + F.regexp_count(x, F.lit(ARTICLE_OPEN)) - 1).alias("open"), (a["n"] + 1).alias("n"))
-    )
-    end = F.aggregate(F.slice(parts, 1, F.size(parts) - 1), start, walk)
-    closed = F.array_join(F.slice(parts, 1, end["n"]), "</article>")
-    rest = F.element_at(F.split(tail, "(?i)</(?:main|body|html)\\s*>", 2), 1)
-    return F.when(found, F.concat(F.lit("<article>"), F.when(end["open"] == 0, closed).otherwise(rest), F.lit("</article>")))
-
-
-def extract_article_sql(e: str) -> str:
-    return (
-        f"CASE WHEN regexp_matches({e}, {sql_lit(ARTICLE_RE)}) THEN "
-        f"'<article>' || regexp_extract({e}, {sql_lit(ARTICLE_RE)}, 2) || '</article>' END"
-    )
-
-
-def _apart(text: Column, pattern: str, inside: Callable[[Column], Column], outside: Callable[[Column], Column], glue: str) -> Column:
-    """Matches of ``pattern`` by ``inside``, the text between them by ``outside``, in order."""
-    parts, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), 0)
-    pairs = F.zip_with(F.transform(parts, outside), F.transform(hits, inside), lambda p, x: F.concat(p, F.when(x.isNull(), F.lit("")).otherwise(F.concat(F.lit(glue), x, F.lit(glue)))))
-    return F.when(F.regexp_like(text, F.lit(pattern)), F.array_join(pairs, "")).otherwise(outside(text))
-
-
-def _numbered(ol: Column) -> Column:
-    items = F.slice(F.split(F.regexp_replace(ol, "(?is)</li\\s*>|</?ol(\\s[^>]*)?>", ""), "(?i)<li(?:\\s[^>]*)?>", -1), 2, 1_000_000_000)
-    return F.array_join(F.transform(items, lambda x, i: F.concat((i + 1).cast("string"), F.lit(". "), F.trim(x))), "\n")
-
+def _character(match: re.Match) -> str:
+    e = match[0]
+    if e[1] != "#":
+        return " " if e == "&nbsp;" else entities.unescape(e)
+    code = int(e[3:-1], 16) if e[2] in "xX" else int(e[2:-1])
+    names_one = 0 < code < 0xD800 or 0xDFFF < code <= 0x10FFFF
+    return (entities.unescape(e) or e) if names_one else e
+
+
+def decode(text: str) -> str:
+    """Entities as characters, each once; numbers that name no character stay."""
+    return _ENTITY.sub(_character, text) if "&" in text else text
+
+
+def _attribute(rest: str, name: str) -> str:
+    for key, *values in _ATTRIBUTE.findall(rest):
+        if key.lower() == name:
+            return _BLANKS.sub(" ", decode("".join(values)))
+    return ""
+
+
+@dataclass
+class _Inline:
+    tag: str
+    target: str
+    spans: list[list[int]]  # first and end place in the output, per block
+
+
+@dataclass
+class _Prefix:
+    tag: str
+    first: str  # on the line that opens the element
+    rest: str  # on its further lines
+    used: bool = False
+
+
+@dataclass
+class _List:
+    below: int  # prefixes outside
+    item: int  # number of the last item, -1 for bullets
+
+
+@dataclass
+class _Page:
+    """Output of one walk: a page, or a table cell."""
+
+    out: list[str] = field(default_factory=list)
+    inline: list[_Inline] = field(default_factory=list)
+    prefixes: list[_Prefix] = field(default_factory=list)
+    lists: list[_List] = field(default_factory=list)
+    cells: list[str] | None = None  # of an open table row
+    rows: int = 0  # of the open table
+    tables: int = 0  # open ones
+    gap: int = 0  # line ends to write before the next text
+    breaks: int = 0  # <br> since the last text
+    at_start: bool = True  # no text since the last block boundary
+
+    def boundary(self, lines: int = 2) -> None:
+        self.breaks = 0
+        if not self.at_start:
+            self.at_start = True
+            for x in self.inline:
+                x.spans[-1][1] = len(self.out)
+                x.spans.append([len(self.out), len(self.out)])
+        # nothing stands yet behind the marker of an item
+        if not (self.prefixes and not self.prefixes[-1].used and self.gap):
+            self.gap = max(self.gap, lines)
+
+    def begin(self) -> None:
+        """Write what is pending before a text."""
+        rest = "".join(p.rest for p in self.prefixes if p.used)
+        if self.at_start:
+            line = "".join(p.rest if p.used else p.first for p in self.prefixes)
+            lead = ("\n" if self.gap == 1 else f"\n{rest.rstrip()}\n") + line if self.out else line
+            for p in self.prefixes:
+                p.used = True
+        elif any(p.tag in _HEADINGS for p in self.prefixes):
+            lead = " " if self.breaks else ""
+        else:
+            lead = f"  \n{rest}" * self.breaks
+        if lead:
+            if self.out:
+                self.out[-1] = self.out[-1].rstrip(" ")
+            self.out.append(lead)
+        if self.at_start:
+            for x in self.inline:
+                x.spans[-1][0] = len(self.out)
+        self.gap, self.breaks, self.at_start = 0, 0, False
+
+    def put(self, piece: str) -> None:
+        if self.cells:  # a text between cells ends their row
+            self.end_row()
+        if self.at_start or self.breaks:
+            self.begin()
+        self.out.append(piece)
+
+    def text(self, raw: str) -> None:
+        t = _BLANKS.sub(" ", decode(raw))
+        if self.at_start or self.breaks or self.out[-1].endswith(" "):
+            t = t.lstrip(" ")
+        if t:
+            self.put(t)
+
+    def pre(self, raw: str) -> None:
+        code = decode(re.sub(r"<[^>]*>", "", raw))
+        code = code[1:] if code.startswith("\n") else code
+        code = code[:-1] if code.endswith("\n") else code
+        self.boundary()
+        self.begin()
+        rest = "".join(p.rest for p in self.prefixes)
+        self.out.append(f"```\n{code}\n```".replace("\n", "\n" + rest))
+        self.boundary()
+
+    def close_inline(self, tag: str) -> None:
+        at = next((i for i in reversed(range(len(self.inline))) if self.inline[i].tag == tag), None)
+        if at is None:
+            return
+        x = self.inline[at]
+        del self.inline[at:]  # what was opened inside and not closed stays unmarked
+        x.spans[-1][1] = len(self.out)
+        for start, stop in x.spans:
+            whole = "".join(self.out[start:stop])
+            inner = whole.strip(" ")
+            if not inner:
+                continue
+            lead, trail = whole[: len(whole) - len(whole.lstrip(" "))], whole[len(whole.rstrip(" ")) :]
+            tick = "``" if "`" in inner else "`"
+            mark = tick if tag == "code" else _MARKS.get(tag, "")
+            marked = f"{mark}{inner}{mark}" if mark else f"[{inner}]({x.target})" if x.target else inner
+            # places of outer elements stay right
+            self.out[start:stop] = [lead + marked + trail] + [""] * (stop - start - 1)
+
+    def close_prefix(self, tags, above: int = 0) -> bool:
+        """Close the last open prefix of one of these elements, with all inside it."""
+        at = next((i for i in reversed(range(above, len(self.prefixes))) if self.prefixes[i].tag in tags), None)
+        if at is None:
+            return False
+        del self.prefixes[at:]
+        while self.lists and self.lists[-1].below > at:
+            self.lists.pop()
+        return True
+
+    def open(self, tag: str, rest: str) -> None:
+        if tag in _MARKS or tag in ("a", "code"):
+            self.inline.append(_Inline(tag, _attribute(rest, "href") if tag == "a" else "", [[len(self.out), len(self.out)]]))
+        elif tag == "br":
+            self.breaks += not self.at_start
+        elif tag == "img":
+            self.put(f"![{_attribute(rest, 'alt')}]({_attribute(rest, 'src')})")
+        elif tag == "hr":
+            self.boundary()
+            self.put("---")
+            self.boundary()
+        elif tag in _HEADINGS:
+            self.close_prefix(_HEADINGS)
+            self.boundary()
+            self.prefixes.append(_Prefix(tag, _HEADINGS[tag], ""))
+        elif tag == "blockquote":
+            self.boundary()
+            self.prefixes.append(_Prefix(tag, "> ", "> "))
+        elif tag in ("ul", "ol"):
+            self.boundary(1 if self.lists else 2)
+            self.lists.append(_List(len(self.prefixes), 0 if tag == "ol" else -1))
+        elif tag == "li":
+            self.close_prefix(("li",), self.lists[-1].below if self.lists else 0)
+            self.boundary(1)
+            marker = "* "
+            if self.lists and self.lists[-1].item >= 0:
+                self.lists[-1].item += 1
+                marker = f"{self.lists[-1].item}. "
+            self.prefixes.append(_Prefix(tag, marker, " " * len(marker)))
+        elif tag == "table":
+            self.boundary()
+            self.rows, self.tables = 0, self.tables + 1
+        elif tag == "tr":
+            self.end_row()
+            self.cells = []
+        elif tag in _BLOCKS:
+            self.boundary()
+
+    def close(self, tag: str) -> None:
+        if tag in _MARKS or tag in ("a", "code"):
+            self.close_inline(tag)
+        elif tag in _HEADINGS:
+            self.close_prefix(_HEADINGS)
+            self.boundary()
+        elif tag in ("ul", "ol"):
+            if self.lists:
+                del self.prefixes[self.lists.pop().below :]
+                self.boundary(1 if self.lists else 2)
+        elif tag == "li":
+            self.close_prefix(("li",), self.lists[-1].below if self.lists else 0)
+            self.boundary(1)
+        elif tag == "blockquote":
+            self.close_prefix(("blockquote",))
+            self.boundary()
+        elif tag in ("tr", "table", "tbody", "thead", "tfoot"):
+            self.end_row()
+            self.tables -= tag == "table" and self.tables > 0
+            self.boundary(2 if tag == "table" else 1)
+        elif tag in _BLOCKS:
+            self.boundary()
+
+    def end_row(self) -> None:
+        cells, self.cells = self.cells, None
+        if cells:
+            self.boundary(1 if self.rows else 2)
+            self.put("| " + " | ".join(cells) + " |")
+            if not self.rows:
+                self.boundary(1)
+                self.put("|" + " --- |" * len(cells))
+            self.rows += 1
+            self.boundary(1)
+
+    def markdown(self) -> str:
+        self.end_row()
+        return "".join(self.out).rstrip(" ")
+
+
+def to_markdown(html: str) -> str:
+    """F7 on one page or article."""
+    pages, at = [_Page()], 0
+
+    def end_cell() -> None:
+        cell = pages.pop().markdown()
+        row = pages[-1].cells
+        text = re.sub(r" *\n+ *", " ", cell).replace("|", "\\|")
+        pages[-1].cells = [*(row or []), text]
+
+    for m in _TOKEN.finditer(html):
+        if m.start() > at:
+            pages[-1].text(html[at : m.start()])
+        at = m.end()
+        if m["pre"] is not None:
+            pages[-1].pre(m["pre"])
+        elif m["tag"]:
+            tag = m["tag"].lower()
+            # a table cell is a page of its own; it ends with the cell, its row or its table
+            if tag in ("td", "th", "tr", "tbody", "thead", "tfoot") or tag == "table" and m["end"]:
+                if len(pages) > 1 and not pages[-1].tables:
+                    end_cell()
+            if tag in ("td", "th"):
+                if not m["end"]:
+                    pages.append(_Page())
+            elif m["end"]:
+                pages[-1].close(tag)
+            else:
+                pages[-1].open(tag, m["rest"])
+    pages[-1].text(html[at:])
+    while len(pages) > 1:
+        end_cell()
+    return pages[0].markdown()
+
+
+def article(html: str) -> str | None:
+    """F6 on one page: its first article, nested ones included, or None. An article
+    that is never closed reaches to the end of the page's main part."""
+    start, stop, depth = None, len(html), 0
+    for m in _ARTICLE.finditer(html):
+        if not m["tag"]:
+            continue
+        if m["tag"].lower() == "article":
+            if start is None and not m["end"]:
+                start = m.end()
+            depth += (start is not None) * (-1 if m["end"] else 1)
+            if start is not None and depth == 0:
+                stop = m.start()
+                break
+        elif start is not None and m["end"] and stop == len(html):
+            stop = m.start()  # unless a closing tag of the article follows
+    if start is None:
+        return None
+    return f"<article>{html[start:stop]}</article>"
+
+
+def _mapped(texts: pd.Series, f) -> pd.Series:
+    return texts.map(lambda t: None if t is None else f(t))
+
+
+@F.pandas_udf(T.StringType())
+def _article(pages: pd.Series) -> pd.Series:
+    return _mapped(pages, article)
+
+
+@F.pandas_udf(T.StringType())
+def _markdown(pages: pd.Series) -> pd.Series:
+    return _mapped(pages, lambda t: to_markdown(t) or None)
+
+
+@F.pandas_udf(T.StringType())
+def _article_markdown(pages: pd.Series) -> pd.Series:
+    def convert(page: str) -> str | None:
+        found = article(page)
+        return to_markdown(found) or None if found else None
+
+    return _mapped(pages, convert)
+
+
+def _col(c) -> Column:
+    return F.col(c) if isinstance(c, str) else c
 
-def _utf8(code: Column) -> Column:
-    """Character of a code point, by its UTF-8 bytes."""
-    c = code.cast("int")
-    byte = lambda lead, shift: F.lpad(F.hex(F.lit(lead) + F.shiftright(c, shift).bitwiseAND(F.lit(0x3F if lead == 0x80 else 0xFF))), 2, "0")
-    h = (
-        F.when(c < 0x80, F.lpad(F.hex(c), 2, "0"))
-        .when(c < 0x800, F.concat(byte(0xC0, 6), byte(0x80, 0)))
-        .when(c < 0x10000, F.concat(byte(0xE0, 12), byte(0x80, 6), byte(0x80, 0)))
-        .otherwise(F.concat(byte(0xF0, 18), byte(0x80, 12), byte(0x80, 6), byte(0x80, 0)))
-    )
-    return F.decode(F.unhex(h), "UTF-8")
 
-
-def decode_numeric_entities(text: Column) -> Column:
-    """``&#8217;`` and ``&#x2019;`` as characters; numbers that name none stay."""
-    marks = F.array_distinct(F.regexp_extract_all(text, F.lit("(?i)&#(?:x[0-9a-f]{1,6}|[0-9]{1,7});"), 0))
-
-    def put(t: Column, e: Column) -> Column:
-        number = F.regexp_extract(e, "([0-9a-fA-F]+);", 1)
-        code = F.when(F.lower(e).contains("x"), F.conv(number, 16, 10)).otherwise(number).cast("int")
-        valid = ((code > 0) & (code < 0xD800)) | ((code > 0xDFFF) & (code <= 0x10FFFF))
-        return F.when(valid, F.replace(t, e, _utf8(code))).otherwise(t)
-
-    return F.when(text.contains("&#"), F.aggregate(marks, text, put)).otherwise(text)
-
-
-def _plain(h: Column) -> Column:
-    return apply_rules(h, MD_RULES)
-
-
-def _pre(h: Column) -> Column:
-    code = apply_rules(F.regexp_replace(F.regexp_replace(h, "(?is)^<pre[^>]*>|</pre\\s*>$", ""), "<[^>]*>", ""), [Rule(a, b, literal=True) for a, b in ENTITIES])
-    return F.concat(F.lit("```\n"), F.regexp_replace(code, "^\\n|\\n$", ""), F.lit("\n```"))
+def extract_article(html) -> Column:
+    """the first <article> element (its own tag without attributes), nested ones
+    included; NULL when there is none."""
+    return _article(_col(html))
 
 
 def html_to_markdown(html) -> Column:
     """HTML -> Markdown with ATX headings; '' becomes NULL."""
-    h = F.col(html) if isinstance(html, str) else html
-    h = decode_numeric_entities(h)
-    with_lists = lambda x: _apart(x, OL_RE, lambda o: _plain(_numbered(o)), _plain, "\n\n")
-    md = _apart(h, PRE_RE, _pre, with_lists, "\n\n")
-    return F.nullif(F.regexp_replace(md, "^[ \\t\\r\\n]+|[ \\t\\r\\n]+$", ""), F.lit(""))
-
-
-def html_to_markdown_sql(e: str) -> str:
-    return f"nullif({apply_rules_sql(e, MD_RULES)}, '')"
+    return _markdown(_col(html))
 
 
 def article_markdown(html) -> Column:
     """F6 then F7: the Markdown of the article; NULL without an article."""
-    return html_to_markdown(extract_article(html))
-
-
-def article_markdown_sql(e: str) -> str:
-    return html_to_markdown_sql(extract_article_sql(e))
+    return _article_markdown(_col(html))

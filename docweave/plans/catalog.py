@@ -348,13 +348,13 @@ _pair(
 _pair(
     "extract_article",
     lambda spark, sf: table(spark, sf, "pages").select("page_id", H.extract_article(F.col("html")).alias("article")),
-    lambda: f"SELECT page_id, {H.extract_article_sql('html')} AS article FROM pages",
+    lambda: f"SELECT page_id, {S.article_sql('html')} AS article FROM pages",
 )
 
 _pair(
     "html_to_markdown",
     lambda spark, sf: table(spark, sf, "pages").select("page_id", H.article_markdown(F.col("html")).alias("markdown")),
-    lambda: f"SELECT page_id, {H.article_markdown_sql('html')} AS markdown FROM pages",
+    lambda: f"SELECT page_id, {S.markdown_sql(S.article_sql('html'))} AS markdown FROM pages",
 )
 
 _pair(
@@ -649,7 +649,7 @@ _pair("export_chunk_files", lambda spark, sf: TB.export_chunk_files(_t2_spark(sp
 def _k10_sql():
     q = S.Q()
     rp = S.release_pages(q)
-    return q.render(f"SELECT replace(rel_path, '.html', '.md') AS md_path, {H.html_to_markdown_sql('html')} AS markdown FROM {rp}")
+    return q.render(f"SELECT replace(rel_path, '.html', '.md') AS md_path, {S.markdown_sql('html')} AS markdown FROM {rp}")
 
 
 _pair("html_tree_to_md", lambda spark, sf: TB.html_tree_to_md(fx.release_pages(spark, sf)), _k10_sql)

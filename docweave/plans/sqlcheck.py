@@ -3,7 +3,6 @@ registered by the checker). Each builder appends CTEs to a ``Q``."""
 
 from __future__ import annotations
 
-from docweave.functions.html import article_markdown_sql
 from docweave.functions.regex import sql_lit
 from docweave.functions.text import (
     doc_link_sql,
@@ -37,6 +36,39 @@ class Q:
         return "WITH " + ",\n".join(f"{n} AS (\n{s}\n)" for n, s in self.ctes) + "\n" + final
 
 
+# ---------------------------------------------------------------- pages
+# A second reading of the HTML jobs for the check, as a chain of replacements for
+# the kind of page the tables hold (flat lists, no tables, no marked inline text);
+# it shares nothing with the walk of docweave.functions.html.
+
+def article_sql(e: str) -> str:
+    return f"CASE WHEN regexp_matches({e}, '(?is)<article[ >]') THEN '<article>' || regexp_extract({e}, '(?is)<article(\\s[^>]*)?>(.*?)</article>', 2) || '</article>' END"
+
+
+def markdown_sql(e: str) -> str:
+    for pattern, by in (
+        ("(?is)<script[ >].*?</script>|<style[ >].*?</style>|<!--.*?-->|<![a-z][^>]*>", "''"),
+        ("[ \\t\\r\\n]+", "' '"),
+        *((f"(?i)<h{n}>(.*?)</h{n}>", f"'<p>{'#' * n} \\1<p>'") for n in range(1, 7)),
+        ('(?i)<a href="([^"]*)">([^<]*)</a>', "'[\\2](\\1)'"),
+        ("(?i) ?<br/?> ?", "'  ' || chr(10)"),
+        ("(?i) ?<li> ?", "chr(10) || '* '"),
+        ("(?i)</li>", "''"),
+        ("(?i)</?(p|div|ul|nav|footer|title|head|body|html)( [^>]*)?>", "chr(10) || chr(10)"),
+        ("(?i)</?[a-z][^>]*>", "''"),
+        ("&copy;", "'©'"),
+        ("&middot;", "'·'"),
+        ("&quot;", "chr(34)"),
+        ("&lt;", "'<'"),
+        ("&gt;", "'>'"),
+        ("&amp;?", "'&'"),
+        ("[ \\n]*\\n\\n[ \\n]*", "chr(10) || chr(10)"),
+        ("^[ \\n]+|[ \\n]+$", "''"),
+    ):
+        e = f"regexp_replace({e}, '{pattern}', {by}, 'g')"
+    return f"nullif({e}, '')"
+
+
 # ---------------------------------------------------------------- fixtures
 
 def release_pages(q: Q) -> str:
@@ -260,7 +292,7 @@ def release_markdown(q: Q, snap: str, opts: JobOptions, p: str = "rmd") -> str:
     return q.add(
         p,
         f"SELECT filename, markdown FROM (SELECT {format_file_path_sql('rel_path')} AS filename, "
-        f"{article_markdown_sql('html')} AS markdown FROM {snap} {ign}) WHERE markdown IS NOT NULL AND markdown <> ''",
+        f"{markdown_sql(article_sql('html'))} AS markdown FROM {snap} {ign}) WHERE markdown IS NOT NULL AND markdown <> ''",
     )
 
 
