@@ -76,27 +76,43 @@ def lexical_score(pairs: DataFrame, questions: DataFrame, chunks: DataFrame, ind
     """BM25 score of each (question, chunk) candidate pair; 0 when no term is
     shared. ``index``: a stored ``term_index`` (else derived here).
 
-    Term counts come from the candidate chunks' own words, in the row of the
-    pair: no row per (chunk, term) of the corpus is made, and a question's terms
-    carry their document frequencies as one map, so no term is a join key of
-    the pairs."""
+    The score of a pair is one expression in its row: the chunk's words are cut
+    down to the question's terms in one pass, and what is left is counted per term
+    (words are compared by 64-bit hashes). No
+    row per (chunk, term) is made, the words are not copied per term, and
+    a question's terms carry their document frequencies as one array, so no
+    term is a join key of the pairs."""
     dfreq, coll = index if index is not None else (term_frequencies(chunks, questions), chunk_lengths(chunks))
     per_term = questions.select(*QKEY, F.explode(F.array_distinct(words(F.col("question")))).alias("term")).join(dfreq, "term")
-    terms = per_term.groupBy(*QKEY).agg(F.collect_list(F.struct("term", "df")).alias("_terms"))
+    number = F.xxhash64("term")
+    terms = per_term.groupBy(*QKEY).agg(F.collect_list(F.struct(number.alias("term"), "df")).alias("_terms"), F.collect_list(number).alias("_names"))
     texts = chunks.select(*CKEY, "text").join(pairs.select(*CKEY).distinct(), CKEY, "left_semi")
-    p = pairs.select(*QKEY, *CKEY).join(texts.select(*CKEY, words(F.col("text")).alias("_words")), CKEY).join(terms, QKEY)
-    # the collection statistics are one row, joined as such
-    p = p.join(F.broadcast(coll))
-    hits = F.explode(F.transform("_terms", lambda t: F.struct(t["df"].alias("df"), t["term"].alias("term"))))
-    p = p.select(*QKEY, *CKEY, "n_docs", "avgdl", F.size("_words").alias("dl"), "_words", hits.alias("t"))
-    tf = F.size("_words") - F.size(F.array_remove("_words", F.col("t.term")))
-    p = p.select(*QKEY, *CKEY, "n_docs", "avgdl", "dl", F.col("t.df").alias("df"), tf.alias("tf")).where("tf > 0")
-    idf = F.log(F.lit(1.0) + (F.col("n_docs") - F.col("df") + F.lit(0.5)) / (F.col("df") + F.lit(0.5)))
-    part = idf * F.col("tf") * F.lit(BM25_K1 + 1) / (F.col("tf") + F.lit(BM25_K1) * (F.lit(1 - BM25_B) + F.lit(BM25_B) * F.col("dl") / F.col("avgdl")))
-    # terms are summed as integers of 1e-9: exact and independent of the order
-    # rows reach the aggregate, so equal scores stay equal on every run
-    s = p.groupBy(*QKEY, *CKEY).agg((F.sum(F.round(part * 1e9).cast("bigint")) / 1e9).alias("score"))
-    return pairs.join(s, QKEY + CKEY, "left").withColumn("score", F.coalesce(F.col("score"), F.lit(0.0)))
+    # the collection statistics are one row, joined as such; they meet the chunks, which are fewer than the pairs
+    numbers = F.transform(words(F.col("text")), lambda w: F.xxhash64(w))
+    texts = texts.select(*CKEY, numbers.alias("_words")).join(F.broadcast(coll))
+    # the words of a chunk are shuffled once, not per pair
+    p = pairs.join(terms, QKEY, "left").join(texts, CKEY, "left").select(*pairs.columns, "_words", "_terms", "_names", "n_docs", "avgdl")
+    dl = F.size("_words")
+
+    def part(t: Column, hits: Column) -> Column:
+        tf = F.size(F.filter(hits, lambda w: w == t["term"]))
+        idf = F.log(F.lit(1.0) + (F.col("n_docs") - t["df"] + F.lit(0.5)) / (t["df"] + F.lit(0.5)))
+        weight = idf * tf * F.lit(BM25_K1 + 1) / (tf + F.lit(BM25_K1) * (F.lit(1 - BM25_B) + F.lit(BM25_B) * dl / F.col("avgdl")))
+        # terms are summed as integers of 1e-9: exact and independent of their
+        # order, so equal scores stay equal on every run
+        return F.when(tf > 0, F.round(weight * 1e9).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+
+    def bound(value: Column, use) -> Column:
+        # an array of one element names a value, which is so computed once
+        return F.get(F.transform(F.array(value), use), F.lit(0))
+
+    def total(shared: Column) -> Column:
+        terms = F.filter("_terms", lambda t: F.array_contains(shared, t["term"]))
+        found = F.filter("_words", lambda w: F.array_contains(shared, w))
+        return bound(found, lambda hits: F.aggregate(terms, F.lit(0).cast("bigint"), lambda s, t: s + part(t, hits)))
+
+    score = bound(F.array_intersect("_names", "_words"), total) / 1e9
+    return p.withColumn("score", F.coalesce(score, F.lit(0.0))).drop("_words", "_terms", "_names", "n_docs", "avgdl")
 
 
 def rerank(hits: DataFrame, questions: DataFrame, chunks: DataFrame, top_n: int, index=None, scorer=None) -> DataFrame:
