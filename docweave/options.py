@@ -13,7 +13,7 @@ UPDATER_VERSION = "1.0"    # version of the updater written to tracking rows
 NO_DOCS_TEXT = "No docs found for the question"
 HEADER_KEYS = ("Header1", "Header2", "Header3")
 IVF_LISTS = 100            # coarse lists of the list index
-HNSW_M = 16                # graph index degree (re-aimed as LSH band count)
+HNSW_M = 16                # graph index degree (links of a node; also the LSH band count)
 
 RELEASE_MODE = "release"
 REPOSITORY_MODE = "repository"
@@ -49,6 +49,18 @@ class JobOptions:
     lsh_cosine: float = 0.8
     lsh_hit_rate: float = 0.97
     lsh_probes: int = 1024
+    # neighbour graph: neighbours a node keeps, bands of the first search, rounds of local
+    # joins at most, share of links a round must improve to go on
+    graph_degree: int = HNSW_M
+    graph_bands: int = 4
+    graph_rounds: int = 8
+    graph_least_gain: float = 0.02
+    # search: nodes a question keeps, nodes it opens a round, nodes all questions start from,
+    # nodes beyond k that are scored again
+    graph_beam: int = 128
+    graph_width: int = 32
+    graph_entries: int = 256
+    graph_spare: int = 8
     # bytes of vectors (as doubles) in one block of questions or chunks
     knn_block_bytes: int = 64 << 20
     chunk_buckets: int = 64

@@ -1314,6 +1314,17 @@ def _l5_spark(spark, sf):
 _pair("ann_lsh", _l5_spark)
 
 
+def _l5_graph_spark(spark, sf):
+    from docweave.operators.graph import knn_graph
+
+    qv, ch = _ann_inputs(spark, sf)
+    return _ann_out(knn_graph(qv, ch, OPTS.k_neighbours, OPTS))
+
+
+# a walk over a graph: held against exact search by the tests
+_pair("ann_graph", _l5_graph_spark)
+
+
 def fx_hits_json(spark, sf):
     """Search responses: the hits of each question as [[{entity, distance}]], its
     id being '{request}/{question}'; odd chunk numbers carry no 'text' field."""
