@@ -63,6 +63,9 @@ class JobOptions:
     graph_spare: int = 8
     # bytes of vectors (as doubles) in one block of questions or chunks
     knn_block_bytes: int = 64 << 20
+    # digest tree of a snapshot: parts (read or skipped whole) and leaves of a part
+    digest_parts: int = 256
+    digest_leaves: int = 4096
     chunk_buckets: int = 64
     bucket_rows: int = 2_000_000  # rows a bucket of the chunk table should hold
 

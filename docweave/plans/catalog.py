@@ -426,6 +426,14 @@ def _j1_sql():
 _pair("snapshot_diff", lambda spark, sf: DF.snapshot_diff(*_snaps(spark, sf), OPTS), _j1_sql)
 
 
+def _j1_digests_spark(spark, sf):
+    old, new = (DF.write_digests(x, scratch_path(spark, "digests"), OPTS) for x in _snaps(spark, sf))
+    return DF.changed_paths(old, new)
+
+
+_pair("snapshot_diff_digests", _j1_digests_spark, lambda: f"SELECT * FROM ({_j1_sql()}) WHERE status <> 'unchanged'")
+
+
 def _jmd_sql(status):
     def f():
         q = S.Q()
