@@ -10,6 +10,7 @@ rules, three base phrases are located by word, and always kept.
 
 from __future__ import annotations
 
+import json
 import re
 from dataclasses import dataclass, replace
 
@@ -220,6 +221,14 @@ def base_pattern() -> str:
     return f"(?i)(?<!{W})(?:{phrases})(?!{W})"
 
 
+def word_count(text: Column) -> Column:
+    """Words of a whole text: the pieces between separators, but for empty ones at either end."""
+    empty = lambda p: F.when(p == "", 1).otherwise(0)
+    count = lambda p: F.size(p) - empty(F.element_at(p, 1)) - empty(F.element_at(p, -1))
+    pieces = F.array(F.split(text, f"{S}++", -1))
+    return F.greatest(F.get(F.transform(pieces, count), F.lit(0)), F.lit(0)).cast("long")
+
+
 def base_columns(text: Column) -> list[Column]:
     """``n_words`` and the base matches with the text parts around them; gated by
     words that every base phrase needs."""
@@ -231,7 +240,7 @@ def base_columns(text: Column) -> list[Column]:
             one = one & low.contains(w)
         gate = gate | one
     return [
-        F.regexp_count(text, F.lit(f"{W}+")).cast("long").alias("n_words"),
+        word_count(text).alias("n_words"),
         F.when(gate, F.regexp_extract_all(text, F.lit(base_pattern()), 0)).alias("found"),
         F.when(gate, F.split(text, base_pattern(), -1)).alias("parts"),
     ]
@@ -242,6 +251,32 @@ def _rule_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "keyword string, pattern string, label string, priority int, weight double")
 
 
+#: characters of a stem of the keyword gate
+STEM = 3
+
+
+def stems(keywords: list[str]) -> dict[str, list[str]]:
+    """A small set of short pieces such that every keyword holds one, with the
+    keywords of each: the piece that most keywords still without one share comes next."""
+    left, out = set(keywords), {}
+    while left:
+        holders: dict[str, set[str]] = {}
+        for k in left:
+            for i in range(max(1, len(k) - STEM + 1)):
+                holders.setdefault(k[i : i + STEM], set()).add(k)
+        piece = max(holders, key=lambda s: (len(holders[s]), s))
+        out[piece] = sorted(holders[piece])
+        left -= holders[piece]
+    return out
+
+
+def _held(low: Column, keywords: list[str]) -> Column:
+    """The keywords a folded text holds: it is searched for the stems, and for the keywords of the stems found."""
+    table = json.dumps([{"stem": s, "keywords": k} for s, k in stems(keywords).items()])
+    found = F.filter(F.from_json(F.lit(table), "array<struct<stem:string,keywords:array<string>>>"), lambda x: F.contains(low, x["stem"]))
+    return F.filter(F.flatten(F.transform(found, lambda x: x["keywords"])), lambda k: F.contains(low, k))
+
+
 def detections(docs: DataFrame) -> DataFrame:
     """Rule detections that survive suppression: ``(doc_id, text_key, start, stop,
     label, priority, weight)``, in characters, stop exclusive. Rows that repeat
@@ -251,7 +286,7 @@ def detections(docs: DataFrame) -> DataFrame:
     keywords = sorted({r.keyword for r in rules()})
     text = text_or_empty()
     low = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.regexp_replace(F.lower(text), FOLD, " ").alias("low"))
-    gated = low.select("doc_id", "text", F.explode(F.filter(F.array(*map(F.lit, keywords)), lambda k: F.contains(F.col("low"), k))).alias("keyword"))
+    gated = low.select("doc_id", "text", F.explode(_held(F.col("low"), keywords)).alias("keyword"))
     # the rule table has a few hundred rows, whatever the input
     tried = gated.join(F.broadcast(rules_of), "keyword").where(F.regexp_like("text", F.col("pattern")))
     lengths = tried.select(
