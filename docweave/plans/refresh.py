@@ -3,8 +3,12 @@ driver-side orchestration of DataFrame jobs (R6)."""
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,13 +96,38 @@ LOG_SCHEMA = ", ".join(f"{c} string" for c in TRACKING_COLS) + ", seq long"
 
 
 def read_tracking_log(spark: SparkSession, path: str) -> DataFrame:
-    """R1 on storage: the tracking table as the last entry of each product in an
-    append-only log (an append is one atomic commit)."""
-    log = stored(spark, path)
-    if log is None:
+    """R1 on storage: the tracking table as the last entry of each product in a
+    log of one small JSON file per entry."""
+    try:
+        log = spark.read.schema(LOG_SCHEMA).json(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         log = spark.createDataFrame([], LOG_SCHEMA)
     last = F.max_by(F.struct(*TRACKING_COLS[1:]), "seq").alias("r")
-    return log.groupBy("product").agg(last, F.max("seq").alias("seq")).select("product", *[f"r.{c}" for c in TRACKING_COLS[1:]], "seq")
+    # a writer that died inside its entry leaves a line that holds no product
+    whole = log.where("product is not null and seq is not null")
+    return whole.groupBy("product").agg(last, F.max("seq").alias("seq")).select("product", *[f"r.{c}" for c in TRACKING_COLS[1:]], "seq")
+
+
+def commit_entry(spark: SparkSession, path: str, entry: dict) -> bool:
+    """R2 on storage: the entry file of (product, seq), created only if there is none. False:
+    another run has committed this ``seq`` first."""
+    jvm = spark.sparkContext._jvm
+    name = hashlib.sha256(entry["product"].encode()).hexdigest()[:16]
+    file = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{name}-{entry['seq']:010d}.json")
+    fs = file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        out = fs.create(file, False)
+    except Py4JJavaError as e:
+        if "FileAlreadyExistsException" in e.java_exception.getClass().getName():
+            return False
+        raise
+    try:
+        out.write(bytearray(json.dumps(entry).encode() + b"\n"))
+    finally:
+        out.close()
+    return True
 
 
 def run_refresh(
@@ -121,22 +150,29 @@ def run_refresh(
     has succeeded: a run that fails leaves the cursor where it was, and the next
     one repeats the (idempotent) action. (The reference advances it even when
     nothing loads.)
+
+    The commit is optimistic: the entry takes the ``seq`` after the one the run has
+    read, and only one run can create it. A run that comes second plans again from
+    what the first has committed, and so finds nothing to do when both were after the same ref.
     """
     latest = spark.createDataFrame([(product, latest_ref)], "product string, ref string")
-    tracking = read_tracking_log(spark, tracking_path)
-    plan = plan_refresh(latest, tracking, opts, collection_exists=stored(spark, table_path) is not None, has_asset=has_asset).first()
-    action = plan["action"]
-    if action == SKIP:
-        return action
-    if action == INCREMENTAL:
-        apply_changes_in_place(spark, table_path, changes_since(plan["last_updated_ref"]), opts, embed)
-    else:
-        chunks = full_chunks()
-        full_load(embed(chunks) if embed is not None else chunks, table_path, opts)
-    before = tracking.where(F.col("product") == product).select("seq").first()
-    entry = [(product, latest_ref, opts.updater_version, (before["seq"] if before else 0) + 1)]
-    spark.createDataFrame(entry, LOG_SCHEMA).write.mode("append").parquet(tracking_path)
-    return action
+    after = 0  # numbers up to this one are taken
+    while True:
+        tracking = read_tracking_log(spark, tracking_path)
+        before = tracking.where(F.col("product") == product).select("seq").first()
+        seq = max(before["seq"] if before else 0, after) + 1
+        plan = plan_refresh(latest, tracking, opts, collection_exists=stored(spark, table_path) is not None, has_asset=has_asset).first()
+        action = plan["action"]
+        if action == SKIP:
+            return action
+        if action == INCREMENTAL:
+            apply_changes_in_place(spark, table_path, changes_since(plan["last_updated_ref"]), opts, embed)
+        else:
+            chunks = full_chunks()
+            full_load(embed(chunks) if embed is not None else chunks, table_path, opts)
+        if commit_entry(spark, tracking_path, dict(zip(TRACKING_COLS, (product, latest_ref, opts.updater_version)), seq=seq)):
+            return action
+        after = seq
 
 
 __all__ = [
@@ -148,6 +184,7 @@ __all__ = [
     "REPOSITORY_MODE",
     "read_tracking",
     "read_tracking_log",
+    "commit_entry",
     "write_tracking",
     "create_tracking",
     "has_version_column",
