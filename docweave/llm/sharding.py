@@ -10,7 +10,7 @@ more than a bounded number of vectors:
 2. the bins of up to ``fan_in`` blocks are packed in turn, and so on, until one
    set of bins is left: the shards.
 
-A group larger than ``piece_share`` of a shard is split by doc_id hash into
+A group larger than ``piece_share`` of a shard is split by row numbers into
 pieces below that size; any other group stays whole.
 """
 
@@ -76,9 +76,11 @@ def shard(
     pieces = F.greatest(*[F.ceil(F.col(d) / F.lit(x)) for d, x in zip(DIMENSIONS, limit)])
     # only groups of several rows can be split; there are at most 3 * shards / piece_share of them
     large = groups.where("rows > 1").withColumn("pieces", F.least(pieces, F.col("rows"))).where("pieces > 1").select("text_md5", "pieces")
+    # row numbers of a checkpoint are fixed; doc_ids may repeat or be null all over a group
     rows = (
-        rows.join(F.broadcast(large), "text_md5", "left")
-        .withColumn("piece", F.when(F.col("pieces").isNotNull(), F.pmod(F.xxhash64("doc_id"), F.col("pieces"))).otherwise(F.lit(0)))
+        rows.withColumn("row", F.monotonically_increasing_id())
+        .join(F.broadcast(large), "text_md5", "left")
+        .withColumn("piece", F.when(F.col("pieces").isNotNull(), F.pmod(F.xxhash64("row"), F.col("pieces"))).otherwise(F.lit(0)))
         .withColumn("unit", F.concat_ws("-", F.hex("text_md5"), "piece"))
     )
     blocks = max(1, -(-n // block_units))

@@ -3,7 +3,8 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
-from helpers import collect, docs, empty_docs, odd_docs, prose
+import pytest
+from helpers import DOCS, collect, docs, empty_docs, odd_docs, prose
 
 from docweave.llm import packing, sharding
 
@@ -114,3 +115,14 @@ def test_packing_odd_rows(spark):
     rows = collect(packing.pack(df, 512))
     check_packing(rows, [(r["doc_id"], r["text"]) for r in collect(df)], 512)
     assert collect(packing.pack(empty_docs(spark), 512)) == []
+
+
+@pytest.mark.parametrize("doc_id", [None, 5])
+def test_large_group_of_one_doc_id_is_split(spark, doc_id):
+    """Equal texts that also share their doc_id, or have none, are spread like any other."""
+    rows = [(doc_id, "same words here", "en", "s", 15)] * 300 + [(i, f"text number {i:04d}", "en", "s", 16) for i in range(700)]
+    placed = collect(sharding.shard(spark.createDataFrame(rows, DOCS), 8))
+    sizes = [sum(r["size"] for r in placed if r["shard"] == s) for s in range(8)]
+    assert len(placed) == 1000 and max(sizes) - min(sizes) <= 0.02 * sum(sizes) / 8 + 64
+    for s in range(8):
+        assert sorted(r["slot"] for r in placed if r["shard"] == s) == list(range(sum(r["shard"] == s for r in placed)))
