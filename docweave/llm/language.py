@@ -12,18 +12,18 @@ rate, and takes the largest.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 _BLANK = bytes(c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
 _MIX = (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35)
 #: bytes handled at a time, so that one long text needs no more memory than many short ones

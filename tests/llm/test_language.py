@@ -54,3 +54,9 @@ def test_odd_rows(spark):
     assert collect(L.predict(empty_docs(spark), m)) == []
     assert m.predict("12 34 !?") == ("und", 0.0, 0)
     assert m.predict("a")[0] in m.languages
+
+
+def test_number_characters_are_no_letters(spark):
+    m = L.train(odd_docs(spark))
+    assert all(m.predict(t)[0] == "und" for t in ("½", "12 ²", "Ⅷ ⅳ", "①②", "٣"))
+    assert all(m.predict(t)[0] in m.languages for t in ("ª", "漢", "ß 12", "ǅ"))
