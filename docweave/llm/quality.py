@@ -117,11 +117,13 @@ def fit_logistic(rows: list[np.ndarray], counts: list[np.ndarray], shapes: np.nd
 
 def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> dict[str, Logistic]:
     """Classifiers for ``quality`` and ``toxic`` from at most ``max_train``
-    labelled rows: those whose doc_id hashes lowest, whatever the input's size."""
+    labelled doc_ids: those that hash lowest, whatever the input's size. Several labels of
+    a doc_id count together (1 if any is); of several texts of one, that of the lowest hash is read."""
     chosen = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality", "toxic")
         .where("doc_id is not null and quality is not null and toxic is not null")
-        .dropDuplicates(["doc_id"])
+        .groupBy("doc_id")
+        .agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(max_train)
     )
@@ -134,7 +136,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> dict[
             yield pd.DataFrame({"doc_id": f["doc_id"], **columns, "quality": f["quality"], "toxic": f["toxic"]})
 
     # at most max_train rows of three numbers: a bounded broadcast
-    sample = narrow.join(F.broadcast(chosen), "doc_id").mapInPandas(
+    one = narrow.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    sample = one.mapInPandas(
         extract, "doc_id long, words array<int>, counts array<float>, shapes array<double>, quality int, toxic int"
     )
     got = sample.toPandas().sort_values("doc_id", kind="stable")
