@@ -66,16 +66,3 @@ def test_odd_rows(spark):
     none = Q.fit(df, labels.limit(0))
     assert all(abs(r["doc_quality"] - 0.5) < 1e-6 for r in collect(Q.classify(df, none)))
     assert collect(Q.classify(empty_docs(spark), none)) == []
-
-
-def test_sample_keeps_its_bound(spark, monkeypatch):
-    """One row per chosen doc_id reaches the driver, however often documents and labels repeat it."""
-    seen = []
-    monkeypatch.setattr(Q, "fit_logistic", lambda rows, counts, shapes, y: seen.append((len(rows), y.tolist())))
-    docs = spark.createDataFrame([(1, f"text {i} of one id") for i in range(500)] + [(2, "another"), (3, "third")], "doc_id long, text string")
-    labels = spark.createDataFrame([(1, 0, 1), (1, 1, 0), (2, 0, 0), (3, 0, 0)], "doc_id long, quality int, toxic int")
-    Q.fit(docs, labels, max_train=2)
-    assert [n for n, _ in seen] == [2, 2]
-    seen.clear()
-    Q.fit(docs, labels)
-    assert seen == [(3, [1.0, 0.0, 0.0]), (3, [1.0, 0.0, 0.0])]
