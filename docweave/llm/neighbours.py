@@ -1,12 +1,16 @@
 """Approximate nearest neighbours with a hash-prefix forest.
 
-Each tree turns the space by its own random rotation; the hash string of a
-vector is the list of its strongest coordinates, in order of size and with
-their signs. Vectors at a small angle share long prefixes. A tree is the sorted
-array of these strings. A query descends each tree to its longest matching
-prefix, then all trees ascend together, one character at a time, until the
-vectors below the current prefixes are enough; these candidates are scored by
-exact cosine. At prefix length 0 every vector is a candidate.
+Each tree gives a vector a hash string of 64 characters, the sides of 64 random
+planes it lies on; two vectors share a character with a chance of 1 minus their
+angle over pi. A tree is the sorted array of these strings. A query descends each
+tree to its longest matching prefix, then all trees ascend together, one
+character at a time, and score what comes below the shorter prefixes by exact
+cosine. At prefix length d, the chance that a neighbour of a given cosine has
+been met in one of the trees is known; a query stops as soon as this chance, for
+the k-th best cosine it has found, is ``hit_rate`` or more (a better one that is
+not found yet has a larger chance). Queries with near neighbours stop high up and
+score few rows; one without any goes on, in the worst case to prefix length 0,
+where every vector has been scored.
 
 The index is dealt into blocks of bounded size by hash (a block is a random
 sample, so no block is hot); queries, a stated set, come in blocks too, and a
@@ -16,77 +20,97 @@ smallest ids, which is all that an answer can use.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-TREES = 40
-LENGTH = 4  # characters of a hash string
+TREES = 128
+LENGTH = 64  # characters of a hash string, one bit each
+HIT_RATE = 0.93
 SEED = 20177
+#: queries that ascend together
+TILE = 256
+
+
+def hash_strings(unit: np.ndarray, tree: int) -> np.ndarray:
+    """Hash strings of vectors in one tree, first character in the highest bit."""
+    rng = np.random.default_rng([SEED, unit.shape[1], tree])
+    planes = rng.standard_normal((unit.shape[1], LENGTH)).astype(np.float32)
+    return np.packbits(unit.astype(np.float32) @ planes > 0, axis=1).view(">u8")[:, 0].astype(np.uint64)
 
 
-def hash_strings(unit: np.ndarray, tree: int, length: int = LENGTH) -> np.ndarray:
-    """Hash strings of unit vectors in one tree, packed 16 bits per character, first character highest."""
-    d = unit.shape[1]
-    rng = np.random.default_rng([SEED, d, tree])
-    turn = np.linalg.qr(rng.standard_normal((d, d)))[0].astype(np.float32)
-    length = min(length, d)
-    out = np.zeros(len(unit), np.uint64)
-    for a in range(0, len(unit), 8192):
-        y = unit[a : a + 8192].astype(np.float32) @ turn
-        size = np.abs(y)
-        top = np.argpartition(-size, min(length, d - 1), axis=1)[:, :length] if length < d else np.tile(np.arange(d), (len(y), 1))
-        # order the strongest by size, then by coordinate
-        order = np.lexsort((top, -np.take_along_axis(size, top, 1)), axis=1)
-        top = np.take_along_axis(top, order, 1)
-        sign = np.take_along_axis(y, top, 1) > 0
-        for k in range(length):
-            out[a : a + 8192] |= (2 * top[:, k] + sign[:, k]).astype(np.uint64) << np.uint64(16 * (3 - k))
-    return out
+def common_prefix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Length of the common prefix of two arrays of hash strings."""
+    x = a ^ b
+    for k in (1, 2, 4, 8, 16, 32):
+        x |= x >> np.uint64(k)
+    return LENGTH - np.bitwise_count(x).astype(np.int64)
 
 
 class Forest:
     """Sorted hash strings of the vectors of one block."""
 
     def __init__(self, unit: np.ndarray, trees: int):
-        self.n, self.length = len(unit), min(LENGTH, unit.shape[1])
-        self.rows, self.keys = [], []
-        for t in range(trees):
-            s = hash_strings(unit, t)
-            order = np.argsort(s, kind="stable")
-            self.rows.append(order.astype(np.int32))
-            self.keys.append(s[order])
-
-    def candidates(self, queries: np.ndarray, least: int):
-        """For each query the rows under its common prefix length, as few as reach ``least``."""
-        strings = [hash_strings(queries, t) for t in range(len(self.keys))]
-        lo, hi, total = {}, {}, {}
-        for depth in range(self.length, 0, -1):
-            mask = np.uint64((0xFFFFFFFFFFFFFFFF << (16 * (4 - depth))) & 0xFFFFFFFFFFFFFFFF)
-            ends = [(np.searchsorted(k, s & mask), np.searchsorted(k, s | ~mask, side="right")) for k, s in zip(self.keys, strings)]
-            lo[depth] = np.stack([a for a, _ in ends])
-            hi[depth] = np.stack([b for _, b in ends])
-            total[depth] = (hi[depth] - lo[depth]).sum(axis=0)
-        for q in range(len(queries)):
-            depth = next((x for x in range(self.length, 0, -1) if total[x][q] >= least), 0)
-            if not depth:
-                yield np.arange(self.n)
-                continue
-            got = np.zeros(self.n, bool)
-            for rows, a, b in zip(self.rows, lo[depth][:, q], hi[depth][:, q]):
-                got[rows[a:b]] = True
-            yield np.flatnonzero(got)
+        self.unit, self.n, self.trees = unit, len(unit), trees
+        strings = np.stack([hash_strings(unit, t) for t in range(trees)])
+        order = np.argsort(strings, axis=1, kind="stable")
+        self.keys = np.take_along_axis(strings, order, 1)
+        self.rows = order.astype(np.int32).ravel()
+
+    def _longest(self, strings: np.ndarray) -> np.ndarray:
+        """Longest prefix that each query shares with any string of any tree."""
+        best = np.zeros(strings.shape[1], np.int64)
+        for keys, s in zip(self.keys, strings):
+            at = np.searchsorted(keys, s)
+            for near in (np.maximum(at - 1, 0), np.minimum(at, self.n - 1)):
+                best = np.maximum(best, common_prefix(keys[near], s))
+        return best
+
+    def _below(self, strings: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """Per tree and query, where the strings with its prefix of ``depth`` start and end."""
+        rest = np.uint64((1 << (LENGTH - depth)) - 1)
+        ends = [(np.searchsorted(k, s & ~rest), np.searchsorted(k, s | rest, side="right")) for k, s in zip(self.keys, strings)]
+        return np.stack([a for a, _ in ends]), np.stack([b for _, b in ends])
+
+    def search(self, queries: np.ndarray, k: int, hit_rate: float):
+        """For each unit query ``(rows, scores, depth)``: what it scored, in single
+        cosines, until its k-th best was met with a chance of ``hit_rate``."""
+        for a in range(0, len(queries), TILE):
+            q = queries[a : a + TILE]
+            strings = np.stack([hash_strings(q, t) for t in range(self.trees)])
+            start = self._longest(strings)
+            score = np.full((len(q), self.n), -np.inf)
+            stop = np.full(len(q), -1)
+            for depth in range(int(start.max()), -1, -1):
+                active = np.flatnonzero((stop < 0) & (start >= depth))
+                lo, hi = self._below(strings[:, active], depth)
+                offset = np.arange(self.trees) * self.n
+                for j, i in enumerate(active):
+                    size = hi[:, j] - lo[:, j]
+                    ends = np.cumsum(size)
+                    rows = self.rows[np.repeat(lo[:, j] + offset - (ends - size), size) + np.arange(ends[-1])]
+                    rows = np.unique(rows[np.isneginf(score[i, rows])])
+                    score[i, rows] = self.unit[rows] @ q[i]
+                    have = score[i][score[i] > -np.inf]
+                    if not depth or (len(have) >= k and self._met(np.partition(have, -k)[-k], depth) >= hit_rate):
+                        stop[i] = depth
+            for i in range(len(q)):
+                rows = np.flatnonzero(score[i] > -np.inf)
+                yield rows, score[i, rows], int(stop[i])
+
+    def _met(self, cosine: float, depth: int) -> float:
+        """Chance that a vector of this cosine shares a prefix of ``depth`` in one of the trees."""
+        same = 1 - np.arccos(np.clip(cosine, -1, 1)) / np.pi
+        return 1 - (1 - same**depth) ** self.trees
 
 
 def _vectors(col: pd.Series) -> np.ndarray:
     return np.stack(col.to_list()).astype(np.float64)
 
 
-def _search(k: int, trees: int, least_rows: int, least_share: float):
+def _search(k: int, trees: int, hit_rate: float):
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
         if left.empty or right.empty:
@@ -99,14 +123,12 @@ def _search(k: int, trees: int, least_rows: int, least_share: float):
         norm_x, norm_q = np.sqrt((x**2).sum(axis=1)), np.sqrt((q**2).sum(axis=1))
         ids = left["ids"].to_list()
         first = np.array([i[0] for i in ids])
-        forest = Forest(unit_x, trees)
-        least = max(least_rows, math.ceil(least_share * len(x)))
         out = []
-        for j, rows in enumerate(forest.candidates(unit_q, least)):
-            score = (x[rows] @ q[j]) / norm_x[rows] / norm_q[j]
+        # the query's own vector is in the index: one more than k
+        for j, (rows, about, _) in enumerate(Forest(unit_x, trees).search(unit_q, k + 1, hit_rate)):
             if len(rows) > k + 1:
-                keep = score >= np.partition(score, -(k + 1))[-(k + 1)]
-                rows, score = rows[keep], score[keep]
+                rows = rows[about >= np.partition(about, -(k + 1))[-(k + 1)] - 1e-9]
+            score = (x[rows] @ q[j]) / norm_x[rows] / norm_q[j]
             own = int(right["query_id"].iat[j])
             found = [(-s, int(i)) for r, s in sorted(zip(rows, score), key=lambda p: (-p[1], first[p[0]]))[: k + 1] for i in ids[r] if i != own]
             out += [(own, i, -s) for s, i in sorted(found)[:k]]
@@ -133,14 +155,13 @@ def nearest(
     trees: int = TREES,
     block_rows: int = 16_384,
     query_rows: int = 16_384,
-    least_rows: int = 1_500,
-    least_share: float = 0.05,
+    hit_rate: float = HIT_RATE,
 ) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` best found for each row of
     ``vectors(vec_id, embedding)`` that meets ``is_query``, among all other rows.
 
-    The trees ascend until a block yields ``least_rows`` candidates and
-    ``least_share`` of its rows (counted per tree). Vectors that are null, zero
+    In each block the trees ascend until the k-th best found has been met with a
+    chance of ``hit_rate``; 1 scores every vector. Vectors that are null, zero
     or hold null or non-finite components, and rows without an id, take no
     part. Vectors only meet vectors of their own dimension. Equal scores rank by
     vec_id; a repeated vec_id counts once per different vector. Fewer than k
@@ -162,6 +183,6 @@ def nearest(
     left = index.withColumn("block", F.pmod(F.xxhash64("vector"), F.lit(blocks)).cast("int")).withColumn("part", every(parts))
     right = queries.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int")).withColumn("block", every(blocks))
     key = lambda f: f.withColumn("dim", F.size("vector")).groupBy("dim", "block", "part")
-    found = key(left).cogroup(key(right)).applyInPandas(_search(k, trees, least_rows, least_share), "query_id long, vec_id long, score double")
+    found = key(left).cogroup(key(right)).applyInPandas(_search(k, trees, hit_rate), "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

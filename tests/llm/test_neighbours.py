@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from helpers import collect
 from pyspark.sql import functions as F
 
@@ -35,19 +36,52 @@ def test_recall(spark, sf):
         assert all(abs(s - score[v]) < 1e-12 for v, s in got[q].values() if v in score)
 
 
-def test_forest_narrows_and_still_finds(spark):
-    """Clustered vectors: long prefixes match, few candidates, high recall."""
-    rng = np.random.default_rng(4)
-    centres = rng.standard_normal((100, 32))
-    x = np.repeat(centres, 40, axis=0) + 0.15 * rng.standard_normal((4000, 32))
+def gaussian(rng, n=6000, d=64):
+    return rng.standard_normal((n, d))
+
+
+def clustered(rng, n=6000, d=64):
+    return np.repeat(rng.standard_normal((n // 30, d)), 30, axis=0) + 0.4 * rng.standard_normal((n, d))
+
+
+@pytest.mark.parametrize("make, most", [(gaussian, 0.6), (clustered, 0.05)])
+def test_forest_narrows_and_still_finds(make, most):
+    """Recall comes through the prefixes: no query reaches length 0, and few rows are scored where neighbours are near."""
+    x = make(np.random.default_rng(4))
     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-    forest = N.Forest(unit, 20)
+    forest = N.Forest(unit, N.TREES)
     share, hit = [], []
-    for q, rows in zip(range(0, 4000, 100), forest.candidates(unit[::100], 200)):
-        best = np.argsort(-(unit @ unit[q]))[:6]
-        share.append(len(rows) / 4000)
-        hit.append(np.isin(best, rows).mean())
-    assert np.mean(share) < 0.2 and np.mean(hit) >= 0.95
+    for q, (rows, _, depth) in zip(range(0, 6000, 60), forest.search(unit[::60], 6, N.HIT_RATE)):
+        assert depth > 0
+        share.append(len(rows) / 6000)
+        hit.append(np.isin(np.argsort(-(unit @ unit[q]))[1:6], rows).mean())
+    assert np.mean(share) < most and np.mean(hit) >= 0.9
+
+
+@pytest.mark.parametrize("make", [gaussian, clustered])
+def test_recall_over_blocks(spark, make):
+    x = make(np.random.default_rng(5), 3000, 32).astype(np.float32)
+    rows = list(enumerate(x.tolist()))
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA)
+    got = {}
+    for r in collect(N.nearest(df, F.col("vec_id") % 50 == 0, block_rows=800, query_rows=25)):
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    want = brute(rows, lambda i: i % 50 == 0, 5)
+    assert set(got) == set(want) and all(len(v) == 5 for v in got.values())
+    assert np.mean([len(got[q] & {j for _, j in w}) / 5 for q, w in want.items()]) >= 0.9
+
+
+def test_strings_share_prefixes_by_angle():
+    """The chance of a common first character is 1 - angle / pi, over many trees."""
+    rng = np.random.default_rng(7)
+    a, b = rng.standard_normal((2, 48))
+    b = a + 0.8 * b
+    angle = np.arccos(a @ b / np.linalg.norm(a) / np.linalg.norm(b))
+    shared = [N.common_prefix(s[:1], s[1:])[0] for s in (N.hash_strings(np.stack([a, b]), t) for t in range(2000))]
+    for depth in (1, 3):
+        assert abs(np.mean(np.array(shared) >= depth) - (1 - angle / np.pi) ** depth) < 0.04
+    words = np.array([0, 1, 1 << 63, (1 << 64) - 1], np.uint64)
+    assert N.common_prefix(words, np.zeros(4, np.uint64)).tolist() == [64, 63, 0, 0]
 
 
 def test_blocks_agree_with_brute_force(spark):
@@ -57,7 +91,7 @@ def test_blocks_agree_with_brute_force(spark):
     df = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA)
     want = brute(rows, lambda i: i % 50 == 0, 5)
     for size in (16_384, 40):
-        got = collect(N.nearest(df, F.col("vec_id") % 50 == 0, block_rows=size, query_rows=3, least_rows=10_000))
+        got = collect(N.nearest(df, F.col("vec_id") % 50 == 0, block_rows=size, query_rows=3, hit_rate=1.0))
         for q, w in want.items():
             mine = sorted((r["rank"], r["vec_id"]) for r in got if r["query_id"] == q)
             assert [v for _, v in mine] == [j for _, j in w]
