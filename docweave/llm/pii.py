@@ -1,9 +1,12 @@
 """Personal data by bootstrapped contextual extraction, in DataFrame functions only.
 
 Four patterns find the base entities: e-mail and IP addresses, card and phone
-numbers. Their whole spans are the seeds. The words around a seed are lexical
-patterns; all identifier-like tokens, and numbers written in groups of digits,
-that occur in the same contexts are instances. Spark scores the graph of
+numbers. Their whole spans are the seeds. Tokens in the shape of a key or
+credential are seeds of a fifth kind, ``secret``, unless a word before them
+names a digest; as their shape alone proves nothing, they are reported only
+where a pattern marks them. The words around a seed are lexical patterns; all
+identifier-like tokens, numbers written in groups of digits, and quoted values
+after ``=`` or ``:`` that occur in the same contexts are instances. Spark scores the graph of
 patterns and instances in rounds: a pattern by the share of its instances that
 are believed to be of a kind, an instance by the patterns it occurs in. From the
 second round on, believed instances count as seeds. Patterns that end with a
@@ -35,8 +38,16 @@ OCTET = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 TOKEN = r"(?<![A-Za-z0-9@._%+-])(?=[A-Za-z@._%+-]*+[0-9])[A-Za-z0-9@._%+-]{6,}+"
 #: a number in groups: digits with blanks or brackets (and other separators) between them
 GROUP = r"(?<![A-Za-z0-9@._%+-])[+(]{0,2}+[0-9]++(?:(?:[ .-]|\)[ .-]?+|[ .-]?+\()[0-9]++)++(?![A-Za-z0-9@_%])"
+#: a quoted value after a key, of any characters
+VALUE = r"""(?<=[:=]["']|[:=] ["'])[^\s"']{6,}+(?=["'])"""
 #: other candidates than base matches
-CANDIDATES = {"token": TOKEN, "group": GROUP}
+CANDIDATES = {"token": TOKEN, "group": GROUP, "value": VALUE}
+#: shapes of keys and credentials: hexadecimal with digits and letters, or three classes of characters
+SECRET = r"^(?:(?=[A-Fa-f]*[0-9])(?=[0-9]*[A-Fa-f])[0-9A-Fa-f]{32,}|(?=[^0-9]*[0-9])(?=[^a-z]*[a-z])(?=[^A-Z]*[A-Z])[A-Za-z0-9+/_=-]{24,})$"
+#: words that name a digest of something, not a credential
+DIGEST = r"commit|revision|sha|md5|hash|checksum|digest|etag|integrity|blob"
+#: characters before and after an occurrence in which its context words are looked for
+BEFORE, AFTER = 256, 128
 #: what a text must contain to be searched for a kind
 GATE = {"email": "@", "phone": "+"}
 
@@ -49,22 +60,29 @@ def _found(kind: str, pattern: str, text: Column) -> Column:
     zipped = F.arrays_zip(parts.alias("gap"), hits.alias("hit"), F.slice(parts, 2, 1_000_000_000).alias("next"))
     item = lambda x: F.struct(
         F.lit(kind).alias("kind"), F.length(x["gap"]).alias("gap"), x["hit"].alias("hit"),
-        F.right(x["gap"], F.lit(60)).alias("left"), F.left(x["next"], F.lit(40)).alias("right"),
+        F.right(x["gap"], F.lit(BEFORE)).alias("left"), F.left(x["next"], F.lit(AFTER)).alias("right"),
     )
     return F.when(gate, F.filter(F.transform(zipped, item), lambda x: x["hit"].isNotNull())).otherwise(empty)
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
     """``(doc_id, text_key, kind, start, stop, hit, left, right)`` of all base
-    matches that pass their checks, and of all candidates (kinds ``token`` and
-    ``group``). Rows that repeat both doc_id and text count once."""
+    matches that pass their checks, and of all candidates (kinds ``token``,
+    ``group`` and ``value``). ``left`` and ``right`` are the lower-cased text around
+    the span, other matches included, so one place has one context for seeds and
+    candidates of every kind. Rows that repeat both doc_id and text count once."""
     text = text_or_empty()
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).where(F.regexp_like("text", F.lit("[0-9@]")))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).where(F.regexp_like("text", F.lit("""[0-9@]|[:=] ?["']""")))
     found = F.concat(*[_found(k, p, F.col("text")) for k, p in (PATTERNS | CANDIDATES).items()])
     rows = rows.select("doc_id", F.xxhash64("text").alias("text_key"), F.posexplode(found).alias("at", "x")).select("doc_id", "text_key", "at", "x.*")
     rows = rows.repartition("doc_id", "text_key").dropDuplicates(["doc_id", "text_key", "at"])
     run = Window.partitionBy("doc_id", "text_key", "kind").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     spans = rows.withColumn("stop", F.sum(F.col("gap") + F.length("hit")).over(run).cast("long")).withColumn("start", F.col("stop") - F.length("hit"))
+    by = Window.partitionBy("doc_id", "text_key", "kind").orderBy("at")
+    near = lambda f, c, k: F.coalesce(f(c, k).over(by), F.lit(""))
+    left = F.concat(*[near(F.lag, c, k) for k in (3, 2, 1) for c in ("left", "hit")], "left")
+    right = F.concat("right", *[near(F.lead, c, k) for k in (1, 2) for c in ("hit", "right")])
+    spans = spans.withColumns({"left": F.lower(F.right(left, F.lit(BEFORE))), "right": F.lower(F.left(right, F.lit(AFTER)))})
     spans = spans.withColumn("digits", F.regexp_replace("hit", "[^0-9]", ""))
     n = F.length("digits")
     luhn = F.expr(
@@ -81,16 +99,26 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return spans.where(right).select("doc_id", "text_key", "kind", "start", "stop", "hit", "left", "right")
 
 
+def _words(tokens: DataFrame) -> DataFrame:
+    """Add the words ``l`` before and ``r`` after each occurrence; a word that the
+    window of characters cuts is none."""
+    l, r = F.split(F.trim("left"), r"\s+"), F.split(F.trim("right"), r"\s+")
+    l = F.when(F.length("left") >= BEFORE, F.slice(l, F.lit(2), F.size(l))).otherwise(l)
+    r = F.when(F.length("right") >= AFTER, F.slice(r, F.lit(1), F.size(r) - 1)).otherwise(r)
+    return tokens.withColumns({"l": F.slice(l, F.greatest(F.size(l) - 2, F.lit(1)), F.lit(3)), "r": F.slice(r, 1, 1)}).drop("left", "right")
+
+
 def _contexts(tokens: DataFrame) -> DataFrame:
-    """Explode each token into its lexical patterns: the word before, the two
-    words before, the words on both sides."""
-    low = tokens.withColumn("l", F.split(F.trim(F.lower("left")), r"\s+")).withColumn("r", F.split(F.trim(F.lower("right")), r"\s+"))
-    before = F.element_at("l", -1)
-    two = F.when(F.size("l") > 1, F.concat_ws(" ", F.element_at("l", -2), before))
-    after = F.element_at("r", 1)
+    """Explode each occurrence into its lexical patterns: the word before, the two and
+    the three words before, the words on both sides. One without a letter is none."""
+    word = lambda a, k: F.get(F.col(a), F.lit(k) if k >= 0 else F.size(a) + k)
+    before, after = word("l", -1), word("r", 0)
+    two = F.when(F.size("l") > 1, F.concat_ws(" ", word("l", -2), before))
+    three = F.when(F.size("l") > 2, F.concat_ws(" ", "l"))
     both = F.when((before != "") & (after != ""), F.concat_ws(" _ ", before, after))
-    patterns = F.array(F.concat(F.lit("1:"), F.when(before != "", before)), F.concat(F.lit("2:"), two), F.concat(F.lit("b:"), both))
-    return low.withColumn("pattern", F.explode(F.array_compact(patterns))).drop("l", "r", "left", "right")
+    patterns = [F.concat(F.lit("1:"), F.when(before != "", before)), F.concat(F.lit("2:"), two), F.concat(F.lit("3:"), three), F.concat(F.lit("b:"), both)]
+    lexical = F.filter(F.array(*patterns), lambda p: F.regexp_like(p, F.lit(r"^[123b]:.*\p{L}")))
+    return tokens.withColumn("pattern", F.explode(lexical)).drop("l", "r")
 
 
 def bootstrap(tokens: DataFrame, rounds: int = 3, min_seeds: int = 3, doubt: float = 2.0, min_belief: float = 0.5) -> DataFrame:
@@ -125,7 +153,8 @@ def bootstrap(tokens: DataFrame, rounds: int = 3, min_seeds: int = 3, doubt: flo
 def extract(docs: DataFrame, rounds: int = 3, min_seeds: int = 3, min_score: float = 0.5) -> DataFrame:
     """Spans ``(doc_id, text_key, kind, start, stop)``: base kinds, and ``ctx_<kind>``
     for candidates outside base spans that a pattern of that kind with ``min_score``
-    marks; of candidates inside one another, the outer one."""
+    marks (a ``secret`` seed only by patterns of its own kind); of candidates inside
+    one another, the outer one."""
     all_ = occurrences(docs).checkpoint()  # the texts are read once
     is_base = F.col("kind").isin(*KINDS)
     base = all_.where(is_base).select("doc_id", "text_key", "kind", "start", "stop")
@@ -135,11 +164,15 @@ def extract(docs: DataFrame, rounds: int = 3, min_seeds: int = 3, min_score: flo
     swept = all_.withColumn("last", F.max(F.when(is_base, F.col("stop"))).over(back)).withColumn("next", F.min(F.when(is_base, F.col("start"))).over(ahead))
     apart = F.coalesce(F.col("last") <= F.col("start"), F.lit(True)) & F.coalesce(F.col("next") >= F.col("stop"), F.lit(True))
     within = F.coalesce(F.col("last") >= F.col("stop"), F.lit(False))
-    instances = swept.where(F.when(is_base, ~within).otherwise(apart)).withColumn("seed", F.when(is_base, F.col("kind")))
-    placed = _contexts(instances.select("doc_id", "text_key", "start", "stop", F.lower("hit").alias("hit"), "left", "right", "seed")).checkpoint()
+    instances = swept.where(F.when(is_base, ~within).otherwise(apart))
+    secret = F.regexp_like("hit", F.lit(SECRET)) & ~F.regexp_like(F.concat_ws(" ", "l"), F.lit(DIGEST))
+    instances = _words(instances).withColumn("seed", F.when(is_base, F.col("kind")).when(secret, F.lit("secret")))
+    placed = _contexts(instances.select("doc_id", "text_key", "start", "stop", F.lower("hit").alias("hit"), "l", "r", "seed")).checkpoint()
     good = bootstrap(placed, rounds, min_seeds).where(F.col("score") >= min_score)
-    best = good.groupBy("pattern").agg(F.max(F.struct("score", "kind")).alias("b"))
-    new = placed.where("seed is null").join(best, "pattern").groupBy("doc_id", "text_key", "start", "stop").agg(F.max("b").alias("b"))
+    best = good.groupBy("pattern").agg(F.max(F.struct("score", "kind")).alias("b")).withColumn("seed", F.lit(None).cast("string"))
+    best = best.unionByName(good.where("kind = 'secret'").select("pattern", F.struct("score", "kind").alias("b"), F.lit("secret").alias("seed")))
+    marked = placed.where("seed is null or seed = 'secret'").join(best.withColumnRenamed("seed", "__seed"), "pattern").where(F.col("seed").eqNullSafe(F.col("__seed")))
+    new = marked.groupBy("doc_id", "text_key", "start", "stop").agg(F.max("b").alias("b"))
     outer = Window.partitionBy("doc_id", "text_key").orderBy("start", F.desc("stop")).rowsBetween(Window.unboundedPreceding, -1)
     new = new.withColumn("reach", F.max("stop").over(outer)).where("reach is null or reach < stop")
     return base.unionByName(new.select("doc_id", "text_key", F.concat(F.lit("ctx_"), F.col("b.kind")).alias("kind"), "start", "stop"))
@@ -153,7 +186,7 @@ def find(docs: DataFrame) -> DataFrame:
     rows get equal answers, rows with a null doc_id are searched like any other,
     extra columns are ignored.
     """
-    order = {k: i for i, k in enumerate([*KINDS, *(f"ctx_{k}" for k in KINDS)])}
+    order = {k: i for i, k in enumerate([*KINDS, *(f"ctx_{k}" for k in (*KINDS, "secret"))])}
     number = F.create_map(*[x for k, i in order.items() for x in (F.lit(k), F.lit(i))])
     spans = extract(docs).select("doc_id", "text_key", number[F.col("kind")].alias("no"), "kind", "start", "stop")
     per_doc = spans.groupBy("doc_id", "text_key").agg(
