@@ -5,10 +5,9 @@ rank its rarity (rarest first), its low 58 bits are a hash; a line is the
 sorted array of its numbers. Two lines with Jaccard similarity t or more share
 a word among the first n - ceil(t n) + 1 of each (prefix filter); their lengths
 differ by a factor of t at most (length filter), and what can still follow the
-shared word bounds the overlap (positional filter). A 64-bit sketch of each set
+shared word bounds the overlap (positional filter). A 128-bit sketch of each set
 (the parity of its words per bit) differs in no more bits than the sets differ in
-words, which drops nearly all other pairs inside the join, before they are rows;
-a 256-bit one then does so for pairs of long lines.
+words, which drops nearly all other pairs inside the join, before they are rows.
 What passes is verified on the whole sets. Of two matching lines the later one goes.
 
 Lines with equal sets are one class, kept once in the join. Within a group that
@@ -131,7 +130,7 @@ def _fits(t: float, a: str, b: str) -> Column:
     of the shared word, sketch), given as prefixes of their columns."""
     n, m = F.col(a + "n"), F.col(b + "n")
     needed = _needed(t, n, m)
-    bits = F.bit_count(F.col(a + "sketch").bitwiseXOR(F.col(b + "sketch")))
+    bits = sum((F.bit_count(F.col(a + c).bitwiseXOR(F.col(b + c))) for c in SKETCH), F.lit(0))
     return (
         (F.least(n, m) >= F.lit(t) * F.greatest(n, m) - 1e-9)
         & (F.least(n - F.col(a + "p"), m - F.col(b + "p")) >= needed)
@@ -139,16 +138,14 @@ def _fits(t: float, a: str, b: str) -> Column:
     )
 
 
-#: 64-bit words of the wide sketch of a set
-WIDE = 4
+#: the 64-bit words of the sketch of a set
+SKETCH = ("even", "odd")
 
 
 def _sketches() -> list[Column]:
-    """Parity sketches of ``words``: one of 64 bits, and the parts of a wide one."""
+    """The parity sketch of ``words``, in two columns."""
     bit = "shiftleft(1L, cast(w & 63 as int))"
-    narrow = F.expr(f"aggregate(words, 0L, (s, w) -> s ^ {bit})").alias("sketch")
-    bit = "shiftleft(1L, cast((w >> 8) & 63 as int))"
-    return [narrow] + [F.expr(f"aggregate(words, 0L, (s, w) -> if(((w >> 6) & {WIDE - 1}) = {k}, s ^ {bit}, s))").alias(f"wide{k}") for k in range(WIDE)]
+    return [F.expr(f"aggregate(words, 0L, (s, w) -> if((w & 64) = {64 * k}, s ^ {bit}, s))").alias(c) for k, c in enumerate(SKETCH)]
 
 
 def _sets(docs: DataFrame, ranks: list[int], classes: DataFrame, ids: DataFrame, name: str) -> DataFrame:
@@ -163,13 +160,7 @@ def _sets(docs: DataFrame, ranks: list[int], classes: DataFrame, ids: DataFrame,
 
 def _matches(pairs: DataFrame, docs: DataFrame, ranks: list[int], classes: DataFrame, t: float, name: str) -> DataFrame:
     """The ``later`` classes of those candidate pairs whose whole sets reach t."""
-    wide = [f"wide{k}" for k in range(WIDE)]
-    side = lambda name: classes.select(F.col("cls").alias(name), F.struct("n", *wide).alias(f"{name}_s"))
-    of = lambda c: (F.col(f"later_s.{c}"), F.col(f"earlier_s.{c}"))
-    n, m = of("n")
-    bits = sum((F.bit_count(x.bitwiseXOR(y)) for x, y in map(of, wide)), F.lit(0))
-    pairs = pairs.distinct().join(side("later"), "later").join(side("earlier"), "earlier").where(bits <= n + m - 2 * _needed(t, n, m))
-    pairs = pairs.select("later", "earlier").checkpoint()
+    pairs = pairs.distinct().checkpoint()
     ids = pairs.select(F.explode(F.array("later", "earlier")).alias("cls")).distinct()
     sets = _sets(docs, ranks, classes, ids, name)
     a = sets.select(F.col("cls").alias("later"), F.col("words").alias("a"))
@@ -186,32 +177,33 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     ranks = rarity(docs)
     # the one pass that numbers all words: a line keeps its class (128 hash bits of its set), size and prefix
     h = [F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(7), "words").alias("h2")]
-    wide = [f"wide{k}" for k in range(WIDE)]
     lines = lines_of(docs, ranks).select("doc_id", "text_key", "line_no", *h, F.size("words").alias("n"), *_sketches(), _prefix(t).alias("prefix"))
     lines = _stage(lines, "lines")
-    first = F.min(F.struct(_place().alias("at"), "n", "sketch", *wide, "prefix")).alias("f")
+    first = F.min(F.struct(_place().alias("at"), "n", *SKETCH, "prefix")).alias("f")
     classes = lines.groupBy("h1", "h2").agg(first, F.count(F.lit(1)).alias("held"))
-    classes = classes.select("h1", "h2", "held", "f.at", "f.n", "f.sketch", *[f"f.{c}" for c in wide], "f.prefix", F.monotonically_increasing_id().alias("cls"))
+    classes = classes.select("h1", "h2", "held", "f.at", "f.n", *[f"f.{c}" for c in SKETCH], "f.prefix", F.monotonically_increasing_id().alias("cls"))
     classes = _stage(classes, "classes")
 
     # order of classes by their first lines, as columns: a null doc_id is last, the class number breaks ties
     last = F.lit((1 << 63) - 1)
-    order = F.struct(F.coalesce(F.col("at.doc_id"), last).alias("doc_id"), F.col("at.line_no").alias("line_no"), "cls")
-    tokens = classes.select("cls", order.alias("place"), "n", "sketch", F.posexplode("prefix").alias("p", "token"))
+    order = F.coalesce(F.col("at.doc_id"), last).alias("doc"), F.col("at.line_no").alias("line_no"), "cls"
+    # one shuffle by token serves the window and the buckets
+    tokens = classes.select(*order, "n", *SKETCH, F.posexplode("prefix").alias("p", "token"))
+    tokens = tokens.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "token")
     rank = F.shiftright("token", INDEX_BITS)
     salts = F.pow(F.lit(2), F.greatest(rank - (HOT_RANK - 1), F.lit(0))).cast("long")
     tokens = tokens.withColumn("salt", F.when(rank >= HOT_RANK, F.pmod(F.xxhash64("cls"), salts)).otherwise(F.lit(0)))
-    # one shuffle by token serves the window and the buckets
-    tokens = tokens.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "token")
     group = Window.partitionBy("token", "salt")
-    tokens = tokens.withColumn("held", F.count(F.lit(1)).over(group)).withColumn("first", F.min(F.struct("place", "n", "p", "sketch")).over(group))
-    easy = _fits(t, "", "first.") & (F.col("cls") != F.col("first.place.cls"))
-    tokens = tokens.where((F.col("held") > 1) | (rank >= HOT_RANK)).select("token", "cls", "place", "n", "p", "sketch", F.when(easy, F.col("first.place.cls")).alias("pivot"))
+    of = ("doc", "line_no", "cls", "n", "p", *SKETCH)
+    tokens = tokens.withColumn("held", F.count(F.lit(1)).over(group)).withColumn("first", F.min(F.struct(*of)).over(group))
+    easy = _fits(t, "", "first.") & (F.col("cls") != F.col("first.cls"))
+    tokens = tokens.where((F.col("held") > 1) | (rank >= HOT_RANK)).select("token", *of, F.when(easy, F.col("first.cls")).alias("pivot"))
     tokens = _bucketed(tokens, "token")
     easy = tokens.where("pivot is not null").select(F.col("cls").alias("later"), F.col("pivot").alias("earlier"))
     settled = _matches(easy, docs, ranks, classes, t, "easy")
     left = tokens.withColumnRenamed("cls", "later").join(small(settled, 16 * settled.count()), "later", "left_anti").alias("l")
-    hard = left.join(tokens.alias("r"), F.col("l.token") == F.col("r.token")).where((F.col("l.place") > F.col("r.place")) & _fits(t, "l.", "r."))
+    place = lambda x: F.struct(f"{x}.doc", f"{x}.line_no", F.col("l.later" if x == "l" else "r.cls").alias("cls"))
+    hard = left.join(tokens.alias("r"), F.col("l.token") == F.col("r.token")).where((place("l") > place("r")) & _fits(t, "l.", "r."))
     tried = F.coalesce(F.col("l.pivot") == F.col("r.cls"), F.lit(False))
     hard = hard.where(~tried).select("later", F.col("r.cls").alias("earlier"))
     more = _matches(hard, docs, ranks, classes, t, "hard")
