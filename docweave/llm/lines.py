@@ -23,7 +23,9 @@ while its measured size is below ``common.BROADCAST_BYTES``, shuffled beyond it)
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -39,23 +41,30 @@ HOT_RANK = 20
 INDEX_BITS = 35
 
 
-def _stage(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared checkpoint folder and read again: cuts the lineage, compressed."""
-    spark = df.sparkSession
-    path = scratch_path(spark, f"lines-{name}")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def _bucketed(df: DataFrame, key: str) -> DataFrame:
-    """Write a frame that is partitioned by ``key`` as a table bucketed by it, below the
-    shared checkpoint folder: it joins itself on the key without another shuffle."""
-    spark = df.sparkSession
-    path = scratch_path(spark, "lines-buckets")
+@contextmanager
+def _scratch(spark: SparkSession):
+    """A database below the shared checkpoint folder; it goes, with its files, at the end."""
+    path = scratch_path(spark, "lines")
     name = "docweave_" + path.rsplit("-", 1)[-1]
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.bucketBy(n, key).sortBy(key).format("parquet").option("path", path).saveAsTable(name)
-    return spark.table(name)
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{path}'")
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def _stage(df: DataFrame, name: str) -> DataFrame:
+    """Write a table and read it again: cuts the lineage, compressed."""
+    df.write.format("parquet").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def _bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
+    """Write a frame that is partitioned by ``key`` as a table bucketed by it: it joins
+    itself on the key without another shuffle."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(n, key).sortBy(key).format("parquet").saveAsTable(name)
+    return df.sparkSession.table(name)
 
 
 def _word_hashes(line: Column) -> Column:
@@ -172,17 +181,22 @@ def _matches(pairs: DataFrame, docs: DataFrame, ranks: list[int], classes: DataF
 
 def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``(doc_id, text_key, line_no)`` of every line that matches an earlier line
-    of any document (or its own) with a Jaccard similarity of ``threshold`` or more."""
-    t = threshold
+    of any document (or its own) with a Jaccard similarity of ``threshold`` or more.
+    What is staged on the way is released before this returns."""
+    with _scratch(docs.sparkSession) as db:
+        return _removed_lines(docs, threshold, db).checkpoint()
+
+
+def _removed_lines(docs: DataFrame, t: float, db: str) -> DataFrame:
     ranks = rarity(docs)
     # the one pass that numbers all words: a line keeps its class (128 hash bits of its set), size and prefix
     h = [F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(7), "words").alias("h2")]
     lines = lines_of(docs, ranks).select("doc_id", "text_key", "line_no", *h, F.size("words").alias("n"), *_sketches(), _prefix(t).alias("prefix"))
-    lines = _stage(lines, "lines")
+    lines = _stage(lines, f"{db}.lines")
     first = F.min(F.struct(_place().alias("at"), "n", *SKETCH, "prefix")).alias("f")
     classes = lines.groupBy("h1", "h2").agg(first, F.count(F.lit(1)).alias("held"))
     classes = classes.select("h1", "h2", "held", "f.at", "f.n", *[f"f.{c}" for c in SKETCH], "f.prefix", F.monotonically_increasing_id().alias("cls"))
-    classes = _stage(classes, "classes")
+    classes = _stage(classes, f"{db}.classes")
 
     # order of classes by their first lines, as columns: a null doc_id is last, the class number breaks ties
     last = F.lit((1 << 63) - 1)
@@ -198,15 +212,15 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     tokens = tokens.withColumn("held", F.count(F.lit(1)).over(group)).withColumn("first", F.min(F.struct(*of)).over(group))
     easy = _fits(t, "", "first.") & (F.col("cls") != F.col("first.cls"))
     tokens = tokens.where((F.col("held") > 1) | (rank >= HOT_RANK)).select("token", *of, F.when(easy, F.col("first.cls")).alias("pivot"))
-    tokens = _bucketed(tokens, "token")
+    tokens = _bucketed(tokens, "token", f"{db}.tokens")
     easy = tokens.where("pivot is not null").select(F.col("cls").alias("later"), F.col("pivot").alias("earlier"))
-    settled = _matches(easy, docs, ranks, classes, t, "easy")
+    settled = _matches(easy, docs, ranks, classes, t, f"{db}.easy")
     left = tokens.withColumnRenamed("cls", "later").join(small(settled, 16 * settled.count()), "later", "left_anti").alias("l")
     place = lambda x: F.struct(f"{x}.doc", f"{x}.line_no", F.col("l.later" if x == "l" else "r.cls").alias("cls"))
     hard = left.join(tokens.alias("r"), F.col("l.token") == F.col("r.token")).where((place("l") > place("r")) & _fits(t, "l.", "r."))
     tried = F.coalesce(F.col("l.pivot") == F.col("r.cls"), F.lit(False))
     hard = hard.where(~tried).select("later", F.col("r.cls").alias("earlier"))
-    more = _matches(hard, docs, ranks, classes, t, "hard")
+    more = _matches(hard, docs, ranks, classes, t, f"{db}.hard")
 
     # every line of a class but its first goes, and the first of a class that matched an earlier one
     gone = settled.unionByName(more).select(F.col("later").alias("cls"), F.lit(True).alias("gone"))
