@@ -93,3 +93,36 @@ def test_a_chunk_of_many_pairs_is_scored_in_parts(spark, monkeypatch):
     assert {tuple(r) for r in RT.lexical_score(pairs, asked, chunks).collect()} == whole and len(whole) == 120
     by = {r[:1] + r[2:3]: r[-1] for r in whole}
     assert by[(1, "a")] > by[(1, "b")] * 0 and by[(1, "c")] == 0.0 and by[(0, "a")] == 0.0
+
+
+def test_a_task_is_one_cell_of_the_exact_search(spark, monkeypatch):
+    """Cells that share a partition add up in one task; by hash some do."""
+
+    def place(k, m, qkey, ckey):
+        from pyspark import TaskContext
+
+        def kernel(qs: pa.Table, cs: pa.Table) -> pa.Table:
+            if not len(qs) or not len(cs):
+                return pa.table({c: side[c].slice(0, 0) for side, key in ((qs, qkey), (cs, ckey)) for c in key} | {"distance": pa.array([], pa.float64())})
+            first = {c: side[c].slice(0, 1) for side, key in ((qs, qkey), (cs, ckey)) for c in key}
+            return pa.table(first | {"distance": pa.array([float(TaskContext.get().partitionId())])})
+
+        return kernel
+
+    vectors = np.random.default_rng(3).random((600, 8))
+    q, c = _rows(spark, vectors[:300], QUESTIONS), _rows(spark, vectors, CHUNKS, "f")
+    c = c.selectExpr("filename", "monotonically_increasing_id() as chunk_no", "vector")
+    monkeypatch.setattr(KN, "_one_cell", place)
+    opts = OPTS.with_(embed_dim=8, knn_block_bytes=100 * 64)
+    cells = [r["distance"] for r in KN.knn_exact(q, c, 50, opts).collect()]
+    assert len(cells) == 18 and len(set(cells)) == 18
+
+
+def test_bound_of_pairs_a_cell_changes_no_hit(spark, monkeypatch):
+    vectors = np.random.default_rng(4).random((400, 8))
+    q, c = _rows(spark, vectors[:50], QUESTIONS), _rows(spark, vectors, CHUNKS, "f")
+    c = c.selectExpr("filename", "monotonically_increasing_id() as chunk_no", "vector")
+    found = lambda: sorted(map(tuple, KN.knn_exact(q, c, 5, OPTS.with_(embed_dim=8)).collect()))
+    whole = found()
+    monkeypatch.setattr(KN, "CELL_PAIRS", 1_000)
+    assert found() == whole and len(whole) == 250
