@@ -23,7 +23,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -81,26 +80,39 @@ def _bucket(v: np.ndarray, buckets: int) -> np.ndarray:
     return ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
 
 
-def _emit(fps: np.ndarray, buckets: int) -> pd.DataFrame:
+def _pieces(values: np.ndarray, starts: np.ndarray) -> pa.BinaryArray:
+    """The bytes of an array cut at ``starts``, where they lie."""
+    offsets = (np.append(starts, len(values)) * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+
+
+def _emit(fps: np.ndarray, buckets: int) -> pa.RecordBatch:
     """Variants of some fingerprints, packed per bucket."""
     odd = (popcount(fps) & 1).astype(bool)
-    v, m = [], []
-    for part, masks in ((fps[~odd], np.arange(len(MASKS))), (fps[odd], np.arange(1, 65))):
-        v.append((part[:, None] ^ MASKS[masks][None, :]).ravel())
-        m.append(np.tile(masks.astype(np.uint16), len(part)))
-    v, m = np.concatenate(v), np.concatenate(m)
+    n = int(np.sum(~odd)) * len(MASKS) + int(np.sum(odd)) * 64
+    v, m, at = np.empty(n, np.uint64), np.empty(n, np.uint16), 0
+    for part, masks in ((fps[~odd], np.arange(len(MASKS), dtype=np.uint16)), (fps[odd], np.arange(1, 65, dtype=np.uint16))):
+        shape = len(part), len(masks)
+        here = slice(at, at + len(part) * len(masks))
+        np.bitwise_xor(part[:, None], MASKS[masks][None, :], out=v[here].reshape(shape))
+        m[here].reshape(shape)[:] = masks
+        at = here.stop
     key = _bucket(v, buckets)
     order = np.argsort(key, kind="stable")
-    v, m, key = v[order], m[order], key[order]
+    key = key[order]
     cut = np.flatnonzero(np.diff(key, prepend=-1))
-    ends = [*cut[1:], len(key)]
-    return pd.DataFrame(
-        {
-            "bucket": key[cut],
-            "variants": [v[a:z].tobytes() for a, z in zip(cut, ends)],
-            "masks": [m[a:z].tobytes() for a, z in zip(cut, ends)],
-        }
-    )
+    v, m = v[order], m[order]
+    return pa.RecordBatch.from_arrays([pa.array(key[cut]), _pieces(v, cut), _pieces(m, cut)], ["bucket", "variants", "masks"])
+
+
+def _packed(column: pa.ChunkedArray, kind) -> np.ndarray:
+    """The numbers packed in a binary column, one after the other."""
+    parts = []
+    for c in column.chunks:
+        wide = np.int64 if pa.types.is_large_binary(c.type) else np.int32
+        offsets = np.frombuffer(c.buffers()[1], wide)[c.offset : c.offset + len(c) + 1]
+        parts.append(np.frombuffer(c.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view(kind) if len(c) and c.buffers()[2] else np.empty(0, kind))
+    return parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else np.empty(0, kind)
 
 
 def _meet(variants: np.ndarray, masks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -139,23 +151,21 @@ def links(distinct: DataFrame, fingerprints_count: int, entries_per_bucket: int
     most 3 bits apart; every pair that close is connected through them."""
     buckets = max(1, -(-fingerprints_count * 560 // entries_per_bucket))
 
-    def emit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            fps = f["fp"].to_numpy(np.int64).view(np.uint64)
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fps = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             for k in range(0, len(fps), 2000):
                 yield _emit(fps[k : k + 2000], buckets)
 
-    def meet(group: pd.DataFrame) -> pd.DataFrame:
-        v = np.frombuffer(b"".join(group["variants"]), np.uint64)
-        m = np.frombuffer(b"".join(group["masks"]), np.uint16)
-        a, b = _meet(v, m)
+    def meet(group: pa.Table) -> pa.Table:
+        a, b = _meet(_packed(group["variants"], np.uint64), _packed(group["masks"], np.uint16))
         if len(a):
             a, b = local_components(a, b)
-        return pd.DataFrame({"u": a.view(np.int64), "v": b.view(np.int64)})
+        return pa.table({"u": a.view(np.int64), "v": b.view(np.int64)})
 
     # a bounded number of fingerprints for each task, whatever the partitions before
-    packed = distinct.select("fp").repartition(buckets, "fp").mapInPandas(emit, "bucket long, variants binary, masks binary")
-    return packed.groupBy("bucket").applyInPandas(meet, "u long, v long")
+    packed = distinct.select("fp").repartition(buckets, "fp").mapInArrow(emit, "bucket long, variants binary, masks binary")
+    return packed.groupBy("bucket").applyInArrow(meet, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:

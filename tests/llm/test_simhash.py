@@ -111,3 +111,17 @@ def test_components_long_chain(spark):
     got = dict(components(edges).collect())
     assert all(got[i] == 0 for i in range(1, 301))
     assert got[2000] == got[1500] == 1000
+
+
+def test_packed_variants_lie_in_place():
+    """Pieces are views of one buffer, read again without a copy; a slice has its own rows only."""
+    import pyarrow as pa
+
+    fps = np.random.default_rng(5).integers(0, 1 << 64, 300, dtype=np.uint64)
+    b = simhash._emit(fps, 7)
+    v, m = simhash._packed(pa.chunked_array([b.column(1)]), np.uint64), simhash._packed(pa.chunked_array([b.column(2)]), np.uint16)
+    assert sorted(zip((v ^ simhash.MASKS[m]).tolist(), m.tolist())) == sorted((int(f), k) for f in fps for k in (range(1, 65) if int(f).bit_count() % 2 else range(len(simhash.MASKS))))
+    assert not v.flags.owndata
+    assert (np.concatenate([np.full(len(x.as_py()) // 8, k) for k, x in zip(b.column(0).to_pylist(), b.column(1))]) == simhash._bucket(v, 7)).all()
+    two = simhash._packed(pa.chunked_array([b.column(1).slice(2, 1), b.column(1).slice(4, 2)]), np.uint64)
+    assert two.tobytes() == b.column(1)[2].as_py() + b.column(1)[4].as_py() + b.column(1)[5].as_py()
