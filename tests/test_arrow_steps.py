@@ -46,7 +46,9 @@ def test_bucket_vectors():
 def test_stream_change_set_is_converted_before_it_is_one_file(spark, sf, monkeypatch):
     """The task that writes the file of a micro-batch converts no page."""
     from docweave.plans import catalog
+    from docweave.streaming import refresh_stream
 
+    monkeypatch.setattr(refresh_stream, "stream_refresh", lambda spark, changes_dir, state, *_, **__: state)
     plans, stale = [], catalog._with_stale_changes
     monkeypatch.setattr(catalog, "_with_stale_changes", lambda last: plans.append(last._jdf.queryExecution().toString()) or stale(last))
     catalog._x1_spark(spark, sf)
