@@ -50,6 +50,32 @@ def test_against_brute_force(spark):
             assert got[i]["n_lines"] == len(sets_of(texts[i])) and got[i]["n_removed"] == len(gone)
 
 
+def test_disk_is_released_on_the_way(spark, monkeypatch):
+    """No two parts of the index are on disk as shuffle files at a time, no token is in
+    two parts, and the session's setting comes back."""
+    import os
+
+    seen, stage = [], L._bucketed
+
+    def shuffled():
+        local = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return sum(os.path.getsize(f) for i in range(local.size()) if os.path.exists(f := local.apply(i).getPath()) and f.endswith(".data"))
+
+    def bucketed(df, key, name):
+        out = stage(df, key, name)
+        seen.append((shuffled(), {r["token"] for r in out.select("token").distinct().collect()}))
+        return out
+
+    monkeypatch.setattr(L, "_bucketed", bucketed)
+    before, held = spark.conf.get(L.RELEASE, None), shuffled()
+    texts = corpus(3, 120)
+    got = {r["doc_id"]: r["removed"] for r in collect(L.report(docs(spark, texts)))}
+    assert got == dict(enumerate(brute_removed(list(enumerate(texts)))))
+    assert spark.conf.get(L.RELEASE, None) == before
+    assert len(seen) == L.SLICES > 1 and all(files <= held for files, _ in seen)
+    assert sum(len(t) for _, t in seen) == len(set().union(*(t for _, t in seen))) > 0
+
+
 def test_other_thresholds(spark):
     texts = corpus(5, 40)
     for t in (0.5, 1.0):
