@@ -16,7 +16,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -27,7 +26,11 @@ LETTER = regex.compile(r"\p{L}")
 _BLANK = bytes(c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
 _MIX = (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35)
 #: bytes handled at a time, so that one long text needs no more memory than many short ones
-PIECE = 1 << 21
+PIECE = 1 << 19
+#: distinct n-grams of a language a task holds before they are summed, and after that hands on
+HELD = 1_000_000
+#: texts that are Python objects at a time
+STEP = 256
 
 
 def _normal(text: str | None) -> bytes:
@@ -88,44 +91,61 @@ class LanguageFilter:
         return self.languages[best], float(min(1.0, max(0.0, share[best]))), n
 
 
-def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+def _texts_by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[str]]]:
+    """A language with its texts, for some rows of ``(lang, text)`` at a time."""
+    for b in batches:
+        for k in range(0, len(b), STEP):
+            part: dict[str, list[str]] = {}
+            for lang, text in zip(b.column(0).slice(k, STEP).to_pylist(), b.column(1).slice(k, STEP).to_pylist()):
+                part.setdefault(lang, []).append(text)
+            yield from part.items()
+
+
+def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, gram, n) sums, flushed whenever a language holds many distinct n-grams."""
 
-    def rows(lang: str, held: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
-        code = np.concatenate([c for c, _ in held])
-        n = np.concatenate([x for _, x in held])
-        code, inv = np.unique(code, return_inverse=True)
-        return pd.DataFrame({"lang": lang, "gram": code.astype(np.int64), "n": np.bincount(inv, n).astype(np.int64)})
+    def summed(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        code, inv = np.unique(np.concatenate([c for c, _ in held]), return_inverse=True)
+        return code, np.bincount(inv, np.concatenate([x for _, x in held])).astype(np.int64)
+
+    def rows(lang: str, code: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for k in range(0, len(code), 1 << 16):
+            c, x = code[k : k + (1 << 16)], n[k : k + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang, pa.string()), len(c)), pa.array(c.astype(np.int64)), pa.array(x)], ["lang", "gram", "n"])
 
     held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
     size: dict[str, int] = {}
-    for f in batches:
-        for lang, texts in f.groupby("lang")["text"]:
-            joined: list[bytes] = []
-            length = 0
-            todo = [*texts, None]
-            for t in todo:
-                if t is not None:
-                    joined.append(_normal(t))
-                    length += len(joined[-1])
-                if joined and (t is None or length >= PIECE):
-                    data = b" ".join(joined)  # blanks at the seams: no n-gram across texts
-                    joined, length = [], 0
-                    for k in range(0, len(data), PIECE):
-                        code, ok = _grams(data[k : k + PIECE + 3])
-                        c, n = np.unique(code[ok], return_counts=True)
-                        held.setdefault(lang, []).append((c, n))
-                        size[lang] = size.get(lang, 0) + len(c)
-            if size.get(lang, 0) > 4_000_000:
-                out = rows(lang, held.pop(lang))
-                if len(out) > 2_000_000:
+    waiting: dict[str, list[bytes]] = {}
+    length: dict[str, int] = {}
+
+    def count(lang: str) -> None:
+        data = b" ".join(waiting.pop(lang))  # blanks at the seams: no n-gram across texts
+        length[lang] = 0
+        for k in range(0, len(data), PIECE):
+            code, ok = _grams(data[k : k + PIECE + 3])
+            c, n = np.unique(code[ok], return_counts=True)
+            held.setdefault(lang, []).append((c, n))
+            size[lang] = size.get(lang, 0) + len(c)
+
+    for lang, texts in _texts_by_language(batches):
+        for t in texts:
+            waiting.setdefault(lang, []).append(_normal(t))
+            length[lang] = length.get(lang, 0) + len(waiting[lang][-1])
+            if length[lang] < PIECE:
+                continue
+            count(lang)
+            if size[lang] > HELD:
+                code, n = summed(held.pop(lang))
+                size[lang] = len(code)
+                if len(code) > HELD // 2:
                     size[lang] = 0
-                    yield out
+                    yield from rows(lang, code, n)
                 else:
-                    held[lang] = [(out["gram"].to_numpy().astype(np.uint32), out["n"].to_numpy())]
-                    size[lang] = len(out)
+                    held[lang] = [(code, n)]
+    for lang in list(waiting):
+        count(lang)
     for lang, h in held.items():
-        yield rows(lang, h)
+        yield from rows(lang, *summed(h))
 
 
 def train(docs: DataFrame, min_share: float = 1e-5, bits: int = 21) -> LanguageFilter:
@@ -140,7 +160,7 @@ def train(docs: DataFrame, min_share: float = 1e-5, bits: int = 21) -> LanguageF
         "lang is not null and text is not null"
     )
     counts = (
-        labelled.mapInPandas(_count_grams, "lang string, gram long, n long")
+        labelled.mapInArrow(_count_grams, "lang string, gram long, n long")
         .groupBy("lang", "gram")
         .agg(F.sum("n").alias("n"))
         .checkpoint()
@@ -154,15 +174,16 @@ def train(docs: DataFrame, min_share: float = 1e-5, bits: int = 21) -> LanguageF
         number = spark.createDataFrame([(x, i, t) for i, (x, t) in enumerate(langs)], "lang string, number int, total long")
         kept = counts.join(F.broadcast(number), "lang").where(F.col("n") >= F.greatest(F.lit(1.0), min_share * F.col("total")))
 
-        def enter(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for f in frames:
-                code = f["gram"].to_numpy().astype(np.uint32)
-                for s in _slots(code, bits):
-                    yield pd.DataFrame({"word": f["number"] // 63, "slot": s.astype(np.int32), "mask": np.int64(1) << (f["number"] % 63)})
+        def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                number = b.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+                word, mask = pa.array((number // 63).astype(np.int32)), pa.array(np.int64(1) << (number % 63))
+                for s in _slots(b.column(0).to_numpy(zero_copy_only=False).astype(np.uint32), bits):
+                    yield pa.RecordBatch.from_arrays([word, pa.array(s.astype(np.int32)), mask], ["word", "slot", "mask"])
 
         table = (
             kept.select("gram", "number")
-            .mapInPandas(enter, "word int, slot int, mask long")
+            .mapInArrow(enter, "word int, slot int, mask long")
             .groupBy("word", "slot")
             .agg(F.bit_or("mask").alias("mask"))
         )
@@ -175,10 +196,13 @@ def train(docs: DataFrame, min_share: float = 1e-5, bits: int = 21) -> LanguageF
 def _predictor(spark, model: LanguageFilter):
     shared = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, score double, n_grams long")
-    def predict(texts: pd.Series) -> pd.DataFrame:
+    @F.arrow_udf("lang_pred string, score double, n_grams long")
+    def predict(texts: pa.Array) -> pa.Array:
         m = shared.value
-        return pd.DataFrame([m.predict(t) for t in texts], columns=["lang_pred", "score", "n_grams"])
+        found = zip(*(m.predict(t.as_py()) for t in texts))
+        kinds = {"lang_pred": pa.string(), "score": pa.float64(), "n_grams": pa.int64()}
+        columns = list(found) or [()] * len(kinds)
+        return pa.StructArray.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds.values())], list(kinds))
 
     return predict.asNondeterministic()  # evaluated once, also below a filter
 

@@ -36,6 +36,10 @@ _PAIRS = [_EVERY[i] | _EVERY[j] for h in (0, 32) for i in range(h, h + 32) for j
 #: mask 0 flips nothing, 1..64 one bit, 65.. two bits of one half
 MASKS = np.array([np.uint64(0), *_EVERY, *_PAIRS], dtype=np.uint64)
 MAX_DISTANCE = 3
+#: a bucket's variants are compared in so many parts, by their hash (a power of two)
+PARTS = 8
+#: fingerprints whose variants are made at a time
+STEP = 1000
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -67,7 +71,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.array([fingerprint(t.as_py(), shingle) for t in b.column(2)], dtype=np.uint64).view(np.int64)
+            fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in b.column(2)), np.uint64, len(b)).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps)], ["doc_id", "text_key", "fp"])
 
     text = F.col("text").cast("string")
@@ -76,8 +80,17 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
 
 
 def _bucket(v: np.ndarray, buckets: int) -> np.ndarray:
-    mixed = (v ^ (v >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-    return ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+    mixed = _mixed(v)
+    mixed >>= np.uint64(32)
+    mixed %= np.uint64(buckets)
+    return mixed.view(np.int64)
+
+
+def _mixed(v: np.ndarray) -> np.ndarray:
+    mixed = v >> np.uint64(31)
+    mixed ^= v
+    mixed *= np.uint64(0x9E3779B97F4A7C15)
+    return mixed
 
 
 def _pieces(values: np.ndarray, starts: np.ndarray) -> pa.BinaryArray:
@@ -116,6 +129,21 @@ def _packed(column: pa.ChunkedArray, kind) -> np.ndarray:
 
 
 def _meet(variants: np.ndarray, masks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links between the fingerprints that share a variant, found part by part of
+    the variants, so that only a part is sorted and copied at a time."""
+    # bits that the bucket does not fix
+    part = _mixed(variants)
+    part >>= np.uint64(8)
+    part &= np.uint64(PARTS - 1)
+    part = part.astype(np.uint8)
+    found = []
+    for k in range(PARTS):
+        here = np.flatnonzero(part == k)
+        found.append(_stars_of(variants[here], masks[here]))
+    return np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])
+
+
+def _stars_of(variants: np.ndarray, masks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links between the fingerprints that share a variant: a star per variant.
 
     At a variant of even parity the centre must be a fingerprint one bit away
@@ -154,8 +182,8 @@ def links(distinct: DataFrame, fingerprints_count: int, entries_per_bucket: int
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            for k in range(0, len(fps), 2000):
-                yield _emit(fps[k : k + 2000], buckets)
+            for k in range(0, len(fps), STEP):
+                yield _emit(fps[k : k + STEP], buckets)
 
     def meet(group: pa.Table) -> pa.Table:
         a, b = _meet(_packed(group["variants"], np.uint64), _packed(group["masks"], np.uint16))

@@ -60,3 +60,38 @@ def test_number_characters_are_no_letters(spark):
     m = L.train(odd_docs(spark))
     assert all(m.predict(t)[0] == "und" for t in ("½", "12 ²", "Ⅷ ⅳ", "①②", "٣"))
     assert all(m.predict(t)[0] in m.languages for t in ("ª", "漢", "ß 12", "ǅ"))
+
+
+def test_training_counts_in_bounded_memory(monkeypatch):
+    """Counts of n-grams are those of all texts, whatever is held at a time; a batch is never held as Python objects."""
+    import random
+    import tracemalloc
+    from collections import Counter
+
+    import pyarrow as pa
+
+    from docweave.llm import language as L
+
+    rng = random.Random(4)
+    texts = [" ".join("".join(rng.choice("abcdeé") for _ in range(rng.randrange(1, 9))) for _ in range(300)) for _ in range(3000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en", "de", "fr"] * 1000), pa.array(texts)], ["lang", "text"])
+    tracemalloc.start()
+    for _ in L._count_grams(iter([batch])):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 32_000_000
+
+    want = Counter()
+    for k, t in enumerate(texts[:60]):
+        code, ok = L._grams(L._normal(t))
+        want.update((("en", "de", "fr")[k % 3], int(c)) for c in code[ok])
+    for piece, held, step in ((1 << 19, 1_000_000, 256), (1000, 300, 7)):
+        monkeypatch.setattr(L, "PIECE", piece)
+        monkeypatch.setattr(L, "HELD", held)
+        monkeypatch.setattr(L, "STEP", step)
+        got = Counter()
+        for b in L._count_grams(iter([batch.slice(0, 40), batch.slice(40, 20)])):
+            for r in b.to_pylist():
+                got[r["lang"], r["gram"]] += r["n"]
+        assert got == want

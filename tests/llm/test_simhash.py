@@ -125,3 +125,22 @@ def test_packed_variants_lie_in_place():
     assert (np.concatenate([np.full(len(x.as_py()) // 8, k) for k, x in zip(b.column(0).to_pylist(), b.column(1))]) == simhash._bucket(v, 7)).all()
     two = simhash._packed(pa.chunked_array([b.column(1).slice(2, 1), b.column(1).slice(4, 2)]), np.uint64)
     assert two.tobytes() == b.column(1)[2].as_py() + b.column(1)[4].as_py() + b.column(1)[5].as_py()
+
+
+def test_a_bucket_is_compared_in_parts():
+    """The working memory of a bucket stays below twice its variants; links are those of the whole."""
+    import tracemalloc
+
+    rng = np.random.default_rng(6)
+    fps = rng.integers(0, 1 << 64, 500, dtype=np.uint64)
+    near = np.concatenate([fps, fps[:200] ^ np.uint64(1 << 9), fps[:90] ^ np.uint64((1 << 40) + 6)])
+    b = simhash._emit(near, 1)
+    v, m = b.column(1)[0].as_buffer(), b.column(2)[0].as_buffer()
+    v, m = np.frombuffer(v, np.uint64), np.frombuffer(m, np.uint16)
+    tracemalloc.start()
+    got = simhash._meet(v, m)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2 * (v.nbytes + m.nbytes)
+    whole = simhash._stars_of(v, m)
+    assert {*zip(*map(np.ndarray.tolist, got))} == {*zip(*map(np.ndarray.tolist, whole))} and len(got[0]) >= 290
