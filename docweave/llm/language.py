@@ -26,9 +26,9 @@ LETTER = regex.compile(r"\p{L}")
 _BLANK = bytes(c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
 _MIX = (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35)
 #: bytes handled at a time, so that one long text needs no more memory than many short ones
-PIECE = 1 << 19
-#: distinct n-grams of a language a task holds before they are summed, and after that hands on
-HELD = 1_000_000
+PIECE = 1 << 16
+#: distinct n-grams of all languages together that a task holds before they are summed, and after that hands on
+HELD = 250_000
 #: texts that are Python objects at a time
 STEP = 256
 
@@ -102,7 +102,7 @@ def _texts_by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str,
 
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, gram, n) sums, flushed whenever a language holds many distinct n-grams."""
+    """(lang, gram, n) sums, flushed whenever the languages together hold many distinct n-grams."""
 
     def summed(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
         code, inv = np.unique(np.concatenate([c for c, _ in held]), return_inverse=True)
@@ -134,14 +134,15 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if length[lang] < PIECE:
                 continue
             count(lang)
-            if size[lang] > HELD:
-                code, n = summed(held.pop(lang))
-                size[lang] = len(code)
-                if len(code) > HELD // 2:
-                    size[lang] = 0
-                    yield from rows(lang, code, n)
-                else:
-                    held[lang] = [(code, n)]
+            if sum(size.values()) > HELD:
+                for x, h in held.items():
+                    held[x] = [summed(h)]
+                    size[x] = len(held[x][0][0])
+                if sum(size.values()) > HELD // 2:
+                    for x, h in held.items():
+                        yield from rows(x, *h[0])
+                    held.clear()
+                    size.clear()
     for lang in list(waiting):
         count(lang)
     for lang, h in held.items():

@@ -95,3 +95,59 @@ def test_training_counts_in_bounded_memory(monkeypatch):
             for r in b.to_pylist():
                 got[r["lang"], r["gram"]] += r["n"]
         assert got == want
+
+
+def test_training_holds_a_bounded_number_of_grams(monkeypatch):
+    """Many languages share one bound: sums are handed on before the input ends, and add up."""
+    import random
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(L, "PIECE", 500)
+    monkeypatch.setattr(L, "HELD", 3000)
+    rng = random.Random(4)
+    rows = [(f"l{i % 30}", " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(60))) for i in range(240)]
+    taken = 0
+
+    def batches():
+        nonlocal taken
+        for k in range(0, len(rows), 30):
+            taken += 1
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in rows[k : k + 30]]), pa.array([t for _, t in rows[k : k + 30]])], ["lang", "text"])
+
+    total, began = {}, None
+    for b in L._count_grams(batches()):
+        began = began or taken
+        for lang, gram, n in zip(*(c.to_pylist() for c in b.columns)):
+            total[lang, gram] = total.get((lang, gram), 0) + n
+    assert began < len(rows) // 30
+    monkeypatch.undo()
+    whole = {}
+    for b in L._count_grams(batches()):
+        for lang, gram, n in zip(*(c.to_pylist() for c in b.columns)):
+            whole[lang, gram] = whole.get((lang, gram), 0) + n
+    assert total == whole
+
+
+def test_arrow_batches_are_small(spark):
+    from pyspark.sql import functions as F
+
+    from docweave.llm import common
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+    before = spark.conf.get(common.BATCH_LIMIT)
+    try:
+        spark.conf.set(common.BATCH_LIMIT, str(64 << 20))
+        common.prepare(spark)
+        texts = spark.range(0, 6000, 1, 1).select(F.repeat(F.lit("word "), 500).alias("text"))
+        assert max(r["n"] for r in texts.mapInArrow(sizes, "n long").collect()) < 2 * common.BATCH_BYTES
+        spark.conf.set(common.BATCH_LIMIT, "1000000")
+        common.prepare(spark)
+        assert spark.conf.get(common.BATCH_LIMIT).removesuffix("b") == "1000000"
+    finally:
+        spark.conf.set(common.BATCH_LIMIT, before)
