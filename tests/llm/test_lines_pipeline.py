@@ -162,3 +162,30 @@ def test_pipeline_odd_rows(spark, tmp_path):
         spark.createDataFrame([(1, None)], "item_id long, text string").write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
         got = collect(C.run(spark, f"{tmp_path}/{name}"))
         assert (len(got) > 0) == (name == "odd")
+
+
+def test_lines_are_numbered_once(spark, sf):
+    """No filter repeats the numbering, and lines of white space alone have no set."""
+    df = L.lines_of(docs(spark, ["a  b\n \t\r\f\x0b \n\nB a", "", None]), [0] * L.RANK_SLOTS)
+    assert df._jdf.queryExecution().executedPlan().toString().count("array_distinct(") == 1
+    got = {(r["doc_id"], r["line_no"]): r["words"] for r in df.collect()}
+    assert set(got) == {(0, 0), (0, 3)} and got[0, 0] == got[0, 3] and len(got[0, 0]) == 2
+
+
+def test_groups_of_two_need_no_join(spark, monkeypatch):
+    """The first class of a group meets the others before the join: a group of two has no row left for it."""
+    held, stage = [], L._bucketed
+
+    def bucketed(df, key, name):
+        out = stage(df, key, name)
+        held.append((out.count(), out.where("meets").count()))
+        return out
+
+    monkeypatch.setattr(L, "_bucketed", bucketed)
+    words = [f"u{i}" for i in range(40)]
+    for copies, joined in ((2, False), (3, True)):
+        held.clear()
+        texts = [" ".join(words[:39] + [f"v{i}"]) for i in range(copies)]
+        got = {r["doc_id"]: r["removed"] for r in collect(L.report(docs(spark, texts)))}
+        assert got == dict(enumerate(brute_removed(list(enumerate(texts)))))
+        assert sum(n for n, _ in held) > 0 and (sum(m for _, m in held) > 0) == joined
