@@ -77,3 +77,16 @@ def test_small_and_empty_tables(spark):
     none = G.knn_graph(qv, few.where("chunk_no > 5"), 20, o)
     assert none.columns == ["request_id", "q_no", "filename", "chunk_no", "distance", "rank", "n_found"] and none.count() == 0
     assert G.knn_graph(qv.where("q_no > 5"), few, 20, o).count() == 0
+
+
+def test_rounds_do_not_multiply_size_estimates(spark):
+    """A checkpoint keeps the estimate its joins gave: its digits grew with every round, and the driver's time with them."""
+    rng = np.random.default_rng(6)
+    o = OPTS.with_(embed_dim=8, graph_width=3, graph_beam=12, graph_entries=4)
+    ch = _table(spark, [("f", i, v) for i, v in enumerate(rng.random((400, 8)))], CHUNKS)
+    qv = _table(spark, [(i, 1, v) for i, v in enumerate(rng.random((10, 8)))], QUESTIONS)
+    index = G.build_graph(ch, o)
+    hits = G.knn_graph(qv, None, 10, o, index=index)
+    for df in (index.links, hits):
+        assert df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length() < 2_000
+    assert hits.count() == 100
