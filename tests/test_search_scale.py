@@ -126,3 +126,23 @@ def test_bound_of_pairs_a_cell_changes_no_hit(spark, monkeypatch):
     whole = found()
     monkeypatch.setattr(KN, "CELL_PAIRS", 1_000)
     assert found() == whole and len(whole) == 250
+
+
+@pytest.mark.parametrize("metric", ["L2", "IP", "COSINE"])
+def test_only_the_last_candidates_are_scored_exactly(metric, monkeypatch):
+    """Products bound the candidates tile by tile; exact distances are for those left at the end."""
+    rng = np.random.default_rng(7)
+    Q, C = rng.standard_normal((40, 16)).astype(np.float32), rng.standard_normal((30_000, 16)).astype(np.float32)
+    real, pairs = KN._exact, []
+    monkeypatch.setattr(KN, "_exact", lambda q, c, m: pairs.append(len(q)) or real(q, c, m))
+    qi, ci, d = KN.topk_block(Q, C, 20, metric)
+    assert sum(pairs) <= 40 * 24
+    for i, q in enumerate(Q):
+        e = real(np.broadcast_to(q, C.shape).astype(float), C.astype(float), metric)
+        assert ci[qi == i].tolist() == np.lexsort((np.arange(len(C)), np.round(e, KN.RANK_DIGITS)))[:20].tolist()
+
+
+def test_rare_marks_are_found_eight_at_a_time():
+    for shape in ((5, 64), (3, 13), (1, 8)):
+        mask = np.random.default_rng(8).random(shape) < 0.05
+        assert KN._places(mask).tolist() == np.flatnonzero(mask).tolist()
