@@ -50,3 +50,21 @@ def test_lsh_recall_of_far_neighbours(spark, sf, size, bits):
     hits = KN.knn_lsh(qv, ch, 20, OPTS, bits=bits).checkpoint()
     assert hits.join(exact, key).count() / exact.count() >= 0.9
     assert hits.where("n_found <> 20").count() == 0
+
+
+def test_probes_send_a_vector_once_a_cell(spark, monkeypatch):
+    """Neither side is multiplied by its bands or probes; copies of the rows go to the blocks of the other side only."""
+    import numpy as np
+
+    rng = np.random.default_rng(9)
+    o = OPTS.with_(embed_dim=8)
+    rows = lambda n, name: [(name or i, i if name else 1, v) for i, v in enumerate(rng.random((n, 8)).tolist())]
+    ch = spark.createDataFrame(rows(300, "f"), "filename string, chunk_no long, vector array<float>")
+    qv = spark.createDataFrame(rows(40, None), "request_id long, q_no long, qvec array<float>")
+    whole = {tuple(r) for r in KN.knn_lsh(qv, ch, 5, o, bits=6).collect()}
+    real, met = KN._out_schema, []
+    monkeypatch.setattr(KN, "_out_schema", lambda qkey, ckey, q, c, k=None: met.append((q.count(), c.count())) or real(qkey, ckey, q, c, k))
+    small = o.with_(knn_block_bytes=100 * 4 * 8)
+    assert {tuple(r) for r in KN.knn_lsh(qv, ch, 5, small, bits=6).collect()} == whole and len(whole) == 200
+    # rows that go into the cells of the two rounds of probes, before they are dealt to blocks
+    assert all(q <= 40 and c <= 300 for q, c in met[:2])
